@@ -40,3 +40,9 @@ def trending_topics(
 ) -> DataFrame:
     """Batch form: count, then rank."""
     return rank_topics(topic_counts(rsvps, length, slide, time_col), k)
+
+
+def trending_overall(rsvps: DataFrame, k: int = 10) -> DataFrame:
+    """The same ranking over all given RSVPs at once, without windows."""
+    counts = explode_topics(topic_arrays(yes_responses(rsvps))).groupBy(*KEYS).count()
+    return with_position(top_k(counts, k, keys=KEYS, within=()), within=())

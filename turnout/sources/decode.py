@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from turnout.schema import OPTIONAL, REPEATED, REQUIRED, RSVP_FIELDS, RSVP_SCHEM
 MESSAGE_NAME = "turnout.Rsvp"
 MODES = ("PERMISSIVE", "FAILFAST")
 
-_DECODED = T.StructType().add("rsvp", RSVP_SCHEMA_RELAXED).add("corrupt", T.BinaryType())
+DECODED_SCHEMA = T.StructType().add("rsvp", RSVP_SCHEMA_RELAXED).add("corrupt", T.BinaryType())
 
 
 def descriptor_set() -> bytes:
@@ -73,7 +73,7 @@ def decode_payload(
         return decoded.select(
             "rsvp", F.when(F.col("rsvp").isNull(), F.col("_payload")).alias("corrupt")
         )
-    return df.select(col).mapInArrow(_arrow_decoder(mode == "FAILFAST"), _DECODED)
+    return df.select(col).mapInArrow(_arrow_decoder(mode == "FAILFAST"), DECODED_SCHEMA)
 
 
 def _arrow_decoder(failfast: bool):
@@ -170,42 +170,38 @@ def encode_payload(rsvps: DataFrame) -> DataFrame:
 
 def _lacks_required(record: Column, fields=RSVP_FIELDS) -> Column:
     """Whether a parsed record misses a field that the wire contract requires."""
-    checks = []
+    lacks = F.lit(False)
     for name, _, label, kind in fields:
         value = record.getField(name)
         if label == REQUIRED:
-            checks.append(value.isNull())
+            lacks = lacks | value.isNull()
         if isinstance(kind, list):
-            if label == REPEATED:
-                inner = F.exists(value, lambda item, kind=kind: _lacks_required(item, kind))
-            else:
-                inner = _lacks_required(value, kind)
-            checks.append(value.isNotNull() & inner)
-    return reduce(Column.__or__, checks) if any(f[2] == REQUIRED or isinstance(f[3], list) for f in fields) else F.lit(False)
+            check = partial(_lacks_required, fields=kind)
+            inner = F.exists(value, lambda item: check(item)) if label == REPEATED else check(value)
+            lacks = lacks | (value.isNotNull() & inner)
+    return lacks
 
 
 def decode_json(df: DataFrame, col: str = "value", mode: str = "PERMISSIVE") -> DataFrame:
     """Like ``decode_payload`` for JSON text, entirely with built-in expressions."""
     _check_mode(mode)
-    schema = T.StructType(RSVP_SCHEMA_RELAXED.fields).add("_broken", T.StringType())
-    parsed = df.select(
-        F.from_json(F.col(col), schema, {"columnNameOfCorruptRecord": "_broken"}).alias("parsed"),
-        F.col(col).alias("_payload"),
-    )
-    record = F.col("parsed")
-    bad = record.isNull() | record.getField("_broken").isNotNull() | _lacks_required(record)
-    checked = parsed.select(
-        F.when(~bad, record.dropFields("_broken")).alias("rsvp"),
-        F.when(bad, F.coalesce(F.col("_payload").cast("binary"), F.lit(b""))).alias("corrupt"),
-    )
-    if mode == "FAILFAST":
-        return checked.where(
-            F.when(
-                F.col("corrupt").isNotNull(),
-                F.raise_error(F.lit("an RSVP could not be decoded")).cast("boolean"),
-            ).otherwise(True)
+    schema = T.StructType([*RSVP_SCHEMA_RELAXED, T.StructField("_broken", T.StringType())])
+    parsed = F.from_json(F.col(col), schema, {"columnNameOfCorruptRecord": "_broken"})
+
+    def check(record: Column) -> Column:
+        bad = record.isNull() | record.getField("_broken").isNotNull() | _lacks_required(record)
+        payload = F.coalesce(F.col(col).cast("binary"), F.lit(b""))
+        failed = F.raise_error(F.concat(F.lit("cannot decode RSVP: "), payload.cast("string")))
+        return F.struct(
+            F.when(~bad, record.dropFields("_broken"))
+            .otherwise(failed if mode == "FAILFAST" else F.lit(None)).alias("rsvp"),
+            F.when(bad, payload).alias("corrupt"),
         )
-    return checked
+
+    # The lambda binds the parsed record once; naming it as a column would let the optimizer
+    # repeat the parse for each of the checks when a filter is pushed below it.
+    checked = F.transform(F.array(parsed), lambda record: check(record)).getItem(0)
+    return df.select(checked.alias("checked")).select("checked.rsvp", "checked.corrupt")
 
 
 def decoded_rsvps(decoded: DataFrame) -> DataFrame:
