@@ -92,7 +92,7 @@ def yes_rsvps(spark, sf_dir):
 
 
 def topic_explode(spark, sf_dir):
-    return _instant_shown(explode_topics(topic_arrays(_rsvps(spark, sf_dir))))
+    return _instant_shown(explode_topics(_rsvps(spark, sf_dir)))
 
 
 # --- windowed counts and rankings -----------------------------------------------------------

@@ -21,9 +21,10 @@ def topic_arrays(rsvps: DataFrame, time_col: str = "event_time") -> DataFrame:
     return rsvps.select(time_col, F.col("group.group_topics.topic_name").alias("topic_name"))
 
 
-def explode_topics(topics: DataFrame) -> DataFrame:
-    """One row per listed topic. Null and empty lists vanish; a topic listed twice counts twice."""
-    return topics.withColumn("topic", F.explode("topic_name")).drop("topic_name")
+def explode_topics(rsvps: DataFrame, time_col: str = "event_time") -> DataFrame:
+    """One row per topic of an RSVP's group. Null and empty lists vanish; a topic listed twice
+    counts twice."""
+    return rsvps.select(time_col, F.explode("group.group_topics.topic_name").alias("topic"))
 
 
 def flatten(rsvps: DataFrame) -> DataFrame:

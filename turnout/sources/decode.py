@@ -80,7 +80,6 @@ def _arrow_decoder(failfast: bool):
     """Task function over Arrow batches. It captures plain values only, so workers need not
     have this package installed."""
     contract, name, fields = descriptor_set(), MESSAGE_NAME, RSVP_FIELDS
-    scalar_names = {"string": "string", "double": "float64"}
 
     def decode(batches):
         import pyarrow as pa
@@ -90,49 +89,79 @@ def _arrow_decoder(failfast: bool):
         for file in descriptor_pb2.FileDescriptorSet.FromString(contract).file:
             pool.Add(file)
         message_class = message_factory.GetMessageClass(pool.FindMessageTypeByName(name))
-
-        def arrow_type(level):
-            entries = []
-            for field, _, label, kind in level:
-                inner = arrow_type(kind) if isinstance(kind, list) else scalar_names[kind]
-                inner = pa.type_for_alias(inner) if isinstance(inner, str) else inner
-                entries.append((field, pa.list_(inner) if label == "repeated" else inner))
-            return pa.struct(entries)
-
-        def as_row(record, level):
-            row = {}
-            for field, _, label, kind in level:
-                if label == "repeated":
-                    row[field] = [as_row(item, kind) for item in getattr(record, field)]
-                elif label == "optional" and not record.HasField(field):
-                    row[field] = None
-                else:
-                    value = getattr(record, field)
-                    row[field] = as_row(value, kind) if isinstance(kind, list) else value
-            return row
+        scalars = {"string": pa.string(), "double": pa.float64()}
 
         def parse(payload):
             record = message_class()
-            record.ParseFromString(payload)
-            if not record.IsInitialized():
+            try:
+                record.ParseFromString(payload)
+                if record.IsInitialized():
+                    return record
                 raise ValueError(f"missing required fields: {record.FindInitializationErrors()}")
-            return as_row(record, fields)
+            except (message.DecodeError, ValueError, TypeError):
+                if failfast:
+                    raise
+                return None
+
+        def arrow_type(kind, label=None):
+            if isinstance(kind, list):
+                kind = pa.struct([(field, arrow_type(k, part)) for field, _, part, k in kind])
+            else:
+                kind = scalars[kind]
+            return pa.list_(kind) if label == "repeated" else kind
+
+        def column(records, kind):
+            """One Arrow column for values that share a type; a missing value is None."""
+            if not isinstance(kind, list):
+                return pa.array(records, type=scalars[kind])
+            missing = [record is None for record in records]
+            if all(missing):
+                return pa.nulls(len(records), arrow_type(kind))
+            parts = []
+            for field, _, label, part in kind:
+                if label == "repeated":
+                    lists = [() if record is None else getattr(record, field) for record in records]
+                    ends = [0]
+                    for entries in lists:
+                        ends.append(ends[-1] + len(entries))
+                    items = [item for entries in lists for item in entries]
+                    parts.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), column(items, part)))
+                    continue
+                if label == "optional":
+                    values = [
+                        getattr(record, field) if record is not None and record.HasField(field) else None
+                        for record in records
+                    ]
+                else:
+                    values = [None if record is None else getattr(record, field) for record in records]
+                parts.append(column(values, part))
+            entries = [pa.field(field, arrow_type(part, label)) for field, _, label, part in kind]
+            return pa.StructArray.from_arrays(parts, fields=entries, mask=pa.array(missing))
+
+        def readable(record):
+            try:
+                column([record], fields)
+                return record
+            except UnicodeDecodeError:
+                return None
 
-        record_type = arrow_type(fields)
         for batch in batches:
-            rows, rejects = [], []
-            for payload in batch.column(0).to_pylist():
-                try:
-                    rows.append(parse(payload))
-                    rejects.append(None)
-                except (message.DecodeError, ValueError, TypeError):
-                    if failfast:
-                        raise
-                    rows.append(None)
-                    rejects.append(payload if payload is not None else b"")
+            payloads = batch.column(0).to_pylist()
+            records = [parse(payload) for payload in payloads]
+            try:
+                rsvps = column(records, fields)
+            except UnicodeDecodeError:
+                # Text that is not UTF-8 shows only on access: set aside just those messages.
+                if failfast:
+                    raise
+                records = [readable(record) for record in records]
+                rsvps = column(records, fields)
+            rejects = [
+                None if record is not None else payload or b""
+                for record, payload in zip(records, payloads)
+            ]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows, type=record_type), pa.array(rejects, type=pa.binary())],
-                names=["rsvp", "corrupt"],
+                [rsvps, pa.array(rejects, type=pa.binary())], names=["rsvp", "corrupt"]
             )
 
     return decode
@@ -140,7 +169,7 @@ def _arrow_decoder(failfast: bool):
 
 def encode_payload(rsvps: DataFrame) -> DataFrame:
     """The inverse of ``decode_payload``: wire-form RSVPs to protobuf bytes in ``value``."""
-    contract, name = descriptor_set(), MESSAGE_NAME
+    contract, name, fields = descriptor_set(), MESSAGE_NAME, RSVP_FIELDS
 
     def encode(batches):
         import pyarrow as pa
@@ -151,21 +180,36 @@ def encode_payload(rsvps: DataFrame) -> DataFrame:
             pool.Add(file)
         message_class = message_factory.GetMessageClass(pool.FindMessageTypeByName(name))
 
-        def present(value):
-            if isinstance(value, dict):
-                return {key: present(item) for key, item in value.items() if item is not None}
-            if isinstance(value, list):
-                return [present(item) for item in value]
-            return value
+        def fill(records, columns, level):
+            """Set the fields of ``level`` in all records, one Arrow column at a time."""
+            for field, _, label, kind in level:
+                column = columns[field]
+                if label == "repeated":
+                    sizes = column.value_lengths().fill_null(0).to_pylist()
+                    items = [getattr(r, field).add() for r, size in zip(records, sizes) for _ in range(size)]
+                    fill(items, by_name(column.flatten()), kind)
+                elif isinstance(kind, list):
+                    column_set = column.is_valid()
+                    chosen = [r for r, is_set in zip(records, column_set.to_pylist()) if is_set]
+                    nested = [getattr(r, field) for r in chosen]
+                    for record in nested:
+                        record.SetInParent()
+                    fill(nested, by_name(column.filter(column_set)), kind)
+                else:
+                    for record, value in zip(records, column.to_pylist()):
+                        if value is not None:
+                            setattr(record, field, value)
+
+        def by_name(structs):
+            return dict(zip((part.name for part in structs.type), structs.flatten()))
 
         for batch in batches:
-            payloads = [
-                message_class(**present(row)).SerializePartialToString() for row in batch.to_pylist()
-            ]
+            records = [message_class() for _ in range(batch.num_rows)]
+            fill(records, dict(zip(batch.schema.names, batch.columns)), fields)
+            payloads = [record.SerializePartialToString() for record in records]
             yield pa.RecordBatch.from_arrays([pa.array(payloads, type=pa.binary())], names=["value"])
 
-    columns = [field.name for field in RSVP_SCHEMA_RELAXED]
-    return rsvps.select(*columns).mapInArrow(encode, "value binary")
+    return rsvps.select(*RSVP_SCHEMA_RELAXED.names).mapInArrow(encode, "value binary")
 
 
 def _lacks_required(record: Column, fields=RSVP_FIELDS) -> Column:
@@ -187,21 +231,21 @@ def decode_json(df: DataFrame, col: str = "value", mode: str = "PERMISSIVE") ->
     _check_mode(mode)
     schema = T.StructType([*RSVP_SCHEMA_RELAXED, T.StructField("_broken", T.StringType())])
     parsed = F.from_json(F.col(col), schema, {"columnNameOfCorruptRecord": "_broken"})
-
-    def check(record: Column) -> Column:
-        bad = record.isNull() | record.getField("_broken").isNotNull() | _lacks_required(record)
-        payload = F.coalesce(F.col(col).cast("binary"), F.lit(b""))
-        failed = F.raise_error(F.concat(F.lit("cannot decode RSVP: "), payload.cast("string")))
-        return F.struct(
-            F.when(~bad, record.dropFields("_broken"))
-            .otherwise(failed if mode == "FAILFAST" else F.lit(None)).alias("rsvp"),
-            F.when(bad, payload).alias("corrupt"),
-        )
-
-    # The lambda binds the parsed record once; naming it as a column would let the optimizer
-    # repeat the parse for each of the checks when a filter is pushed below it.
-    checked = F.transform(F.array(parsed), lambda record: check(record)).getItem(0)
-    return df.select(checked.alias("checked")).select("checked.rsvp", "checked.corrupt")
+    # The generator yields one row per message and keeps filters on the record above it, where
+    # they read the parsed value; pushed below a plain projection they would parse again.
+    records = df.select(
+        F.col(col).cast("binary").alias("_payload"), F.explode_outer(F.array(parsed)).alias("record")
+    )
+    record = F.col("record")
+    bad = record.isNull() | record.getField("_broken").isNotNull() | _lacks_required(record)
+    if mode == "FAILFAST":
+        failed = F.raise_error(F.concat(F.lit("cannot decode RSVP: "), F.col("_payload").cast("string")))
+    else:
+        failed = F.lit(None)
+    return records.select(
+        F.when(~bad, record.dropFields("_broken")).otherwise(failed).alias("rsvp"),
+        F.when(bad, F.coalesce("_payload", F.lit(b""))).alias("corrupt"),
+    )
 
 
 def decoded_rsvps(decoded: DataFrame) -> DataFrame:
