@@ -57,7 +57,8 @@ def decode_payload(
     """Decode protobuf bytes into ``rsvp`` (a struct) and ``corrupt`` (the bytes that failed).
 
     A message that cannot be parsed or lacks a required field gets a null ``rsvp`` and its bytes
-    in ``corrupt``; with ``FAILFAST`` it fails the job. ``use_jar`` decodes inside the JVM and
+    in ``corrupt``; with ``FAILFAST`` it fails the job. Text that is not UTF-8 is kept, with
+    replacement characters, as protobuf's JVM runtime does for proto2. ``use_jar`` decodes inside the JVM and
     needs Spark's protobuf module on the class path; otherwise Arrow batches go through Python.
     Decoding is row-local, so it needs no shuffle; decode once and store columns where several
     jobs read the same messages (``streaming.start_ingest``).
@@ -113,7 +114,14 @@ def _arrow_decoder(failfast: bool):
         def column(records, kind):
             """One Arrow column for values that share a type; a missing value is None."""
             if not isinstance(kind, list):
-                return pa.array(records, type=scalars[kind])
+                try:
+                    return pa.array(records, type=scalars[kind])
+                except pa.ArrowInvalid:  # text that is not UTF-8 comes as bytes
+                    texts = [
+                        value.decode(errors="replace") if isinstance(value, bytes) else value
+                        for value in records
+                    ]
+                    return pa.array(texts, type=scalars[kind])
             missing = [record is None for record in records]
             if all(missing):
                 return pa.nulls(len(records), arrow_type(kind))
@@ -138,30 +146,15 @@ def _arrow_decoder(failfast: bool):
             entries = [pa.field(field, arrow_type(part, label)) for field, _, label, part in kind]
             return pa.StructArray.from_arrays(parts, fields=entries, mask=pa.array(missing))
 
-        def readable(record):
-            try:
-                column([record], fields)
-                return record
-            except UnicodeDecodeError:
-                return None
-
         for batch in batches:
             payloads = batch.column(0).to_pylist()
             records = [parse(payload) for payload in payloads]
-            try:
-                rsvps = column(records, fields)
-            except UnicodeDecodeError:
-                # Text that is not UTF-8 shows only on access: set aside just those messages.
-                if failfast:
-                    raise
-                records = [readable(record) for record in records]
-                rsvps = column(records, fields)
             rejects = [
                 None if record is not None else payload or b""
                 for record, payload in zip(records, payloads)
             ]
             yield pa.RecordBatch.from_arrays(
-                [rsvps, pa.array(rejects, type=pa.binary())], names=["rsvp", "corrupt"]
+                [column(records, fields), pa.array(rejects, type=pa.binary())], names=["rsvp", "corrupt"]
             )
 
     return decode
