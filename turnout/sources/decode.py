@@ -58,9 +58,10 @@ def decode_payload(
 
     A message that cannot be parsed or lacks a required field gets a null ``rsvp`` and its bytes
     in ``corrupt``; with ``FAILFAST`` it fails the job. Text that is not UTF-8 is kept, with
-    replacement characters, as protobuf's JVM runtime does for proto2. ``use_jar`` decodes inside the JVM and
-    needs Spark's protobuf module on the class path; otherwise Arrow batches go through Python.
-    Decoding is row-local, so it needs no shuffle; decode once and store columns where several
+    replacement characters, as protobuf's JVM runtime does for proto2.
+
+    ``use_jar`` decodes inside the JVM and needs Spark's protobuf module on the class path;
+    otherwise Arrow batches go through Python. Decoding is row-local, so it needs no shuffle; decode once and store columns where several
     jobs read the same messages (``streaming.start_ingest``).
     """
     _check_mode(mode)
@@ -70,9 +71,9 @@ def decode_payload(
         record = from_protobuf(
             F.col(col), MESSAGE_NAME, options={"mode": mode}, binaryDescriptorSet=descriptor_set()
         )
-        decoded = df.select(record.alias("rsvp"), F.col(col).alias("_payload"))
-        return decoded.select(
-            "rsvp", F.when(F.col("rsvp").isNull(), F.col("_payload")).alias("corrupt")
+        return _parsed_once(df, col, record).select(
+            F.col("record").alias("rsvp"),
+            F.when(F.col("record").isNull(), F.coalesce("_payload", F.lit(b""))).alias("corrupt"),
         )
     return df.select(col).mapInArrow(_arrow_decoder(mode == "FAILFAST"), DECODED_SCHEMA)
 
@@ -205,6 +206,15 @@ def encode_payload(rsvps: DataFrame) -> DataFrame:
     return rsvps.select(*RSVP_SCHEMA_RELAXED.names).mapInArrow(encode, "value binary")
 
 
+def _parsed_once(df: DataFrame, col: str, parsed: Column) -> DataFrame:
+    """The payload and its ``record``. The generator yields one row per message and keeps later
+    filters above it, where they read the parsed value; pushed below a plain projection they
+    would parse again."""
+    return df.select(
+        F.col(col).cast("binary").alias("_payload"), F.explode_outer(F.array(parsed)).alias("record")
+    )
+
+
 def _lacks_required(record: Column, fields=RSVP_FIELDS) -> Column:
     """Whether a parsed record misses a field that the wire contract requires."""
     lacks = F.lit(False)
@@ -223,12 +233,8 @@ def decode_json(df: DataFrame, col: str = "value", mode: str = "PERMISSIVE") ->
     """Like ``decode_payload`` for JSON text, entirely with built-in expressions."""
     _check_mode(mode)
     schema = T.StructType([*RSVP_SCHEMA_RELAXED, T.StructField("_broken", T.StringType())])
-    parsed = F.from_json(F.col(col), schema, {"columnNameOfCorruptRecord": "_broken"})
-    # The generator yields one row per message and keeps filters on the record above it, where
-    # they read the parsed value; pushed below a plain projection they would parse again.
-    records = df.select(
-        F.col(col).cast("binary").alias("_payload"), F.explode_outer(F.array(parsed)).alias("record")
-    )
+    parsed = F.from_json(F.col(col).cast("string"), schema, {"columnNameOfCorruptRecord": "_broken"})
+    records = _parsed_once(df, col, parsed)
     record = F.col("record")
     bad = record.isNull() | record.getField("_broken").isNotNull() | _lacks_required(record)
     if mode == "FAILFAST":
