@@ -33,18 +33,22 @@ from turnout.sources import (
 )
 from turnout.sources.decode import DECODED_SCHEMA
 from turnout.streaming.config import JobConfig
-from turnout.streaming.session import stream_session
+from turnout.streaming.session import adaptive, stream_session
 
 
 def _start(
     finished: DataFrame, on_batch: Callable[[DataFrame, int], None], name: str, cfg: JobConfig
 ) -> StreamingQuery:
+    def adaptively(batch: DataFrame, batch_id: int) -> None:
+        with adaptive(batch):
+            on_batch(batch, batch_id)
+
     return (
         finished.writeStream.queryName(name)
         .outputMode("append")
         .option("checkpointLocation", cfg.checkpoint(name))
         .trigger(**cfg.trigger())
-        .foreachBatch(on_batch)
+        .foreachBatch(adaptively)
         .start()
     )
 

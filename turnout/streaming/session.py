@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 
 _STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -24,3 +27,20 @@ def stream_session(spark: SparkSession, shuffle_partitions: int | None = None) -
     }.items():
         session.conf.set(name, value)
     return session
+
+
+@contextmanager
+def adaptive(batch: DataFrame) -> Iterator[DataFrame]:
+    """Plan the work on a ``foreachBatch`` frame adaptively.
+
+    Spark turns adaptive execution off in a stream's session because stateful steps need a
+    fixed partition count. Ranking and writing do not: with it, the few rows of a finished
+    window run as few tasks and land in few files, and a large replayed batch is balanced.
+    """
+    conf = batch.sparkSession.conf
+    before = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "true")
+    try:
+        yield batch
+    finally:
+        conf.set("spark.sql.adaptive.enabled", before)
