@@ -36,6 +36,7 @@ from turnout.sources import (
     encode_payload,
     read_table,
     rsvps_from_events,
+    spread,
 )
 from turnout.streaming import (
     JobConfig,
@@ -265,16 +266,19 @@ def stream_alerts(spark, sf_dir):
 # --- decoding -------------------------------------------------------------------------------
 
 
+def _messages(spark, sf_dir) -> DataFrame:
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return rsvps_from_events(spread(read_table(spark, sf_dir, "events")))
+
+
 def _incomplete(spark, sf_dir) -> DataFrame:
     """RSVPs of which those answering "no" lack a required field."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     visibility = F.when(F.col("response") == "yes", F.col("visibility"))
-    return _wire(spark, sf_dir).withColumn("visibility", visibility)
+    return _messages(spark, sf_dir).withColumn("visibility", visibility)
 
 
 def decode_roundtrip(spark, sf_dir):
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    decoded = decode_payload(encode_payload(_wire(spark, sf_dir)))
+    decoded = decode_payload(encode_payload(_messages(spark, sf_dir)))
     return _instant_shown(flatten(normalize(decoded_rsvps(decoded))))
 
 

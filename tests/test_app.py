@@ -21,13 +21,16 @@ def test_every_option_reaches_the_config():
         "--input in --input-format kafka --input-option subscribe=rsvps --payload protobuf --output out"
         " --checkpoint cp --window 120 --slide 30 --burst-window 10 --batch 5 --watermark 40"
         " --time-column ingest_time --alert-format kafka --alert-option topic=alerts --minutes 2"
-        " --available-now".split()
+        " --available-now --decode-mode FAILFAST --decode-with-jar --burst-slide 5 --threshold 3"
+        " --max-alerts 7 --top-members 2 --top-topics 4".split()
     )
     assert cfg == JobConfig(
         **PATHS, input_format="kafka", input_options={"subscribe": "rsvps"}, payload="protobuf",
         length="120 seconds", slide="30 seconds", burst_length="10 seconds", batch_interval="5 seconds",
         watermark="40 seconds", time_col="ingest_time", alert_format="kafka",
         alert_options={"topic": "alerts"}, run_minutes=2, available_now=True,
+        decode_mode="FAILFAST", decode_with_jar=True, burst_slide="5 seconds", burst_threshold=3,
+        max_alerts=7, top_members=2, top_topics=4,
     )
     assert cfg.trigger() == {"availableNow": True}
 

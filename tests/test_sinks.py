@@ -59,6 +59,14 @@ def test_batches_and_days_add_up(spark, folder):
     ]
 
 
+def test_one_day_is_read_alone(spark, folder):
+    for day in ("2024-01-01", "2024-01-02"):
+        write_daily(bursts(spark, day=day), folder("idx"))
+    one = read_index(spark, folder("idx"), RASCALS, day="2024.01.02")
+    assert rows(one, "dateForIndex", "member_id", "batch_id") == [("2024.01.02", 1, 0)]
+    assert all("2024.01.02" in file for file in one.inputFiles())
+
+
 def test_write_timestamp_is_stored(spark, folder):
     write_daily(bursts(spark), folder("idx"))
     assert rows(read(spark, folder("idx")), "timestamp") == [(1704067220000.0,)]

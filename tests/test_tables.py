@@ -6,7 +6,7 @@ from tests.conftest import TESTDATA
 from turnout.functions import normalize
 from turnout.operators import flatten
 from turnout.schema import RSVP_SCHEMA_RELAXED
-from turnout.sources import read_rsvps, read_table, rsvps_from_events
+from turnout.sources import read_rsvps, read_table, rsvps_from_events, spread
 
 SF_DIR = f"{TESTDATA}/sf0.01"
 
@@ -37,3 +37,12 @@ def test_rsvps_survive_files(spark, folder):
         rsvps.write.format(fmt).save(folder(fmt))
         stored = flatten(normalize(read_rsvps(spark, folder(fmt), fmt)))
         assert sorted(map(str, stored.collect())) == sorted(map(str, expected))
+
+
+def test_small_inputs_are_spread_and_large_ones_left_alone(spark):
+    cores = spark.sparkContext.defaultParallelism
+    events = read_table(spark, SF_DIR, "events")
+    assert spread(events).rdd.getNumPartitions() == cores
+    assert spread(events).count() == events.count()
+    many = spark.range(0, 100, 1, cores)
+    assert spread(many) is many

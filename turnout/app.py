@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
+from turnout.sources.decode import MODES
 from turnout.streaming import JobConfig, await_jobs, run_jobs
 from turnout.streaming.config import PAYLOADS, TIME_COLUMNS
 
@@ -21,11 +22,18 @@ def parse(args: Sequence[str] | None = None) -> JobConfig:
     parser.add_argument("--input-format", default="parquet")
     parser.add_argument("--input-option", action="append", default=[], metavar="NAME=VALUE")
     parser.add_argument("--payload", choices=PAYLOADS, default="columns")
+    parser.add_argument("--decode-mode", choices=MODES, default="PERMISSIVE")
+    parser.add_argument("--decode-with-jar", action="store_true", help="decode protobuf in the JVM")
     parser.add_argument("--output", required=True, help="folder for the indexes and alerts")
     parser.add_argument("--checkpoint", required=True, help="folder for offsets and state")
     parser.add_argument("--window", type=int, default=60, help="ranking window, in seconds")
     parser.add_argument("--slide", type=int, default=20, help="ranking slide, in seconds")
     parser.add_argument("--burst-window", type=int, default=20, help="burst window, in seconds")
+    parser.add_argument("--burst-slide", type=int, help="burst slide, in seconds; tumbling if absent")
+    parser.add_argument("--threshold", type=int, default=6, help="RSVPs above which a member bursts")
+    parser.add_argument("--max-alerts", type=int, default=999, help="alerts per window")
+    parser.add_argument("--top-members", type=int, default=5)
+    parser.add_argument("--top-topics", type=int, default=10)
     parser.add_argument("--batch", type=int, default=20, help="batch interval, in seconds")
     parser.add_argument("--watermark", type=int, default=20, help="lateness allowed, in seconds")
     parser.add_argument("--time-column", choices=TIME_COLUMNS, default="event_time")
@@ -39,11 +47,18 @@ def parse(args: Sequence[str] | None = None) -> JobConfig:
         input_format=given.input_format,
         input_options=_pairs(given.input_option),
         payload=given.payload,
+        decode_mode=given.decode_mode,
+        decode_with_jar=given.decode_with_jar,
         output_path=given.output,
         checkpoint_path=given.checkpoint,
         length=f"{given.window} seconds",
         slide=f"{given.slide} seconds",
         burst_length=f"{given.burst_window} seconds",
+        burst_slide=f"{given.burst_slide} seconds" if given.burst_slide else None,
+        burst_threshold=given.threshold,
+        max_alerts=given.max_alerts,
+        top_members=given.top_members,
+        top_topics=given.top_topics,
         batch_interval=f"{given.batch} seconds",
         watermark=f"{given.watermark} seconds",
         time_col=given.time_column,

@@ -65,7 +65,15 @@ def read_index(
     columns: str,
     day_col: str | None = "dateForIndex",
     fmt: str = "parquet",
+    day: str | None = None,
 ) -> DataFrame:
-    """Read an index back. A filter on the day prunes folders; the day stays text."""
+    """Read an index back; the day stays text.
+
+    A filter on the day prunes folders after listing them all. ``day`` lists that day's folder
+    only, which matters once many days have many batches.
+    """
     partitions = f"{day_col} string, batch_id bigint" if day_col else "batch_id bigint"
-    return spark.read.schema(f"{columns}, {partitions}").format(fmt).load(path)
+    reader = spark.read.schema(f"{columns}, {partitions}").format(fmt)
+    if day is not None:
+        return reader.option("basePath", path).load(f"{path}/{day_col}={day}")
+    return reader.load(path)

@@ -49,3 +49,13 @@ def read_payloads(
     """
     schema = None if fmt in _PAYLOAD_FORMATS else T.StructType().add("value", T.BinaryType())
     return _load(spark, path, fmt, streaming, options, schema).select("value")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a batch input that has fewer splits than the session has cores over all of them.
+
+    For costly work per row, such as decoding, behind a small or unsplittable input. An input
+    with enough splits, as any large one has, is returned as it is and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
