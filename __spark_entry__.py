@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from dataclasses import replace
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -40,6 +41,8 @@ from turnout.sources import (
 )
 from turnout.streaming import (
     JobConfig,
+    await_jobs,
+    run_jobs,
     start_bursts,
     start_members,
     start_topics,
@@ -239,6 +242,17 @@ def stream_member_counts(spark, sf_dir):
     return _shown(spark.read.schema(columns).parquet(path))
 
 
+def stream_payload_jobs(spark, sf_dir):
+    """The whole application on raw messages: decode once, then all three analyses."""
+    root = shared_dir(spark, "messages")
+    encode_payload(_messages(spark, sf_dir)).write.parquet(root)
+    _, cfg = _stream(spark, sf_dir, "payload-jobs")
+    cfg = replace(cfg, input_path=root, payload="protobuf")
+    await_jobs(run_jobs(spark, cfg))
+    stored = read_index(spark, cfg.index("agg-users"), INDEX_COLUMNS["agg-users"])
+    return _shown(stored.drop("batch_id"))
+
+
 def _replayed(spark, sf_dir, start, index) -> DataFrame:
     rsvps, cfg = _stream(spark, sf_dir, index)
     start(rsvps, cfg).awaitTermination()
@@ -341,7 +355,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "json_roundtrip": json_roundtrip,
     }
     if _has_protobuf():
-        registered |= {"decode_roundtrip": decode_roundtrip, "decode_quarantine": decode_quarantine}
+        registered |= {
+            "decode_roundtrip": decode_roundtrip,
+            "decode_quarantine": decode_quarantine,
+            "stream_payload_jobs": stream_payload_jobs,
+        }
     return registered
 
 
@@ -358,7 +376,7 @@ base AS (
 ),
 rsvp AS (
   SELECT *, [event_type, 'interest ' || interest,
-             'series ' || CAST(CAST(interest AS INTEGER) // 10 AS VARCHAR)] AS topics
+             'series ' || CAST(TRY_CAST(interest AS INTEGER) // 10 AS VARCHAR)] AS topics
   FROM base
 )"""
 
@@ -394,6 +412,7 @@ placed AS (
   SELECT {keys}, time_bucket(INTERVAL {slide} {unit}, event_time, TIMESTAMP '1970-01-01')
                  - i * INTERVAL {slide} {unit} AS window_start
   FROM {source}, unnest(generate_series(0, {length // slide - 1})) AS s(i)
+  WHERE event_time IS NOT NULL
 ),
 counted AS (
   SELECT window_start, window_start + INTERVAL {length} {unit} AS window_end, {names}, count(*) AS count
@@ -533,6 +552,10 @@ def oracle_sql() -> dict[str, str]:
             members_final, best_members,
             select=f"SELECT {member_rows}, position, {_DAY} AS \"dateForIndex\", {stamp} AS timestamp FROM ranked",
         ),
+        "stream_payload_jobs": sql(
+            members_final, best_members,
+            select=f"SELECT {member_rows}, position, {_DAY} AS \"dateForIndex\", {stamp} AS timestamp FROM ranked",
+        ),
         "stream_top_topics": sql(
             topics_final, best_topics,
             select=f"SELECT {topic_rows}, position, {_DAY} AS \"dateForIndex\", {stamp} AS timestamp FROM ranked",

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import time
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -140,26 +141,23 @@ def test_no_bursts_no_alert_folder(spark, cfg, tmp_path):
     assert not (tmp_path / "out" / "alerts").exists()
 
 
-def replace(cfg, **changes):
-    return JobConfig(**{**cfg.__dict__, **changes})
-
-
-@pytest.mark.parametrize("payload", ["protobuf", "json"])
-def test_payloads_are_decoded_once_and_bad_ones_kept(spark, cfg, payload):
+@pytest.mark.parametrize("payload, fmt", [("protobuf", "parquet"), ("json", "parquet"), ("json", "text")])
+def test_payloads_are_decoded_once_and_bad_ones_kept(spark, cfg, payload, fmt):
     records = some_rsvps(3, 0, 100, n=150)
     if payload == "protobuf":
         pytest.importorskip("google.protobuf")
         messages = encode_payload(wire(spark, records))
     else:
-        messages = wire(spark, records).select(F.to_json(F.struct("*")).cast("binary").alias("value"))
-    bad = spark.createDataFrame([(b"\xff",), (b"{",)], "value binary")
-    messages.unionByName(bad).coalesce(1).write.parquet(cfg.input_path)
-    cfg = replace(cfg, payload=payload)
+        text = F.to_json(F.struct("*")).cast("string" if fmt == "text" else "binary")
+        messages = wire(spark, records).select(text.alias("value"))
+    bad = spark.createDataFrame([(b"{",), (b"}",)], "value binary")
+    messages.unionByName(bad.withColumn("value", F.col("value").cast(messages.schema["value"].dataType))).coalesce(1).write.format(fmt).save(cfg.input_path)
+    cfg = replace(cfg, payload=payload, input_format=fmt)
     await_jobs(run_jobs(spark, cfg))
     want = expected(spark, records)
     for name in want:
         assert index(spark, cfg, name) == want[name]
-    assert sorted(bytes(r.corrupt) for r in jobs.read_quarantine(spark, cfg).collect()) == [b"{", b"\xff"]
+    assert sorted(bytes(r.corrupt) for r in jobs.read_quarantine(spark, cfg).collect()) == [b"{", b"}"]
 
 
 def test_continuous_run_ends_after_its_minutes(spark, cfg):

@@ -7,8 +7,8 @@ from pyspark.sql import types as T
 
 from turnout.schema import RSVP_SCHEMA_RELAXED
 
-#: Formats whose rows are raw payloads rather than RSVP columns.
-_PAYLOAD_FORMATS = ("kafka",)
+#: Formats that fix the type of ``value`` themselves.
+_VALUE_FORMATS = ("kafka", "text")
 
 
 def _load(spark, path, fmt, streaming, options, schema) -> DataFrame:
@@ -42,12 +42,14 @@ def read_payloads(
     streaming: bool = False,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Undecoded messages as one binary column ``value``, from a queue or from files.
+    """Undecoded messages as one column ``value``, from a queue or from files.
 
     ``fmt='kafka'`` works when that connector is on the class path; pass its settings (servers,
-    topic, ``maxOffsetsPerTrigger``) as ``options``. File formats hold a column ``value``.
+    topic, ``maxOffsetsPerTrigger``) as ``options``. ``fmt='text'`` reads one message per line,
+    such as JSON lines that should be checked rather than read as columns; other file formats
+    hold a binary column ``value``.
     """
-    schema = None if fmt in _PAYLOAD_FORMATS else T.StructType().add("value", T.BinaryType())
+    schema = None if fmt in _VALUE_FORMATS else T.StructType().add("value", T.BinaryType())
     return _load(spark, path, fmt, streaming, options, schema).select("value")
 
 
