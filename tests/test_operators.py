@@ -11,6 +11,7 @@ from turnout.functions import (
     day_label,
     normalize,
     with_ingest_time,
+    with_usable_times,
     with_write_timestamp,
 )
 from turnout.functions.columns import seconds_in
@@ -108,6 +109,17 @@ def test_normalize_types_and_bad_numbers(spark):
     assert flatten(df).where("member_id = 123456789").count() == 1
 
 
+def test_times_that_no_timestamp_holds_are_null(spark):
+    df = frame(spark, [rsvp(mtime=m) for m in (9e18, -9e18, math.inf, math.nan, 253402300799999.0)])
+    assert df.where("event_time IS NULL").count() == 4
+
+
+def test_usable_times(spark):
+    late = at("2999-01-01 00:00:00").timestamp() * 1000
+    df = frame(spark, [rsvp(mtime=m) for m in (late, -9e15, math.nan)] + [rsvp(member=4)])
+    assert rows(with_usable_times(df, "1 day"), "member.member_id") == [(4,)]
+
+
 def test_event_time_is_mtime_in_milliseconds(spark):
     text = F.date_format("event_time", "yyyy-MM-dd HH:mm:ss.SSS")
     assert frame(spark, [rsvp("2024-01-01 00:00:05.250")]).select(text).first()[0] == "2024-01-01 00:00:05.250"

@@ -13,6 +13,8 @@ from tests.rsvps import frame, rows, rsvp
 from turnout import plans
 from turnout.functions import normalize
 from turnout.sources import read_rsvps, rsvps_from_events
+from turnout.streaming import JobConfig, start_members, stream_session
+from turnout.streaming.jobs import rsvp_stream
 
 SF_DIR = f"{TESTDATA}/sf0.001"
 JOBS = {
@@ -55,6 +57,24 @@ def test_only_the_needed_nested_fields_are_read(stored, capsys, job, fields):
     assert flat(schema) == flat(fields)
 
 
+def test_a_stream_reads_only_the_needed_nested_fields(spark, folder, capsys):
+    """The stream's own plan, after the check of its times."""
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet")
+    rsvps_from_events(events).write.parquet(folder("in"))
+    cfg = JobConfig(input_path=folder("in"), output_path=folder("out"), checkpoint_path=folder("cp"), available_now=True)
+    session = stream_session(spark, 2)
+    session.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")  # keep the plan that reads
+    query = start_members(rsvp_stream(session, cfg), cfg)
+    query.awaitTermination()
+    capsys.readouterr()
+    query.explain()
+    text = capsys.readouterr().out
+    schema = re.search(r"ReadSchema: struct<(.*)>", text).group(1)
+    assert sorted(re.findall(r"\w+:\w+", schema)) == sorted(
+        ["mtime:double", "member:struct", "member_id:double", "member_name:string"]
+    )
+
+
 def test_response_filter_reaches_the_scan(stored, capsys):
     assert "EqualTo(response,yes)" in plan(plans.trending_topics(stored), capsys)
 

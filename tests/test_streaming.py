@@ -116,6 +116,16 @@ def test_late_row_is_dropped_and_others_stay(spark, cfg):
     assert stored.where("member_id = 3").agg(F.sum("count")).first()[0] == 3
 
 
+def test_time_in_the_far_future_does_not_make_others_late(spark, cfg):
+    session = stream_session(spark, 2)
+    broken = rsvp(member=9, mtime=at("2999-01-01 00:00:00").timestamp() * 1000)
+    for part in ([rsvp(clock(5), member=1), broken], [rsvp(clock(10), member=2), rsvp(clock(200), member=3)]):
+        feed(spark, cfg.input_path, part)
+        start_members(jobs.rsvp_stream(session, cfg), cfg).awaitTermination()
+    stored = read_index(spark, cfg.index("agg-users"), INDEX_COLUMNS["agg-users"])
+    assert rows(stored.select("member_id").distinct(), "member_id") == [(1,), (2,)]
+
+
 def test_failed_batch_is_repeated_without_duplicates(spark, cfg, monkeypatch):
     records = some_rsvps(2, 0, 100, n=300)
     feed(spark, cfg.input_path, records)

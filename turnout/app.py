@@ -36,6 +36,7 @@ def parse(args: Sequence[str] | None = None) -> JobConfig:
     parser.add_argument("--top-topics", type=int, default=10)
     parser.add_argument("--batch", type=int, default=20, help="batch interval, in seconds")
     parser.add_argument("--watermark", type=int, default=20, help="lateness allowed, in seconds")
+    parser.add_argument("--future-limit", type=int, default=86400, help="seconds ahead of the clock that a time may lie")
     parser.add_argument("--time-column", choices=TIME_COLUMNS, default="event_time")
     parser.add_argument("--alert-format", default="text")
     parser.add_argument("--alert-option", action="append", default=[], metavar="NAME=VALUE")
@@ -61,6 +62,7 @@ def parse(args: Sequence[str] | None = None) -> JobConfig:
         top_topics=given.top_topics,
         batch_interval=f"{given.batch} seconds",
         watermark=f"{given.watermark} seconds",
+        future_limit=f"{given.future_limit} seconds",
         time_col=given.time_column,
         alert_format=given.alert_format,
         alert_options=_pairs(given.alert_option),

@@ -8,7 +8,7 @@ from turnout.functions.columns import (
     with_ingest_time,
     with_write_timestamp,
 )
-from turnout.functions.normalize import normalize
+from turnout.functions.normalize import normalize, with_usable_times
 
 __all__ = [
     "alert_message",
@@ -17,5 +17,6 @@ __all__ = [
     "normalize",
     "window_text",
     "with_ingest_time",
+    "with_usable_times",
     "with_write_timestamp",
 ]

@@ -12,8 +12,19 @@ def _whole(number: Column) -> Column:
 
 
 def _instant(millis: Column) -> Column:
-    """Epoch milliseconds to a timestamp."""
-    return F.timestamp_millis(_whole(millis))
+    """Epoch milliseconds to a timestamp; null if no timestamp can hold it. The argument occurs
+    once, so that Spark can merge this into the scan's projection and prune what is unused."""
+    return F.timestamp_micros(F.try_multiply(_whole(millis), F.lit(1000)))
+
+
+def with_usable_times(df: DataFrame, limit: str, time_col: str = "event_time") -> DataFrame:
+    """Rows whose time lies between the year 1 and ``limit`` after now.
+
+    Rows without a time are in no window anyway. A time far in the future must not reach a
+    stream's watermark: it would move past everything that follows and make all of it late.
+    """
+    latest = F.current_timestamp() + F.expr(f"INTERVAL {limit}")
+    return df.where(F.col(time_col).between(F.lit("0001-01-01").cast("timestamp"), latest))
 
 
 def normalize(rsvps: DataFrame) -> DataFrame:

@@ -15,7 +15,8 @@ class JobConfig:
     """Where a run reads, writes and checkpoints, and the parameters of its three analyses.
 
     The defaults of the windows, ranks, threshold and alert cap are those of the original
-    application. ``time_col='ingest_time'`` windows by arrival instead of by ``mtime``.
+    application. ``time_col='ingest_time'`` windows by arrival instead of by ``mtime``. An
+    ``mtime`` more than ``future_limit`` ahead of the clock counts as unusable.
     """
 
     input_path: str
@@ -29,6 +30,7 @@ class JobConfig:
 
     time_col: str = "event_time"
     watermark: str = "20 seconds"
+    future_limit: str = "86400 seconds"
     length: str = "60 seconds"
     slide: str = "20 seconds"
     top_members: int = 5
@@ -49,7 +51,9 @@ class JobConfig:
             raise ValueError(f"payload must be one of {PAYLOADS}: {self.payload!r}")
         if self.time_col not in TIME_COLUMNS:
             raise ValueError(f"time_col must be one of {TIME_COLUMNS}: {self.time_col!r}")
-        for name in ("watermark", "length", "slide", "burst_length", "burst_slide", "batch_interval"):
+        for name in (
+            "watermark", "future_limit", "length", "slide", "burst_length", "burst_slide", "batch_interval",
+        ):
             if getattr(self, name) is not None:
                 seconds_in(getattr(self, name))
         if min(self.top_members, self.top_topics, self.max_alerts) < 1:

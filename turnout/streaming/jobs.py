@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from turnout.functions import normalize, with_ingest_time
+from turnout.functions import normalize, with_ingest_time, with_usable_times
 from turnout.plans import (
     alert_payload,
     burst_members,
@@ -138,7 +138,9 @@ def rsvp_stream(session: SparkSession, cfg: JobConfig) -> DataFrame:
         staged = session.readStream.schema(DECODED_SCHEMA).parquet(cfg.index("decoded"))
         wire = decoded_rsvps(staged)
     rsvps = normalize(wire)
-    return with_ingest_time(rsvps) if cfg.time_col == "ingest_time" else rsvps
+    if cfg.time_col == "ingest_time":
+        return with_ingest_time(rsvps)
+    return with_usable_times(rsvps, cfg.future_limit)
 
 
 def run_jobs(spark: SparkSession, cfg: JobConfig) -> list[StreamingQuery]:
