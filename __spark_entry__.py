@@ -49,6 +49,11 @@ from turnout.streaming import (
     stream_session,
 )
 
+try:  # the package of training-data operators may be left out
+    from turnout.llm import queries as llm
+except ImportError:
+    llm = None
+
 LENGTH, SLIDE, BURST, DELAY = "6 hours", "2 hours", "1 day", "1 hour"
 CAP_THRESHOLD, CAP = 2, 10
 
@@ -360,7 +365,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "decode_quarantine": decode_quarantine,
             "stream_payload_jobs": stream_payload_jobs,
         }
-    return registered
+    return registered | (llm.queries() if llm else {})
 
 
 # --- the same results in SQL ----------------------------------------------------------------
@@ -573,4 +578,5 @@ def oracle_sql() -> dict[str, str]:
             " count(*) AS count FROM rsvp GROUP BY 1"
         ),
     }
+    bodies |= llm.oracle_sql() if llm else {}
     return {name: text for name, text in bodies.items() if name in queries()}
