@@ -7,10 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnout.llm import dedup
+from turnout.llm import dedup, packing, rans
+from turnout.sinks import shared_dir
 from turnout.sources import read_table
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), with_ids=False).drop("ids")
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "token-files")
+    rans.write_ids(read_table(spark, sf_dir, "documents"), path)
+    docs = rans.read_ids(spark, path)
+    return docs.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
     return rows.select(
@@ -26,7 +38,11 @@ FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))"""
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op9_exact_dedup": op9_exact_dedup}
+    return {
+        "op3_best_fit_packing": op3_best_fit_packing,
+        "op6_token_files": op6_token_files,
+        "op9_exact_dedup": op9_exact_dedup,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
