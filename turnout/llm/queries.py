@@ -4,14 +4,34 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnout.llm import dedup, packing, rans
+from turnout.llm import dedup, packing, quality, rans, search, toxicity, urls
+from turnout.llm.labelled import remainder
 from turnout.sinks import shared_dir
 from turnout.sources import read_table
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    model = quality.fit(docs, labels, ~held_out)
+    return _judged(quality.score(docs, model), held_out, 0.7)
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    held_out = remainder(F.col("doc_id"), 5) == 0
+    model = toxicity.fit(docs, labels, ~held_out)
+    return _judged(toxicity.score(docs, model), held_out, 0.5)
+
+
+def _judged(scored: DataFrame, held_out: Column, threshold: float) -> DataFrame:
+    predicted = (F.col("score") >= threshold).cast("int")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), with_ids=False).drop("ids")
 
@@ -23,6 +43,11 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urls.judge_urls(read_table(spark, sf_dir, "pages"), urls.RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
     return rows.select(
@@ -31,19 +56,42 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 _OP9 = """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))"""
 
 
+_OP10 = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id, score
+FROM scored QUALIFY rank <= 10"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality": op1_quality,
+        "op2_toxicity": op2_toxicity,
         "op3_best_fit_packing": op3_best_fit_packing,
         "op6_token_files": op6_token_files,
+        "op5_url_filter": op5_url_filter,
         "op9_exact_dedup": op9_exact_dedup,
+        "op10_top_k": op10_top_k,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": _OP9}
+    return {"op9_exact_dedup": _OP9, "op10_top_k": _OP10}
