@@ -85,6 +85,8 @@ def train(examples: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOC
     vectors = rng.uniform(-1.0 / DIM, 1.0 / DIM, (BUCKETS, DIM))
     layer, bias = rng.uniform(-0.1, 0.1, (2, DIM)), np.zeros(2)
     steps, step = epochs * len(examples), 0
+    # Both labels count alike, however rare one is, as far as a factor of 5.
+    alike = np.clip(len(labels) / (2.0 * np.bincount(labels, minlength=2)), 0.2, 5.0)
     for _ in range(epochs):
         for i in rng.permutation(len(examples)):
             label, buckets, counts = examples[i]
@@ -98,6 +100,7 @@ def train(examples: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOC
             error = np.exp(logits - logits.max())
             error /= error.sum()
             error[label] -= 1.0
+            error *= alike[label]
             back = layer.T @ error
             layer -= step_rate * np.outer(error, hidden)
             bias -= step_rate * 0.1 * error

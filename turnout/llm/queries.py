@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnout.llm import dedup, packing, quality, rans, search, toxicity, urls
+from turnout.llm import dedup, jaccard, mixing, packing, quality, rans, search, toxicity, urls
 from turnout.llm.labelled import remainder
 from turnout.sinks import shared_dir
 from turnout.sources import read_table
@@ -43,11 +43,20 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_groups(read_table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = urls.judge_urls(read_table(spark, sf_dir, "pages"), urls.RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sources alike, as many documents as there are."""
+    return mixing.mix(read_table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
     return rows.select(
@@ -60,6 +69,28 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+_OP8 = """
+WITH sources AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+rates AS (SELECT source, (SELECT sum(n) FROM sources) / (SELECT count(*) FROM sources)::DOUBLE / n AS rate FROM sources),
+terms AS (
+  SELECT source, k, exp(k * ln(rate) - rate - lgamma(k + 1)) AS p
+  FROM rates, range(0, CAST(ceil(rate + 12 * sqrt(rate) + 20) AS BIGINT) + 1) AS t(k)
+),
+cumulative AS (SELECT source, sum(p) OVER (PARTITION BY source ORDER BY k) AS c FROM terms),
+hashed AS (
+  SELECT *, CAST(('0x' || substr(sha256('mix-1-' || coalesce(doc_id::VARCHAR, 'null')), 1, 13)) AS UBIGINT)
+            / 4503599627370496.0::DOUBLE AS u
+  FROM documents
+),
+counted AS (
+  SELECT h.doc_id, h.text, h.lang, h.source, h.n_chars,
+         (SELECT count(*) FROM cumulative c WHERE c.source IS NOT DISTINCT FROM h.source AND c.c <= h.u) AS copies
+  FROM hashed h
+)
+SELECT doc_id, text, lang, source, n_chars, CAST(copy AS INTEGER) AS copy,
+       sha256('mix-order-' || coalesce(doc_id::VARCHAR, 'null') || '-' || copy) AS shuffle_key
+FROM (SELECT *, unnest(range(1, copies + 1)) AS copy FROM counted)"""
+
 _OP9 = """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -87,11 +118,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_toxicity": op2_toxicity,
         "op3_best_fit_packing": op3_best_fit_packing,
         "op6_token_files": op6_token_files,
+        "op4_jaccard_join": op4_jaccard_join,
         "op5_url_filter": op5_url_filter,
+        "op8_source_mix": op8_source_mix,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_top_k": op10_top_k,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": _OP9, "op10_top_k": _OP10}
+    return {"op8_source_mix": _OP8, "op9_exact_dedup": _OP9, "op10_top_k": _OP10}

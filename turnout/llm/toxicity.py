@@ -18,81 +18,91 @@ from pyspark.sql import functions as F
 from turnout.llm.labelled import training_texts
 from turnout.llm.tokens import texts_of
 
-#: Hashed features, character n-grams, words that a worker remembers, letters that count of a word.
-BUCKETS, GRAMS, REMEMBERED, LONGEST = 1 << 18, (3, 4, 5, 6), 1 << 18, 64
-#: Most labelled documents that the classifier is fitted on; smoothing, least texts with a feature.
-MOST_TRAINING, SMOOTHING, LEAST_TEXTS = 3000, 1.0, 3
-STEPS, RATE, PENALTY = 150, 0.05, 1e-3
+#: Hashed features, character n-grams, and what a worker remembers: words, and how long ones.
+BUCKETS, GRAMS, REMEMBERED, LONGEST = 1 << 20, (3, 4, 5, 6, 7, 8), 1 << 19, 64
+#: Most labelled documents that the classifier is fitted on, and smoothing of their counts.
+MOST_TRAINING, SMOOTHING = 5000, 1.0
+#: A feature counts if so many training texts have it and its log-count ratio is so far from 0.
+LEAST_TEXTS, LEAST_RATIO = 10, 1.5
+STEPS, RATE, PENALTY = 150, 0.1, 1e-2
 
 _UPPER_TO_LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
-def word_features(word: bytes) -> bytes:
-    """Buckets of a word's n-grams, as 32-bit integers. Every part of a longer word counts too."""
+def word_features(word: bytes) -> np.ndarray:
+    """Buckets of a word's n-grams, each once."""
     marked = b"<" + word + b">"
     grams = {zlib.crc32(marked[i : i + n]) & (BUCKETS - 1) for n in GRAMS for i in range(len(marked) - n + 1)}
-    return np.array(sorted(grams), "<u4").tobytes()
+    return np.array(sorted(grams), "<u4")
 
 
 class _Words(dict):
+    """Buckets of each word's n-grams as bytes, only those in ``used`` if it is given."""
+
+    def __init__(self, used: np.ndarray | None = None):
+        self.used = used
+
     def __missing__(self, word: bytes) -> bytes:
         found = word_features(word)
+        if self.used is not None:
+            found = found[self.used[found]]
         if len(word) <= LONGEST and len(self) < REMEMBERED:
-            self[word] = found
-        return found
+            self[word] = found.tobytes()
+        return found.tobytes()
 
 
 def features(text: str, words: _Words) -> np.ndarray:
-    """Buckets of a text's n-grams, some repeated."""
+    """Buckets of a text's n-grams, each once."""
     distinct = set(text.encode().translate(_UPPER_TO_LOWER).split())
-    return np.frombuffer(b"".join(map(words.__getitem__, distinct)), "<u4")
+    return np.unique(np.frombuffer(b"".join(map(words.__getitem__, distinct)), "<u4"))
+
+
+def _unit(squares: np.ndarray | float) -> np.ndarray | float:
+    """Texts differ much in length, so a text's features share one unit, or less if they say little."""
+    return np.maximum(np.sqrt(squares), 1.0)
 
 
 def train(examples: list[tuple[int, np.ndarray]]) -> tuple[np.ndarray, float]:
-    """Weight of each bucket, log-count ratio included, and the bias.
+    """Per bucket its weight times its ratio, and the squared ratio; and the bias.
 
     Without examples of both labels all texts get the share of toxic ones.
     """
     labels = np.array([label for label, _ in examples], float)
-    share = (labels.sum() + 0.5) / (len(labels) + 1.0)
-    bias = float(np.log(share / (1 - share)))
-    if len(set(labels.tolist())) < 2:
-        return np.zeros(BUCKETS, np.float32), bias
-    rows = np.repeat(np.arange(len(examples)), [len(f) for _, f in examples])
-    cols = np.concatenate([f for _, f in examples]).astype(np.int64)
-    texts = np.bincount(cols, minlength=BUCKETS)
-    toxic = np.bincount(cols, weights=labels[rows], minlength=BUCKETS)
-    p, q = SMOOTHING + toxic, SMOOTHING + texts - toxic
-    ratio = np.log(p / p.sum()) - np.log(q / q.sum())
-    ratio[texts < LEAST_TEXTS] = 0.0
-    used = ratio[cols] != 0
-    rows, cols = rows[used], cols[used]
+    n, n_toxic = len(labels), labels.sum()
+    bias = float(np.log((n_toxic + 0.5) / (n - n_toxic + 0.5)))
+    if n_toxic in (0, n):
+        return np.zeros((2, BUCKETS), np.float32), bias
+    texts, toxic = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for label, found in examples:
+        texts[found] += 1
+        toxic[found] += label
+    ratio = np.log((SMOOTHING + toxic) / (n_toxic + 2 * SMOOTHING))
+    ratio -= np.log((SMOOTHING + texts - toxic) / (n - n_toxic + 2 * SMOOTHING))
+    ratio[(texts < LEAST_TEXTS) | (np.abs(ratio) < LEAST_RATIO)] = 0.0
+    kept = [found[ratio[found] != 0] for _, found in examples]
+    rows = np.repeat(np.arange(n), [len(found) for found in kept])
+    cols = np.concatenate(kept).astype(np.int64)
     values = ratio[cols]
-    # Texts differ much in length, so each text's features share one unit of length.
-    norm = np.sqrt(np.bincount(rows, weights=values**2, minlength=len(examples)))
-    values = values / np.maximum(norm, 1e-9)[rows]
+    values = values / _unit(np.bincount(rows, weights=values**2, minlength=n))[rows]
     weight, mean, square = (np.zeros(BUCKETS) for _ in range(3))
     bias_mean = bias_square = 0.0
     for step in range(1, STEPS + 1):
-        logit = np.bincount(rows, weights=values * weight[cols], minlength=len(examples)) + bias
-        error = (1 / (1 + np.exp(-logit)) - labels) / len(examples)
-        gradient = np.bincount(cols, weights=values * error[rows], minlength=BUCKETS) + PENALTY / len(examples) * weight
+        logit = np.bincount(rows, weights=values * weight[cols], minlength=n) + bias
+        error = (1 / (1 + np.exp(-logit)) - labels) / n
+        gradient = np.bincount(cols, weights=values * error[rows], minlength=BUCKETS) + PENALTY / n * weight
         mean, square = 0.9 * mean + 0.1 * gradient, 0.999 * square + 0.001 * gradient**2
-        scale = np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
-        weight -= RATE * scale * mean / (np.sqrt(square) + 1e-8)
         bias_mean, bias_square = 0.9 * bias_mean + 0.1 * error.sum(), 0.999 * bias_square + 0.001 * error.sum() ** 2
-        bias -= RATE * scale * bias_mean / (np.sqrt(bias_square) + 1e-8)
+        rate = RATE * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
+        weight -= rate * mean / (np.sqrt(square) + 1e-8)
+        bias -= rate * bias_mean / (np.sqrt(bias_square) + 1e-8)
     return np.stack([weight * ratio, ratio**2]).astype(np.float32), float(bias)
 
 
-def score_features(found: np.ndarray, model: tuple[np.ndarray, float], seen: np.ndarray) -> float:
-    """Probability of being toxic; ``seen`` is an all-false array to mark buckets in."""
+def score_features(found: np.ndarray, model: tuple[np.ndarray, float]) -> float:
+    """Probability of being toxic."""
     table, bias = model
-    seen[found] = True
-    distinct = np.flatnonzero(seen)
-    seen[found] = False
-    total, squares = table[:, distinct].astype(float).sum(1)
-    logit = total / max(np.sqrt(squares), 1e-9) + bias
+    total, squares = table[:, found].astype(float).sum(1)
+    logit = total / _unit(squares) + bias
     return float(1 / (1 + np.exp(-np.clip(logit, -50, 50))))
 
 
@@ -104,7 +114,7 @@ def fit(docs: DataFrame, labels: DataFrame, trainable: Column, label: str = "tox
         words = _Words()
         for batch in batches:
             for want, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                found = np.unique(features(text.as_py(), words)).astype("<u4").tobytes()
+                found = features(text.as_py(), words).astype("<u4").tobytes()
                 yield pa.record_batch([pa.array([want], pa.int32()), pa.array([found], pa.binary())], names=["label", "found"])
 
     rows = training_texts(docs, labels, label, trainable, most, id_col, text_col).mapInArrow(
@@ -123,9 +133,10 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_i
     shared = docs.sparkSession.sparkContext.broadcast(model)  # two numbers per bucket
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, seen, own = _Words(), np.zeros(BUCKETS, bool), shared.value
+        own = shared.value
+        words = _Words(used=own[0][1] != 0)
         for batch in batches:
-            scores = [score_features(features(text.as_py(), words), own, seen) for text in batch.column(1)]
+            scores = [score_features(features(text.as_py(), words), own) for text in batch.column(1)]
             yield pa.record_batch([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
     return texts_of(docs, id_col, text_col).mapInArrow(judge, "doc_id bigint, score double")
