@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnout.llm import dedup, jaccard, mixing, packing, quality, rans, search, toxicity, urls
+from turnout.llm import dedup, jaccard, lm, mixing, packing, quality, rans, search, toxicity, urls
 from turnout.llm.labelled import remainder
 from turnout.sinks import shared_dir
 from turnout.sources import read_table
@@ -52,6 +52,10 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(read_table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 7) == 2)
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sources alike, as many documents as there are."""
     return mixing.mix(read_table(spark, sf_dir, "documents"))
@@ -120,6 +124,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_token_files": op6_token_files,
         "op4_jaccard_join": op4_jaccard_join,
         "op5_url_filter": op5_url_filter,
+        "op7_lm_scores": op7_lm_scores,
         "op8_source_mix": op8_source_mix,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_top_k": op10_top_k,
