@@ -38,8 +38,8 @@ END = 0xFF
 #: Bytes scored with one set of weights; decisions between two updates; bytes of text in a block;
 #: decisions of spans mixed side by side.
 SPAN, TOGETHER, BLOCK_BYTES, CELLS = 4096, 8, 1 << 23, 3 << 22
-#: Cells of the tables that travel together.
-CHUNK = 1 << 16
+#: Cells of the tables that travel together, and bytes counted at once.
+CHUNK, COUNT_BYTES = 1 << 16, 1 << 22
 START_WEIGHTS, RATE, REFINE_RATE, REFINE_BINS = (0.3, 0.3, 0.3, 0.3), 0.02, 0.02, 24
 #: Stretched probabilities are kept in steps of 1/16 as far as +-8.
 STEP, PRIOR = 16.0, 0.4
@@ -248,11 +248,24 @@ def count_contexts(texts: DataFrame) -> np.ndarray:
     cells = int(_STARTS[-1]) * 256
 
     def count(batches):
-        table = np.zeros(cells, np.int32)
+        table, held, size = np.zeros(cells, np.int32), [], 0
+
+        def add() -> None:
+            nonlocal held, size
+            found = np.concatenate(held, axis=1) if held else np.zeros((len(SLOTS), 0), np.int32)
+            for row, start, slots in zip(found, _STARTS, SLOTS):
+                part = table[start * 256 : (start + slots) * 256]
+                part += np.bincount(row - start * 256, minlength=len(part)).astype(np.int32)
+            held, size = [], 0
+
         for batch in batches:
             for text in batch.column(0):
                 data = spelled(text.as_py())
-                np.add.at(table, (contexts(data) * np.int32(256) + data).reshape(-1), 1)
+                held.append(contexts(data) * np.int32(256) + data)
+                size += len(data)
+                if size >= COUNT_BYTES:
+                    add()
+        add()
         yield from batched(_chunks(table), _CHUNK_SCHEMA, size=lambda r: len(r[1]))
 
     def total(batches):
