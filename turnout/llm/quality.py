@@ -211,3 +211,23 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 yield pa.record_batch([part.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
     return texts_of(docs, id_col, text_col).mapInArrow(judge, "doc_id bigint, score double")
+
+
+def keep_good(docs: DataFrame, model: Model, least: float, text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows whose whole text scores less than ``least``; all columns stay.
+
+    Texts without words say nothing about their quality and stay.
+    """
+    shared, schema = docs.sparkSession.sparkContext.broadcast(model), docs.schema
+    column = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shared.value)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                texts = [text or "" for text in part.column(column).to_pylist()]
+                good = [score >= least or not text.split() for score, text in zip(scorer(texts), texts)]
+                yield part.filter(pa.array(good))
+
+    return docs.mapInArrow(keep, schema)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -128,6 +129,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_source_mix": op8_source_mix,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_top_k": op10_top_k,
+        "pipeline": corpus_pipeline.run,
     }
 
 
