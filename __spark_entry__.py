@@ -11,6 +11,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import datetime
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -19,9 +20,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnout import plans
-from turnout.functions import normalize, window_text, with_write_timestamp
+from turnout.functions import normalize, set_aside, usable, window_text, with_write_timestamp
 from turnout.operators import explode_topics, flatten, topic_arrays, yes_responses
 from turnout.sinks import (
+    latest_windows,
     publish_alerts,
     read_alerts,
     read_index,
@@ -35,27 +37,32 @@ from turnout.sources import (
     decode_payload,
     decoded_rsvps,
     encode_payload,
+    in_range,
     read_table,
     rsvps_from_events,
-    spread,
 )
 from turnout.streaming import (
     JobConfig,
     await_jobs,
+    read_panes,
+    rsvp_stream,
     run_jobs,
-    start_bursts,
     start_members,
     start_topics,
     stream_session,
+    window_totals,
 )
+from turnout.streaming.jobs import MEMBER_KEYS
 
 try:  # the package of training-data operators may be left out
     from turnout.llm import queries as llm
 except ImportError:
     llm = None
 
-LENGTH, SLIDE, BURST, DELAY = "6 hours", "2 hours", "1 day", "1 hour"
+LENGTH, SLIDE, BURST, BURST_SLIDE = "6 hours", "2 hours", "1 day", "6 hours"
+DAY = (datetime(2024, 1, 10), datetime(2024, 1, 11))
 CAP_THRESHOLD, CAP = 2, 10
+DECODE_PARTITIONS = 16
 
 
 # --- inputs ---------------------------------------------------------------------------------
@@ -66,8 +73,6 @@ def _wire(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFram
 
 
 def _rsvps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The tables hold times without a zone, and the day labels are meant in UTC.
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return normalize(_wire(spark, sf_dir))
 
 
@@ -80,7 +85,7 @@ def _shown(df: DataFrame) -> DataFrame:
 
 
 def _instant_shown(df: DataFrame) -> DataFrame:
-    return df.withColumn("event_time", F.date_format("event_time", "yyyy-MM-dd HH:mm:ss.SSS"))
+    return df.withColumn("event_time", window_text(F.col("event_time"), millis=True))
 
 
 # --- projections and filters ----------------------------------------------------------------
@@ -104,6 +109,20 @@ def topic_explode(spark, sf_dir):
     return _instant_shown(explode_topics(_rsvps(spark, sf_dir)))
 
 
+def day_range(spark, sf_dir):
+    """One day's records, cut out at the scan."""
+    return _instant_shown(flatten(normalize(in_range(_wire(spark, sf_dir), *DAY))))
+
+
+def usable_counts(spark, sf_dir):
+    """How many records windows count and how many are set aside; some times are made unusable."""
+    which = F.col("rsvp_id") % 50
+    broken = F.when(which == 7, F.lit(1e18)).when(which == 8, F.lit(float("nan"))).when(which != 9, F.col("mtime"))
+    rsvps = normalize(_wire(spark, sf_dir).withColumn("mtime", broken))
+    parts = usable(rsvps).select(F.lit("usable").alias("part")).unionByName(set_aside(rsvps).select(F.lit("set aside").alias("part")))
+    return parts.groupBy("part").count()
+
+
 # --- windowed counts and rankings -----------------------------------------------------------
 
 
@@ -146,6 +165,10 @@ def burst_members(spark, sf_dir):
     return _shown(plans.burst_members(_rsvps(spark, sf_dir), BURST))
 
 
+def burst_members_sliding(spark, sf_dir):
+    return _shown(plans.burst_members(_rsvps(spark, sf_dir), BURST, BURST_SLIDE))
+
+
 def alert_payloads(spark, sf_dir):
     bursts = plans.burst_members(_rsvps(spark, sf_dir), BURST)
     return _shown(plans.alert_payload(bursts, BURST))
@@ -173,7 +196,7 @@ def write_timestamp(spark, sf_dir):
 def daily_partition_counts(spark, sf_dir):
     path = shared_dir(spark, "agg-users")
     best = plans.most_active_members(_rsvps(spark, sf_dir), LENGTH, SLIDE)
-    write_daily(best, path)
+    write_daily(best, path, batch_id=0)
     stored = read_index(spark, path, INDEX_COLUMNS["agg-users"])
     return stored.groupBy("dateForIndex").agg(
         F.count("*").alias("count"), F.sum("timestamp").alias("timestamps")
@@ -183,7 +206,7 @@ def daily_partition_counts(spark, sf_dir):
 def static_sink_roundtrip(spark, sf_dir):
     path = shared_dir(spark, "static-topics")
     best = plans.trending_topics(_rsvps(spark, sf_dir), LENGTH, SLIDE)
-    write_static(best, path)
+    write_static(best, path, batch_id=0)
     columns = INDEX_COLUMNS["agg-topics"] + ", dateForIndex string"
     return _shown(read_index(spark, path, columns, day_col=None))
 
@@ -199,20 +222,24 @@ def alert_publish_roundtrip(spark, sf_dir):
 
 
 def _stream(spark: SparkSession, sf_dir: str, purpose: str) -> tuple[DataFrame, JobConfig]:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """The table's records as files, and the stream of them that the application reads."""
     session = stream_session(spark, spark.sparkContext.defaultParallelism)
     root = shared_dir(spark, purpose)
+    _wire(spark, sf_dir).write.parquet(f"{root}/in")
     cfg = JobConfig(
-        input_path=sf_dir,
+        input_path=f"{root}/in",
         output_path=f"{root}/out",
         checkpoint_path=f"{root}/checkpoints",
         length=LENGTH,
         slide=SLIDE,
         burst_length=BURST,
-        watermark=DELAY,
         available_now=True,
     )
-    return normalize(_wire(session, sf_dir, streaming=True)), cfg
+    return rsvp_stream(session, cfg), cfg
+
+
+def _stored(spark, cfg, index) -> DataFrame:
+    return latest_windows(read_index(spark, cfg.index(index), INDEX_COLUMNS[index])).drop("batch_id")
 
 
 def stream_scan_count(spark, sf_dir):
@@ -231,37 +258,36 @@ def stream_scan_count(spark, sf_dir):
 
 
 def stream_member_counts(spark, sf_dir):
+    """Counts of every window, from the panes that the stream has stored."""
     rsvps, cfg = _stream(spark, sf_dir, "member-counts")
-    path = cfg.index("counts")
-    (
-        plans.member_counts(rsvps, cfg.length, cfg.slide, watermark=cfg.watermark)
-        .writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", cfg.checkpoint("counts"))
-        .trigger(**cfg.trigger())
-        .start()
-        .awaitTermination()
-    )
-    columns = "window_start timestamp, window_end timestamp, member_id bigint, member_name string, count bigint"
-    return _shown(spark.read.schema(columns).parquet(path))
+    start_members(rsvps, cfg).awaitTermination()
+    panes = read_panes(spark, cfg.index("panes-members"), MEMBER_KEYS)
+    return _shown(window_totals(panes, ["member_id", "member_name"], cfg.length, cfg.slide))
 
 
 def stream_payload_jobs(spark, sf_dir):
-    """The whole application on raw messages: decode once, then all three analyses."""
+    """The whole application on raw messages: decode once, then every index and the alerts."""
     root = shared_dir(spark, "messages")
-    encode_payload(_messages(spark, sf_dir)).write.parquet(root)
-    _, cfg = _stream(spark, sf_dir, "payload-jobs")
-    cfg = replace(cfg, input_path=root, payload="protobuf")
+    encode_payload(_messages(spark, sf_dir)).write.parquet(f"{root}/in")
+    cfg = JobConfig(
+        input_path=f"{root}/in", output_path=f"{root}/out", checkpoint_path=f"{root}/checkpoints",
+        length=LENGTH, slide=SLIDE, burst_length=BURST, available_now=True, payload="protobuf",
+    )
     await_jobs(run_jobs(spark, cfg))
-    stored = read_index(spark, cfg.index("agg-users"), INDEX_COLUMNS["agg-users"])
-    return _shown(stored.drop("batch_id"))
+    rows = None
+    for index, key in (("agg-users", "member_name"), ("agg-topics", "topic"), ("agg-rascals", "member_name")):
+        stored = _shown(_stored(spark, cfg, index)).select(
+            F.lit(index).alias("output"), "window_start", F.col(key).alias("key"), "count", "dateForIndex"
+        )
+        rows = stored if rows is None else rows.unionByName(stored)
+    alerts = read_alerts(spark, cfg.index("alerts")).select(F.lit("alerts").alias("output"), F.col("value").alias("key"))
+    return rows.unionByName(alerts, allowMissingColumns=True)
 
 
 def _replayed(spark, sf_dir, start, index) -> DataFrame:
     rsvps, cfg = _stream(spark, sf_dir, index)
     start(rsvps, cfg).awaitTermination()
-    return _shown(read_index(spark, cfg.index(index), INDEX_COLUMNS[index]).drop("batch_id"))
+    return _shown(_stored(spark, cfg, index))
 
 
 def stream_top_members(spark, sf_dir):
@@ -273,12 +299,12 @@ def stream_top_topics(spark, sf_dir):
 
 
 def stream_burst_members(spark, sf_dir):
-    return _replayed(spark, sf_dir, start_bursts, "agg-rascals")
+    return _replayed(spark, sf_dir, start_members, "agg-rascals")
 
 
 def stream_alerts(spark, sf_dir):
     rsvps, cfg = _stream(spark, sf_dir, "alerts")
-    start_bursts(rsvps, cfg).awaitTermination()
+    start_members(rsvps, cfg).awaitTermination()
     return read_alerts(spark, cfg.index("alerts")).select("value")
 
 
@@ -286,8 +312,8 @@ def stream_alerts(spark, sf_dir):
 
 
 def _messages(spark, sf_dir) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return rsvps_from_events(spread(read_table(spark, sf_dir, "events")))
+    # Decoding costs far more per row than the shuffle that spreads a small table's rows.
+    return rsvps_from_events(read_table(spark, sf_dir, "events").repartition(DECODE_PARTITIONS))
 
 
 def _incomplete(spark, sf_dir) -> DataFrame:
@@ -312,14 +338,6 @@ def json_roundtrip(spark, sf_dir):
     return _instant_shown(flatten(normalize(decoded_rsvps(decode_json(texts)))))
 
 
-def _has_protobuf() -> bool:
-    try:
-        import google.protobuf  # noqa: F401
-    except ImportError:
-        return False
-    return True
-
-
 # --- driver functions -----------------------------------------------------------------------
 
 
@@ -335,6 +353,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "topic_arrays": q_topic_arrays,
         "yes_rsvps": yes_rsvps,
         "topic_explode": topic_explode,
+        "day_range": day_range,
+        "usable_counts": usable_counts,
         "topic_counts": topic_counts,
         "member_counts": member_counts,
         "top_members": top_members,
@@ -344,6 +364,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_members_global": top_members_global,
         "top_topics_global": top_topics_global,
         "burst_members": burst_members,
+        "burst_members_sliding": burst_members_sliding,
         "alert_payloads": alert_payloads,
         "alert_payloads_slim": alert_payloads_slim,
         "alert_cap": alert_cap,
@@ -358,13 +379,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_burst_members": stream_burst_members,
         "stream_alerts": stream_alerts,
         "json_roundtrip": json_roundtrip,
+        "decode_roundtrip": decode_roundtrip,
+        "decode_quarantine": decode_quarantine,
+        "stream_payload_jobs": stream_payload_jobs,
     }
-    if _has_protobuf():
-        registered |= {
-            "decode_roundtrip": decode_roundtrip,
-            "decode_quarantine": decode_quarantine,
-            "stream_payload_jobs": stream_payload_jobs,
-        }
     return registered | (llm.queries() if llm else {})
 
 
@@ -405,13 +423,9 @@ _MENTIONS = "mention AS (SELECT event_time, unnest(topics) AS topic FROM rsvp WH
 _MEMBER = "user_id AS member_id, member_name"
 
 
-def _windowed(source: str, keys: str, unit: str, slide: int, length: int, final: str = "") -> str:
-    """CTE ``counted``: rows per window and key; ``final`` is the delay after which a window
-    that a stream has seen counts as finished."""
+def _windowed(source: str, keys: str, unit: str, slide: int, length: int) -> str:
+    """CTE ``finished``: rows per window and key."""
     names = ", ".join(key.split(" AS ")[-1] for key in keys.split(", "))
-    finished = (
-        f"WHERE window_end <= (SELECT max(event_time) FROM {source}) - INTERVAL {final}" if final else ""
-    )
     return f"""
 placed AS (
   SELECT {keys}, time_bucket(INTERVAL {slide} {unit}, event_time, TIMESTAMP '1970-01-01')
@@ -419,11 +433,10 @@ placed AS (
   FROM {source}, unnest(generate_series(0, {length // slide - 1})) AS s(i)
   WHERE event_time IS NOT NULL
 ),
-counted AS (
+finished AS (
   SELECT window_start, window_start + INTERVAL {length} {unit} AS window_end, {names}, count(*) AS count
   FROM placed GROUP BY ALL
-),
-finished AS (SELECT * FROM counted {finished})"""
+)"""
 
 
 def _ranked(keys: str, k: int) -> str:
@@ -439,8 +452,8 @@ ranked AS (
 )"""
 
 
-def _alerts(threshold: int, cap: int) -> str:
-    """CTE ``alert``: capped bursts with title, text and the JSON of all six fields."""
+def _alerts(threshold: int, cap: int = 1 << 62) -> str:
+    """CTE ``alert``: bursts, as many as the cap allows, with title, text and the JSON of all six fields."""
     return f"""
 burst AS (SELECT *, {_DAY} AS day FROM finished WHERE count > {threshold}),
 chosen AS (
@@ -461,16 +474,37 @@ payload AS (
 )"""
 
 
+def _application_sql() -> str:
+    """All indexes and the alerts as rows of one table."""
+    shown = f"strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start"
+    columns = f"count, {_DAY} AS \"dateForIndex\""
+
+    def part(output: str, ctes: list[str], key: str, table: str, where: str = "") -> str:
+        return f"(WITH {','.join([_BASE, *ctes])} SELECT '{output}' AS output, {shown}, {key} AS key, {columns} FROM {table}{where})"
+
+    days = _windowed("rsvp", _MEMBER, "DAY", 1, 1)
+    members = [_windowed("rsvp", _MEMBER, "HOUR", 2, 6), _ranked("member_id, member_name", 5)]
+    topics = [_MENTIONS, _windowed("mention", "topic", "HOUR", 2, 6), _ranked("topic", 10)]
+    alerts = (
+        f"(WITH {','.join([_BASE, days, _alerts(6)])} SELECT 'alerts' AS output, CAST(NULL AS VARCHAR) AS window_start,"
+        " value AS key, CAST(NULL AS BIGINT) AS count, CAST(NULL AS VARCHAR) AS \"dateForIndex\" FROM payload)"
+    )
+    return " UNION ALL ".join([
+        part("agg-users", members, "member_name", "ranked"),
+        part("agg-topics", topics, "topic", "ranked"),
+        part("agg-rascals", [days], "member_name", "finished", " WHERE count > 6"),
+        alerts,
+    ])
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per query, over the same tables."""
     members = _windowed("rsvp", _MEMBER, "HOUR", 2, 6)
     topics = f"{_MENTIONS},{_windowed('mention', 'topic', 'HOUR', 2, 6)}"
     members_minute = _windowed("rsvp", _MEMBER, "SECOND", 20, 60)
     topics_minute = f"{_MENTIONS},{_windowed('mention', 'topic', 'SECOND', 20, 60)}"
-    members_final = _windowed("rsvp", _MEMBER, "HOUR", 2, 6, final="1 HOUR")
-    topics_final = f"{_MENTIONS},{_windowed('mention', 'topic', 'HOUR', 2, 6, final='1 HOUR')}"
     days = _windowed("rsvp", _MEMBER, "DAY", 1, 1)
-    days_final = _windowed("rsvp", _MEMBER, "DAY", 1, 1, final="1 HOUR")
+    sliding_days = _windowed("rsvp", _MEMBER, "HOUR", 6, 24)
     best_members, best_topics = _ranked("member_id, member_name", 5), _ranked("topic", 10)
     stamp = "CAST(epoch(window_end) AS BIGINT) * 1000.0::DOUBLE"
     member_rows = f"{_BOUNDS}, member_id, member_name, count"
@@ -520,12 +554,22 @@ def oracle_sql() -> dict[str, str]:
         "burst_members": sql(
             days, select=f"SELECT {member_rows}, {_DAY} AS \"dateForIndex\" FROM finished WHERE count > 6"
         ),
+        "burst_members_sliding": sql(
+            sliding_days, select=f"SELECT {member_rows}, {_DAY} AS \"dateForIndex\" FROM finished WHERE count > 6"
+        ),
+        "day_range": sql(
+            select=f"{_FLAT} WHERE event_time >= TIMESTAMP '2024-01-10' AND event_time < TIMESTAMP '2024-01-11'"
+        ),
+        "usable_counts": sql(
+            select="SELECT CASE WHEN event_id % 50 IN (7, 8, 9) THEN 'set aside' ELSE 'usable' END AS part,"
+            " count(*) AS count FROM rsvp GROUP BY 1"
+        ),
         "alert_payloads": sql(
-            days, _alerts(6, 999),
+            days, _alerts(6),
             select=f"SELECT {_BOUNDS}, CAST(member_id AS VARCHAR) AS key, value FROM payload",
         ),
         "alert_payloads_slim": sql(
-            days, _alerts(6, 999),
+            days, _alerts(6),
             select=f"SELECT {_BOUNDS}, CAST(member_id AS VARCHAR) AS key,"
             """ '{"title":"' || title || '","message":"' || message || '"}' AS value FROM payload""",
         ),
@@ -549,28 +593,25 @@ def oracle_sql() -> dict[str, str]:
             " CAST(0 AS BIGINT) AS batch_id FROM ranked",
         ),
         "alert_publish_roundtrip": sql(
-            days, _alerts(6, 999), select="SELECT value, CAST(0 AS BIGINT) AS batch_id FROM payload"
+            days, _alerts(6), select="SELECT value, CAST(0 AS BIGINT) AS batch_id FROM payload"
         ),
         "stream_scan_count": sql(select="SELECT response, count(*) AS count FROM rsvp GROUP BY response"),
-        "stream_member_counts": sql(members_final, select=f"SELECT {member_rows} FROM finished"),
+        "stream_member_counts": sql(members, select=f"SELECT {member_rows} FROM finished"),
         "stream_top_members": sql(
-            members_final, best_members,
-            select=f"SELECT {member_rows}, position, {_DAY} AS \"dateForIndex\", {stamp} AS timestamp FROM ranked",
-        ),
-        "stream_payload_jobs": sql(
-            members_final, best_members,
+            members, best_members,
             select=f"SELECT {member_rows}, position, {_DAY} AS \"dateForIndex\", {stamp} AS timestamp FROM ranked",
         ),
+        "stream_payload_jobs": _application_sql(),
         "stream_top_topics": sql(
-            topics_final, best_topics,
+            topics, best_topics,
             select=f"SELECT {topic_rows}, position, {_DAY} AS \"dateForIndex\", {stamp} AS timestamp FROM ranked",
         ),
         "stream_burst_members": sql(
-            days_final,
+            days,
             select=f"SELECT {member_rows}, {_DAY} AS \"dateForIndex\", {stamp} AS timestamp"
             " FROM finished WHERE count > 6",
         ),
-        "stream_alerts": sql(days_final, _alerts(6, 999), select="SELECT value FROM payload"),
+        "stream_alerts": sql(days, _alerts(6), select="SELECT value FROM payload"),
         "json_roundtrip": sql(select=f"{_FLAT} WHERE response = 'yes'"),
         "decode_roundtrip": sql(select=_FLAT),
         "decode_quarantine": sql(

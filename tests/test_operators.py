@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from tests.rsvps import at, frame, rows, rsvp, wire
 from turnout.functions import (
+    set_aside,
+    usable,
     alert_message,
     day_label,
     normalize,
     with_ingest_time,
-    with_usable_times,
     with_write_timestamp,
 )
 from turnout.functions.columns import seconds_in
@@ -115,9 +116,10 @@ def test_times_that_no_timestamp_holds_are_null(spark):
 
 
 def test_usable_times(spark):
-    late = at("2999-01-01 00:00:00").timestamp() * 1000
-    df = frame(spark, [rsvp(mtime=m) for m in (late, -9e15, math.nan)] + [rsvp(member=4)])
-    assert rows(with_usable_times(df, "1 day"), "member.member_id") == [(4,)]
+    far = at("2999-01-01 00:00:00").timestamp() * 1000
+    df = frame(spark, [rsvp(mtime=m) for m in (-9e15, math.nan, 9e15)] + [rsvp(member=4), rsvp(member=5, mtime=far)])
+    assert rows(usable(df), "member.member_id") == [(4,), (5,)]
+    assert set_aside(df).count() == 3
 
 
 def test_event_time_is_mtime_in_milliseconds(spark):

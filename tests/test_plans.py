@@ -107,7 +107,7 @@ def test_alert_cap_keeps_the_largest(spark):
         "concat('m', id) AS member_name", "id AS member_id", "'2024.01.01' AS dateForIndex",
         "IF(id = 500, 7L, 8L) AS count",
     )
-    alerts = plans.alert_payload(bursts)
+    alerts = plans.alert_payload(bursts, max_alerts=999)
     assert alerts.count() == 999
     assert alerts.where("key = '500'").count() == 0
 

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from tests.rsvps import frame, rows, rsvp
 from turnout import plans
 from turnout.sinks import (
+    compact_day,
+    latest_windows,
     publish_alerts,
     read_alerts,
     read_index,
@@ -27,7 +29,7 @@ def read(spark, path):
 
 
 def test_day_names_the_folder_and_is_not_stored(spark, folder, tmp_path):
-    write_daily(bursts(spark), folder("idx"))
+    write_daily(bursts(spark), folder("idx"), batch_id=0)
     assert [p.name for p in (tmp_path / "idx").glob("dateForIndex=*")] == ["dateForIndex=2024.01.01"]
     files = list((tmp_path / "idx").rglob("*.parquet"))
     stored = spark.read.parquet(str(files[0])).columns
@@ -36,7 +38,7 @@ def test_day_names_the_folder_and_is_not_stored(spark, folder, tmp_path):
 
 
 def test_day_filter_prunes_folders(spark, folder, capsys):
-    write_daily(bursts(spark), folder("idx"))
+    write_daily(bursts(spark), folder("idx"), batch_id=0)
     read(spark, folder("idx")).where("dateForIndex = '2024.01.01'").explain("formatted")
     assert "PartitionFilters: [isnotnull(dateForIndex" in capsys.readouterr().out
 
@@ -61,29 +63,29 @@ def test_batches_and_days_add_up(spark, folder):
 
 def test_one_day_is_read_alone(spark, folder):
     for day in ("2024-01-01", "2024-01-02"):
-        write_daily(bursts(spark, day=day), folder("idx"))
+        write_daily(bursts(spark, day=day), folder("idx"), batch_id=0)
     one = read_index(spark, folder("idx"), RASCALS, day="2024.01.02")
     assert rows(one, "dateForIndex", "member_id", "batch_id") == [("2024.01.02", 1, 0)]
     assert all("2024.01.02" in file for file in one.inputFiles())
 
 
 def test_write_timestamp_is_stored(spark, folder):
-    write_daily(bursts(spark), folder("idx"))
+    write_daily(bursts(spark), folder("idx"), batch_id=0)
     assert rows(read(spark, folder("idx")), "timestamp") == [(1704067220000.0,)]
-    write_daily(bursts(spark), folder("now"), at=F.current_timestamp())
+    write_daily(bursts(spark), folder("now"), batch_id=0, at=F.current_timestamp())
     assert read(spark, folder("now")).first()["timestamp"] > 1704067220000.0
 
 
 @pytest.mark.parametrize("fmt", ["orc", "json"])
 def test_other_file_formats(spark, folder, fmt):
-    write_daily(bursts(spark), folder("idx"), fmt=fmt)
+    write_daily(bursts(spark), folder("idx"), batch_id=0, fmt=fmt)
     assert read_index(spark, folder("idx"), RASCALS, fmt=fmt).first()["count"] == 7
 
 
 def test_published_alerts_are_one_message_per_line(spark, folder):
     alerts = plans.alert_payload(bursts(spark, (1, 2)))
     for _ in range(2):
-        assert publish_alerts(alerts, folder("alerts"), batch_id=1)
+        publish_alerts(alerts, folder("alerts"), batch_id=1)
     assert rows(read_alerts(spark, folder("alerts")), "value", "batch_id") == sorted(
         (r["value"], 1) for r in alerts.collect()
     )
@@ -94,9 +96,40 @@ def test_published_alerts_with_keys(spark, folder):
     assert spark.read.parquet(folder("alerts")).drop("batch_id").columns == ["key", "value"]
 
 
-def test_no_alerts_no_write(spark, folder, tmp_path):
-    assert not publish_alerts(plans.alert_payload(bursts(spark).limit(0)), folder("alerts"))
-    assert not (tmp_path / "alerts").exists()
+def test_no_alerts_no_folder(spark, folder, tmp_path):
+    publish_alerts(plans.alert_payload(bursts(spark).limit(0)), folder("alerts"))
+    assert not list((tmp_path / "alerts").glob("batch_id=*"))
+
+
+def test_publishing_runs_the_plan_once(spark, folder):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    alerts = plans.alert_payload(bursts(spark, (1, 2)))
+    publish_alerts(alerts.mapInArrow(count, alerts.schema), folder("alerts"))
+    assert seen.value == 2
+
+
+def test_every_alert_is_published(spark):
+    many = frame(spark, [rsvp(member=m) for m in range(1000)] * 7)
+    assert plans.alert_payload(plans.burst_members(many)).count() == 1000
+
+
+def test_two_runs_on_one_day_and_their_latest_windows(spark, folder):
+    forenoon, afternoon = ([rsvp(f"2024-01-01 {h:02}:00:05", member=h)] * 7 for h in (9, 15))
+    for run, records in enumerate((forenoon, afternoon)):
+        write_daily(plans.burst_members(frame(spark, records)), folder("idx"), batch_id=run)
+    assert rows(latest_windows(read(spark, folder("idx"))), "member_id") == [(9,), (15,)]
+    write_daily(plans.burst_members(frame(spark, forenoon + forenoon)), folder("idx"), batch_id=2)
+    latest = rows(latest_windows(read(spark, folder("idx"))), "member_id", "count")
+    assert latest == [(9, 14), (15, 7)]
+    for _ in range(2):
+        compact_day(spark, folder("idx"), RASCALS, "2024.01.01")
+        assert rows(latest_windows(read(spark, folder("idx"))), "member_id", "count") == latest
 
 
 def test_shared_dir_is_under_the_clusters_folder(spark):

@@ -9,15 +9,15 @@ from pyspark.sql import functions as F
 
 from tests.rsvps import at, frame, rows, rsvp, wire
 from turnout import plans
-from turnout.sinks import read_alerts, read_index
+from turnout.sinks import latest_windows, read_alerts, read_index
 from turnout.sinks.index import INDEX_COLUMNS
 from turnout.sources import encode_payload
 from turnout.streaming import (
     JobConfig,
     await_jobs,
     jobs,
+    read_panes,
     run_jobs,
-    start_bursts,
     start_members,
     start_topics,
     stream_session,
@@ -52,28 +52,21 @@ def feed(spark, path, records):
 def cfg(folder):
     return JobConfig(
         input_path=folder("in"), output_path=folder("out"), checkpoint_path=folder("cp"),
-        watermark="10 seconds", available_now=True,
+        available_now=True,
     )
 
 
 def index(spark, cfg, name):
-    stored = read_index(spark, cfg.index(name), INDEX_COLUMNS[name])
+    stored = latest_windows(read_index(spark, cfg.index(name), INDEX_COLUMNS[name]))
     return rows(stored, *[c for c in stored.columns if c not in ("timestamp", "batch_id")])
 
 
-def final(df, records, delay=10):
-    """The windows of a batch result that a stream over the same records has finished."""
-    last = max(r["mtime"] for r in records) / 1000 - delay
-    return df.where(F.unix_timestamp("window_end") <= last)
-
-
 def expected(spark, records):
     rsvps = frame(spark, records)
-    yes = [r for r in records if r["response"] == "yes" and r["group"]["group_topics"]]
     plain = {
-        "agg-users": final(plans.most_active_members(rsvps), records),
-        "agg-topics": final(plans.trending_topics(rsvps), yes),
-        "agg-rascals": final(plans.burst_members(rsvps), records),
+        "agg-users": plans.most_active_members(rsvps),
+        "agg-topics": plans.trending_topics(rsvps),
+        "agg-rascals": plans.burst_members(rsvps),
     }
     columns = {
         "agg-users": ("window_start", "window_end", "member_id", "member_name", "count", "position", "dateForIndex"),
@@ -91,7 +84,7 @@ def test_streams_equal_batch(spark, cfg):
     assert all(want.values())
     for name, wanted in want.items():
         assert index(spark, cfg, name) == wanted
-    alerts = plans.alert_payload(final(plans.burst_members(frame(spark, records)), records))
+    alerts = plans.alert_payload(plans.burst_members(frame(spark, records)))
     assert rows(read_alerts(spark, cfg.index("alerts")), "value") == rows(alerts, "value")
 
 
@@ -105,25 +98,50 @@ def test_restart_equals_one_run(spark, cfg):
         assert index(spark, cfg, name) == want[name]
 
 
-def test_late_row_is_dropped_and_others_stay(spark, cfg):
-    session = stream_session(spark, 2)
-    feed(spark, cfg.input_path, [rsvp(clock(5), member=1), rsvp(clock(200), member=2)])
-    start_members(jobs.rsvp_stream(session, cfg), cfg).awaitTermination()
-    feed(spark, cfg.input_path, [rsvp(clock(6), member=1), rsvp(clock(195), member=3), rsvp(clock(400), member=4)])
-    start_members(jobs.rsvp_stream(session, cfg), cfg).awaitTermination()
-    stored = read_index(spark, cfg.index("agg-users"), INDEX_COLUMNS["agg-users"])
-    assert stored.where("member_id = 1").agg(F.sum("count")).first()[0] == 3
-    assert stored.where("member_id = 3").agg(F.sum("count")).first()[0] == 3
+def test_unordered_files_one_at_a_time_equal_batch(spark, cfg):
+    parts = [some_rsvps(i, 60 * i, 60 * i + 60, n=80) for i in (3, 0, 2, 1)]
+    for part in parts:
+        feed(spark, cfg.input_path, part)
+    cfg = replace(cfg, input_options={"maxFilesPerTrigger": "1"})
+    await_jobs(run_jobs(spark, cfg))
+    want = expected(spark, sum(parts, []))
+    for name in want:
+        assert index(spark, cfg, name) == want[name]
+    # One alert for each burst, whatever the number of batches that its window took.
+    assert read_alerts(spark, cfg.index("alerts")).count() == len(want["agg-rascals"])
 
 
-def test_time_in_the_far_future_does_not_make_others_late(spark, cfg):
+def test_late_row_corrects_its_windows(spark, cfg):
     session = stream_session(spark, 2)
-    broken = rsvp(member=9, mtime=at("2999-01-01 00:00:00").timestamp() * 1000)
-    for part in ([rsvp(clock(5), member=1), broken], [rsvp(clock(10), member=2), rsvp(clock(200), member=3)]):
+    early, late = [rsvp(clock(5), member=1)] * 6 + [rsvp(clock(200), member=2)], [rsvp(clock(6), member=1)]
+    for part in (early, late):
         feed(spark, cfg.input_path, part)
         start_members(jobs.rsvp_stream(session, cfg), cfg).awaitTermination()
-    stored = read_index(spark, cfg.index("agg-users"), INDEX_COLUMNS["agg-users"])
-    assert rows(stored.select("member_id").distinct(), "member_id") == [(1,), (2,)]
+    want = expected(spark, early + late)
+    assert len(want["agg-rascals"]) == 1
+    assert index(spark, cfg, "agg-users") == want["agg-users"]
+    assert index(spark, cfg, "agg-rascals") == want["agg-rascals"]
+    assert read_alerts(spark, cfg.index("alerts")).count() == 1
+
+
+def test_unusable_and_far_times(spark, cfg):
+    far = rsvp(member=9, mtime=at("2999-01-01 00:00:00").timestamp() * 1000)
+    none = rsvp(member=8, mtime=9e18)
+    records = [rsvp(clock(5), member=1), far, none]
+    feed(spark, cfg.input_path, records)
+    start_members(jobs.rsvp_stream(stream_session(spark, 2), cfg), cfg).awaitTermination()
+    assert index(spark, cfg, "agg-users") == expected(spark, records)["agg-users"]
+    panes = read_panes(spark, cfg.index("panes-members"), jobs.MEMBER_KEYS)
+    assert rows(panes.where("pane_start IS NULL"), "member_id", "count") == [(8, 1)]
+
+
+def test_new_checkpoint_on_old_output_is_refused(spark, cfg, folder):
+    feed(spark, cfg.input_path, [rsvp(clock(5))])
+    session = stream_session(spark, 2)
+    start_members(jobs.rsvp_stream(session, cfg), cfg).awaitTermination()
+    fresh = replace(cfg, checkpoint_path=folder("other"))
+    with pytest.raises(ValueError, match="another checkpoint"):
+        start_members(jobs.rsvp_stream(session, fresh), fresh)
 
 
 def test_failed_batch_is_repeated_without_duplicates(spark, cfg, monkeypatch):
@@ -137,9 +155,9 @@ def test_failed_batch_is_repeated_without_duplicates(spark, cfg, monkeypatch):
 
     monkeypatch.setattr(jobs, "publish_alerts", fail_after_the_index)
     with pytest.raises(Exception, match="publisher is down"):
-        await_jobs([start_bursts(jobs.rsvp_stream(session, cfg), cfg)])
+        await_jobs([start_members(jobs.rsvp_stream(session, cfg), cfg)])
     monkeypatch.setattr(jobs, "publish_alerts", publish)
-    start_bursts(jobs.rsvp_stream(session, cfg), cfg).awaitTermination()
+    start_members(jobs.rsvp_stream(session, cfg), cfg).awaitTermination()
     want = expected(spark, records)["agg-rascals"]
     assert want and index(spark, cfg, "agg-rascals") == want
     assert read_alerts(spark, cfg.index("alerts")).count() == len(want)
@@ -147,8 +165,8 @@ def test_failed_batch_is_repeated_without_duplicates(spark, cfg, monkeypatch):
 
 def test_no_bursts_no_alert_folder(spark, cfg, tmp_path):
     feed(spark, cfg.input_path, [rsvp(clock(0)), rsvp(clock(100))])
-    start_bursts(jobs.rsvp_stream(stream_session(spark, 2), cfg), cfg).awaitTermination()
-    assert not (tmp_path / "out" / "alerts").exists()
+    start_members(jobs.rsvp_stream(stream_session(spark, 2), cfg), cfg).awaitTermination()
+    assert not list((tmp_path / "out" / "alerts").glob("batch_id=*"))
 
 
 @pytest.mark.parametrize("payload, fmt", [("protobuf", "parquet"), ("json", "parquet"), ("json", "text")])
@@ -183,7 +201,7 @@ def test_continuous_run_ends_after_its_minutes(spark, cfg):
 
 
 def test_windows_by_arrival(spark, cfg):
-    cfg = replace(cfg, time_col="ingest_time", length="2 seconds", slide="1 second", watermark="1 second")
+    cfg = replace(cfg, time_col="ingest_time", length="2 seconds", slide="1 second")
     session = stream_session(spark, 2)
     feed(spark, cfg.input_path, [rsvp(clock(0), member=1), rsvp(clock(90000), member=1)])
     start_members(jobs.rsvp_stream(session, cfg), cfg).awaitTermination()

@@ -1,12 +1,14 @@
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from tests.conftest import TESTDATA
-from turnout.functions import normalize
+from turnout.functions import day_label, normalize, window_text
 from turnout.operators import flatten
 from turnout.schema import RSVP_SCHEMA_RELAXED
-from turnout.sources import read_rsvps, read_table, rsvps_from_events, spread
+from turnout.sources import read_rsvps, read_table, rsvps_from_events
 
 SF_DIR = f"{TESTDATA}/sf0.01"
 
@@ -39,10 +41,21 @@ def test_rsvps_survive_files(spark, folder):
         assert sorted(map(str, stored.collect())) == sorted(map(str, expected))
 
 
-def test_small_inputs_are_spread_and_large_ones_left_alone(spark):
-    cores = spark.sparkContext.defaultParallelism
-    events = read_table(spark, SF_DIR, "events")
-    assert spread(events).rdd.getNumPartitions() == cores
-    assert spread(events).count() == events.count()
-    many = spark.range(0, 100, 1, cores)
-    assert spread(many) is many
+def test_a_time_range_reaches_the_scan(spark, folder, capsys):
+    rsvps_from_events(read_table(spark, SF_DIR, "events")).write.parquet(folder("in"))
+    day = read_rsvps(spark, folder("in"), between=(datetime(2024, 1, 10), datetime(2024, 1, 11)))
+    day.explain("formatted")
+    assert "GreaterThanOrEqual(mtime," in capsys.readouterr().out
+    labels = normalize(day).select(day_label(F.col("event_time")).alias("day")).distinct().collect()
+    assert [r.day for r in labels] == ["2024.01.10"]
+
+
+def test_session_zone_does_not_matter(spark):
+    def labelled(session):
+        rsvps = normalize(rsvps_from_events(read_table(session, SF_DIR, "events")))
+        shown = rsvps.select("rsvp_id", day_label(F.col("event_time")), window_text(F.col("event_time"), millis=True))
+        return sorted(map(tuple, shown.collect()))
+
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    assert labelled(other) == labelled(spark)

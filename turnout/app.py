@@ -18,7 +18,7 @@ def _pairs(entries: Sequence[str]) -> dict[str, str]:
 
 def parse(args: Sequence[str] | None = None) -> JobConfig:
     parser = argparse.ArgumentParser(description="Windowed analytics over a stream of RSVPs.")
-    parser.add_argument("--input", required=True, help="folder of RSVP files")
+    parser.add_argument("--input", help="folder of RSVP files; not for a queue")
     parser.add_argument("--input-format", default="parquet")
     parser.add_argument("--input-option", action="append", default=[], metavar="NAME=VALUE")
     parser.add_argument("--payload", choices=PAYLOADS, default="columns")
@@ -31,12 +31,10 @@ def parse(args: Sequence[str] | None = None) -> JobConfig:
     parser.add_argument("--burst-window", type=int, default=20, help="burst window, in seconds")
     parser.add_argument("--burst-slide", type=int, help="burst slide, in seconds; tumbling if absent")
     parser.add_argument("--threshold", type=int, default=6, help="RSVPs above which a member bursts")
-    parser.add_argument("--max-alerts", type=int, default=999, help="alerts per window")
+    parser.add_argument("--max-alerts", type=int, help="most alerts per window; all if absent")
     parser.add_argument("--top-members", type=int, default=5)
     parser.add_argument("--top-topics", type=int, default=10)
     parser.add_argument("--batch", type=int, default=20, help="batch interval, in seconds")
-    parser.add_argument("--watermark", type=int, default=20, help="lateness allowed, in seconds")
-    parser.add_argument("--future-limit", type=int, default=86400, help="seconds ahead of the clock that a time may lie")
     parser.add_argument("--time-column", choices=TIME_COLUMNS, default="event_time")
     parser.add_argument("--alert-format", default="text")
     parser.add_argument("--alert-option", action="append", default=[], metavar="NAME=VALUE")
@@ -61,8 +59,6 @@ def parse(args: Sequence[str] | None = None) -> JobConfig:
         top_members=given.top_members,
         top_topics=given.top_topics,
         batch_interval=f"{given.batch} seconds",
-        watermark=f"{given.watermark} seconds",
-        future_limit=f"{given.future_limit} seconds",
         time_col=given.time_column,
         alert_format=given.alert_format,
         alert_options=_pairs(given.alert_option),

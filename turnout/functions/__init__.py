@@ -8,7 +8,7 @@ from turnout.functions.columns import (
     with_ingest_time,
     with_write_timestamp,
 )
-from turnout.functions.normalize import normalize, with_usable_times
+from turnout.functions.normalize import normalize, set_aside, usable
 
 __all__ = [
     "alert_message",
@@ -17,6 +17,7 @@ __all__ = [
     "normalize",
     "window_text",
     "with_ingest_time",
-    "with_usable_times",
+    "set_aside",
+    "usable",
     "with_write_timestamp",
 ]

@@ -38,14 +38,24 @@ def epoch_millis(ts: Column) -> Column:
     return F.unix_millis(ts.cast("timestamp")).cast("double")
 
 
-def day_label(at: Column) -> Column:
-    """The day of ``at`` in the session time zone, written like ``2024.01.31``."""
-    return F.date_format(at, DAY_PATTERN)
+def _utc_date(at: Column) -> Column:
+    return F.date_from_unix_date(F.floor(F.unix_seconds(at) / 86400).cast("int"))
 
 
-def window_text(at: Column) -> Column:
-    """A window bound as text, so that readers in any time zone see the same value."""
-    return F.date_format(at, "yyyy-MM-dd HH:mm:ss")
+def day_label(at: Column) -> Column:
+    """The day of ``at`` in UTC, whatever the session's time zone, written like ``2024.01.31``."""
+    return F.date_format(_utc_date(at), DAY_PATTERN)
+
+
+def window_text(at: Column, millis: bool = False) -> Column:
+    """An instant as text in UTC, so that readers in any time zone see the same value."""
+    seconds = F.unix_seconds(at)
+    clock = [(seconds / 3600, 24), (seconds / 60, 60), (seconds / 1, 60)]
+    parts = [F.lpad(F.pmod(F.floor(n), F.lit(m)).cast("string"), 2, "0") for n, m in clock]
+    text = F.concat(_utc_date(at).cast("string"), F.lit(" "), F.concat_ws(":", *parts))
+    if not millis:
+        return text
+    return F.concat(text, F.lit("."), F.lpad(F.pmod(F.unix_millis(at), F.lit(1000)).cast("string"), 3, "0"))
 
 
 def with_ingest_time(df: DataFrame, name: str = "ingest_time") -> DataFrame:

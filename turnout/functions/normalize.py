@@ -17,14 +17,27 @@ def _instant(millis: Column) -> Column:
     return F.timestamp_micros(F.try_multiply(_whole(millis), F.lit(1000)))
 
 
-def with_usable_times(df: DataFrame, limit: str, time_col: str = "event_time") -> DataFrame:
-    """Rows whose time lies between the year 1 and ``limit`` after now.
+#: Milliseconds at the start of the year 1 and before that of the year 10000.
+FIRST_MILLIS, LAST_MILLIS = -62_135_596_800_000, 253_402_300_799_999
 
-    Rows without a time are in no window anyway. A time far in the future must not reach a
-    stream's watermark: it would move past everything that follows and make all of it late.
-    """
-    latest = F.current_timestamp() + F.expr(f"INTERVAL {limit}")
-    return df.where(F.col(time_col).between(F.lit("0001-01-01").cast("timestamp"), latest))
+
+def _event_time(millis: Column) -> Column:
+    """Null for times outside the years 1 to 9999, which labels and windows cannot express. The
+    bound is fixed, so that batch and stream agree on it whenever they run. Overflowing sums test
+    it with one occurrence of the argument, as in ``_instant``."""
+    up, down = F.lit((1 << 63) - 1 - LAST_MILLIS), F.lit(FIRST_MILLIS + (1 << 63))
+    whole = F.try_subtract(F.try_add(_whole(millis), up), up)
+    return F.timestamp_micros(F.try_multiply(F.try_add(F.try_subtract(whole, down), down), F.lit(1000)))
+
+
+def usable(rsvps: DataFrame, time_col: str = "event_time") -> DataFrame:
+    """The normalized rows that windows count."""
+    return rsvps.where(F.col(time_col).isNotNull())
+
+
+def set_aside(rsvps: DataFrame, time_col: str = "event_time") -> DataFrame:
+    """The normalized rows that no window counts, for lack of a usable time."""
+    return rsvps.where(F.col(time_col).isNull())
 
 
 def normalize(rsvps: DataFrame) -> DataFrame:
@@ -41,7 +54,7 @@ def normalize(rsvps: DataFrame) -> DataFrame:
         _whole(F.col("guests")).alias("guests"),
         F.col("member").withField("member_id", _whole(F.col("member.member_id"))).alias("member"),
         _whole(F.col("rsvp_id")).alias("rsvp_id"),
-        _instant(F.col("mtime")).alias("event_time"),
+        _event_time(F.col("mtime")).alias("event_time"),
         F.col("event").withField("time", _instant(F.col("event.time"))).alias("event"),
         F.col("group").withField("group_id", _whole(F.col("group.group_id"))).alias("group"),
     )

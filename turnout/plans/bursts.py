@@ -38,15 +38,15 @@ def burst_members(
 def alert_payload(
     bursts: DataFrame,
     length: str = "20 seconds",
-    max_alerts: int = 999,
+    max_alerts: int | None = None,
     columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """One JSON alert per burst as ``key`` and ``value``, with its window's bounds.
 
-    At most ``max_alerts`` per window are kept, the largest counts first. Null fields are left
-    out of the JSON.
+    With ``max_alerts``, at most so many per window are kept, the largest counts first. Null
+    fields are left out of the JSON.
     """
-    chosen = top_k(bursts, max_alerts, keys=("member_id", "member_name"))
+    chosen = top_k(bursts, max_alerts, keys=("member_id", "member_name")) if max_alerts else bursts
     texts = chosen.withColumns({
         "title": F.lit(ALERT_TITLE),
         "message": alert_message(

@@ -1,10 +1,13 @@
 """Where results go: per-day and static indexes, and published alerts."""
 
 from turnout.sinks.alerts import publish_alerts, read_alerts
-from turnout.sinks.folders import shared_dir
-from turnout.sinks.index import read_index, write_daily, write_static
+from turnout.sinks.folders import has_files, shared_dir
+from turnout.sinks.index import compact_day, latest_windows, read_index, write_daily, write_static
 
 __all__ = [
+    "compact_day",
+    "has_files",
+    "latest_windows",
     "publish_alerts",
     "read_alerts",
     "read_index",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _QUEUE_FORMATS = ("kafka",)
 
@@ -13,23 +14,25 @@ def publish_alerts(
     batch_id: int = 0,
     fmt: str = "text",
     options: dict[str, str] | None = None,
-) -> bool:
-    """Publish the ``value`` of each alert; returns whether there was anything to publish.
+) -> None:
+    """Publish the ``value`` of each alert, running its plan once.
 
     File formats write one message per line under ``path/batch_id=<id>``, so that a repeated
-    batch replaces itself; formats other than ``text`` also keep the ``key``. ``fmt='kafka'``
-    sends key and value to the topic named in ``options``; there a repeated batch is sent again
-    (at least once). An empty batch writes nothing.
+    batch replaces itself and others stay; formats other than ``text`` also keep the ``key``.
+    Without alerts there is no such folder. ``fmt='kafka'`` sends key and value to the topic
+    named in ``options``; there a repeated batch is sent again (at least once).
     """
-    if alerts.isEmpty():
-        return False
     columns = ["value"] if fmt == "text" else ["key", "value"]
-    writer = alerts.select(*columns).write.format(fmt).options(**(options or {}))
+    chosen = alerts.select(*columns)
     if fmt in _QUEUE_FORMATS:
-        writer.save()
-    else:
-        writer.mode("overwrite").save(f"{path}/batch_id={batch_id}")
-    return True
+        chosen.write.format(fmt).options(**(options or {})).save()
+        return
+    (
+        chosen.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        .write.format(fmt).options(**(options or {}))
+        .mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
+        .save(path)
+    )
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,11 +10,18 @@ from pyspark.sql import SparkSession
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder path under the cluster's shared folder, ``spark.checkpoint.dir``.
 
-    Only a local session may go without that setting; it then gets a temporary folder.
+    Only a local session may go without that setting; it then uses its warehouse folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="turnout-")
+        base = spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/turnout/{purpose}-{uuid.uuid4().hex}"
+
+
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything under a path, in whatever store it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.exists(folder) and len(files.listStatus(folder)) > 0

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from turnout.functions.columns import with_write_timestamp
+from turnout.sinks.folders import shared_dir
 
 _BOUNDS = "window_start timestamp, window_end timestamp"
 
@@ -34,7 +35,7 @@ def _write(df: DataFrame, path: str, partitions: list[str], batch_id: int, fmt:
 def write_daily(
     df: DataFrame,
     path: str,
-    batch_id: int = 0,
+    batch_id: int,
     day_col: str = "dateForIndex",
     fmt: str = "parquet",
     at: Column | None = None,
@@ -42,8 +43,9 @@ def write_daily(
     """Write results under ``path/<day>/<batch>``; the day names the folder and is not stored.
 
     Repeating a batch overwrites exactly its own folders, provided that its rows carry the same
-    days again, which labels taken from ``window_end`` do. Batch ids start over with a new
-    checkpoint, so a new checkpoint needs a new ``path``.
+    days again, which labels taken from ``window_end`` do. Other batches' results stay, so each
+    run needs an id of its own; a window that several batches have written has the result of the
+    highest id (``latest_windows``).
     """
     _write(df, path, [day_col, "batch_id"], batch_id, fmt, at)
 
@@ -51,7 +53,7 @@ def write_daily(
 def write_static(
     df: DataFrame,
     path: str,
-    batch_id: int = 0,
+    batch_id: int,
     fmt: str = "parquet",
     at: Column | None = None,
 ) -> None:
@@ -77,3 +79,32 @@ def read_index(
     if day is not None:
         return reader.option("basePath", path).load(f"{path}/{day_col}={day}")
     return reader.load(path)
+
+
+def latest_windows(stored: DataFrame) -> DataFrame:
+    """Of each window only the rows of the last batch that wrote it."""
+    last = F.max("batch_id").over(Window.partitionBy("window_start", "window_end"))
+    return stored.withColumn("_last", last).where("batch_id = _last").drop("_last")
+
+
+def compact_day(
+    spark: SparkSession, path: str, columns: str, day: str, day_col: str = "dateForIndex", fmt: str = "parquet"
+) -> None:
+    """Bring a closed day's latest windows together in the folder of its last batch.
+
+    The other batches' folders are superseded by it and may be deleted. Nothing is lost if the
+    run ends halfway, as long as no batch of that day is written meanwhile.
+    """
+    latest = latest_windows(read_index(spark, path, columns, day_col, fmt, day))
+    last = latest.agg(F.max("batch_id")).first()[0]
+    if last is None:
+        return
+    # Stored first: the folder that is read is also the one that is replaced.
+    staged = f"{shared_dir(spark, 'compaction')}/{day}"
+    latest.write.format(fmt).save(staged)
+    kept = spark.read.format(fmt).schema(latest.schema).load(staged)
+    (
+        kept.withColumn("batch_id", F.lit(last)).coalesce(1)
+        .write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(day_col, "batch_id").save(path)
+    )

@@ -7,7 +7,7 @@ from turnout.sources.decode import (
     encode_payload,
     quarantined,
 )
-from turnout.sources.readers import read_payloads, read_rsvps, spread
+from turnout.sources.readers import in_range, read_payloads, read_rsvps
 from turnout.sources.tables import read_table, rsvps_from_events
 
 __all__ = [
@@ -20,5 +20,5 @@ __all__ = [
     "read_rsvps",
     "read_table",
     "rsvps_from_events",
-    "spread",
+    "in_range",
 ]

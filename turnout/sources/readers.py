@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnout.schema import RSVP_SCHEMA_RELAXED
@@ -25,14 +28,28 @@ def read_rsvps(
     fmt: str = "parquet",
     streaming: bool = False,
     options: dict[str, str] | None = None,
+    between: tuple[datetime, datetime] | None = None,
 ) -> DataFrame:
     """RSVP records in wire form from files (parquet, orc, json), with the schema fixed up front.
 
+    ``between`` keeps records from the first time until before the second; it reaches the scan as
+    a range of ``mtime``. Widen it by a window's length where whole windows are wanted. Times
+    without a zone are meant in UTC.
+
     A file stream replays by offset after a failure, so nothing is kept in executor memory
     between batches. ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` in ``options`` sets the
     rate limit.
     """
-    return _load(spark, path, fmt, streaming, options, RSVP_SCHEMA_RELAXED)
+    records = _load(spark, path, fmt, streaming, options, RSVP_SCHEMA_RELAXED)
+    return in_range(records, *between) if between else records
+
+
+def in_range(records: DataFrame, start: datetime, end: datetime) -> DataFrame:
+    """Records in wire form with ``start <= mtime < end``, compared as stored so that scans prune."""
+    first, last = (
+        (t if t.tzinfo else t.replace(tzinfo=timezone.utc)).timestamp() * 1000 for t in (start, end)
+    )
+    return records.where((F.col("mtime") >= first) & (F.col("mtime") < last))
 
 
 def read_payloads(
@@ -51,13 +68,3 @@ def read_payloads(
     """
     schema = None if fmt in _VALUE_FORMATS else T.StructType().add("value", T.BinaryType())
     return _load(spark, path, fmt, streaming, options, schema).select("value")
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a batch input that has fewer splits than the session has cores over all of them.
-
-    For costly work per row, such as decoding, behind a small or unsplittable input. An input
-    with enough splits, as any large one has, is returned as it is and is not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -32,6 +32,10 @@ def rsvps_from_events(events: DataFrame) -> DataFrame:
     interest ``k`` found in ``props`` and the series of ten it lies in.
     """
     user, event_id = F.col("user_id"), F.col("event_id")
+    at = F.col("ts")
+    if dict(events.dtypes)["ts"] == "timestamp_ntz":
+        # Times without a zone are meant in UTC, whatever the session's zone.
+        at = F.concat(at.cast("string"), F.lit("Z")).cast("timestamp")
     interest = F.regexp_extract("props", r'"k":\s*(\d+)', 1)
     series = F.concat(F.lit("series "), (interest.try_cast("int") / 10).cast("int").cast("string"))
     absent = F.lit(None)
@@ -48,11 +52,11 @@ def rsvps_from_events(events: DataFrame) -> DataFrame:
             F.concat(F.lit("Customer#"), F.lpad(user.cast("string"), 9, "0")).alias("member_name"),
         ),
         "rsvp_id": event_id.cast("double"),
-        "mtime": epoch_millis(F.col("ts")),
+        "mtime": epoch_millis(at),
         "event": F.struct(
             F.col("event_type").alias("event_name"),
             event_id.cast("string").alias("event_id"),
-            epoch_millis(F.col("ts")).alias("time"),
+            epoch_millis(at).alias("time"),
             F.concat(F.lit("/events/"), event_id.cast("string")).alias("event_url"),
         ),
         "group": F.struct(

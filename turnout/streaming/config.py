@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from turnout.functions.columns import seconds_in
 
 PAYLOADS = ("columns", "protobuf", "json")
+QUEUE_FORMATS = ("kafka",)
 TIME_COLUMNS = ("event_time", "ingest_time")
 
 
@@ -14,12 +15,12 @@ TIME_COLUMNS = ("event_time", "ingest_time")
 class JobConfig:
     """Where a run reads, writes and checkpoints, and the parameters of its three analyses.
 
-    The defaults of the windows, ranks, threshold and alert cap are those of the original
-    application. ``time_col='ingest_time'`` windows by arrival instead of by ``mtime``. An
-    ``mtime`` more than ``future_limit`` ahead of the clock counts as unusable.
+    The defaults of the windows, ranks and threshold are those of the original
+    application, but for a cap on alerts: there is none unless ``max_alerts`` sets one.
+    ``time_col='ingest_time'`` windows by arrival instead of by ``mtime``.
     """
 
-    input_path: str
+    input_path: str | None
     output_path: str
     checkpoint_path: str
     input_format: str = "parquet"
@@ -29,8 +30,6 @@ class JobConfig:
     decode_with_jar: bool = False
 
     time_col: str = "event_time"
-    watermark: str = "20 seconds"
-    future_limit: str = "86400 seconds"
     length: str = "60 seconds"
     slide: str = "20 seconds"
     top_members: int = 5
@@ -38,7 +37,7 @@ class JobConfig:
     burst_length: str = "20 seconds"
     burst_slide: str | None = None
     burst_threshold: int = 6
-    max_alerts: int = 999
+    max_alerts: int | None = None
     alert_format: str = "text"
     alert_options: dict[str, str] = field(default_factory=dict)
 
@@ -51,13 +50,15 @@ class JobConfig:
             raise ValueError(f"payload must be one of {PAYLOADS}: {self.payload!r}")
         if self.time_col not in TIME_COLUMNS:
             raise ValueError(f"time_col must be one of {TIME_COLUMNS}: {self.time_col!r}")
-        for name in (
-            "watermark", "future_limit", "length", "slide", "burst_length", "burst_slide", "batch_interval",
-        ):
+        if self.payload == "columns" and self.input_format in QUEUE_FORMATS:
+            raise ValueError("a queue holds payloads, not columns: set payload")
+        for name in ("length", "slide", "burst_length", "burst_slide", "batch_interval"):
             if getattr(self, name) is not None:
                 seconds_in(getattr(self, name))
-        if min(self.top_members, self.top_topics, self.max_alerts) < 1:
+        if min(self.top_members, self.top_topics, 1 if self.max_alerts is None else self.max_alerts) < 1:
             raise ValueError("top_members, top_topics and max_alerts must be at least 1")
+        if self.input_path is None and self.input_format not in QUEUE_FORMATS:
+            raise ValueError("input_path may be absent for a queue only")
         if self.run_minutes < 0:
             raise ValueError("run_minutes must not be negative")
 

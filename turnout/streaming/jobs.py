@@ -1,8 +1,9 @@
-"""Streaming queries: counts in the state store, ranking and sinks on finished windows.
+"""Streaming queries: counts per pane are stored, and windows computed from them.
 
-Each query counts in append mode, so a window reaches ``foreachBatch`` once, complete, when the
-watermark has passed its end. Ranking there sees whole windows, and runs as an ordinary batch
-job on counts rather than on RSVPs.
+Each micro-batch stores its own counts per pane and key, then computes the windows that it
+touches anew from all stored panes, and stores their results. A window's result is there as soon
+as its first row is, and is replaced when more rows come, however late. No watermark is needed,
+and no row is dropped. A repeated batch replaces what it had written.
 """
 
 from __future__ import annotations
@@ -11,18 +12,14 @@ import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from turnout.functions import normalize, with_ingest_time, with_usable_times
-from turnout.plans import (
-    alert_payload,
-    burst_members,
-    member_counts,
-    rank_members,
-    rank_topics,
-    topic_counts,
-)
-from turnout.sinks import publish_alerts, write_daily
+from turnout.functions import day_label, normalize, with_ingest_time
+from turnout.operators import explode_topics, members, yes_responses
+from turnout.plans import alert_payload, rank_members, rank_topics
+from turnout.sinks import has_files, publish_alerts, read_index, write_daily
+from turnout.sinks.index import INDEX_COLUMNS
 from turnout.sources import (
     decode_json,
     decode_payload,
@@ -33,19 +30,33 @@ from turnout.sources import (
 )
 from turnout.sources.decode import DECODED_SCHEMA
 from turnout.streaming.config import JobConfig
+from turnout.streaming.panes import pane_counts, pane_seconds, touched_windows, write_panes
 from turnout.streaming.session import adaptive, stream_session
 
+MEMBER_KEYS = "member_id bigint, member_name string"
+TOPIC_KEYS = "topic string"
+
+
+def _names(keys: str) -> list[str]:
+    return [key.split()[0] for key in keys.split(", ")]
+
 
 def _start(
-    finished: DataFrame, on_batch: Callable[[DataFrame, int], None], name: str, cfg: JobConfig
+    rsvps: DataFrame, on_batch: Callable[[DataFrame, int], None], name: str, outputs: list[str], cfg: JobConfig
 ) -> StreamingQuery:
+    spark = rsvps.sparkSession
+    # Batch ids start over with a new checkpoint, and would replace what earlier ones wrote.
+    if not has_files(spark, cfg.checkpoint(name)):
+        for output in outputs:
+            if has_files(spark, cfg.index(output)):
+                raise ValueError(f"{cfg.index(output)} holds results of another checkpoint; use a new output_path")
+
     def adaptively(batch: DataFrame, batch_id: int) -> None:
         with adaptive(batch):
             on_batch(batch, batch_id)
 
     return (
-        finished.writeStream.queryName(name)
-        .outputMode("append")
+        rsvps.writeStream.queryName(name)
         .option("checkpointLocation", cfg.checkpoint(name))
         .trigger(**cfg.trigger())
         .foreachBatch(adaptively)
@@ -54,47 +65,58 @@ def _start(
 
 
 def start_members(rsvps: DataFrame, cfg: JobConfig) -> StreamingQuery:
-    """Rank the most active members of every window into the ``agg-users`` index."""
-    counts = member_counts(rsvps, cfg.length, cfg.slide, cfg.time_col, cfg.watermark)
+    """The most active members of every window, bursting members, and an alert for each burst.
 
-    def finish(batch: DataFrame, batch_id: int) -> None:
-        write_daily(rank_members(batch, cfg.top_members), cfg.index("agg-users"), batch_id)
+    One scan serves all three: the panes divide the windows of each. They are in ``panes-members``,
+    results in ``agg-users``, ``agg-rascals`` and ``alerts``. An alert is sent once for a window
+    and member, by the batch in which the count first passes the threshold, with the count then.
+    """
+    pane = pane_seconds(cfg.length, cfg.slide, cfg.burst_length, cfg.burst_slide)
+    panes = cfg.index("panes-members")
+
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        own = pane_counts(batch, _names(MEMBER_KEYS), pane, cfg.time_col)
+        write_panes(own, panes, batch_id)
+        counts = touched_windows(spark, panes, MEMBER_KEYS, batch_id, cfg.length, cfg.slide)
+        if counts is None:
+            return
+        write_daily(rank_members(counts, cfg.top_members), cfg.index("agg-users"), batch_id)
+        counts = touched_windows(spark, panes, MEMBER_KEYS, batch_id, cfg.burst_length, cfg.burst_slide)
+        bursts = counts.where(F.col("count") > cfg.burst_threshold)
+        bursts = bursts.withColumn("dateForIndex", day_label(F.col("window_end")))
+        write_daily(bursts, cfg.index("agg-rascals"), batch_id)
+        if not has_files(spark, cfg.index("agg-rascals")):
+            return
+        # The alerts come from what was stored, which is small, not from the panes once more.
+        stored = read_index(spark, cfg.index("agg-rascals"), INDEX_COLUMNS["agg-rascals"])
+        keys = ["window_start", *_names(MEMBER_KEYS)]
+        known = stored.where(F.col("batch_id") < batch_id).select(
+            *[F.coalesce(F.col(k).cast("string"), F.lit("")).alias(f"known_{k}") for k in keys]
+        )
+        same = [F.coalesce(F.col(k).cast("string"), F.lit("")) == F.col(f"known_{k}") for k in keys]
+        new = stored.where(F.col("batch_id") == batch_id).join(known, same, "left_anti")
+        alerts = alert_payload(new, cfg.burst_length, cfg.max_alerts)
+        publish_alerts(alerts, cfg.index("alerts"), batch_id, cfg.alert_format, cfg.alert_options)
 
-    return _start(counts, finish, "agg-users", cfg)
+    # Projected before the batches are cut, so that the scan reads no more.
+    return _start(members(rsvps, cfg.time_col), fold, "members", ["panes-members", "agg-users", "agg-rascals", "alerts"], cfg)
 
 
 def start_topics(rsvps: DataFrame, cfg: JobConfig) -> StreamingQuery:
-    """Rank the trending topics of every window into the ``agg-topics`` index."""
-    counts = topic_counts(rsvps, cfg.length, cfg.slide, cfg.time_col, cfg.watermark)
-
-    def finish(batch: DataFrame, batch_id: int) -> None:
-        write_daily(rank_topics(batch, cfg.top_topics), cfg.index("agg-topics"), batch_id)
-
-    return _start(counts, finish, "agg-topics", cfg)
-
-
-def start_bursts(rsvps: DataFrame, cfg: JobConfig) -> StreamingQuery:
-    """Store bursting members in ``agg-rascals`` and publish an alert for each.
-
-    The batch feeds two sinks and an emptiness check, so it is kept for their duration; a lost
-    executor only means that its part is computed again from the state store.
-    """
-    bursts = burst_members(
-        rsvps, cfg.burst_length, cfg.burst_slide, cfg.burst_threshold, cfg.time_col, cfg.watermark
-    )
+    """The trending topics of every window: panes in ``panes-topics``, results in ``agg-topics``."""
+    pane, panes = pane_seconds(cfg.length, cfg.slide), cfg.index("panes-topics")
 
-    def finish(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            write_daily(batch, cfg.index("agg-rascals"), batch_id)
-            alerts = alert_payload(batch, cfg.burst_length, cfg.max_alerts)
-            publish_alerts(
-                alerts, cfg.index("alerts"), batch_id, cfg.alert_format, cfg.alert_options
-            )
-        finally:
-            batch.unpersist()
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        write_panes(pane_counts(batch, _names(TOPIC_KEYS), pane, cfg.time_col), panes, batch_id)
+        if not has_files(batch.sparkSession, panes):
+            return
+        counts = touched_windows(batch.sparkSession, panes, TOPIC_KEYS, batch_id, cfg.length, cfg.slide)
+        if counts is not None:
+            write_daily(rank_topics(counts, cfg.top_topics), cfg.index("agg-topics"), batch_id)
 
-    return _start(bursts, finish, "agg-rascals", cfg)
+    topics = explode_topics(yes_responses(rsvps), cfg.time_col)
+    return _start(topics, fold, "topics", ["panes-topics", "agg-topics"], cfg)
 
 
 def _decode(payloads: DataFrame, cfg: JobConfig) -> DataFrame:
@@ -138,16 +160,14 @@ def rsvp_stream(session: SparkSession, cfg: JobConfig) -> DataFrame:
         staged = session.readStream.schema(DECODED_SCHEMA).parquet(cfg.index("decoded"))
         wire = decoded_rsvps(staged)
     rsvps = normalize(wire)
-    if cfg.time_col == "ingest_time":
-        return with_ingest_time(rsvps)
-    return with_usable_times(rsvps, cfg.future_limit)
+    return with_ingest_time(rsvps) if cfg.time_col == "ingest_time" else rsvps
 
 
 def run_jobs(spark: SparkSession, cfg: JobConfig) -> list[StreamingQuery]:
-    """Start everything: ingest if payloads need decoding, then the three analyses.
+    """Start everything: ingest if payloads need decoding, then the analyses.
 
-    The analyses are separate queries with separate checkpoints, so each restarts on its own,
-    and each reads only the columns it needs. A run on an existing checkpoint resumes it.
+    Members with bursts and topics are separate queries with separate checkpoints, so each restarts
+    on its own, and each reads only the columns it needs. A run on an existing checkpoint resumes it.
     """
     session = stream_session(spark)
     queries = []
@@ -157,7 +177,7 @@ def run_jobs(spark: SparkSession, cfg: JobConfig) -> list[StreamingQuery]:
         if cfg.available_now:
             ingest.awaitTermination()
     rsvps = rsvp_stream(session, cfg)
-    return queries + [start(rsvps, cfg) for start in (start_members, start_topics, start_bursts)]
+    return queries + [start(rsvps, cfg) for start in (start_members, start_topics)]
 
 
 def await_jobs(queries: list[StreamingQuery], run_minutes: float = 0) -> None:
