@@ -454,6 +454,7 @@ ranked AS (
 
 def _alerts(threshold: int, cap: int = 1 << 62) -> str:
     """CTE ``alert``: bursts, as many as the cap allows, with title, text and the JSON of all six fields."""
+    # The title and the parts of the message.
     return f"""
 burst AS (SELECT *, {_DAY} AS day FROM finished WHERE count > {threshold}),
 chosen AS (
