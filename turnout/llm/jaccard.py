@@ -22,7 +22,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
-from math import comb, exp
+from math import exp, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +34,10 @@ from turnout.llm.components import components
 from turnout.llm.tokens import batched, texts_of
 from turnout.sinks import shared_dir
 
-#: Bands grow by this factor; exact segments beyond the number needed, at most.
-BAND_GROWTH, MOST_SPARE = 1.4, 24
-#: What a nearly empty segment costs, in keys.
-SMALL_COST = 16.0
+#: Bands grow by this factor.
+BAND_GROWTH = 1.4
+#: What a segment of no, one or two elements costs, in keys; such keys are shared by chance.
+SMALL_COSTS = (256.0, 32.0, 2.0)
 #: Elements in a block, and distinct words that a worker remembers.
 BLOCK, REMEMBERED = 1 << 19, 1 << 19
 
@@ -102,23 +102,31 @@ def allocation(band: int, percent: int) -> tuple[int, int, int]:
     """Segments that tolerate a difference, exact segments, and exact keys each set leaves out.
 
     Always ``2 * tolerant + exact - left_out > H``. Costs are keys made and, dearer, segments of at
-    most one element among those kept, for a set at the low end of the band.
+    most two elements among those kept, for a set at the low end of the band. Spare segments cost
+    no keys, since as many are left out, but make all segments smaller.
     """
     low, high = int(band_starts()[band]), int(band_starts()[band + 1]) - 1
     need = most_differences(high, percent) + 1
     if need == 1:
         return 0, 1, 0
-    choices = []
-    for spare in range(MOST_SPARE + 1):
-        m = need + spare
-        small = exp(-low / m) * (1 + low / m)
-        # The expected number of small segments beyond those left out.
-        at_most = [comb(m, i) * small**i * (1 - small) ** (m - i) * (spare - i) for i in range(spare)] if m < 200 else []
-        kept_small = m * small - spare + sum(at_most) if m < 200 else max(0.0, m * small - spare)
-        choices.append((need + SMALL_COST * kept_small, (0, m, spare)))
+
+    def cost(m: int, share: float, left_out: int, each: float) -> float:
+        """Of segments with few elements, smallest left out first, with room for two deviations."""
+        total, chance = 0.0, exp(-share)
+        for count, dear in enumerate(SMALL_COSTS):
+            there = m * chance + 2 * sqrt(m * chance)
+            gone = min(there, left_out)
+            left_out -= gone
+            total += dear * each * (there - gone)
+            chance *= share / (count + 1)
+        return total
+
+    spares = {*range(9), *(need * i // 8 for i in range(1, 9))}
+    choices = [(need + cost(need + s, low / (need + s), s, 1.0), (0, need + s, s)) for s in spares]
     tolerant = -(-need // 2)
     share = low / tolerant
-    choices.append((tolerant + high + SMALL_COST * tolerant * (1 + share) * exp(-share) * (1 + share), (tolerant, 0, 0)))
+    # A tolerant segment is as good as one that has an element less, and that is so for each of its keys.
+    choices.append((tolerant + high + cost(tolerant, max(0.0, share - 1), 0, 1 + share), (tolerant, 0, 0)))
     return min(choices)[1]
 
 
@@ -257,31 +265,34 @@ def _links(texts: DataFrame, shared: DataFrame, root: str, numbered, percent: in
     )
     placed.write.parquet(f"{root}/blocks")
     blocks = spark.read.parquet(f"{root}/blocks")
-    of_key = shared.select("key", "id").join(blocks, "id").select("key", "block").distinct()
-    of_key.write.parquet(f"{root}/key-blocks")
-    left = spark.read.parquet(f"{root}/key-blocks")
-    right = left.select("key", F.col("block").alias("other"))
-    across = left.join(right, "key").where("block < other").select("block", "other").distinct()
-    within = blocks.groupBy("block").count().where("count > 1").select("block", F.col("block").alias("other"))
-    across.unionByName(within).write.parquet(f"{root}/cells")
-    cells = spark.read.parquet(f"{root}/cells").withColumn("cell", F.concat_ws("/", "block", "other"))
-    seats = cells.select("block", "cell").unionByName(
-        cells.where("block <> other").select(F.col("other").alias("block"), "cell")
+    shared.select("key", "id").join(blocks, "id").write.parquet(f"{root}/placed")
+    by_key = spark.read.parquet(f"{root}/placed")
+    # A document goes to the cell of its block and, for each key that is in other blocks too, to
+    # the cells of those pairs of blocks.
+    others = by_key.select("key", F.col("block").alias("other")).distinct()
+    across = by_key.join(others, "key").where("block <> other").select(
+        "id", F.concat_ws("/", F.least("block", "other"), F.greatest("block", "other")).alias("cell")
+    ).distinct()
+    within = blocks.join(blocks.groupBy("block").count().where("count > 1"), "block").select(
+        "id", F.concat_ws("/", "block", "block").alias("cell")
     )
-
-    wanted = texts.join(blocks.hint("shuffle_hash"), "id").select("id", "text", "block")
+    seats = across.unionByName(within).groupBy("id").agg(F.collect_list("cell").alias("cells"))
+    seats.join(blocks, "id").write.parquet(f"{root}/seats")
+    seated = spark.read.parquet(f"{root}/seats")
+    wanted = texts.join(seated.hint("shuffle_hash"), "id").select("id", "text", "block", "cells")
+    schema = pa.schema([("cell", pa.string()), ("id", pa.int64()), ("block", pa.string()), ("elements", pa.binary())])
 
     def sets(batches):
-        def rows(batch_iter):
-            for batch in batch_iter:
-                names = batch.column(2).to_pylist()
-                for (doc, found), block in zip(numbered([batch]), names):
-                    yield doc, block, found.tobytes()
+        def rows():
+            for batch in batches:
+                more = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+                for (doc, found), (block, cells) in zip(numbered([batch]), more):
+                    for cell in cells:
+                        yield cell, doc, block, found.tobytes()
 
-        yield from batched(rows(batches), set_schema, size=lambda r: len(r[2]))
+        yield from batched(rows(), schema, size=lambda r: len(r[3]))
 
-    set_schema = pa.schema([("id", pa.int64()), ("block", pa.string()), ("elements", pa.binary())])
-    gathered = wanted.mapInArrow(sets, "id bigint, block string, elements binary").join(seats, "block")
+    gathered = wanted.mapInArrow(sets, "cell string, id bigint, block string, elements binary")
 
     def compare(table: pa.Table) -> pa.Table:
         ids, names = table["id"].to_pylist(), table["block"].to_pylist()
