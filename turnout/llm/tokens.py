@@ -7,6 +7,7 @@ as long as the Python worker lives. What is remembered is bounded and does not c
 
 from __future__ import annotations
 
+import json
 import string
 from collections.abc import Callable, Iterator
 
@@ -15,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Distinct stretches that a worker remembers before it starts over, and the longest of them.
-REMEMBERED, LONGEST = 1 << 20, 64
+#: Distinct stretches that a worker remembers before it drops the later half, and the longest of them.
+REMEMBERED, LONGEST = 600_000, 64
 #: The id that ends each document.
 END_ID = 1
 
@@ -42,8 +43,20 @@ class _Known(dict):
         return b""
 
 
+def _splits_at_spaces(tokenizer) -> bool:
+    """Whether white space is dropped, letters are lower-cased, and runs of letters stand alone."""
+    parts = json.loads(tokenizer.to_str())
+    normalizers = [n["type"] for n in (parts["normalizer"] or {}).get("normalizers", [])]
+    splits = [p for p in (parts["pre_tokenizer"] or {}).get("pretokenizers", []) if p["type"] == "Split"]
+    dropped = any(p["behavior"] == "Removed" and p["invert"] for p in splits)
+    return normalizers == ["NFC", "Replace", "Lowercase"] and dropped
+
+
 class Encoder:
-    """Whole texts to ids; equal to encoding each text at once with the tokenizers library."""
+    """Whole texts to ids; equal to encoding each text at once with the tokenizers library.
+
+    Tokenizers that do not split at spaces get whole texts.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -54,16 +67,21 @@ class Encoder:
         self._ends = np.zeros(self.size, bool)
         self._ends[[i for token, i in vocabulary.items() if token.endswith(_END_OF_WORD)]] = True
         self._known = _Known()
+        self._by_stretch = _splits_at_spaces(self._tokenizer)
 
     def __call__(self, text: str) -> bytes:
+        if not self._by_stretch:
+            return self._encode(text).tobytes()
         known = self._known
         chunks = text.replace("\n", " ").replace("\t", " ").split(" ")
         ids = b"".join(map(known.__getitem__, chunks))
         if not known.asked:
             return ids
         if len(known) + len(known.asked) > REMEMBERED:
-            known.clear()
-            known.asked.update(chunks)
+            # Frequent stretches come early.
+            for chunk in list(known)[REMEMBERED // 2 :]:
+                del known[chunk]
+            known.asked.update(chunk for chunk in chunks if chunk not in known)
         new, known.asked = known.asked, set()
         self._learn(new)
         ids = b"".join(map(known.__getitem__, chunks))
@@ -77,8 +95,14 @@ class Encoder:
 
     def _learn(self, chunks: set[str]) -> None:
         words: dict[str, list[tuple[str, str]]] = {}
+        model = self._tokenizer.model
         for chunk in chunks:
             word = chunk.rstrip(_MARKS)
+            if word.isalpha() and word.isascii():
+                # One token of text that needs no more normalizing than this.
+                ids = np.array([token.id for token in model.tokenize(word.lower())], "<u4").tobytes()
+                self._known[chunk] = ids + self._marks(chunk[len(word):]) if word != chunk else ids
+                continue
             # Latin letters and then marks are two tokens' worth of text, whatever stands around.
             if word.isalpha() and max(word) <= _LAST_LATIN:
                 words.setdefault(word, []).append((chunk, chunk[len(word):]))
