@@ -190,8 +190,8 @@ def fit(docs: DataFrame, labels: DataFrame, trainable: Column, label: str = "qua
         prepare, "label int, buckets binary, counts binary"
     ).collect()
     examples = sorted((r.label, bytes(r.buckets), bytes(r.counts)) for r in rows)
-    read = lambda b: np.frombuffer(b, "<u4").astype(np.int64)
-    return train([(label, read(buckets), read(counts)) for label, buckets, counts in examples])
+    del rows
+    return train([(label, np.frombuffer(b, "<u4"), np.frombuffer(c, "<u4")) for label, b, c in examples])
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
