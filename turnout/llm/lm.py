@@ -36,8 +36,8 @@ SLOTS = (1 << 8, 1 << 13, 1 << 15, 1 << 16)
 #: Never part of UTF-8, so free to mark the end.
 END = 0xFF
 #: Bytes scored with one set of weights; decisions between two updates; bytes of text in a block;
-#: decisions of spans mixed side by side.
-SPAN, TOGETHER, BLOCK_BYTES, CELLS = 4096, 8, 1 << 23, 3 << 22
+#: decisions of spans mixed side by side, and bytes of text whose contexts are held at once.
+SPAN, TOGETHER, BLOCK_BYTES, CELLS, HELD_BYTES = 2048, 8, 1 << 23, 1 << 22, 1 << 21
 #: Cells of the tables that travel together, and bytes counted at once.
 CHUNK, COUNT_BYTES = 1 << 16, 1 << 22
 START_WEIGHTS, RATE, REFINE_RATE, REFINE_BINS = (0.3, 0.3, 0.3, 0.3), 0.02, 0.02, 24
@@ -364,7 +364,12 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     def judge(key, left: pa.Table, right: pa.Table) -> pa.Table:
         known = dict(zip(right["word"].to_pylist(), right["c"].to_pylist()))
         rows, all_texts = [], left["text"].to_pylist()
-        scores = score_texts(all_texts, shared.value)
+        scores, first, size = [], 0, 0
+        for i, text in enumerate(all_texts):
+            size += len(text)
+            if size >= HELD_BYTES or i + 1 == len(all_texts):
+                scores += score_texts(all_texts[first : i + 1], shared.value).tolist()
+                first, size = i + 1, 0
         for doc, text, out, score in zip(left["id"].to_pylist(), all_texts, left["held_out"].to_pylist(), scores):
             # A word that is missing means that the input changed meanwhile, and fails.
             c = np.array([known[word] for word in words_of(text)], float)
