@@ -301,6 +301,23 @@ def test_quality_scorer_equals_its_features():
         assert score == pytest.approx(1 / (1 + math.exp(-logit)))
 
 
+def test_quality_of_a_long_unspaced_text_depends_on_its_end():
+    model = quality.Model(np.random.default_rng(0).normal(size=quality.BUCKETS).astype(np.float32), 0.3)
+    start = "\u4e00\u4e8c\u4e09" * 200
+    texts = [start + "x" * 50 + " a", start + "x" * 50 + "yz" * 300 + " a", "a" + "bA0-" * 30, "a" + "bA0-" * 30 + "+"]
+    scorer = quality.Scorer(model)
+    for scores in (scorer(texts), scorer(texts[::-1])[::-1]):
+        assert abs(scores[0] - scores[1]) > 1e-3
+        for text, score in zip(texts, scores):
+            found = quality.features(text)
+            logit = model.contribution[found].astype(float).sum() / len(found) + model.bias
+            assert score == pytest.approx(1 / (1 + math.exp(-logit)))
+    assert not any(len(word) > quality.LONGEST for word in scorer.words)
+    # All n-grams of the end are among the features, and the shape has no cut either.
+    assert quality._bucket(b"zyz>") in quality.features(texts[1][:-2])
+    assert quality.shape(texts[2].encode()) != quality.shape(texts[3].encode())
+
+
 # --- empty tables ---------------------------------------------------------------------------
 
 

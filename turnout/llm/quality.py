@@ -15,6 +15,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +25,9 @@ from pyspark.sql import functions as F
 from turnout.llm.labelled import training_texts
 from turnout.llm.tokens import texts_of
 
-#: Hashed features, the size of their vectors, character n-grams, and remembered words.
-BUCKETS, DIM, GRAMS, REMEMBERED = 1 << 17, 8, (3, 4, 5), 1 << 19
+#: Hashed features, the size of their vectors, character n-grams, and what a worker remembers:
+#: words, and how long ones.
+BUCKETS, DIM, GRAMS, REMEMBERED, LONGEST = 1 << 17, 8, (3, 4, 5), 1 << 19, 64
 #: Most labelled documents that the classifier is fitted on, and how.
 MOST_TRAINING, EPOCHS, RATE, SEED = 3000, 10, 0.5, 0
 
@@ -37,18 +39,19 @@ def _bucket(key: bytes) -> int:
     return zlib.crc32(key) & (BUCKETS - 1)
 
 
-def word_features(word: bytes) -> list[int]:
-    """Buckets of a word and of its character n-grams, with marks for its ends."""
-    marked = b"<" + word[:64] + b">"
-    grams = [_bucket(marked[i : i + n]) for n in GRAMS for i in range(len(marked) - n + 1)]
-    return [_bucket(b"word " + word), *grams]
+def word_features(word: bytes) -> np.ndarray:
+    """Buckets of a word and of all its character n-grams, with marks for its ends."""
+    marked = b"<" + word + b">"
+    grams = (_bucket(marked[i : i + n]) for n in GRAMS for i in range(len(marked) - n + 1))
+    return np.fromiter(chain([_bucket(b"word " + word)], grams), np.uint32)
 
 
 def shape(word: bytes) -> bytes:
-    """The kinds of characters in a word, runs as one: ``Word,`` gives ``Aa,``."""
+    """The kinds of characters in a word, runs as one: ``Word,`` gives ``Aa,``; long ones hashed."""
     for pattern, sign in _CLASSES:
         word = pattern.sub(sign, word)
-    return _REPEATED.sub(rb"\1\1", word)[:8]
+    kinds = _REPEATED.sub(rb"\1\1", word)
+    return kinds if len(kinds) <= 8 else b"# %08x" % zlib.crc32(kinds)
 
 
 def pair_feature(left: bytes, right: bytes, equal: bool) -> int:
@@ -58,12 +61,12 @@ def pair_feature(left: bytes, right: bytes, equal: bool) -> int:
 def features(text: str) -> np.ndarray:
     """The buckets of all features of a text, repeated as they occur."""
     words = text.encode().split()
-    found = [f for word in words for f in word_features(word)]
+    found = np.concatenate([np.zeros(0, np.uint32), *map(word_features, words)])
     shapes = [shape(word) for word in words]
     pairs = [pair_feature(shapes[i], shapes[i + 1], words[i] == words[i + 1]) for i in range(len(words) - 1)]
     # A pair says as much as a word does with all its n-grams.
     weight = max(1, len(found) // max(1, len(words)))
-    return np.array(found + pairs * weight, np.int64)
+    return np.concatenate([found, np.tile(np.array(pairs, np.uint32), weight)]).astype(np.int64)
 
 
 @dataclass
@@ -114,9 +117,11 @@ class _Words(dict):
 
     def __init__(self):
         self.new: list[bytes] = []
+        self.numbered = 0
 
     def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self)
+        self[word] = n = self.numbered
+        self.numbered += 1
         self.new.append(word)
         return n
 
@@ -130,15 +135,31 @@ class Scorer:
         self.words = _Words()
         self.sums, self.sizes, self.shapes = np.zeros(0), np.zeros(0), np.zeros(0, np.int64)
         self.shape_ids: dict[bytes, int] = {}
+        self.names: list[bytes] = []
         self.pairs: dict[int, float] = {}
 
+    def _shape_id(self, name: bytes) -> int:
+        if name not in self.shape_ids:
+            self.shape_ids[name] = len(self.names)
+            self.names.append(name)
+        return self.shape_ids[name]
+
     def _learn(self) -> None:
-        found = [word_features(word) for word in self.words.new]
-        if found:
-            sizes = np.array([len(f) for f in found])
-            flat = self.model.contribution[np.concatenate([np.array(f) for f in found])].astype(float)
-            sums = np.add.reduceat(flat, np.cumsum(sizes) - sizes)
-            shapes = [self.shape_ids.setdefault(shape(w), len(self.shape_ids)) for w in self.words.new]
+        """Sums of the new words; a long one is summed alone and its bytes are forgotten."""
+        new = self.words.new
+        if new:
+            sums, sizes = np.zeros(len(new)), np.zeros(len(new))
+            short = [i for i, word in enumerate(new) if len(word) <= LONGEST]
+            if short:
+                found = [word_features(new[i]) for i in short]
+                sizes[short] = n = np.array([len(f) for f in found])
+                flat = self.model.contribution[np.concatenate(found)].astype(float)
+                sums[short] = np.add.reduceat(flat, np.cumsum(n) - n)
+            for i in set(range(len(new))).difference(short):
+                one = word_features(new[i])
+                sums[i], sizes[i] = self.model.contribution[one].sum(dtype=float), len(one)
+                del self.words[new[i]]
+            shapes = [self._shape_id(shape(w)) for w in new]
             self.sums, self.sizes = np.append(self.sums, sums), np.append(self.sizes, sizes)
             self.shapes = np.append(self.shapes, shapes)
             self.words.new = []
@@ -150,14 +171,13 @@ class Scorer:
         total = 0.0
         for key, n in zip(kinds.tolist(), counts.tolist()):
             if key not in self.pairs:
-                names = list(self.shape_ids)
-                bucket = pair_feature(names[key >> 32], names[(key & 0xFFFFFFFF) >> 1], bool(key & 1))
+                bucket = pair_feature(self.names[key >> 32], self.names[(key & 0xFFFFFFFF) >> 1], bool(key & 1))
                 self.pairs[key] = float(self.model.contribution[bucket])
             total += n * self.pairs[key]
         return total
 
     def __call__(self, texts: list[str]) -> list[float]:
-        if len(self.words) > REMEMBERED:
+        if max(self.words.numbered, len(self.pairs)) > REMEMBERED:
             self.clear()
         parts = [text.encode().split() for text in texts]
         numbers = [np.fromiter(map(self.words.__getitem__, p), np.int64, len(p)) for p in parts]
