@@ -273,6 +273,41 @@ def test_lm_code_tree_spells_every_byte():
     assert lm.score_texts(many, model).tolist() == pytest.approx([lm.score_texts([t], model)[0] for t in many])
 
 
+def test_lm_counts_of_contexts_grow_with_the_corpus(spark):
+    pick = random.Random(7)
+    texts = ["".join(pick.choices("abcdefghijklmnop ", k=40)) for _ in range(3000)]
+    rows = spark.createDataFrame([(i, t, i % 5 == 0) for i, t in enumerate(texts)], "id bigint, text string, held_out boolean")
+    counted = rows.repartition(3).mapInArrow(lm.block_contexts, lm._KEYED_SCHEMA)
+    summed = counted.repartition(2, "kind", "key").sortWithinPartitions("kind", "key").mapInArrow(lm.summed_contexts, lm._KEYED_SCHEMA)
+    got = {}
+    for r in summed.collect():
+        entries = np.frombuffer(r.data, lm._NEXT)
+        assert got.setdefault((r.kind, r.key), entries.tolist()) == entries.tolist()
+    for kind, order in enumerate(lm.ORDERS):
+        want, asked = {}, set()
+        for i, text in enumerate(texts):
+            data = bytes([lm.END] * order) + text.encode() + bytes([lm.END])
+            for at in range(order, len(data)):
+                key = int.from_bytes(data[at - order : at], "big")
+                asked.add(key)
+                if i % 5:
+                    want.setdefault(key, Counter())[data[at]] += 1
+        assert {key for k, key in got if k == kind} == asked
+        assert all(got[kind, key] == sorted(want.get(key, Counter()).items()) for key in asked)
+    assert len({key for kind, key in got if kind == lm.ORDERS.index(5)}) > 1 << 16
+    heads = {text[:at].split(" ")[-1] if text[:at] else "" for text in texts for at in range(len(text) + 1)}
+    assert len({key for kind, key in got if kind == lm.KEYED - 1}) == len(heads)
+
+
+def test_lm_remembers_a_passage_however_much_else_there_is(spark):
+    pick = random.Random(8)
+    passage = "".join(pick.choices("abcdefghijklmnopqrstuvwxyz ", k=400))
+    other = ["".join(pick.choices("abcdefghijklmnopqrstuvwxyz ", k=400)) for _ in range(2000)]
+    rows = [(2, passage, "a"), (3, other[0][::-1], "a"), (4, passage, "a"), *((10 + i, t, "a") for i, t in enumerate(other))]
+    scores = {r.doc_id: r.score for r in lm.score_documents(table(spark, rows), F.col("doc_id").isin(2, 3)).where("doc_id < 10").collect()}
+    assert scores[2] == pytest.approx(scores[4]) and scores[2] > 0.5 * scores[3]
+
+
 @pytest.mark.parametrize("fit, module, label, threshold", [
     (quality.fit, quality, "quality", 0.7), (toxicity.fit, toxicity, "toxic", 0.5),
 ])

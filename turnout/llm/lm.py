@@ -1,22 +1,23 @@
-"""Language-model scores: online logistic mixing of hashed-context bit predictors.
+"""Language-model scores: online logistic mixing of context bit predictors.
 
 A text is a sequence of bytes and an end mark, each spelled as decisions along one binary code
 tree (a Huffman tree of the training bytes). For each decision several predictors look up how the
-training texts went on in their context: the last one, two or three bytes, or the word so far. A
-logistic mixer weighs their opinions; its weights are chosen by which contexts are known and are
-learned online, and a last stage refines the mixed probability adaptively; both learn after every
-``TOGETHER`` decisions. Weights and
+training texts went on in their context: the last one, two, three or five bytes, or the word so
+far. A logistic mixer weighs their opinions; its weights are chosen by which contexts are known and
+are learned online, and a last stage refines the mixed probability adaptively; both learn after
+every ``TOGETHER`` decisions. Weights and
 refinement start afresh every ``SPAN`` bytes, so spans are independent and run side by side.
 
-The predictors are counts over all training texts, in tables of fixed size. The plain base model
-beside it needs the count of every word, which has no such bound: texts are scored in blocks of
-bounded size, and each block is sent the counts of its own words.
+The predictors are counts over all training texts. Those of one byte are a table of 256 rows; those
+of longer contexts are keyed rows whose number grows with the corpus, like the count of every word
+for the plain base model beside it. Texts are scored in blocks of bounded size, and each block is
+sent the counts of its own contexts and words. Contexts of bytes are their own keys; the word so
+far has a 64-bit hash.
 """
 
 from __future__ import annotations
 
 import heapq
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,22 +32,26 @@ from pyspark.sql import functions as F
 from turnout.llm.tokens import batched
 from turnout.sinks import shared_dir
 
-#: Slots of each context's table: one byte, two, three, the word so far.
-SLOTS = (1 << 8, 1 << 13, 1 << 15, 1 << 16)
+#: Rows of the table of one-byte contexts, the lengths of longer ones, and how many kinds are keyed:
+#: those and the word so far.
+SLOTS, ORDERS = (1 << 8,), (2, 3, 5)
+KEYED = len(ORDERS) + 1
 #: Never part of UTF-8, so free to mark the end.
 END = 0xFF
 #: Bytes scored with one set of weights; decisions between two updates; bytes of text in a block;
 #: decisions of spans mixed side by side, and bytes of text whose contexts are held at once.
-SPAN, TOGETHER, BLOCK_BYTES, CELLS, HELD_BYTES = 2048, 8, 1 << 23, 1 << 22, 1 << 21
-#: Cells of the tables that travel together, and bytes counted at once.
-CHUNK, COUNT_BYTES = 1 << 16, 1 << 22
-START_WEIGHTS, RATE, REFINE_RATE, REFINE_BINS = (0.3, 0.3, 0.3, 0.3), 0.02, 0.02, 24
+SPAN, TOGETHER, BLOCK_BYTES, CELLS, HELD_BYTES = 2048, 8, 1 << 22, 1 << 22, 1 << 20
+#: Rows that travel together, and bytes counted at once.
+ROWS, COUNT_BYTES = 1 << 14, 1 << 22
+START_WEIGHTS, RATE, REFINE_RATE, REFINE_BINS = (0.25, 0.25, 0.25, 0.25, 0.25), 0.02, 0.02, 24
 #: Stretched probabilities are kept in steps of 1/16 as far as +-8.
 STEP, PRIOR = 16.0, 0.4
 
-_STARTS = np.concatenate([[0], np.cumsum(SLOTS)])
-_FACTOR = 0x9E3779B1
-_INVERSE = pow(_FACTOR, -1, 1 << 32)
+#: A byte that followed a context, and how often.
+_NEXT = np.dtype([("byte", "u1"), ("n", "<i8")])
+_FACTOR = 0x9E3779B97F4A7C15
+_INVERSE = pow(_FACTOR, -1, 1 << 64)
+_BYTES = np.random.default_rng(0).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 
 # --- contexts -------------------------------------------------------------------------------
@@ -54,39 +59,63 @@ _INVERSE = pow(_FACTOR, -1, 1 << 32)
 
 @lru_cache(maxsize=4)
 def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint32)
+    out = np.full(n, base, np.uint64)
     out[0] = 1
-    return np.cumprod(out, dtype=np.uint32)
+    return np.cumprod(out, dtype=np.uint64)
 
 
-def _slot(key: np.ndarray, slots: int) -> np.ndarray:
-    """The top bits of a scrambled key."""
-    return (key * np.uint32(0x85EBCA6B)) >> np.uint32(32 - slots.bit_length() + 1)
-
-
-def contexts(data: np.ndarray) -> np.ndarray:
-    """Row of the tables for each context and byte of one text, end mark included."""
+def contexts(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Last byte, and key of each longer kind of context, before each byte of texts with end marks."""
     n = len(data)
-    size = 1 << max(14, n.bit_length())
-    before = np.zeros(n + 3, np.uint32)
-    before[3:] = data
-    one, two, three = before[2 : 2 + n], before[1 : 1 + n], before[:n]
-    pair = (two << np.uint32(8)) + one + np.uint32(1)
+    first = np.zeros(n, np.int32)
+    after = np.flatnonzero(data[:-1] == END) + 1
+    first[after] = after
+    np.maximum.accumulate(first, out=first)
+    age = np.arange(n, dtype=np.int32) - first
+    keys, run = np.empty((KEYED, n), np.uint64), np.zeros(n, np.uint64)
+    last = np.full(n, END, np.uint8)
+    for back in range(1, max(ORDERS) + 1):
+        before = np.full(n, END, np.uint8)
+        before[back:] = data[:-back]
+        before[age < back] = END
+        run |= before.astype(np.uint64) << np.uint64(8 * (back - 1))
+        if back == 1:
+            last = before
+        if back in ORDERS:
+            keys[ORDERS.index(back)] = run
     # Hash of the bytes since the last white space, from sums of powers.
-    summed = np.zeros(n + 1, np.uint32)
-    np.cumsum((before[3:] + np.uint32(1)) * _powers(_FACTOR, size)[:n], dtype=np.uint32, out=summed[1:])
-    begin = np.zeros(n, np.int32)
+    size = 1 << max(14, n.bit_length())
+    summed = np.zeros(n + 1, np.uint64)
+    np.cumsum(_BYTES[data] * _powers(_FACTOR, size)[:n], dtype=np.uint64, out=summed[1:])
+    begin = first
     after = np.flatnonzero((data[:-1] == 32) | (data[:-1] - np.uint8(9) < 5)) + 1
     begin[after] = after
     np.maximum.accumulate(begin, out=begin)
-    word = (summed[:n] - summed[begin]) * _powers(_INVERSE, size)[begin] + np.uint32(1)
-    rows = np.empty((len(SLOTS), n), np.int32)
-    rows[0] = one
-    rows[1] = _slot(pair, SLOTS[1])
-    rows[2] = _slot((three << np.uint32(16)) + pair, SLOTS[2])
-    rows[3] = _slot(word, SLOTS[3])
-    rows += _STARTS[:-1, None].astype(np.int32)
-    return rows
+    keys[-1] = (summed[:n] - summed[begin]) * _powers(_INVERSE, size)[begin]
+    return last, keys
+
+
+def numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each distinct key stands first or later, and each key's number among those.
+
+    Keys that meet in a slot are told apart and dealt again.
+    """
+    chosen, todo, factor = np.empty(len(keys), np.int32), np.arange(len(keys), dtype=np.int32), _FACTOR
+    while len(todo):
+        own = keys[todo]
+        bits = max(4, (2 * len(todo)).bit_length())
+        slot = (own ^ (own >> np.uint64(29))) * np.uint64(factor) >> np.uint64(64 - bits)
+        place = np.empty(1 << bits, np.int32)
+        place[slot] = todo
+        one = place[slot]
+        same = keys[one] == own
+        chosen[todo[same]] = one[same]
+        todo, factor = todo[~same], (factor * 0xD1342543DE82EF95 + 2) % (1 << 64) | 1
+    number = np.zeros(len(keys), np.int32)
+    number[chosen] = 1
+    found = np.flatnonzero(number)
+    number[found] = np.arange(len(found), dtype=np.int32)
+    return found, number[chosen]
 
 
 def spelled(text: str) -> np.ndarray:
@@ -146,6 +175,43 @@ def build_model(counts: np.ndarray) -> Model:
     return Model(stretch.reshape(-1), nodes, bits, np.array([len(p) for p in paths]))
 
 
+@dataclass
+class Known:
+    """For ascending context keys, where each one's following bytes begin and end in ``follow``."""
+
+    keys: np.ndarray
+    bounds: np.ndarray
+    follow: np.ndarray
+
+
+def _ranges(begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All whole numbers from each beginning on, as many as its size."""
+    return np.repeat(begin - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
+def stretched(keys: np.ndarray, known: Known | None, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Stretched predictions of the distinct contexts among ``keys`` by tree node, and each key's row."""
+    found, row = numbered(keys)
+    table = np.zeros(len(found) * 256, np.int8)
+    if known is None:
+        return table, row
+    distinct = keys[found]
+    at = np.searchsorted(known.keys, distinct)
+    if not (at < len(known.keys)).all() or (known.keys[at] != distinct).any():
+        raise ValueError("a context is missing: the input changed meanwhile")
+    sizes = known.bounds[at + 1] - known.bounds[at]
+    follow = known.follow[_ranges(known.bounds[at], sizes)]
+    lengths = model.lengths[follow["byte"]]
+    path = _ranges(follow["byte"].astype(np.int64) * model.nodes.shape[1], lengths)
+    cell = np.repeat(np.repeat(np.arange(len(found)) * 256, sizes), lengths) + model.nodes.reshape(-1)[path]
+    n = np.repeat(follow["n"], lengths).astype(float)
+    where, number = numbered(cell.astype(np.uint64))
+    n1 = np.bincount(number, weights=n * model.bits.reshape(-1)[path])
+    odds = np.log((n1 + PRIOR) / (np.bincount(number, weights=n) - n1 + PRIOR))
+    table[cell[where]] = np.rint(np.clip(odds * STEP, -127, 127))
+    return table, row
+
+
 # --- mixing ---------------------------------------------------------------------------------
 
 
@@ -183,10 +249,11 @@ def _mix(x: np.ndarray, bits: np.ndarray, active: np.ndarray) -> np.ndarray:
     return np.clip(out, 1e-5, 1, out=out)
 
 
-def score_texts(texts: list[str], model: Model) -> np.ndarray:
-    """Log10 probability of each text, end mark included."""
+def score_texts(texts: list[str], model: Model, known: list[Known] | None = None) -> np.ndarray:
+    """Log10 probability of each text, end mark included; without ``known`` by the last byte alone."""
     data = [spelled(text) for text in texts]
-    rows = [contexts(d) for d in data]
+    last, keys = contexts(np.concatenate(data))
+    starts = np.cumsum([0, *map(len, data)])
     spans = [(i, a) for i, d in enumerate(data) for a in range(0, len(d), SPAN)]
     steps = np.array([model.lengths[data[i][a : a + SPAN]].sum() for i, a in spans])
     order = np.argsort(-steps, kind="stable")
@@ -198,7 +265,8 @@ def score_texts(texts: list[str], model: Model) -> np.ndarray:
         n = len(group)
         # All decisions of the group, span after span.
         byte = np.concatenate([data[spans[g][0]][spans[g][1] : spans[g][1] + SPAN] for g in group])
-        row = np.concatenate([rows[spans[g][0]][:, spans[g][1] : spans[g][1] + SPAN] for g in group], axis=1)
+        begin = np.array([starts[spans[g][0]] + spans[g][1] for g in group])
+        here = _ranges(begin, np.array([len(data[spans[g][0]][spans[g][1] : spans[g][1] + SPAN]) for g in group]))
         lengths = model.lengths.astype(np.int32).take(byte)
         which = np.repeat(np.arange(len(byte), dtype=np.int32), lengths)
         depth = np.arange(len(which), dtype=np.int32) - np.repeat(np.cumsum(lengths, dtype=np.int32) - lengths, lengths)
@@ -208,9 +276,13 @@ def score_texts(texts: list[str], model: Model) -> np.ndarray:
         # Where each span's decisions go in a row of the longest span's length.
         gaps = (np.arange(n) * longest - (np.cumsum(sizes) - sizes)).astype(np.int32)
         place = np.arange(len(which), dtype=np.int32) + np.repeat(gaps, sizes)
-        x, bits = np.zeros((longest * n, len(SLOTS)), np.int8), np.zeros(longest * n, np.int8)
-        for c in range(len(SLOTS)):
-            x[place, c] = model.stretch.take(row[c].take(which) * np.int32(256) + node)
+        x, bits = np.zeros((longest * n, 1 + KEYED), np.int8), np.zeros(longest * n, np.int8)
+        for c in range(1 + KEYED):
+            if c == 0:
+                table, row = model.stretch, last[here].astype(np.int32)
+            else:
+                table, row = stretched(keys[c - 1][here], known[c - 1] if known else None, model)
+            x[place, c] = table.take(row.take(which) * np.int32(256) + node)
         bits[place] = model.bits.reshape(-1).take(path)
         active = np.searchsorted(-sizes, -np.arange(longest), side="left")
         chosen = _mix(x.reshape(n, longest, -1), bits.reshape(n, longest), active)
@@ -222,74 +294,117 @@ def score_texts(texts: list[str], model: Model) -> np.ndarray:
 # --- on Spark -------------------------------------------------------------------------------
 
 
-def _chunks(table: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    for chunk in range(-(-len(table) // CHUNK)):
-        part = table[chunk * CHUNK : (chunk + 1) * CHUNK]
-        seen = np.flatnonzero(part)
-        if len(seen):
-            packed = np.concatenate([seen.astype("<u4"), part[seen].astype("<i8").view("<u4")])
-            yield chunk, zlib.compress(packed.tobytes(), 1)
-
-
-def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    packed = np.frombuffer(zlib.decompress(data), "<u4")
-    n = len(packed) // 3
-    return packed[:n], packed[n:].view("<i8")
-
-
-_CHUNK_SCHEMA = pa.schema([("chunk", pa.int32()), ("data", pa.binary())])
-
-
-def count_contexts(texts: DataFrame) -> np.ndarray:
-    """How often each byte followed each context, over all rows of ``texts``.
-
-    Each task counts into tables of fixed size; their parts are summed one after another.
-    """
-    cells = int(_STARTS[-1]) * 256
+def count_bytes(texts: DataFrame) -> np.ndarray:
+    """How often each byte followed each other, over all rows of ``texts``."""
+    cells = SLOTS[0] * 256
 
     def count(batches):
-        table, held, size = np.zeros(cells, np.int32), [], 0
+        table, held, size = np.zeros(cells, np.int64), [], 0
 
         def add() -> None:
             nonlocal held, size
-            found = np.concatenate(held, axis=1) if held else np.zeros((len(SLOTS), 0), np.int32)
-            for row, start, slots in zip(found, _STARTS, SLOTS):
-                part = table[start * 256 : (start + slots) * 256]
-                part += np.bincount(row - start * 256, minlength=len(part)).astype(np.int32)
+            if held:
+                data = np.concatenate([spelled(text) for text in held])
+                before = np.concatenate([[END], data[:-1]]).astype(np.int32)
+                table[:] += np.bincount(before * 256 + data, minlength=cells)
             held, size = [], 0
 
         for batch in batches:
-            for text in batch.column(0):
-                data = spelled(text.as_py())
-                held.append(contexts(data) * np.int32(256) + data)
-                size += len(data)
+            for text in batch.column(0).to_pylist():
+                held.append(text)
+                size += len(text)
                 if size >= COUNT_BYTES:
                     add()
         add()
-        yield from batched(_chunks(table), _CHUNK_SCHEMA, size=lambda r: len(r[1]))
+        seen = np.flatnonzero(table)
+        yield pa.record_batch([pa.array(seen, pa.int32()), pa.array(table[seen], pa.int64())], names=["cell", "n"])
 
-    def total(batches):
-        at, table = None, None
-        for batch in batches:
-            for chunk, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if chunk != at:
-                    if at is not None:
-                        yield from batched(((at, d) for _, d in _chunks(table)), _CHUNK_SCHEMA)
-                    at, table = chunk, np.zeros(CHUNK, np.int64)
-                cell, n = _unpacked(data)
-                table[cell] += n
-        if at is not None:
-            yield from batched(((at, d) for _, d in _chunks(table)), _CHUNK_SCHEMA)
-
-    schema = "chunk int, data binary"
-    parts = texts.select("text").mapInArrow(count, schema).repartition("chunk").sortWithinPartitions("chunk")
     counts = np.zeros(cells, np.float32)
-    for chunk, data in parts.mapInArrow(total, schema).collect():  # the tables' fixed size at most
-        cell, n = _unpacked(bytes(data))
-        counts[chunk * CHUNK + cell.astype(np.int64)] = n
+    for cell, n in texts.select("text").mapInArrow(count, "cell int, n bigint").groupBy("cell").agg(F.sum("n")).collect():
+        counts[cell] = n  # a row per cell at most
     return counts.reshape(-1, 256)
 
 
+_KEYED_SCHEMA = "block bigint, kind int, key bigint, data binary"
+
+
+def _keyed(block: np.ndarray, kind: np.ndarray, key: np.ndarray, sizes: np.ndarray, follow: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows of contexts, each with as many entries of ``follow`` as its size."""
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    for a in range(0, len(key), ROWS):
+        b = min(a + ROWS, len(key))
+        offsets = ((ends[a : b + 1] - ends[a]) * _NEXT.itemsize).astype(np.int32)
+        data = np.ascontiguousarray(follow[ends[a] : ends[b]]).tobytes()
+        binary = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
+        columns = [pa.array(block[a:b], pa.int64()), pa.array(kind[a:b], pa.int32()), pa.array(key[a:b].view(np.int64)), binary]
+        yield pa.record_batch(columns, names=["block", "kind", "key", "data"])
+
+
+def _binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Entries of each row of a binary column of them, and all entries."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2] or b""
+    return np.diff(offsets) // _NEXT.itemsize, np.frombuffer(memoryview(data)[offsets[0] : offsets[-1]], _NEXT)
+
+
+def _entries(pair: np.ndarray, weights: np.ndarray | None, owners: int) -> tuple[np.ndarray, np.ndarray]:
+    """Entries of each owner and all of them, from ``owner * 256 + byte``, repeated or weighted."""
+    found, number = numbered(pair.astype(np.uint64))
+    n = np.bincount(number, weights=weights, minlength=len(found))
+    order = np.argsort(pair[found])
+    distinct = pair[found][order]
+    follow = np.empty(len(found), _NEXT)
+    follow["byte"], follow["n"] = distinct & 255, np.rint(n[order])
+    return np.bincount(distinct >> 8, minlength=owners), follow
+
+
+def block_contexts(batches) -> Iterator[pa.RecordBatch]:
+    """The contexts of each block's texts, with the bytes that followed them in its training texts."""
+    for block, held in _in_blocks(batches):
+        data = np.concatenate([spelled(text) for _, text, _ in held])
+        trained = np.repeat([not out for _, _, out in held], [len(text.encode()) + 1 for _, text, _ in held])
+        for kind, keys in enumerate(contexts(data)[1]):
+            found, number = numbered(keys)
+            pair = (number.astype(np.int64) * 256 + data)[trained]
+            sizes, follow = _entries(pair, None, len(found))
+            yield from _keyed(np.full(len(found), block), np.full(len(found), kind), keys[found], sizes, follow)
+
+
+def summed_contexts(batches) -> Iterator[pa.RecordBatch]:
+    """Each row with what followed its context in all blocks; rows come sorted by kind and key."""
+
+    def total(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        block, kind, key = (rows[c].to_numpy() for c in ("block", "kind", "key"))
+        sizes, follow = _binary(pa.concat_arrays(rows["data"].chunks))
+        group = np.cumsum(np.concatenate([[False], (kind[1:] != kind[:-1]) | (key[1:] != key[:-1])]))
+        pair = np.repeat(group, sizes) * 256 + follow["byte"]
+        n, sums = _entries(pair, follow["n"].astype(float), group[-1] + 1)
+        for a in range(0, len(key), 1024):
+            own = group[a : a + 1024]
+            taken = sums[_ranges((np.cumsum(n) - n)[own], n[own])]
+            yield from _keyed(block[a : a + 1024], kind[a : a + 1024], key[a : a + 1024], n[own], taken)
+
+    held: list[pa.RecordBatch] = []
+    at = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        kind, key = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+        last = (kind[-1], key[-1])
+        differs = np.flatnonzero((kind != last[0]) | (key != last[1]))
+        cut = int(differs[-1]) + 1 if len(differs) else 0
+        # The last context may go on in the next batch.
+        if cut:
+            held.append(batch.slice(0, cut))
+        if held and (cut or at != last):
+            yield from total(pa.Table.from_batches(held))
+            held = []
+        held.append(batch.slice(cut))
+        at = last
+    if held:
+        yield from total(pa.Table.from_batches(held))
+
+
 def words_of(text: str) -> list[bytes]:
     """A-Z lower-cased words, then the end, which is no word."""
     return [*text.encode().lower().split(), b""]
@@ -329,8 +444,8 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
         F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
     )
-    model = build_model(count_contexts(texts.where(~F.col("held_out"))))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # of the tables' fixed size
+    model = build_model(count_bytes(texts.where(~F.col("held_out"))))
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # a number per pair of bytes
 
     def count_words(batches):
         schema = pa.schema([("block", pa.int64()), ("word", pa.binary()), ("n", pa.int64())])
@@ -362,13 +477,23 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     n_train, distinct = sums[0] or 0, sums[1] or 0
 
     def judge(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        known = dict(zip(right["word"].to_pylist(), right["c"].to_pylist()))
+        kind = right["kind"].to_numpy()
+        of_words = right.filter(pa.array(kind == KEYED))
+        known = dict(zip(of_words["data"].to_pylist(), of_words["key"].to_pylist()))
+        after = []
+        for k in range(KEYED):
+            part = right.filter(pa.array(kind == k)).combine_chunks()
+            keys = part["key"].to_numpy().view(np.uint64)
+            order = np.argsort(keys)
+            sizes, follow = _binary(part["data"].chunk(0)) if len(keys) else (np.zeros(0, int), np.zeros(0, _NEXT))
+            follow = follow[_ranges((np.cumsum(sizes) - sizes)[order], sizes[order])]
+            after.append(Known(keys[order], np.concatenate([[0], np.cumsum(sizes[order])]), follow))
         rows, all_texts = [], left["text"].to_pylist()
         scores, first, size = [], 0, 0
         for i, text in enumerate(all_texts):
             size += len(text)
             if size >= HELD_BYTES or i + 1 == len(all_texts):
-                scores += score_texts(all_texts[first : i + 1], shared.value).tolist()
+                scores += score_texts(all_texts[first : i + 1], shared.value, after).tolist()
                 first, size = i + 1, 0
         for doc, text, out, score in zip(left["id"].to_pylist(), all_texts, left["held_out"].to_pylist(), scores):
             # A word that is missing means that the input changed meanwhile, and fails.
@@ -379,4 +504,8 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
         return pa.table([pa.array(col, f.type) for col, f in zip(columns, _ARROW_SCORED)], schema=_ARROW_SCORED)
 
     blocks = texts.mapInArrow(with_blocks, "block bigint, id bigint, text string, held_out boolean")
-    return blocks.groupBy("block").cogroup(words.select("block", "word", "c").groupBy("block")).applyInArrow(judge, _SCORED)
+    by_context = texts.mapInArrow(block_contexts, _KEYED_SCHEMA).repartition("kind", "key").sortWithinPartitions("kind", "key")
+    counts = by_context.mapInArrow(summed_contexts, _KEYED_SCHEMA).unionByName(
+        words.select("block", F.lit(KEYED).alias("kind"), F.col("c").alias("key"), F.col("word").alias("data"))
+    )
+    return blocks.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(judge, _SCORED)
