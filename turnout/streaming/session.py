@@ -14,8 +14,9 @@ def stream_session(spark: SparkSession, shuffle_partitions: int | None = None) -
     """A session on the same context for streams; the caller's own settings stay as they are.
 
     Window state goes to RocksDB, so it may outgrow the executor heap, with changelog
-    checkpoints, so a batch uploads its changes only. ``shuffle_partitions`` (the caller's count
-    if not given) becomes fixed with a query's first checkpoint: size it for the peak.
+    checkpoints, so a batch uploads its changes only. Its files grow as they fill, since each of
+    a batch's many stores would otherwise set some megabytes aside. ``shuffle_partitions`` (the
+    caller's count if not given) becomes fixed with a query's first checkpoint: size it for the peak.
     """
     session = spark.newSession()
     partitions = shuffle_partitions or spark.conf.get("spark.sql.shuffle.partitions")
@@ -24,6 +25,7 @@ def stream_session(spark: SparkSession, shuffle_partitions: int | None = None) -
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.streaming.stateStore.providerClass": _STATE_STORE,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     }.items():
         session.conf.set(name, value)
     return session
