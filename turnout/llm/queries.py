@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnout.llm import dedup, jaccard, lm, mixing, packing, quality, rans, search, toxicity, urls
+from turnout.llm import dedup, jaccard, lexical, lm, mixing, packing, quality, rans, search, secret_scan, toxicity, urls
 from turnout.llm.labelled import remainder
 from turnout.sinks import shared_dir
 from turnout.sources import read_table
@@ -74,6 +74,24 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op11_lexical_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical.build_index(read_table(spark, sf_dir, "documents"), shared_dir(spark, "lexical-index"))
+    return lexical.rank(index, read_table(spark, sf_dir, "benchmark"))
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = secret_scan.scan(read_table(spark, sf_dir, "documents"))
+    base = F.filter("found", lambda x: x["number"] < len(secret_scan.BASE_KINDS))
+    counts = [
+        F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")  # noqa: B023
+        for kind in secret_scan.BASE_KINDS
+    ]
+    return rows.select(
+        F.col("id").alias("doc_id"), *counts, F.sha2(secret_scan.as_text(base), 256).alias("base_sha256"),
+        secret_scan.as_text(F.col("found")).alias("spans"),
+    )
+
+
 _OP8 = """
 WITH sources AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
 rates AS (SELECT source, (SELECT sum(n) FROM sources) / (SELECT count(*) FROM sources)::DOUBLE / n AS rate FROM sources),
@@ -116,6 +134,80 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
        vec_id, score
 FROM scored QUALIFY rank <= 10"""
 
+# What terms are made of, and A-Z lower-cased.
+_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+_OP11 = f"""
+WITH words AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+postings AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+lengths AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM postings GROUP BY ALL),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths),
+sizes AS (SELECT doc_id, 100 - 50 + (50 * n * docs) // terms AS m FROM lengths, totals),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM postings, totals GROUP BY term, docs
+),
+wanted AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM wanted JOIN postings USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id) GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 50"""
+
+
+def _op12() -> str:
+    """Matches by what lies between them; entropy of every window by its own counts."""
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+
+    def matches(kind: str, number: int, pattern: str, value: int = 0, least: int = 0) -> str:
+        whole, gaps = f"regexp_extract_all(text, {quoted(pattern)})", f"regexp_split_to_array(text, {quoted(pattern)})"
+        values = f"regexp_extract_all(text, {quoted(pattern)}, {value})"
+        return f"""(SELECT doc_id, {number} AS number, '{kind}' AS kind, start, match FROM (
+          SELECT doc_id, m[i] AS match, v[i] AS value, CAST(list_sum(list_transform(g[1:i], lambda x: length(x)))
+                 + coalesce(list_sum(list_transform(m[1:i-1], lambda x: length(x))), 0) AS BIGINT) AS start
+          FROM (SELECT doc_id, {whole} AS m, {values} AS v, {gaps} AS g FROM texts), unnest(range(1, len(m) + 1)) AS t(i)
+        ) WHERE length(value) >= {least})"""
+
+    base = [("assign", secret_scan.ASSIGN, 2, secret_scan.LEAST_VALUE), ("access", secret_scan.ACCESS, 0, 0), ("hex", secret_scan.HEX, 0, 0)]
+    plain = " UNION ALL ".join(matches(kind, n, *rest) for n, (kind, *rest) in enumerate(base))
+    runs = " UNION ALL ".join(matches(of.kind, len(base) + n, of.pattern) for n, of in enumerate(secret_scan.CLASSES))
+    limits = ", ".join(f"('{of.kind}', {of.window}, {of.most})" for of in secret_scan.CLASSES)
+    allowed = " OR ".join(f"regexp_matches(match, {quoted(pattern)})" for pattern in secret_scan.ALLOWED)
+    logs = ", ".join(map(str, secret_scan.LOGS))
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+base AS (SELECT doc_id, number, kind, start, start + length(match) AS stop FROM ({plain})),
+classes(kind, size, most) AS (VALUES {limits}),
+candidates AS (SELECT * FROM ({runs}) JOIN classes USING (kind) WHERE NOT ({allowed})),
+windows AS (
+  SELECT doc_id, number, kind, start, size, place FROM candidates, unnest(range(0, length(match) - size + 1)) AS t(place)
+  WHERE list_sum(list_transform(map_values(list_histogram(string_split(substr(match, place + 1, size), ''))),
+                                lambda n: ([{logs}])[CAST(n AS BIGINT) + 1])) <= most
+),
+marked AS (
+  SELECT *, CAST(coalesce(place - lag(place) OVER run > size, true) AS INTEGER) AS fresh FROM windows
+  WINDOW run AS (PARTITION BY doc_id, kind, start ORDER BY place)
+),
+islands AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, kind, start ORDER BY place) AS island FROM marked),
+dense AS (
+  SELECT doc_id, number, kind, start + min(place) AS start, start + max(place) + size AS stop
+  FROM islands GROUP BY doc_id, number, kind, islands.start, size, island
+),
+spans AS (
+  SELECT doc_id, number, start, kind || ':' || start || ':' || stop AS span
+  FROM (SELECT * FROM base UNION ALL SELECT doc_id, number, kind, start, stop FROM dense)
+),
+joined AS (
+  SELECT doc_id, count(*) FILTER (number = 0) AS n_assign, count(*) FILTER (number = 1) AS n_access,
+         count(*) FILTER (number = 2) AS n_hex, string_agg(span, ',' ORDER BY start, number) FILTER (number < 3) AS base,
+         string_agg(span, ',' ORDER BY start, number) AS spans
+  FROM spans GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN joined USING (doc_id)"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
@@ -129,9 +221,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_source_mix": op8_source_mix,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_top_k": op10_top_k,
+        "op11_lexical_rank": op11_lexical_rank,
+        "op12_secret_scan": op12_secret_scan,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_source_mix": _OP8, "op9_exact_dedup": _OP9, "op10_top_k": _OP10}
+    return {"op8_source_mix": _OP8, "op9_exact_dedup": _OP9, "op10_top_k": _OP10, "op11_lexical_rank": _OP11, "op12_secret_scan": _op12()}
