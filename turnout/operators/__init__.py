@@ -1,13 +1,14 @@
 """Projections, windowed counts and ranking: the relational steps the jobs are made of."""
 
 from turnout.operators.project import explode_topics, flatten, members, topic_arrays, yes_responses
-from turnout.operators.rank import top_k, with_position
+from turnout.operators.rank import numbered, top_k, with_position
 from turnout.operators.windows import windowed_counts
 
 __all__ = [
     "explode_topics",
     "flatten",
     "members",
+    "numbered",
     "top_k",
     "topic_arrays",
     "windowed_counts",

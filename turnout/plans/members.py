@@ -44,4 +44,4 @@ def most_active_members(
 def most_active_overall(rsvps: DataFrame, k: int = 5) -> DataFrame:
     """The same ranking over all given RSVPs at once, without windows."""
     counts = rsvps.select("member.member_id", "member.member_name").groupBy(*KEYS).count()
-    return with_position(top_k(counts, k, keys=KEYS, within=()), within=())
+    return with_position(top_k(counts, k, keys=KEYS, within=()), within=(), cut=True)

@@ -48,4 +48,4 @@ def trending_topics(
 def trending_overall(rsvps: DataFrame, k: int = 10) -> DataFrame:
     """The same ranking over all given RSVPs at once, without windows."""
     counts = explode_topics(yes_responses(rsvps)).groupBy(*KEYS).count()
-    return with_position(top_k(counts, k, keys=KEYS, within=()), within=())
+    return with_position(top_k(counts, k, keys=KEYS, within=()), within=(), cut=True)
