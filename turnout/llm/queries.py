@@ -8,7 +8,21 @@ import corpus_pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnout.llm import dedup, jaccard, lexical, lm, mixing, packing, quality, rans, search, secret_scan, toxicity, urls
+from turnout.llm import (
+    collocations,
+    dedup,
+    jaccard,
+    lexical,
+    lm,
+    mixing,
+    packing,
+    quality,
+    rans,
+    search,
+    secret_scan,
+    toxicity,
+    urls,
+)
 from turnout.llm.labelled import remainder
 from turnout.sinks import shared_dir
 from turnout.sources import read_table
@@ -92,6 +106,10 @@ def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
 _OP8 = """
 WITH sources AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
 rates AS (SELECT source, (SELECT sum(n) FROM sources) / (SELECT count(*) FROM sources)::DOUBLE / n AS rate FROM sources),
@@ -209,6 +227,40 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM texts LEFT JOIN joined USING (doc_id)"""
 
 
+_OP13 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+),
+split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+runs AS (
+  SELECT lang, size, array_to_string(words[i:i + size - 1], ' ') AS phrase
+  FROM split, unnest([1, 2, 3, 4]) AS s(size), unnest(range(1, len(words) - size + 2)) AS t(i)
+),
+counts AS (SELECT lang, size, phrase, count(*) AS a FROM runs GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM counts WHERE size = 1 GROUP BY lang),
+candidates AS (SELECT *, string_split(phrase, ' ') AS words FROM counts WHERE size > 1 AND a >= 30),
+inside AS (
+  SELECT DISTINCT lang, array_to_string(words[i:i + short - 1], ' ') AS phrase, phrase AS longer, a AS covering
+  FROM candidates, unnest([2, 3]) AS s(short), unnest(range(1, size - short + 2)) AS t(i) WHERE short < size
+),
+kept AS (
+  SELECT c.* FROM candidates c
+  WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = c.lang AND i.phrase = c.phrase AND 100 * covering >= 80 * c.a)
+),
+cuts AS (
+  SELECT k.lang, k.phrase, k.a, cut, l.a AS l, r.a AS r,
+         CAST(2000000::HUGEINT * k.a // (l.a + r.a) AS BIGINT) AS score
+  FROM kept k, unnest(range(1, size)) AS t(cut)
+  JOIN counts l ON l.lang = k.lang AND l.phrase = array_to_string(words[1:cut], ' ')
+  JOIN counts r ON r.lang = k.lang AND r.phrase = array_to_string(words[cut + 1:], ' ')
+),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM scored JOIN totals USING (lang) QUALIFY rank <= 2000"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
@@ -223,9 +275,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_top_k": op10_top_k,
         "op11_lexical_rank": op11_lexical_rank,
         "op12_secret_scan": op12_secret_scan,
+        "op13_collocations": op13_collocations,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_source_mix": _OP8, "op9_exact_dedup": _OP9, "op10_top_k": _OP10, "op11_lexical_rank": _OP11, "op12_secret_scan": _op12()}
+    return {
+        "op8_source_mix": _OP8,
+        "op9_exact_dedup": _OP9,
+        "op10_top_k": _OP10,
+        "op11_lexical_rank": _OP11,
+        "op12_secret_scan": _op12(),
+        "op13_collocations": _OP13,
+    }
