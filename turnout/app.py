@@ -32,6 +32,8 @@ def parse(args: Sequence[str] | None = None) -> JobConfig:
     parser.add_argument("--burst-slide", type=int, help="burst slide, in seconds; tumbling if absent")
     parser.add_argument("--threshold", type=int, default=6, help="RSVPs above which a member bursts")
     parser.add_argument("--max-alerts", type=int, help="most alerts per window; all if absent")
+    parser.add_argument("--horizon-days", type=int, help="days before the latest one that stay open; all if absent")
+    parser.add_argument("--redelivered-within", type=int, help="seconds within which a repeated message counts once")
     parser.add_argument("--top-members", type=int, default=5)
     parser.add_argument("--top-topics", type=int, default=10)
     parser.add_argument("--batch", type=int, default=20, help="batch interval, in seconds")
@@ -56,6 +58,8 @@ def parse(args: Sequence[str] | None = None) -> JobConfig:
         burst_slide=f"{given.burst_slide} seconds" if given.burst_slide else None,
         burst_threshold=given.threshold,
         max_alerts=given.max_alerts,
+        horizon=f"{given.horizon_days} days" if given.horizon_days is not None else None,
+        redelivered_within=f"{given.redelivered_within} seconds" if given.redelivered_within else None,
         top_members=given.top_members,
         top_topics=given.top_topics,
         batch_interval=f"{given.batch} seconds",

@@ -17,7 +17,10 @@ class JobConfig:
 
     The defaults of the windows, ranks and threshold are those of the original
     application, but for a cap on alerts: there is none unless ``max_alerts`` sets one.
-    ``time_col='ingest_time'`` windows by arrival instead of by ``mtime``.
+    ``time_col='ingest_time'`` windows by arrival instead of by ``mtime``. ``horizon`` closes days
+    that lie so far before the latest one, in whole days; without it no row ever comes too late.
+    ``redelivered_within`` counts a message that arrives again within that time once; by default
+    every arrival counts.
     """
 
     input_path: str | None
@@ -38,6 +41,8 @@ class JobConfig:
     burst_slide: str | None = None
     burst_threshold: int = 6
     max_alerts: int | None = None
+    horizon: str | None = None
+    redelivered_within: str | None = None
     alert_format: str = "text"
     alert_options: dict[str, str] = field(default_factory=dict)
 
@@ -52,7 +57,7 @@ class JobConfig:
             raise ValueError(f"time_col must be one of {TIME_COLUMNS}: {self.time_col!r}")
         if self.payload == "columns" and self.input_format in QUEUE_FORMATS:
             raise ValueError("a queue holds payloads, not columns: set payload")
-        for name in ("length", "slide", "burst_length", "burst_slide", "batch_interval"):
+        for name in ("length", "slide", "burst_length", "burst_slide", "batch_interval", "horizon", "redelivered_within"):
             if getattr(self, name) is not None:
                 seconds_in(getattr(self, name))
         if min(self.top_members, self.top_topics, 1 if self.max_alerts is None else self.max_alerts) < 1:

@@ -4,21 +4,28 @@ Each micro-batch stores its own counts per pane and key, then computes the windo
 touches anew from all stored panes, and stores their results. A window's result is there as soon
 as its first row is, and is replaced when more rows come, however late. No watermark is needed,
 and no row is dropped. A repeated batch replaces what it had written.
+
+A run that goes on for months needs a ``horizon``: days that lie so far before the latest one are
+closed. Their windows are final and brought together, their panes are forgotten, and rows that
+come for them later are counted apart. Without a horizon panes stay, merged by age.
 """
 
 from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from turnout.functions import day_label, normalize, with_ingest_time
-from turnout.operators import explode_topics, members, yes_responses
+from turnout.functions.columns import seconds_in
+from turnout.operators import explode_topics, members, top_k, yes_responses
 from turnout.plans import alert_payload, rank_members, rank_topics
-from turnout.sinks import has_files, publish_alerts, read_index, write_daily
+from turnout.sinks import compact_day, has_files, publish_alerts, read_index, write_daily
+from turnout.sinks.folders import is_whole, mark_whole, subfolders
 from turnout.sinks.index import INDEX_COLUMNS
 from turnout.sources import (
     decode_json,
@@ -30,17 +37,14 @@ from turnout.sources import (
 )
 from turnout.sources.decode import DECODED_SCHEMA
 from turnout.streaming.config import JobConfig
-from turnout.streaming.panes import pane_counts, pane_seconds, touched_windows, write_panes
+from turnout.streaming.panes import pane_counts, pane_seconds, touched_windows
+from turnout.streaming.segments import Segments, day_of, label_of, reach
 from turnout.streaming.session import adaptive, stream_session
 
 MEMBER_KEYS = "member_id bigint, member_name string"
 TOPIC_KEYS = "topic string"
 
 
-def _names(keys: str) -> list[str]:
-    return [key.split()[0] for key in keys.split(", ")]
-
-
 def _start(
     rsvps: DataFrame, on_batch: Callable[[DataFrame, int], None], name: str, outputs: list[str], cfg: JobConfig
 ) -> StreamingQuery:
@@ -72,53 +76,117 @@ def start_members(rsvps: DataFrame, cfg: JobConfig) -> StreamingQuery:
     and member, by the batch in which the count first passes the threshold, with the count then.
     """
     pane = pane_seconds(cfg.length, cfg.slide, cfg.burst_length, cfg.burst_slide)
-    panes = cfg.index("panes-members")
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        own = pane_counts(batch, _names(MEMBER_KEYS), pane, cfg.time_col)
-        write_panes(own, panes, batch_id)
-        counts = touched_windows(spark, panes, MEMBER_KEYS, batch_id, cfg.length, cfg.slide)
-        if counts is None:
-            return
-        write_daily(rank_members(counts, cfg.top_members), cfg.index("agg-users"), batch_id)
-        counts = touched_windows(spark, panes, MEMBER_KEYS, batch_id, cfg.burst_length, cfg.burst_slide)
-        bursts = counts.where(F.col("count") > cfg.burst_threshold)
-        bursts = bursts.withColumn("dateForIndex", day_label(F.col("window_end")))
-        write_daily(bursts, cfg.index("agg-rascals"), batch_id)
-        if not has_files(spark, cfg.index("agg-rascals")):
-            return
-        # The alerts come from what was stored, which is small, not from the panes once more.
-        stored = read_index(spark, cfg.index("agg-rascals"), INDEX_COLUMNS["agg-rascals"])
-        keys = ["window_start", *_names(MEMBER_KEYS)]
-        known = stored.where(F.col("batch_id") < batch_id).select(
-            *[F.coalesce(F.col(k).cast("string"), F.lit("")).alias(f"known_{k}") for k in keys]
-        )
-        same = [F.coalesce(F.col(k).cast("string"), F.lit("")) == F.col(f"known_{k}") for k in keys]
-        new = stored.where(F.col("batch_id") == batch_id).join(known, same, "left_anti")
-        alerts = alert_payload(new, cfg.burst_length, cfg.max_alerts)
-        publish_alerts(alerts, cfg.index("alerts"), batch_id, cfg.alert_format, cfg.alert_options)
+        panes = Segments(batch.sparkSession, cfg.index("panes-members"), MEMBER_KEYS)
+        open_from = panes.closed_before(cfg.horizon, batch_id - 1)
+        panes.write(pane_counts(batch, panes.names, pane, cfg.time_col), batch_id, open_from)
+        counts = touched_windows(panes, batch_id, cfg.length, cfg.slide)
+        if counts is not None:
+            write_daily(rank_members(counts, cfg.top_members), cfg.index("agg-users"), batch_id)
+            _fold_bursts(panes, batch_id, cfg)
+        _tidy(panes, ["agg-users", "agg-rascals"], max(cfg.length, cfg.burst_length, key=seconds_in), batch_id, open_from)
 
     # Projected before the batches are cut, so that the scan reads no more.
     return _start(members(rsvps, cfg.time_col), fold, "members", ["panes-members", "agg-users", "agg-rascals", "alerts"], cfg)
 
 
+def _fold_bursts(panes: Segments, batch_id: int, cfg: JobConfig) -> None:
+    """Bursts of the windows that a batch touches, and alerts for those that are new."""
+    spark, path = panes.spark, cfg.index("agg-rascals")
+    counts = touched_windows(panes, batch_id, cfg.burst_length, cfg.burst_slide)
+    bursts = counts.where(F.col("count") > cfg.burst_threshold)
+    bursts = bursts.withColumn("dateForIndex", day_label(F.col("window_end")))
+    write_daily(bursts, path, batch_id)
+    # The alerts come from what was stored, which is small, not from the panes once more; and what
+    # was sent before is looked up on the days that the batch reaches, not in all history.
+    days = [label_of(day) for day in reach(panes.days(batch_id), cfg.burst_length)]
+    stored = read_index(spark, path, INDEX_COLUMNS["agg-rascals"], days=days)
+    own = stored.where(F.col("batch_id") == batch_id)
+    known = stored.where(F.col("batch_id") < batch_id).select(
+        *[F.col(k).alias(f"known_{k}") for k in ("window_start", *panes.names)]
+    ).distinct()
+    same = [F.col(k).eqNullSafe(F.col(f"known_{k}")) for k in ("window_start", *panes.names)]
+    new = own.join(known, same, "left_anti")
+    if cfg.max_alerts:
+        new = _within_cap(new, known, cfg.max_alerts)
+    publish_alerts(alert_payload(new, cfg.burst_length), cfg.index("alerts"), batch_id, cfg.alert_format, cfg.alert_options)
+
+
+def _within_cap(new: DataFrame, known: DataFrame, cap: int) -> DataFrame:
+    """The new bursts for which a window has alerts left, after those of earlier batches."""
+    sent = known.groupBy(F.col("known_window_start").alias("sent_window")).agg(F.count(F.lit(1)).alias("sent"))
+    # A window has ``cap`` alerts in all, so no more of its new bursts are needed.
+    best = top_k(new, cap, keys=("member_id", "member_name"))
+    order = [F.desc("count"), F.col("member_id").asc_nulls_last(), F.col("member_name").asc_nulls_last()]
+    placed = best.withColumn("place", F.row_number().over(Window.partitionBy("window_start").orderBy(*order)))
+    left = F.lit(cap) - F.coalesce(F.col("sent"), F.lit(0))
+    joined = placed.join(sent, placed["window_start"] == sent["sent_window"], "left")
+    return joined.where(F.col("place") <= left).select(*new.columns)
+
+
 def start_topics(rsvps: DataFrame, cfg: JobConfig) -> StreamingQuery:
     """The trending topics of every window: panes in ``panes-topics``, results in ``agg-topics``."""
-    pane, panes = pane_seconds(cfg.length, cfg.slide), cfg.index("panes-topics")
+    pane = pane_seconds(cfg.length, cfg.slide)
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        write_panes(pane_counts(batch, _names(TOPIC_KEYS), pane, cfg.time_col), panes, batch_id)
-        if not has_files(batch.sparkSession, panes):
-            return
-        counts = touched_windows(batch.sparkSession, panes, TOPIC_KEYS, batch_id, cfg.length, cfg.slide)
+        panes = Segments(batch.sparkSession, cfg.index("panes-topics"), TOPIC_KEYS)
+        open_from = panes.closed_before(cfg.horizon, batch_id - 1)
+        panes.write(pane_counts(batch, panes.names, pane, cfg.time_col), batch_id, open_from)
+        counts = touched_windows(panes, batch_id, cfg.length, cfg.slide)
         if counts is not None:
             write_daily(rank_topics(counts, cfg.top_topics), cfg.index("agg-topics"), batch_id)
+        _tidy(panes, ["agg-topics"], cfg.length, batch_id, open_from)
 
     topics = explode_topics(yes_responses(rsvps), cfg.time_col)
     return _start(topics, fold, "topics", ["panes-topics", "agg-topics"], cfg)
 
 
+def _tidy(panes: Segments, indexes: list[str], longest: str, batch_id: int, open_from: date | None) -> None:
+    """Merge old segments, and close the days before ``open_from``. May be repeated at any point."""
+    panes.merge(batch_id - 1)
+    if open_from is None:
+        return
+    # A window that is open may reach back into closed days.
+    back = -(-seconds_in(longest) // 86400)
+    if open_from.toordinal() > back + 1:
+        panes.forget(date.fromordinal(open_from.toordinal() - back))
+    root = panes.path.rsplit("/", 1)[0]
+    for index in indexes:
+        close_days(panes.spark, root, index, open_from, batch_id)
+
+
+CLOSED_COLUMNS = "window_start timestamp, window_end timestamp, versions bigint"
+
+
+def close_days(spark: SparkSession, root: str, index: str, before: date, batch_id: int) -> None:
+    """Bring the windows of an index that ended on days before ``before`` into their final form.
+
+    ``closed-<index>`` gets a row for each window with the number of batches that wrote it, and the
+    day's folders become one, under ``batch_id``. Days that are done are marked and passed over.
+    """
+    path, done = f"{root}/{index}", f"{root}/closed-{index}"
+    closed = {name for name in subfolders(spark, done) if is_whole(spark, f"{done}/{name}")}
+    for name in subfolders(spark, path):
+        label = name.removeprefix("dateForIndex=")
+        if name in closed or not name.startswith("dateForIndex=") or (day_of(label) or before) >= before:
+            continue
+        if not is_whole(spark, f"{done}/{name}", "_counted"):
+            stored = read_index(spark, path, INDEX_COLUMNS[index], day=label)
+            versions = stored.groupBy("window_start", "window_end").agg(F.count_distinct("batch_id").alias("versions"))
+            versions.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{done}/{name}")
+            mark_whole(spark, f"{done}/{name}", "_counted")
+        compact_day(spark, path, INDEX_COLUMNS[index], label, batch_id=batch_id)
+        mark_whole(spark, f"{done}/{name}")
+
+
+def closed_windows(spark: SparkSession, cfg: JobConfig, index: str) -> DataFrame:
+    """``window_start, window_end, versions`` of every final window of an index."""
+    done = cfg.index(f"closed-{index}")
+    paths = [f"{done}/{name}" for name in subfolders(spark, done) if is_whole(spark, f"{done}/{name}")]
+    return spark.read.schema(CLOSED_COLUMNS).parquet(*paths) if paths else spark.createDataFrame([], CLOSED_COLUMNS)
+
+
 def _decode(payloads: DataFrame, cfg: JobConfig) -> DataFrame:
     if cfg.payload == "json":
         return decode_json(payloads, mode=cfg.decode_mode)
@@ -160,7 +228,26 @@ def rsvp_stream(session: SparkSession, cfg: JobConfig) -> DataFrame:
         staged = session.readStream.schema(DECODED_SCHEMA).parquet(cfg.index("decoded"))
         wire = decoded_rsvps(staged)
     rsvps = normalize(wire)
-    return with_ingest_time(rsvps) if cfg.time_col == "ingest_time" else rsvps
+    if cfg.redelivered_within:
+        rsvps = once(rsvps, cfg.redelivered_within)
+    elif cfg.time_col == "ingest_time":
+        rsvps = with_ingest_time(rsvps)
+    return rsvps
+
+
+def once(rsvps: DataFrame, within: str) -> DataFrame:
+    """Each message once, of those that arrive again ``within`` a time; adds ``ingest_time``.
+
+    A message is an RSVP's id and ``event_time``, so a member who answers anew is counted anew. What
+    was seen is kept in the state store by arrival, which never goes back: no row is late, whatever
+    its event time, and the state holds what arrived within that time. Messages without an id or a
+    time cannot be told apart, and all of them stay.
+    """
+    arrived = with_ingest_time(rsvps).withWatermark("ingest_time", within)
+    # Rows that cannot be told apart get a key of their own.
+    own = F.when(F.col("rsvp_id").isNull() | F.col("event_time").isNull(), F.uuid())
+    keyed = arrived.withColumn("_own", own)
+    return keyed.dropDuplicatesWithinWatermark(["rsvp_id", "event_time", "_own"]).drop("_own")
 
 
 def run_jobs(spark: SparkSession, cfg: JobConfig) -> list[StreamingQuery]:

@@ -1,8 +1,8 @@
 """Counts per pane: what the streaming analyses keep of the rows they have seen.
 
 A pane is a stretch of time that divides every window and slide of an analysis. Each micro-batch
-adds its own counts per pane and key in a folder of its own, so a repeated batch replaces itself,
-and nothing that came earlier is touched. Rows that come late add to their old panes.
+adds its own counts per pane and key (see ``segments``). Rows that come late add to their old
+panes, until a horizon, if there is one, has closed their day.
 """
 
 from __future__ import annotations
@@ -13,7 +13,8 @@ from math import gcd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnout.functions.columns import day_label, seconds_in
+from turnout.functions.columns import seconds_in
+from turnout.streaming.segments import Segments, reach
 
 
 def pane_seconds(*intervals: str | None) -> int:
@@ -31,22 +32,9 @@ def pane_counts(rows: DataFrame, keys: Sequence[str], seconds: int, time_col: st
     return rows.groupBy(pane_start(F.col(time_col), seconds).alias("pane_start"), *keys).count()
 
 
-def write_panes(panes: DataFrame, path: str, batch_id: int) -> None:
-    """Store a batch's counts by the day of the pane; repeating the batch replaces them."""
-    stored = panes.withColumns({"day": day_label(F.col("pane_start")), "batch_id": F.lit(batch_id).cast("bigint")})
-    (
-        stored.hint("rebalance", "day")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("day", "batch_id")
-        .parquet(path)
-    )
-
-
-def read_panes(spark: SparkSession, path: str, keys: str) -> DataFrame:
-    """All stored counts; ``keys`` are the key columns with their types."""
-    schema = f"pane_start timestamp, {keys}, count bigint, day string, batch_id bigint"
-    return spark.read.schema(schema).parquet(path)
+def read_panes(spark: SparkSession, path: str, keys: str, late: bool = False) -> DataFrame:
+    """All stored counts, or those of rows that came too late; ``keys`` are the key columns with their types."""
+    return Segments(spark, path, keys).read(late=late)
 
 
 def window_totals(panes: DataFrame, keys: Sequence[str], length: str, slide: str | None) -> DataFrame:
@@ -59,25 +47,16 @@ def window_totals(panes: DataFrame, keys: Sequence[str], length: str, slide: str
     )
 
 
-def touched_windows(
-    spark: SparkSession, path: str, keys: str, batch_id: int, length: str, slide: str | None
-) -> DataFrame | None:
+def touched_windows(panes: Segments, batch_id: int, length: str, slide: str | None) -> DataFrame | None:
     """Counts of every window that has a pane of this batch, over all batches up to it.
 
-    Only the days of those windows are read. None if the batch has no usable time.
+    Of what is stored, only the days that those windows reach are listed and read: the set of
+    them, so rows of far-off times bring in no day between. None if the batch has no usable time.
     """
-    panes = read_panes(spark, path, keys).where(F.col("batch_id") <= batch_id)
-    touched = (
-        panes.where(F.col("batch_id") == batch_id)
-        .select(F.window("pane_start", length, slide).alias("window"))
-        .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"))
-        .distinct()
-    )
-    first, last = touched.agg(F.min("window_start"), F.max("window_end")).select(
-        day_label(F.col("min(window_start)")), day_label(F.col("max(window_end)"))
-    ).first()
-    if first is None:
+    days = panes.days(batch_id)
+    if not days:
         return None
-    names = [key.split()[0] for key in keys.split(", ")]
-    near = panes.where(F.col("day").between(first, last))
-    return window_totals(near, names, length, slide).join(touched.select("window_start"), "window_start", "left_semi")
+    window = F.window("pane_start", length, slide)["start"].alias("window_start")
+    touched = panes.read(days, only=batch_id).select(window).distinct()
+    near = panes.read(reach(days, length), up_to=batch_id)
+    return window_totals(near, panes.names, length, slide).join(touched, "window_start", "left_semi")
