@@ -12,6 +12,7 @@ import sys
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
+from importlib.util import find_spec
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -21,12 +22,26 @@ from pyspark.sql import functions as F
 
 from turnout import plans
 from turnout.functions import normalize, set_aside, usable, window_text, with_write_timestamp
-from turnout.operators import explode_topics, flatten, topic_arrays, yes_responses
+from turnout.operators import (
+    covered_counts,
+    crowded_moments,
+    explode_topics,
+    flatten,
+    frequent_top_k,
+    members,
+    pane_levels,
+    sliding_counts,
+    topic_arrays,
+    with_position,
+    yes_responses,
+)
 from turnout.sinks import (
     latest_windows,
     publish_alerts,
+    publish_once,
     read_alerts,
     read_index,
+    read_published,
     shared_dir,
     write_daily,
     write_static,
@@ -52,16 +67,19 @@ from turnout.streaming import (
     stream_session,
     window_totals,
 )
-from turnout.streaming.jobs import MEMBER_KEYS
+from turnout.streaming.jobs import MEMBER_KEYS, closed_windows
 
-try:  # the package of training-data operators may be left out
+llm = None
+# The package of training-data operators may be left out; if it is there, it must import.
+if find_spec("turnout.llm") and find_spec("turnout.llm.queries"):
     from turnout.llm import queries as llm
-except ImportError:
-    llm = None
 
 LENGTH, SLIDE, BURST, BURST_SLIDE = "6 hours", "2 hours", "1 day", "6 hours"
 DAY = (datetime(2024, 1, 10), datetime(2024, 1, 11))
+MEMBER_NAMES = ["member_id", "member_name"]
 CAP_THRESHOLD, CAP = 2, 10
+CROWD, CROWD_LENGTH = 2, "12 hours"
+HORIZON_DAYS, PART_DAYS, LATE_OF = 3, 10, 40
 DECODE_PARTITIONS = 16
 
 
@@ -158,6 +176,32 @@ def top_topics_global(spark, sf_dir):
     return plans.trending_overall(_rsvps(spark, sf_dir))
 
 
+def member_counts_by_differences(spark, sf_dir):
+    """Windows of a day that slide by the hour: each row is moved twice, not 24 times."""
+    return _shown(sliding_counts(members(_rsvps(spark, sf_dir)), MEMBER_NAMES, BURST, "1 hour"))
+
+
+def member_counts_by_levels(spark, sf_dir):
+    """Windows of a day every 6 hours, each from the fewest panes of an hour, 6 hours and a day."""
+    levels = pane_levels(members(_rsvps(spark, sf_dir)), MEMBER_NAMES, ["1 hour", "6 hours", "1 day"])
+    return _shown(covered_counts(levels, MEMBER_NAMES, BURST, BURST_SLIDE))
+
+
+def top_topics_by_summaries(spark, sf_dir):
+    """The best topics of every window, from bounded summaries of stored panes."""
+    topics = explode_topics(yes_responses(_rsvps(spark, sf_dir)))
+    pane = F.window("event_time", SLIDE)["start"].alias("pane_start")
+    at = shared_dir(spark, "topic-panes")
+    topics.groupBy(pane, "topic").count().write.parquet(at)
+    return _shown(frequent_top_k(spark.read.parquet(at), ["topic"], 10, LENGTH, SLIDE, size=16))
+
+
+def member_positions(spark, sf_dir):
+    """Every member's position over the whole table, ranked by many tasks."""
+    counts = members(_rsvps(spark, sf_dir)).groupBy(*MEMBER_NAMES).count()
+    return with_position(counts, within=())
+
+
 # --- bursts and alerts ----------------------------------------------------------------------
 
 
@@ -169,6 +213,12 @@ def burst_members_sliding(spark, sf_dir):
     return _shown(plans.burst_members(_rsvps(spark, sf_dir), BURST, BURST_SLIDE))
 
 
+def crowded_members(spark, sf_dir):
+    """Bursts within any stretch of time, not only within windows of the clock."""
+    moments = crowded_moments(members(_rsvps(spark, sf_dir)), MEMBER_NAMES, CROWD_LENGTH, CROWD)
+    return moments.withColumns({name: window_text(F.col(name), millis=True) for name in ("since", "until")})
+
+
 def alert_payloads(spark, sf_dir):
     bursts = plans.burst_members(_rsvps(spark, sf_dir), BURST)
     return _shown(plans.alert_payload(bursts, BURST))
@@ -218,6 +268,32 @@ def alert_publish_roundtrip(spark, sf_dir):
     return read_alerts(spark, path)
 
 
+def alerts_published_once(spark, sf_dir):
+    """A batch published in two phases, and a second run of it that changes nothing."""
+    path = shared_dir(spark, "alerts-once")
+    alerts = plans.alert_payload(plans.burst_members(_rsvps(spark, sf_dir), BURST), BURST)
+    for _ in range(2):
+        publish_once(alerts, path, batch_id=0)
+    return read_published(spark, path)
+
+
+def optional_fields(spark, sf_dir):
+    """Venues that are there or not, and topic lists that are null, empty or repeat a topic."""
+    which, topics = F.col("rsvp_id") % 7, F.col("group.group_topics")
+    odd = F.when(which == 0, None).when(which == 1, F.slice(topics, 1, 0)).when(which == 2, F.concat(topics, topics)).otherwise(topics)
+    venue = F.struct(
+        F.concat(F.lit("Venue "), (F.col("rsvp_id") % 11).cast("int")).alias("venue_name"), F.lit(0.0).alias("lon"),
+        F.lit(0.0).alias("lat"), (F.col("rsvp_id") % 11).alias("venue_id"),
+    )
+    wire = _wire(spark, sf_dir).withColumns({
+        "group": F.col("group").withField("group_topics", odd), "venue": F.when(F.col("rsvp_id") % 3 == 0, venue),
+    })
+    rsvps = normalize(wire)
+    venues = flatten(rsvps).groupBy(F.lit("venue").alias("field"), F.col("venue_name").alias("value")).count()
+    counted = explode_topics(rsvps).groupBy(F.lit("topic").alias("field"), F.col("topic").alias("value")).count()
+    return venues.unionByName(counted)
+
+
 # --- streams: replayed to the end, results read back ----------------------------------------
 
 
@@ -226,7 +302,12 @@ def _stream(spark: SparkSession, sf_dir: str, purpose: str) -> tuple[DataFrame,
     session = stream_session(spark, spark.sparkContext.defaultParallelism)
     root = shared_dir(spark, purpose)
     _wire(spark, sf_dir).write.parquet(f"{root}/in")
-    cfg = JobConfig(
+    cfg = _config(root)
+    return rsvp_stream(session, cfg), cfg
+
+
+def _config(root: str, **settings) -> JobConfig:
+    return replace(JobConfig(
         input_path=f"{root}/in",
         output_path=f"{root}/out",
         checkpoint_path=f"{root}/checkpoints",
@@ -234,8 +315,7 @@ def _stream(spark: SparkSession, sf_dir: str, purpose: str) -> tuple[DataFrame,
         slide=SLIDE,
         burst_length=BURST,
         available_now=True,
-    )
-    return rsvp_stream(session, cfg), cfg
+    ), **settings)
 
 
 def _stored(spark, cfg, index) -> DataFrame:
@@ -265,6 +345,52 @@ def stream_member_counts(spark, sf_dir):
     return _shown(window_totals(panes, ["member_id", "member_name"], cfg.length, cfg.slide))
 
 
+def stream_redelivered(spark, sf_dir):
+    """Every third message sent twice, counted once: the counts are those of the plain table."""
+    session = stream_session(spark, spark.sparkContext.defaultParallelism)
+    root, wire = shared_dir(spark, "redelivered"), _wire(spark, sf_dir)
+    wire.unionByName(wire.where(F.col("rsvp_id") % 3 == 0)).write.parquet(f"{root}/in")
+    cfg = _config(root, redelivered_within="1 day")
+    start_members(rsvp_stream(session, cfg), cfg).awaitTermination()
+    panes = read_panes(spark, cfg.index("panes-members"), MEMBER_KEYS)
+    return _shown(window_totals(panes, ["member_id", "member_name"], cfg.length, cfg.slide))
+
+
+def stream_arrival_windows(spark, sf_dir):
+    """Windows by arrival, which is when the query runs: what each member has over all of them."""
+    session = stream_session(spark, spark.sparkContext.defaultParallelism)
+    root = shared_dir(spark, "arrival")
+    _wire(spark, sf_dir).write.parquet(f"{root}/in")
+    cfg = _config(root, time_col="ingest_time", slide=LENGTH)
+    start_members(rsvp_stream(session, cfg), cfg).awaitTermination()
+    panes = read_panes(spark, cfg.index("panes-members"), MEMBER_KEYS)
+    totals = window_totals(panes, ["member_id", "member_name"], cfg.length, None)
+    return totals.groupBy("member_id", "member_name").agg(F.sum("count").alias("count"))
+
+
+def stream_horizon(spark, sf_dir):
+    """Three parts of the month, one after the other, some rows a part late; days close behind.
+
+    Final windows with the number of batches that wrote them, the best members of all windows, and
+    the rows that came too late.
+    """
+    session = stream_session(spark, spark.sparkContext.defaultParallelism)
+    root, wire = shared_dir(spark, "horizon"), _wire(spark, sf_dir)
+    part = F.least(F.floor((F.dayofmonth(F.timestamp_millis(F.col("mtime").cast("bigint"))) - 1) / PART_DAYS), F.lit(2))
+    part = F.least(part + F.when(F.col("rsvp_id") % LATE_OF == 3, 1).otherwise(0), F.lit(2))
+    cfg = _config(root, horizon=f"{HORIZON_DAYS} days")
+    for number in range(3):
+        wire.where(part == number).write.mode("append").parquet(f"{root}/in")
+        start_members(rsvp_stream(session, cfg), cfg).awaitTermination()
+    final = closed_windows(spark, cfg, "agg-users").select(
+        F.lit("final").alias("kind"), "window_start", F.lit(None).cast("bigint").alias("member_id"), F.col("versions").alias("n")
+    )
+    best = _stored(spark, cfg, "agg-users").select(F.lit("best").alias("kind"), "window_start", "member_id", F.col("count").alias("n"))
+    late = read_panes(spark, cfg.index("panes-members"), MEMBER_KEYS, late=True)
+    late = late.groupBy(F.lit("late").alias("kind"), F.col("pane_start").alias("window_start"), "member_id").agg(F.sum("count").alias("n"))
+    return final.unionByName(best).unionByName(late).withColumn("window_start", window_text(F.col("window_start")))
+
+
 def stream_payload_jobs(spark, sf_dir):
     """The whole application on raw messages: decode once, then every index and the alerts."""
     root = shared_dir(spark, "messages")
@@ -363,8 +489,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_topics_minute": top_topics_minute,
         "top_members_global": top_members_global,
         "top_topics_global": top_topics_global,
+        "member_counts_by_differences": member_counts_by_differences,
+        "member_counts_by_levels": member_counts_by_levels,
+        "top_topics_by_summaries": top_topics_by_summaries,
+        "member_positions": member_positions,
         "burst_members": burst_members,
         "burst_members_sliding": burst_members_sliding,
+        "crowded_members": crowded_members,
+        "alerts_published_once": alerts_published_once,
+        "optional_fields": optional_fields,
         "alert_payloads": alert_payloads,
         "alert_payloads_slim": alert_payloads_slim,
         "alert_cap": alert_cap,
@@ -378,6 +511,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_top_topics": stream_top_topics,
         "stream_burst_members": stream_burst_members,
         "stream_alerts": stream_alerts,
+        "stream_redelivered": stream_redelivered,
+        "stream_arrival_windows": stream_arrival_windows,
+        "stream_horizon": stream_horizon,
         "json_roundtrip": json_roundtrip,
         "decode_roundtrip": decode_roundtrip,
         "decode_quarantine": decode_quarantine,
@@ -498,6 +634,38 @@ def _application_sql() -> str:
     ])
 
 
+def _horizon_sql() -> str:
+    """Parts and the days that were closed when each came; then windows of the rows on time."""
+    return f"""
+dealt AS (
+  SELECT *, event_time::DATE AS day,
+         least(least((dayofmonth(event_time) - 1) // {PART_DAYS}, 2)
+               + CASE WHEN event_id % {LATE_OF} = 3 THEN 1 ELSE 0 END, 2) AS part FROM rsvp
+),
+parts AS (SELECT part, max(day) AS latest FROM dealt GROUP BY part),
+opened AS (
+  SELECT p.part, (SELECT max(latest) FROM parts b WHERE b.part < p.part) - {HORIZON_DAYS} AS open_from FROM parts p
+),
+placed AS (
+  SELECT d.*, coalesce(day < open_from, false) AS late,
+         time_bucket(INTERVAL 2 HOUR, event_time, TIMESTAMP '1970-01-01') AS pane FROM dealt d JOIN opened USING (part)
+),
+windowed AS (
+  SELECT *, pane - i * INTERVAL 2 HOUR AS window_start FROM placed, unnest([0, 1, 2]) AS s(i) WHERE NOT late
+),
+finished AS (SELECT window_start, user_id AS member_id, member_name, count(*) AS count FROM windowed GROUP BY ALL),
+{_ranked("member_id, member_name", 5)},
+versions AS (
+  SELECT window_start, count(DISTINCT part) AS versions FROM windowed GROUP BY window_start
+  HAVING (window_start + INTERVAL 6 HOUR)::DATE < (SELECT max(open_from) FROM opened)
+),
+told AS (
+  SELECT 'final' AS kind, window_start, CAST(NULL AS BIGINT) AS member_id, versions AS n FROM versions
+  UNION ALL SELECT 'best', window_start, member_id, count FROM ranked
+  UNION ALL SELECT 'late', pane, user_id, count(*) FROM placed WHERE late GROUP BY ALL
+)"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per query, over the same tables."""
     members = _windowed("rsvp", _MEMBER, "HOUR", 2, 6)
@@ -565,6 +733,43 @@ def oracle_sql() -> dict[str, str]:
             select="SELECT CASE WHEN event_id % 50 IN (7, 8, 9) THEN 'set aside' ELSE 'usable' END AS part,"
             " count(*) AS count FROM rsvp GROUP BY 1"
         ),
+        "member_counts_by_differences": sql(
+            _windowed("rsvp", _MEMBER, "HOUR", 1, 24), select=f"SELECT {member_rows} FROM finished"
+        ),
+        "member_counts_by_levels": sql(sliding_days, select=f"SELECT {member_rows} FROM finished"),
+        "top_topics_by_summaries": sql(topics, best_topics, select=f"SELECT {topic_rows} FROM ranked"),
+        "member_positions": sql(
+            f"counts AS (SELECT {_MEMBER}, count(*) AS count FROM rsvp GROUP BY ALL)",
+            select="SELECT *, CAST(dense_rank() OVER (ORDER BY count DESC) AS INTEGER) AS position FROM counts",
+        ),
+        "crowded_members": sql(
+            f"""moments AS (SELECT DISTINCT {_MEMBER}, event_time FROM rsvp),
+            held AS (
+              SELECT m.*, list_reverse_sort(list(r.event_time)) AS times
+              FROM moments m JOIN rsvp r ON r.user_id = m.member_id
+                AND r.event_time <= m.event_time AND r.event_time > m.event_time - INTERVAL {CROWD_LENGTH}
+              GROUP BY ALL
+            )""",
+            select=f"SELECT member_id, member_name, strftime(times[{CROWD + 1}], '%Y-%m-%d %H:%M:%S.%g') AS since,"
+            f" strftime(event_time, '%Y-%m-%d %H:%M:%S.%g') AS until FROM held WHERE len(times) > {CROWD}",
+        ),
+        "alerts_published_once": sql(days, _alerts(6), select="SELECT value FROM payload"),
+        "optional_fields": sql(
+            """odd AS (
+              SELECT CASE event_id % 7 WHEN 0 THEN NULL WHEN 1 THEN [] WHEN 2 THEN topics || topics ELSE topics END AS list FROM rsvp
+            ),
+            fields AS (
+              SELECT 'venue' AS field, CASE WHEN event_id % 3 = 0 THEN 'Venue ' || event_id % 11 END AS value FROM rsvp
+              UNION ALL SELECT 'topic', unnest(list) FROM odd
+            )""",
+            select="SELECT field, value, count(*) AS count FROM fields GROUP BY ALL",
+        ),
+        "stream_redelivered": sql(members, select=f"SELECT {member_rows} FROM finished"),
+        "stream_arrival_windows": sql(select=f"SELECT {_MEMBER}, count(*) AS count FROM rsvp GROUP BY ALL"),
+        "stream_horizon": sql(
+            _horizon_sql(),
+            select="SELECT kind, strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, member_id, n FROM told",
+        ),
         "alert_payloads": sql(
             days, _alerts(6),
             select=f"SELECT {_BOUNDS}, CAST(member_id AS VARCHAR) AS key, value FROM payload",
