@@ -9,12 +9,15 @@ from turnout.sinks import (
     compact_day,
     latest_windows,
     publish_alerts,
+    publish_once,
     read_alerts,
     read_index,
+    read_published,
     shared_dir,
     write_daily,
     write_static,
 )
+from turnout.sinks.folders import subfolders
 from turnout.sinks.index import INDEX_COLUMNS
 
 RASCALS = INDEX_COLUMNS["agg-rascals"]
@@ -138,3 +141,46 @@ def test_shared_dir_is_under_the_clusters_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         assert first.startswith(base.rstrip("/"))
+
+
+def test_a_batch_is_published_once_and_whole(spark, folder, monkeypatch):
+    alerts = plans.alert_payload(bursts(spark, (1, 2)))
+    want = sorted((r["value"],) for r in alerts.collect())
+
+    def fail(*args):
+        raise RuntimeError("cut short")
+
+    with monkeypatch.context() as patch:
+        patch.setattr("turnout.sinks.alerts.mark_whole", fail)
+        with pytest.raises(RuntimeError, match="cut short"):
+            publish_once(alerts, folder("alerts"), 0)
+    assert read_published(spark, folder("alerts")).count() == 0
+    assert publish_once(alerts, folder("alerts"), 0)
+    assert not publish_once(alerts.limit(1), folder("alerts"), 0)
+    publish_alerts(alerts, folder("alerts"), batch_id=1, fmt="committed")
+    assert rows(read_published(spark, folder("alerts")), "value") == sorted(want * 2)
+
+
+def test_compaction_into_a_new_batch_keeps_what_is_read(spark, folder, monkeypatch):
+    for run in range(3):
+        write_daily(bursts(spark, (run, run + 1)), folder("idx"), batch_id=run)
+    want = rows(latest_windows(read(spark, folder("idx"))), "member_id", "count")
+
+    def fail(*args):
+        raise RuntimeError("cut short")
+
+    with monkeypatch.context() as patch:
+        patch.setattr("turnout.sinks.index.delete_folder", fail)
+        with pytest.raises(RuntimeError, match="cut short"):
+            compact_day(spark, folder("idx"), RASCALS, "2024.01.01", batch_id=7)
+    for _ in range(2):
+        assert rows(latest_windows(read(spark, folder("idx"))), "member_id", "count") == want
+        compact_day(spark, folder("idx"), RASCALS, "2024.01.01", batch_id=7)
+    assert subfolders(spark, f"{folder('idx')}/dateForIndex=2024.01.01") == ["batch_id=7"]
+
+
+def test_latest_windows_gather_no_window_in_one_task(spark, folder, capsys):
+    write_daily(bursts(spark), folder("idx"), batch_id=0)
+    latest_windows(read(spark, folder("idx"))).explain("formatted")
+    text = capsys.readouterr().out
+    assert "partial_max" in text and "Window" not in text
