@@ -26,8 +26,6 @@ from turnout.sinks import has_files, shared_dir
 
 #: Bytes of text in a block of the index and looked at together; terms of items ranked in one pass.
 BLOCK_BYTES, PART_BYTES, PASS_TERMS = 1 << 23, 1 << 20, 1 << 17
-#: Items dealt to one task when they are read.
-ITEMS = 1 << 13
 
 # Terms are runs of ASCII letters and digits and of all bytes of other characters.
 _KEPT = [*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]
@@ -39,9 +37,7 @@ _ARROW_BLOCK = pa.schema([
     ("terms", pa.binary()), ("dfs", pa.binary()), ("docs", pa.binary()), ("tfs", pa.binary()),
 ])
 _ARROW_TERM = pa.schema([("id", pa.int64()), ("term", pa.binary())])
-#: Items, and the terms of each, joined by spaces.
-_GROUP = "ids array<bigint>, terms array<binary>"
-_ARROW_GROUP = pa.schema([("ids", pa.list_(pa.int64())), ("terms", pa.list_(pa.binary()))])
+_ITEM = "id bigint, terms array<binary>"
 _FOUND = "item_id bigint, doc_id bigint, score bigint"
 _ARROW_FOUND = pa.schema([("item_id", pa.int64()), ("doc_id", pa.int64()), ("score", pa.int64())])
 
@@ -175,14 +171,25 @@ def _postings(row: dict, wanted: dict[bytes, int]) -> Iterator[tuple[int, np.nda
             yield number, docs[a:b].astype(np.int64), tfs[a:b].astype(np.int64)
 
 
-def _group_terms(group) -> dict[bytes, int]:
-    return {term: i for i, term in enumerate(sorted({term for text in group.terms for term in bytes(text).split(b" ")} - {b""}))}
+def _groups(rows: Iterator[tuple[int, list[bytes]]]) -> Iterator[list[tuple[int, list[bytes]]]]:
+    """Items with their terms, as many together as one pass may have terms."""
+    group: list[tuple[int, list[bytes]]] = []
+    size = 0
+    for item, terms in rows:
+        if group and size + len(terms) > PASS_TERMS:
+            yield group
+            group, size = [], 0
+        group.append((item, [bytes(term) for term in terms]))
+        size += len(terms)
+    if group:
+        yield group
 
 
-def _rank_group(index: DataFrame, group, n_docs: int, n_terms: int, k: int) -> DataFrame:
+def _rank_group(index: DataFrame, group: list[tuple[int, list[bytes]]], n_docs: int, n_terms: int, k: int) -> DataFrame:
     """``item_id, doc_id, score``: at least the k best of each item of a group, from all blocks."""
     spark = index.sparkSession
-    shared = spark.sparkContext.broadcast(_group_terms(group))  # at most PASS_TERMS, or one item's
+    of_terms = {term: number for number, term in enumerate(sorted({term for _, terms in group for term in terms}))}
+    shared = spark.sparkContext.broadcast(of_terms)  # at most PASS_TERMS, or one item's
 
     def count(batches):
         wanted = shared.value
@@ -199,14 +206,14 @@ def _rank_group(index: DataFrame, group, n_docs: int, n_terms: int, k: int) -> D
     counted = index.select("terms", "dfs").mapInArrow(count, "term bigint, df bigint")
     # A row per term of the group at most.
     dfs = dict(map(tuple, counted.groupBy("term").agg(F.sum("df")).collect()))
-    weights = np.zeros(len(shared.value), np.int64)
+    weights = np.zeros(len(of_terms), np.int64)
     for number, df in dfs.items():
         weights[number] = weight(n_docs, df)
-    of_terms = shared.value
-    items = []
-    for item, text in zip(group.ids, group.terms):
-        numbers = [of_terms[term] for term in set(bytes(text).split(b" ")) if term]
-        items.append((item, sorted((n for n in numbers if weights[n] > 0), key=lambda n: (-weights[n], n))))
+    # Rarest first.
+    items = [
+        (item, sorted((n for n in map(of_terms.__getitem__, terms) if weights[n] > 0), key=lambda n: (-weights[n], n)))
+        for item, terms in group
+    ]
     ranked = spark.sparkContext.broadcast((weights, items))
 
     def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,31 +263,15 @@ def rank(index: DataFrame, items: DataFrame, k: int = 50, id_col: str = "item_id
                     for term in sorted({term for part in terms_of(text) for term in part}))
             yield from batched(rows, _ARROW_TERM)
 
-    def gather(batches):
-        def rows():
-            ids, texts, size = [], [], 0
-            for batch in batches:
-                for item, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    if ids and size + len(found) > PASS_TERMS:
-                        yield ids, texts
-                        ids, texts, size = [], [], 0
-                    ids.append(item)
-                    texts.append(b" ".join(sorted(found)))
-                    size += len(found)
-            if ids:
-                yield ids, texts
-
-        yield from batched(rows(), _ARROW_GROUP, most=1)
-
     named = texts_of(items.where(F.col(id_col).isNotNull()), id_col, text_col)
     merged = named.mapInArrow(terms, "id bigint, term binary").distinct().groupBy("id").agg(F.collect_list("term").alias("terms"))
-    merged.repartition(max(1, -(-named.count() // ITEMS)), "id").mapInArrow(gather, _GROUP).write.parquet(f"{root}/items")
-    groups = spark.read.schema(f"{_GROUP}").parquet(f"{root}/items")
+    merged.write.parquet(f"{root}/items")
+    rows = spark.read.schema(_ITEM).parquet(f"{root}/items").toLocalIterator()
     n_docs, n_terms = index.agg(F.sum("n_docs"), F.sum("n_terms")).first()
     found = spark.createDataFrame([], _FOUND)
     if n_docs:
         # One group at a time: the driver holds no more than that.
-        for number, group in enumerate(groups.toLocalIterator()):
+        for number, group in enumerate(_groups(rows)):
             _rank_group(index, group, n_docs, n_terms, k).write.parquet(f"{root}/found/{number}")
         if has_files(spark, f"{root}/found"):
             found = spark.read.schema(_FOUND).option("recursiveFileLookup", "true").parquet(f"{root}/found")
