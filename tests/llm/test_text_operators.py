@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from tests.conftest import TESTDATA
 from turnout.llm import dedup, jaccard, lm, mixing, packing, quality, rans, toxicity
 from turnout.llm.labelled import remainder
-from turnout.llm.tokens import Encoder, default_tokenizer
+from turnout.llm.tokens import Encoder, batched, default_tokenizer
 
 SMALL = f"{TESTDATA}/sf0.001"
 SCHEMA = "doc_id bigint, text string, source string, copy int, n bigint, label string, digest string"
@@ -243,6 +244,33 @@ def test_mixing_high_rates_and_absent_sources(spark):
     assert sorted(r.copy for r in out) == list(range(1, len(out) + 1))
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_signatures_rule_out_no_link(percent):
+    """Sets of all sizes with copies that differ in about as much as links may."""
+    rng = np.random.default_rng(percent)
+    sets = []
+    for n in (64, 70, 100, 127, 128, 129, 250, 260, 600, 3000):
+        for _ in range(4):
+            base = rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2)
+            sets.append(np.unique(base))
+            for share in (0.98, percent / 100 + 0.01, percent / 100, percent / 100 - 0.02):
+                sets.append(np.unique(base[: int(n * share)]))
+                changed = base.copy()
+                changed[: int(n * (1 - share) / (1 + share))] ^= np.uint64(0x123456789ABCDEF)
+                sets.append(np.unique(changed))
+    sizes, sides = np.array([len(s) for s in sets]), np.array([i % 2 == 0 for i in range(len(sets))])
+    for two in (sides, np.ones(len(sets), bool)):
+        near = jaccard.near_forest(sizes, [jaccard.signature(s) for s in sets], two, percent)
+        label = list(range(len(sets)))
+        for a, b in near:
+            label = [label[a] if x == label[b] else x for x in label]
+        exact = jaccard.linked_forest(sets, two, percent)
+        assert exact and all(label[a] == label[b] for a, b in exact if min(sizes[a], sizes[b]) >= jaccard.LEAST_SIGNED)
+    # Sets that have nothing to do with each other are nearly all out.
+    apart = [np.unique(rng.integers(0, 1 << 63, 500, dtype=np.uint64) * np.uint64(2)) for _ in range(200)]
+    assert not jaccard.near_forest(np.full(200, 500), [jaccard.signature(s) for s in apart], np.ones(200, bool), percent)
+
+
 # --- models ---------------------------------------------------------------------------------
 
 
@@ -250,17 +278,91 @@ def test_lm_equals_plain_counts_and_is_a_distribution(odd):
     held_out = remainder(F.col("doc_id"), 7) == 2
     rows = lm.score_documents(odd, held_out).collect()
     out = {doc: doc is not None and zlib.crc32(str(doc).encode()) % 7 == 2 for doc, _, _ in ODD}
-    counts = Counter(w for doc, text, _ in ODD if not out[doc] for w in lm.words_of(text or ""))
+    counts = Counter(w for doc, text, _ in ODD if not out[doc] for w in lm.words_of((text or "").encode()))
     total, distinct = sum(counts.values()), len(counts)
     texts = {}
     for doc, text, _ in ODD:
         texts.setdefault(doc, text or "")
     for r in rows:
-        words = lm.words_of(texts[r.doc_id])
+        words = lm.words_of(texts[r.doc_id].encode())
         assert (r.held_out, r.n_tokens, r.train_tokens) == (out[r.doc_id], len(words), total)
         assert r.n_known == sum(counts[w] > 0 for w in words)
         assert r.base_score == pytest.approx(sum(math.log10((counts[w] + 1) / (total + distinct + 1)) for w in words))
-        assert r.score < 0
+        n = len(texts[r.doc_id].encode()) + 1
+        assert r.score < 0 and r.n_bytes == n and r.bits_per_byte == pytest.approx(-r.score * math.log2(10) / n)
+
+
+def plain_score(text, trained):
+    """A text's probability decision by decision, with contexts and counts kept in dictionaries."""
+    spell = lambda t: t + bytes([lm.END])
+    tables, words = [{} for _ in lm.ORDERS], {}
+    slot = lambda before, at: int(lm.contexts(np.frombuffer(before + b"x", np.uint8))[0][at][-1])
+
+    def each(data):
+        for i in range(len(data)):
+            yield [slot(data[:i], at) for at in range(len(lm.ORDERS))], re.split(rb"[\x09-\x0d ]", data[:i])[-1], data[i]
+
+    for other in trained:
+        for slots, word, byte in each(spell(other)):
+            for table, row in zip(tables, slots):
+                table.setdefault(row, Counter())[byte] += 1
+            words.setdefault(word, Counter())[byte] += 1
+    children, paths = lm.code_tree(np.array([sum(c[b] for c in tables[0].values()) for b in range(256)], float))
+    leaves = lambda node: {-1 - node} if node < 0 else leaves(children[node][0]) | leaves(children[node][1])
+    weights = [list(w) for w in lm.START_WEIGHTS]
+    refined = [1 / (1 + math.exp(-((b - lm.REFINE_BINS / 2 + 0.5) / 2))) for b in range(lm.REFINE_BINS)]
+    steps = []
+    for slots, word, byte in each(spell(text)):
+        seen = words.get(word, Counter())
+        level = int(np.searchsorted(lm.LEVELS, sum(seen.values()), side="right"))
+        for node, bit in paths[byte]:
+            inputs = []
+            for counts in [*(t.get(row, Counter()) for t, row in zip(tables, slots)), seen]:
+                n0, n1 = (sum(counts[b] for b in leaves(child)) for child in children[node])
+                odds = math.log((n1 + lm.PRIOR) / (n0 + lm.PRIOR))
+                inputs.append(round(max(-127, min(127, odds * lm.STEP))) / lm.STEP)
+            steps.append((inputs, bit, level))
+    total = 0.0
+    for t in range(0, len(steps), lm.TOGETHER):
+        some, own = steps[t : t + lm.TOGETHER], weights[steps[t][2]]
+        z = [sum(a * b for a, b in zip(own, inputs)) for inputs, _, _ in some]
+        p = [1 / (1 + math.exp(-v)) for v in z]
+        bins = [min(lm.REFINE_BINS - 1, max(0, int(v * 2 + lm.REFINE_BINS / 2))) for v in z]
+        before = list(refined)
+        for v, b, (_, bit, _) in zip(p, bins, some):
+            final = (v + before[b]) / 2
+            total += math.log10(max(1e-5, final if bit else 1 - final))
+            refined[b] = before[b] + lm.REFINE_RATE * (bit - before[b])
+        weights[steps[t][2]] = [w + lm.RATE * sum((bit - v) * inputs[c] for v, (inputs, bit, _) in zip(p, some)) for c, w in enumerate(own)]
+    return total
+
+
+def test_lm_score_equals_a_plain_decision_by_decision_one(spark):
+    pick = random.Random(3)
+    words = ["the", "then", "thesis", "of", "ofen", "an", "Ünï", "x"]
+    texts = ["".join(pick.choice(words) + pick.choice([" ", " ", "\n", ". "]) for _ in range(pick.randrange(1, 14))) for _ in range(12)]
+    rows = [(i, t, "s") for i, t in enumerate(texts)] + [(20, "", "s"), (21, None, "s"), (22, "unseen words only", "s")]
+    held = F.col("doc_id").isin(3, 4, 22)
+    trained = [(t or "").encode() for i, t, _ in rows if i not in (3, 4, 22)]
+    got = {r.doc_id: r.score for r in lm.score_documents(table(spark, rows), held).collect()}
+    for doc, text, _ in rows:
+        assert got[doc] == pytest.approx(plain_score((text or "").encode(), trained), rel=1e-3)
+
+
+def test_lm_probabilities_sum_to_one():
+    """Over all ways that a text may go on by one byte, from any state of the mixer."""
+    texts = [b"abracadabra", b"abba", b"cab"]
+    counts = np.zeros((sum(lm.SLOTS), 256), np.float32)
+    for text in texts:
+        data = np.frombuffer(text + bytes([lm.END]), np.uint8)
+        for rows in lm.contexts(data)[0]:
+            np.add.at(counts, (rows, data), 1)
+    model = lm.build_model(counts)
+    known = lm.own_contexts([*texts, *(b"abr" + bytes([b]) for b in range(255))], [False] * 3 + [True] * 255)
+    whole = lm.score_texts([b"ab" + bytes([b]) for b in range(255)] + [b"ab"], model, None)
+    # A text with its end and one byte more, without the end of the longer one, share their beginning.
+    assert 0 < (10.0**whole).sum() < 1
+    assert (0.5 ** model.lengths.astype(float)).sum() == pytest.approx(1.0) and len(known.keys)
 
 
 def test_lm_code_tree_spells_every_byte():
@@ -268,35 +370,46 @@ def test_lm_code_tree_spells_every_byte():
     counts[: lm.SLOTS[0], 97] = 5
     model = lm.build_model(counts)
     assert (0.5 ** model.lengths.astype(float)).sum() == pytest.approx(1.0)
-    assert lm.score_texts(["aaaa"], model)[0] > lm.score_texts(["zzzz"], model)[0]
-    many = ["ab" * 3000, "", "a"]
+    assert lm.score_texts([b"aaaa"], model)[0] > lm.score_texts([b"zzzz"], model)[0]
+    many = [b"ab" * 3000, b"", b"a"]
     assert lm.score_texts(many, model).tolist() == pytest.approx([lm.score_texts([t], model)[0] for t in many])
 
 
-def test_lm_counts_of_contexts_grow_with_the_corpus(spark):
+def test_lm_counts_of_contexts_grow_with_the_corpus(spark, monkeypatch):
+    """Of every word so far, a block is answered with the counts of all blocks."""
     pick = random.Random(7)
     texts = ["".join(pick.choices("abcdefghijklmnop ", k=40)) for _ in range(3000)]
     rows = spark.createDataFrame([(i, t, i % 5 == 0) for i, t in enumerate(texts)], "id bigint, text string, held_out boolean")
-    counted = rows.repartition(3).mapInArrow(lm.block_contexts, lm._KEYED_SCHEMA)
-    summed = counted.repartition(2, "kind", "key").sortWithinPartitions("kind", "key").mapInArrow(lm.summed_contexts, lm._KEYED_SCHEMA)
-    got = {}
-    for r in summed.collect():
-        entries = np.frombuffer(r.data, lm._NEXT)
-        assert got.setdefault((r.kind, r.key), entries.tolist()) == entries.tolist()
-    for kind, order in enumerate(lm.ORDERS):
-        want, asked = {}, set()
-        for i, text in enumerate(texts):
-            data = bytes([lm.END] * order) + text.encode() + bytes([lm.END])
-            for at in range(order, len(data)):
-                key = int.from_bytes(data[at - order : at], "big")
-                asked.add(key)
-                if i % 5:
-                    want.setdefault(key, Counter())[data[at]] += 1
-        assert {key for k, key in got if k == kind} == asked
-        assert all(got[kind, key] == sorted(want.get(key, Counter()).items()) for key in asked)
-    assert len({key for kind, key in got if kind == lm.ORDERS.index(5)}) > 1 << 16
-    heads = {text[:at].split(" ")[-1] if text[:at] else "" for text in texts for at in range(len(text) + 1)}
-    assert len({key for kind, key in got if kind == lm.KEYED - 1}) == len(heads)
+    blocks = rows.repartition(3).mapInArrow(lambda batches: batched(lm.to_blocks(batches), lm._ARROW_BLOCK, most=1), lm._BLOCK).cache()
+    counted = blocks.mapInArrow(lm.block_contexts, lm._KEYED_SCHEMA)
+    answers = counted.repartition(2, "key").sortWithinPartitions("key").mapInArrow(lm.summed_contexts, lm._KEYED_SCHEMA)
+    answered = {}
+    for r in answers.collect():
+        answered.setdefault(r.block, []).append((r.key, np.frombuffer(r.data, lm._NEXT)))
+    want = {}
+    for i, text in enumerate(texts):
+        for at in range(len(text) + 1):
+            word = (text + "$")[:at].split(" ")[-1]
+            follow = want.setdefault(word, Counter())
+            if i % 5:
+                follow[text.encode()[at] if at < len(text) else lm.END] += 1
+    seen = 0
+    for block in blocks.collect():
+        found = lm._texts(bytes(block.data))
+        own = lm.own_contexts(found, block.held)
+        keys = np.array([key for key, _ in answered[block.block]]).view(np.uint64)
+        entries = [e for _, e in answered[block.block]]
+        known = lm.overlaid(own, keys, np.array([len(e) for e in entries]), np.concatenate(entries))
+        for text in found[:200]:
+            data = np.frombuffer(text + bytes([lm.END]), np.uint8)
+            for at, key in enumerate(lm.contexts(data)[1]):
+                k = int(np.searchsorted(known.keys, key))
+                assert known.keys[k] == key
+                got = {int(b): int(n) for b, n in known.follow[known.bounds[k] : known.bounds[k + 1]]}
+                assert got == dict(want[text[:at].decode().split(" ")[-1]])
+                seen += 1
+    assert seen > 20_000 and len(want) > 20_000
+    blocks.unpersist()
 
 
 def test_lm_remembers_a_passage_however_much_else_there_is(spark):

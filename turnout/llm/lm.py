@@ -2,17 +2,17 @@
 
 A text is a sequence of bytes and an end mark, each spelled as decisions along one binary code
 tree (a Huffman tree of the training bytes). For each decision several predictors look up how the
-training texts went on in their context: the last one, two, three or five bytes, or the word so
-far. A logistic mixer weighs their opinions; its weights are chosen by which contexts are known and
-are learned online, and a last stage refines the mixed probability adaptively; both learn after
-every ``TOGETHER`` decisions. Weights and
-refinement start afresh every ``SPAN`` bytes, so spans are independent and run side by side.
-
-The predictors are counts over all training texts. Those of one byte are a table of 256 rows; those
-of longer contexts are keyed rows whose number grows with the corpus, like the count of every word
-for the plain base model beside it. Texts are scored in blocks of bounded size, and each block is
-sent the counts of its own contexts and words. Contexts of bytes are their own keys; the word so
-far has a 64-bit hash.
+training texts went on in their context: the last two or four bytes, or the word so far. A
+logistic mixer weighs their opinions; its weights are chosen by how often the word so far was seen
+and are learned online, and a last stage refines the mixed probability adaptively; both learn after
+every ``TOGETHER`` decisions. Weights and refinement start afresh every ``SPAN`` bytes, so spans
+are independent and run side by side.
+
+The predictors are counts over all training texts. Those of the last bytes are tables of fixed size
+with hashed rows. Those of the word so far are keyed rows whose number grows with the corpus, like
+the count of every word for the plain base model beside it. Texts are stored in blocks of bounded
+size, and each block is sent the counts of its own contexts and words. The word so far has a 64-bit
+hash.
 """
 
 from __future__ import annotations
@@ -25,25 +25,33 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnout.llm.tokens import batched
+from turnout.llm.tokens import batched, rows_per_batch
 from turnout.sinks import shared_dir
 
-#: Rows of the table of one-byte contexts, the lengths of longer ones, and how many kinds are keyed:
-#: those and the word so far.
-SLOTS, ORDERS = (1 << 8,), (2, 3, 5)
-KEYED = len(ORDERS) + 1
+#: Lengths of the contexts of last bytes, the rows of the table of each, and where it begins.
+ORDERS, SLOTS = (2, 4), (1 << 13, 1 << 15)
+BEGIN = (0, SLOTS[0])
+INPUTS = len(SLOTS) + 1
 #: Never part of UTF-8, so free to mark the end.
 END = 0xFF
 #: Bytes scored with one set of weights; decisions between two updates; bytes of text in a block;
-#: decisions of spans mixed side by side, and bytes of text whose contexts are held at once.
-SPAN, TOGETHER, BLOCK_BYTES, CELLS, HELD_BYTES = 2048, 8, 1 << 22, 1 << 22, 1 << 20
+#: decisions of spans mixed side by side, and bytes of text looked at together.
+SPAN, TOGETHER, BLOCK_BYTES, CELLS, HELD_BYTES = 2048, 8, 1 << 24, 1 << 22, 1 << 21
 #: Rows that travel together, and bytes counted at once.
 ROWS, COUNT_BYTES = 1 << 14, 1 << 22
-START_WEIGHTS, RATE, REFINE_RATE, REFINE_BINS = (0.25, 0.25, 0.25, 0.25, 0.25), 0.02, 0.02, 24
+#: What the mixer starts from: weights of the predictors by how often the word so far was seen, in
+#: steps of ``LEVELS``. Fitted once by logistic regression on 70 documents of a small table.
+LEVELS = (1, 2, 4, 8, 16, 64, 256)
+START_WEIGHTS = (
+    (0.86, 0.63, 0.0), (0.54, 0.51, 1.57), (0.49, 0.47, 0.98), (0.53, 0.33, 0.71),
+    (0.47, 0.25, 0.66), (0.34, 0.2, 0.68), (0.22, 0.18, 0.72), (0.19, 0.62, 0.32),
+)
+RATE, REFINE_RATE, REFINE_BINS = 0.02, 0.02, 24
 #: Stretched probabilities are kept in steps of 1/16 as far as +-8.
 STEP, PRIOR = 16.0, 0.4
 
@@ -65,24 +73,24 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 def contexts(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Last byte, and key of each longer kind of context, before each byte of texts with end marks."""
+    """Table row for each number of last bytes, and key of the word so far, before each byte of
+    texts with end marks."""
     n = len(data)
     first = np.zeros(n, np.int32)
     after = np.flatnonzero(data[:-1] == END) + 1
     first[after] = after
     np.maximum.accumulate(first, out=first)
     age = np.arange(n, dtype=np.int32) - first
-    keys, run = np.empty((KEYED, n), np.uint64), np.zeros(n, np.uint64)
-    last = np.full(n, END, np.uint8)
+    rows, run = np.empty((len(SLOTS), n), np.int32), np.zeros(n, np.uint32)
     for back in range(1, max(ORDERS) + 1):
         before = np.full(n, END, np.uint8)
         before[back:] = data[:-back]
         before[age < back] = END
-        run |= before.astype(np.uint64) << np.uint64(8 * (back - 1))
-        if back == 1:
-            last = before
+        run |= before.astype(np.uint32) << np.uint32(8 * (back - 1))
         if back in ORDERS:
-            keys[ORDERS.index(back)] = run
+            at = ORDERS.index(back)
+            rows[at] = run * np.uint32(0x9E3779B1) >> np.uint32(33 - SLOTS[at].bit_length())
+            rows[at] += BEGIN[at]
     # Hash of the bytes since the last white space, from sums of powers.
     size = 1 << max(14, n.bit_length())
     summed = np.zeros(n + 1, np.uint64)
@@ -91,8 +99,7 @@ def contexts(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     after = np.flatnonzero((data[:-1] == 32) | (data[:-1] - np.uint8(9) < 5)) + 1
     begin[after] = after
     np.maximum.accumulate(begin, out=begin)
-    keys[-1] = (summed[:n] - summed[begin]) * _powers(_INVERSE, size)[begin]
-    return last, keys
+    return rows, (summed[:n] - summed[begin]) * _powers(_INVERSE, size)[begin]
 
 
 def numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -118,10 +125,6 @@ def numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return found, number[chosen]
 
 
-def spelled(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode() + bytes([END]), np.uint8)
-
-
 # --- predictors -----------------------------------------------------------------------------
 
 
@@ -134,6 +137,14 @@ class Model:
     bits: np.ndarray
     lengths: np.ndarray
 
+    def paths(self, byte: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Node and bit of each decision of a sequence of bytes."""
+        width = np.int32(self.nodes.shape[1])
+        begin = np.cumsum(lengths, dtype=np.int32) - lengths
+        # Along each byte's row of the table of paths.
+        place = np.arange(int(lengths.sum()), dtype=np.int32) + np.repeat(byte.astype(np.int32) * width - begin, lengths)
+        return self.nodes.reshape(-1).take(place).astype(np.int32), self.bits.reshape(-1).take(place)
+
 
 def code_tree(counts: np.ndarray) -> tuple[list[tuple[int, int]], list[list[tuple[int, int]]]]:
     """Children of each inner node (leaves are -1 - byte), and each byte's (node, bit) path."""
@@ -160,6 +171,7 @@ def code_tree(counts: np.ndarray) -> tuple[list[tuple[int, int]], list[list[tupl
 
 def build_model(counts: np.ndarray) -> Model:
     """From how often each byte followed each context; ``counts`` has a row per table row."""
+    # Every byte is in each of the tables once.
     children, paths = code_tree(counts[: SLOTS[0]].sum(0, dtype=float))
     stretch = np.zeros((len(counts), 256), np.int8)
     below: dict[int, np.ndarray] = {-1 - byte: counts[:, byte] for byte in range(256)}
@@ -172,7 +184,7 @@ def build_model(counts: np.ndarray) -> Model:
     nodes, bits = np.zeros((256, longest), np.uint8), np.zeros((256, longest), np.int8)
     for byte, path in enumerate(paths):
         nodes[byte, : len(path)], bits[byte, : len(path)] = zip(*path)
-    return Model(stretch.reshape(-1), nodes, bits, np.array([len(p) for p in paths]))
+    return Model(stretch.reshape(-1), nodes, bits, np.array([len(p) for p in paths], np.int32))
 
 
 @dataclass
@@ -189,12 +201,13 @@ def _ranges(begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(begin - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
 
 
-def stretched(keys: np.ndarray, known: Known | None, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Stretched predictions of the distinct contexts among ``keys`` by tree node, and each key's row."""
+def stretched(keys: np.ndarray, known: Known | None, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stretched predictions of the distinct contexts among ``keys`` by tree node, how often each was
+    seen as one of the levels, and each key's row."""
     found, row = numbered(keys)
-    table = np.zeros(len(found) * 256, np.int8)
+    table, level = np.zeros(len(found) * 256, np.int8), np.zeros(len(found), np.int8)
     if known is None:
-        return table, row
+        return table, level, row
     distinct = keys[found]
     at = np.searchsorted(known.keys, distinct)
     if not (at < len(known.keys)).all() or (known.keys[at] != distinct).any():
@@ -209,19 +222,22 @@ def stretched(keys: np.ndarray, known: Known | None, model: Model) -> tuple[np.n
     n1 = np.bincount(number, weights=n * model.bits.reshape(-1)[path])
     odds = np.log((n1 + PRIOR) / (np.bincount(number, weights=n) - n1 + PRIOR))
     table[cell[where]] = np.rint(np.clip(odds * STEP, -127, 127))
-    return table, row
+    seen = np.bincount(np.repeat(np.arange(len(found)), sizes), weights=follow["n"], minlength=len(found))
+    level[:] = np.searchsorted(LEVELS, seen, side="right")
+    return table, level, row
 
 
 # --- mixing ---------------------------------------------------------------------------------
 
 
-def _mix(x: np.ndarray, bits: np.ndarray, active: np.ndarray) -> np.ndarray:
-    """Probability of each decision: ``x`` (span, step, context), ``bits`` (span, step).
+def _mix(x: np.ndarray, bits: np.ndarray, levels: np.ndarray, active: np.ndarray) -> np.ndarray:
+    """Probability of each decision: ``x`` (input, span, step), ``bits`` and ``levels`` (span, step).
 
     Spans are in descending order of length; ``active`` says how many are left at each step.
     """
     spans, steps = bits.shape
-    weights = np.tile(np.asarray(START_WEIGHTS, np.float32), (4 * spans, 1))
+    # The weights of a span lie ``spans`` apart, one set for each level.
+    weights = np.repeat(np.asarray(START_WEIGHTS, np.float32), spans, axis=0)
     centres = (np.arange(REFINE_BINS) - REFINE_BINS / 2 + 0.5) / 2
     refined = np.repeat((1 / (1 + np.exp(-centres))).astype(np.float32), spans)
     span = np.arange(spans, dtype=np.int32)
@@ -229,14 +245,13 @@ def _mix(x: np.ndarray, bits: np.ndarray, active: np.ndarray) -> np.ndarray:
     scale, rate, refine_rate = np.float32(1 / STEP), np.float32(RATE), np.float32(REFINE_RATE)
     for t in range(0, steps, TOGETHER):
         n = active[t]
-        inputs = x[:n, t : t + TOGETHER] * scale
+        inputs = x[:, :n, t : t + TOGETHER] * scale
         bit = bits[:n, t : t + TOGETHER]
-        # Which weights to use: by which of the two longest contexts are known.
-        gate = ((inputs[:, 0, -2] != 0) * np.int32(2) + (inputs[:, 0, -1] != 0)) * np.int32(spans) + span[:n]
+        gate = levels[:n, t] * np.int32(spans) + span[:n]
         own = weights.take(gate, axis=0)
-        z = np.einsum("sc,skc->sk", own, inputs)
+        z = np.einsum("sc,csk->sk", own, inputs)
         p = 1 / (1 + np.exp(-z))
-        own += rate * np.einsum("sk,skc->sc", bit - p, inputs)
+        own += rate * np.einsum("sk,csk->sc", bit - p, inputs)
         weights[gate] = own
         at = (z * 2 + REFINE_BINS / 2).astype(np.int32)
         np.clip(at, 0, REFINE_BINS - 1, out=at)
@@ -249,86 +264,115 @@ def _mix(x: np.ndarray, bits: np.ndarray, active: np.ndarray) -> np.ndarray:
     return np.clip(out, 1e-5, 1, out=out)
 
 
-def score_texts(texts: list[str], model: Model, known: list[Known] | None = None) -> np.ndarray:
-    """Log10 probability of each text, end mark included; without ``known`` by the last byte alone."""
-    data = [spelled(text) for text in texts]
-    last, keys = contexts(np.concatenate(data))
-    starts = np.cumsum([0, *map(len, data)])
-    spans = [(i, a) for i, d in enumerate(data) for a in range(0, len(d), SPAN)]
-    steps = np.array([model.lengths[data[i][a : a + SPAN]].sum() for i, a in spans])
+def score_texts(texts: list[bytes], model: Model, known: Known | None = None) -> np.ndarray:
+    """Log10 probability of each text, end mark included; without ``known`` by the last bytes alone."""
+    data = np.frombuffer(b"".join(text + bytes([END]) for text in texts), np.uint8)
+    rows, keys = contexts(data)
+    # Where each span begins and ends, and whose it is.
+    ends = np.cumsum([len(text) + 1 for text in texts])
+    begin = np.concatenate([np.arange(end - len(text) - 1, end, SPAN) for text, end in zip(texts, ends)])
+    owner = np.repeat(np.arange(len(texts)), [-(-(len(text) + 1) // SPAN) for text in texts])
+    end = np.minimum(begin + SPAN, ends[owner])
+    decided = np.concatenate([[0], np.cumsum(model.lengths.astype(np.int64)[data])])
+    steps = decided[end] - decided[begin]
     order = np.argsort(-steps, kind="stable")
+    table, level, row = stretched(keys, known, model)
     total, at = np.zeros(len(texts)), 0
     while at < len(order):
         longest = -(-int(steps[order[at]]) // TOGETHER) * TOGETHER
         group = order[at : at + max(1, CELLS // longest)]
         at += len(group)
-        n = len(group)
-        # All decisions of the group, span after span.
-        byte = np.concatenate([data[spans[g][0]][spans[g][1] : spans[g][1] + SPAN] for g in group])
-        begin = np.array([starts[spans[g][0]] + spans[g][1] for g in group])
-        here = _ranges(begin, np.array([len(data[spans[g][0]][spans[g][1] : spans[g][1] + SPAN]) for g in group]))
-        lengths = model.lengths.astype(np.int32).take(byte)
-        which = np.repeat(np.arange(len(byte), dtype=np.int32), lengths)
-        depth = np.arange(len(which), dtype=np.int32) - np.repeat(np.cumsum(lengths, dtype=np.int32) - lengths, lengths)
-        path = byte.astype(np.int32).take(which) * np.int32(model.nodes.shape[1]) + depth
-        node = model.nodes.reshape(-1).take(path)
-        sizes = steps[group]
-        # Where each span's decisions go in a row of the longest span's length.
-        gaps = (np.arange(n) * longest - (np.cumsum(sizes) - sizes)).astype(np.int32)
-        place = np.arange(len(which), dtype=np.int32) + np.repeat(gaps, sizes)
-        x, bits = np.zeros((longest * n, 1 + KEYED), np.int8), np.zeros(longest * n, np.int8)
-        for c in range(1 + KEYED):
-            if c == 0:
-                table, row = model.stretch, last[here].astype(np.int32)
-            else:
-                table, row = stretched(keys[c - 1][here], known[c - 1] if known else None, model)
-            x[place, c] = table.take(row.take(which) * np.int32(256) + node)
-        bits[place] = model.bits.reshape(-1).take(path)
+        n, sizes = len(group), steps[group]
+        # All bytes of the group, span after span, and all their decisions.
+        here = _ranges(begin[group], end[group] - begin[group])
+        byte = data[here]
+        lengths = model.lengths[byte]
+        node, bit = model.paths(byte, lengths)
+        x, bits = np.zeros((INPUTS, n, longest), np.int8), np.zeros((n, longest), np.int8)
+        levels = np.zeros((n, longest), np.int8)
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+
+        def placed(into: np.ndarray, values: np.ndarray) -> None:
+            for k in range(n):
+                into[k, : sizes[k]] = values[bounds[k] : bounds[k + 1]]  # noqa: B023
+
+        for c in range(INPUTS):
+            rows_of, values = (rows[c][here], model.stretch) if c < len(SLOTS) else (row[here], table)
+            placed(x[c], values.take(np.repeat(rows_of * np.int32(256), lengths) + node))
+        placed(bits, bit)
+        placed(levels, np.repeat(level[row[here]], lengths))
         active = np.searchsorted(-sizes, -np.arange(longest), side="left")
-        chosen = _mix(x.reshape(n, longest, -1), bits.reshape(n, longest), active)
-        sums = np.add.reduceat(np.log(chosen.reshape(-1).take(place), dtype=float), np.cumsum(sizes) - sizes)
-        np.add.at(total, [spans[g][0] for g in group], sums)
+        chosen = np.log(_mix(x, bits, levels, active))
+        for k, g in enumerate(group):
+            total[owner[g]] += chosen[k, : sizes[k]].sum(dtype=float)
     return total / np.log(10)
 
 
 # --- on Spark -------------------------------------------------------------------------------
 
 
-def count_bytes(texts: DataFrame) -> np.ndarray:
-    """How often each byte followed each other, over all rows of ``texts``."""
-    cells = SLOTS[0] * 256
+def to_blocks(batches) -> Iterator[tuple]:
+    """Rows of a task as blocks of bounded text; a text that is longer makes a longer block."""
+    block, ids, held, parts, size = TaskContext.get().partitionId() << 24, [], [], [], 0
+    for batch in batches:
+        for doc, text, out in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            ids.append(doc)
+            held.append(out)
+            parts.append(text.encode())
+            size += len(parts[-1]) + 1
+            if size >= BLOCK_BYTES:
+                yield block, ids, held, bytes([END]).join([*parts, b""])
+                block, ids, held, parts, size = block + 1, [], [], [], 0
+    if ids:
+        yield block, ids, held, bytes([END]).join([*parts, b""])
 
-    def count(batches):
-        table, held, size = np.zeros(cells, np.int64), [], 0
 
-        def add() -> None:
-            nonlocal held, size
-            if held:
-                data = np.concatenate([spelled(text) for text in held])
-                before = np.concatenate([[END], data[:-1]]).astype(np.int32)
-                table[:] += np.bincount(before * 256 + data, minlength=cells)
-            held, size = [], 0
+_BLOCK = "block bigint, ids array<bigint>, held array<boolean>, data binary"
+_ARROW_BLOCK = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("data", pa.binary())])
 
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                held.append(text)
-                size += len(text)
-                if size >= COUNT_BYTES:
-                    add()
-        add()
-        seen = np.flatnonzero(table)
-        yield pa.record_batch([pa.array(seen, pa.int32()), pa.array(table[seen], pa.int64())], names=["cell", "n"])
 
+def _texts(data: bytes) -> list[bytes]:
+    return data.split(bytes([END]))[:-1]
+
+
+def _in_parts(texts: list[bytes]) -> Iterator[slice]:
+    """Runs of texts that are looked at together."""
+    first, size = 0, 0
+    for i, text in enumerate(texts):
+        size += len(text) + 1
+        if size >= HELD_BYTES or i + 1 == len(texts):
+            yield slice(first, i + 1)
+            first, size = i + 1, 0
+
+
+def count_tables(blocks: DataFrame) -> np.ndarray:
+    """How often each byte followed each table row, over all training texts."""
+    cells = (BEGIN[-1] + SLOTS[-1]) * 256
+
+    def count(batches):
+        total = np.zeros(cells, np.int64)
+        for batch in batches:
+            for data, held in zip(batch.column("data"), batch.column("held").to_pylist()):
+                texts = [text for text, out in zip(_texts(data.as_py()), held) if not out]
+                for part in _in_parts(texts):
+                    own = np.frombuffer(b"".join(text + bytes([END]) for text in texts[part]), np.uint8)
+                    for rows, slots, begin in zip(contexts(own)[0], SLOTS, BEGIN):
+                        found = np.bincount((rows - np.int32(begin)) * np.int32(256) + own, minlength=slots * 256)
+                        total[begin * 256 : (begin + slots) * 256] += found
+        seen = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(seen, pa.int64()), pa.array(total[seen])], names=["cell", "n"])
+
+    counted = blocks.select("held", "data").mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
+    found = counted.toArrow()  # a row per cell of the tables at most
     counts = np.zeros(cells, np.float32)
-    for cell, n in texts.select("text").mapInArrow(count, "cell int, n bigint").groupBy("cell").agg(F.sum("n")).collect():
-        counts[cell] = n  # a row per cell at most
+    counts[found["cell"].to_numpy()] = found["n"].to_numpy()
     return counts.reshape(-1, 256)
 
 
-_KEYED_SCHEMA = "block bigint, kind int, key bigint, data binary"
+_KEYED_SCHEMA = "block bigint, key bigint, data binary"
 
 
-def _keyed(block: np.ndarray, kind: np.ndarray, key: np.ndarray, sizes: np.ndarray, follow: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _keyed(block: np.ndarray, key: np.ndarray, sizes: np.ndarray, follow: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Rows of contexts, each with as many entries of ``follow`` as its size."""
     ends = np.concatenate([[0], np.cumsum(sizes)])
     for a in range(0, len(key), ROWS):
@@ -336,8 +380,8 @@ def _keyed(block: np.ndarray, kind: np.ndarray, key: np.ndarray, sizes: np.ndarr
         offsets = ((ends[a : b + 1] - ends[a]) * _NEXT.itemsize).astype(np.int32)
         data = np.ascontiguousarray(follow[ends[a] : ends[b]]).tobytes()
         binary = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
-        columns = [pa.array(block[a:b], pa.int64()), pa.array(kind[a:b], pa.int32()), pa.array(key[a:b].view(np.int64)), binary]
-        yield pa.record_batch(columns, names=["block", "kind", "key", "data"])
+        columns = [pa.array(block[a:b], pa.int64()), pa.array(key[a:b].view(np.int64)), binary]
+        yield pa.record_batch(columns, names=["block", "key", "data"])
 
 
 def _binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -358,154 +402,171 @@ def _entries(pair: np.ndarray, weights: np.ndarray | None, owners: int) -> tuple
     return np.bincount(distinct >> 8, minlength=owners), follow
 
 
+def own_contexts(texts: list[bytes], held: list[bool]) -> Known:
+    """The contexts of a block's texts, with the bytes that followed them in its training texts."""
+    keys, pairs, counts, n = [], [], [], 0
+    for part in _in_parts(texts):
+        data = np.frombuffer(b"".join(text + bytes([END]) for text in texts[part]), np.uint8)
+        trained = np.repeat([not out for out in held[part]], [len(text) + 1 for text in texts[part]])
+        own = contexts(data)[1]
+        found, number = numbered(own)
+        sizes, follow = _entries((number.astype(np.int64) * 256 + data)[trained], None, len(found))
+        keys.append(own[found])
+        pairs.append((np.repeat(np.arange(len(found)) + n, sizes) << 8) | follow["byte"])
+        counts.append(follow["n"])
+        n += len(found)
+    every = np.concatenate([np.zeros(0, np.uint64), *keys])
+    distinct, number = np.unique(every, return_inverse=True)
+    pair = np.concatenate([np.zeros(0, np.int64), *pairs])
+    pair = (number[pair >> 8] << 8) | (pair & 255)
+    sizes, follow = _entries(pair, np.concatenate([np.zeros(0), *counts]), len(distinct))
+    return Known(distinct, np.concatenate([[0], np.cumsum(sizes)]), follow)
+
+
 def block_contexts(batches) -> Iterator[pa.RecordBatch]:
-    """The contexts of each block's texts, with the bytes that followed them in its training texts."""
-    for block, held in _in_blocks(batches):
-        data = np.concatenate([spelled(text) for _, text, _ in held])
-        trained = np.repeat([not out for _, _, out in held], [len(text.encode()) + 1 for _, text, _ in held])
-        for kind, keys in enumerate(contexts(data)[1]):
-            found, number = numbered(keys)
-            pair = (number.astype(np.int64) * 256 + data)[trained]
-            sizes, follow = _entries(pair, None, len(found))
-            yield from _keyed(np.full(len(found), block), np.full(len(found), kind), keys[found], sizes, follow)
+    """Rows of each block's own contexts."""
+    for batch in batches:
+        for block, held, data in zip(batch.column("block").to_pylist(), batch.column("held").to_pylist(), batch.column("data")):
+            own = own_contexts(_texts(data.as_py()), held)
+            yield from _keyed(np.full(len(own.keys), block), own.keys, np.diff(own.bounds), own.follow)
 
 
 def summed_contexts(batches) -> Iterator[pa.RecordBatch]:
-    """Each row with what followed its context in all blocks; rows come sorted by kind and key."""
+    """Rows with what followed their contexts in all blocks; rows come sorted by key.
+
+    A context that only one block has needs no answer.
+    """
 
     def total(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        block, kind, key = (rows[c].to_numpy() for c in ("block", "kind", "key"))
+        block, key = (rows[c].to_numpy() for c in ("block", "key"))
         sizes, follow = _binary(pa.concat_arrays(rows["data"].chunks))
-        group = np.cumsum(np.concatenate([[False], (kind[1:] != kind[:-1]) | (key[1:] != key[:-1])]))
+        group = np.cumsum(np.concatenate([[False], key[1:] != key[:-1]]))
         pair = np.repeat(group, sizes) * 256 + follow["byte"]
         n, sums = _entries(pair, follow["n"].astype(float), group[-1] + 1)
-        for a in range(0, len(key), 1024):
-            own = group[a : a + 1024]
+        shared = np.flatnonzero(np.bincount(group)[group] > 1)
+        for a in range(0, len(shared), 1024):
+            some = shared[a : a + 1024]
+            own = group[some]
             taken = sums[_ranges((np.cumsum(n) - n)[own], n[own])]
-            yield from _keyed(block[a : a + 1024], kind[a : a + 1024], key[a : a + 1024], n[own], taken)
+            yield from _keyed(block[some], key[some], n[own], taken)
 
     held: list[pa.RecordBatch] = []
     at = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        kind, key = batch.column(1).to_numpy(), batch.column(2).to_numpy()
-        last = (kind[-1], key[-1])
-        differs = np.flatnonzero((kind != last[0]) | (key != last[1]))
+        key = batch.column(1).to_numpy()
+        differs = np.flatnonzero(key != key[-1])
         cut = int(differs[-1]) + 1 if len(differs) else 0
         # The last context may go on in the next batch.
         if cut:
             held.append(batch.slice(0, cut))
-        if held and (cut or at != last):
+        if held and (cut or at != key[-1]):
             yield from total(pa.Table.from_batches(held))
             held = []
         held.append(batch.slice(cut))
-        at = last
+        at = key[-1]
     if held:
         yield from total(pa.Table.from_batches(held))
 
 
-def words_of(text: str) -> list[bytes]:
-    """A-Z lower-cased words, then the end, which is no word."""
-    return [*text.encode().lower().split(), b""]
+def overlaid(own: Known, keys: np.ndarray, sizes: np.ndarray, follow: np.ndarray) -> Known:
+    """A block's own contexts, with the answers for those that other blocks have too."""
+    order = np.argsort(keys)
+    follow = follow[_ranges((np.cumsum(sizes) - sizes)[order], sizes[order])]
+    keys, sizes = keys[order], sizes[order]
+    alone = np.flatnonzero(~np.isin(own.keys, keys))
+    own_sizes = np.diff(own.bounds)[alone]
+    both = np.concatenate([own.keys[alone], keys])
+    all_sizes = np.concatenate([own_sizes, sizes])
+    entries = np.concatenate([own.follow[_ranges(own.bounds[:-1][alone], own_sizes)], follow])
+    order = np.argsort(both)
+    begin = np.cumsum(all_sizes) - all_sizes
+    return Known(both[order], np.concatenate([[0], np.cumsum(all_sizes[order])]), entries[_ranges(begin[order], all_sizes[order])])
 
 
-def _in_blocks(batches) -> Iterator[tuple[int, list[tuple]]]:
-    """Rows of a task in blocks of bounded text; a text that is longer makes a longer block."""
-    block, held, size = TaskContext.get().partitionId() << 24, [], 0
-    for batch in batches:
-        for row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns))):
-            held.append(row)
-            size += len(row[1])
-            if size >= BLOCK_BYTES:
-                yield block, held
-                block, held, size = block + 1, [], 0
-    if held:
-        yield block, held
+def words_of(text: bytes) -> list[bytes]:
+    """A-Z lower-cased words, then the end, which is no word."""
+    return [*text.lower().split(), b""]
 
 
-_SCORED = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
+_SCORED = (
+    "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double,"
+    " n_bytes bigint, bits_per_byte double"
+)
 _ARROW_SCORED = pa.schema([
     ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-    ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()),
+    ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("n_bytes", pa.int64()),
+    ("bits_per_byte", pa.float64()),
 ])
 
 
 def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row.
+    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes, bits_per_byte`` of every row.
 
     Both models learn from all rows that are not ``held_out``. ``score`` is the mixing model's
     log10 probability of the whole text, ``base_score`` that of its words by add-one smoothed
-    counts. A null text counts as empty, which has an end and nothing else. Repeated rows count
-    each, in training and in the result. Without training rows every decision is even at first.
+    counts. ``n_bytes`` counts the text's bytes and its end mark, ``bits_per_byte`` is what the
+    mixing model needs for each. A null text counts as empty, which has an end and nothing else.
+    Repeated rows count each, in training and in the result. Without training rows every decision is
+    even at first. Other columns are not read; an empty table gives an empty result.
     """
-    root = shared_dir(docs.sparkSession, "lm")
+    spark, root = docs.sparkSession, shared_dir(docs.sparkSession, "lm")
     texts = docs.select(
         F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
     )
-    model = build_model(count_bytes(texts.where(~F.col("held_out"))))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # a number per pair of bytes
+    with rows_per_batch(spark):
+        blocks = texts.mapInArrow(lambda batches: batched(to_blocks(batches), _ARROW_BLOCK, most=1), _BLOCK)
+        blocks.write.option("compression", "zstd").parquet(f"{root}/blocks")
+    blocks = spark.read.schema(_BLOCK).parquet(f"{root}/blocks")
+    model = build_model(count_tables(blocks))
+    shared = spark.sparkContext.broadcast(model)  # a number per cell of the tables
 
     def count_words(batches):
         schema = pa.schema([("block", pa.int64()), ("word", pa.binary()), ("n", pa.int64())])
 
         def rows():
-            for block, held in _in_blocks(batches):
-                counts: Counter = Counter()
-                others: set[bytes] = set()
-                for _, text, out in held:
-                    (others if out else counts).update(words_of(text))
-                yield from ((block, word, n) for word, n in counts.items())
-                yield from ((block, word, 0) for word in others.difference(counts))
+            for batch in batches:
+                for block, held, data in zip(batch.column("block").to_pylist(), batch.column("held").to_pylist(), batch.column("data")):
+                    counts: Counter = Counter()
+                    others: set[bytes] = set()
+                    for text, out in zip(_texts(data.as_py()), held):
+                        (others if out else counts).update(words_of(text))
+                    yield from ((block, word, n) for word, n in counts.items())
+                    yield from ((block, word, 0) for word in others.difference(counts))
 
         yield from batched(rows(), schema)
 
-    def with_blocks(batches):
-        schema = pa.schema([("block", pa.int64()), ("id", pa.int64()), ("text", pa.string()), ("held_out", pa.bool_())])
-        rows = ((block, *row) for block, held in _in_blocks(batches) for row in held)
-        yield from batched(rows, schema, size=lambda r: len(r[2]))
-
-    by_word = Window.partitionBy("word")
-    counted = texts.mapInArrow(count_words, "block bigint, word binary, n bigint").select(
-        "block", "word", "n", F.sum("n").over(by_word).alias("c"),
-        (F.row_number().over(by_word.orderBy("block")) == 1).alias("first"),
-    )
-    counted.write.parquet(f"{root}/words")
-    words = docs.sparkSession.read.parquet(f"{root}/words")
-    sums = words.agg(F.sum("n"), F.count_if(F.col("first") & (F.col("c") > 0))).first()
-    n_train, distinct = sums[0] or 0, sums[1] or 0
-
-    def judge(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        kind = right["kind"].to_numpy()
-        of_words = right.filter(pa.array(kind == KEYED))
-        known = dict(zip(of_words["data"].to_pylist(), of_words["key"].to_pylist()))
-        after = []
-        for k in range(KEYED):
-            part = right.filter(pa.array(kind == k)).combine_chunks()
-            keys = part["key"].to_numpy().view(np.uint64)
-            order = np.argsort(keys)
-            sizes, follow = _binary(part["data"].chunk(0)) if len(keys) else (np.zeros(0, int), np.zeros(0, _NEXT))
-            follow = follow[_ranges((np.cumsum(sizes) - sizes)[order], sizes[order])]
-            after.append(Known(keys[order], np.concatenate([[0], np.cumsum(sizes[order])]), follow))
-        rows, all_texts = [], left["text"].to_pylist()
-        scores, first, size = [], 0, 0
-        for i, text in enumerate(all_texts):
-            size += len(text)
-            if size >= HELD_BYTES or i + 1 == len(all_texts):
-                scores += score_texts(all_texts[first : i + 1], shared.value, after).tolist()
-                first, size = i + 1, 0
-        for doc, text, out, score in zip(left["id"].to_pylist(), all_texts, left["held_out"].to_pylist(), scores):
-            # A word that is missing means that the input changed meanwhile, and fails.
-            c = np.array([known[word] for word in words_of(text)], float)
-            base = float(np.log10(c + 1).sum() - len(c) * np.log10(n_train + distinct + 1))
-            rows.append((doc, out, len(c), int((c > 0).sum()), n_train, base, float(score)))
-        columns = zip(*rows) if rows else [[]] * 7
+    counted = blocks.drop("ids").mapInArrow(count_words, "block bigint, word binary, n bigint")
+    counted.write.option("compression", "zstd").parquet(f"{root}/words")
+    words = spark.read.parquet(f"{root}/words")
+    words.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0").write.parquet(f"{root}/counts")
+    counts = spark.read.parquet(f"{root}/counts")
+    n_train, distinct = (n or 0 for n in counts.agg(F.sum("c"), F.count(F.lit(1))).first())
+
+    def judge(left: pa.Table, right: pa.Table) -> pa.Table:
+        # Words have a kind of their own; a word that is not there was not seen in training.
+        of_words = right.filter(pc.equal(right["kind"], 1))
+        seen = dict(zip(of_words["data"].to_pylist(), of_words["key"].to_pylist()))
+        part = right.filter(pc.equal(right["kind"], 0)).combine_chunks()
+        keys = part["key"].to_numpy().view(np.uint64)
+        sizes, follow = _binary(part["data"].chunk(0)) if len(keys) else (np.zeros(0, int), np.zeros(0, _NEXT))
+        rows = []
+        for ids, held, data in zip(*(left[name].to_pylist() for name in ("ids", "held", "data"))):
+            found = _texts(data)
+            known = overlaid(own_contexts(found, held), keys, sizes, follow)
+            for some in _in_parts(found):
+                for doc, out, text, score in zip(ids[some], held[some], found[some], score_texts(found[some], shared.value, known)):
+                    c = np.array([seen.get(word, 0) for word in words_of(text)], float)
+                    base = float(np.log10(c + 1).sum() - len(c) * np.log10(n_train + distinct + 1))
+                    bits = -float(score) * np.log2(10) / (len(text) + 1)
+                    rows.append((doc, out, len(c), int((c > 0).sum()), n_train, base, float(score), len(text) + 1, bits))
+        columns = zip(*rows) if rows else [[]] * len(_ARROW_SCORED)
         return pa.table([pa.array(col, f.type) for col, f in zip(columns, _ARROW_SCORED)], schema=_ARROW_SCORED)
 
-    blocks = texts.mapInArrow(with_blocks, "block bigint, id bigint, text string, held_out boolean")
-    by_context = texts.mapInArrow(block_contexts, _KEYED_SCHEMA).repartition("kind", "key").sortWithinPartitions("kind", "key")
-    counts = by_context.mapInArrow(summed_contexts, _KEYED_SCHEMA).unionByName(
-        words.select("block", F.lit(KEYED).alias("kind"), F.col("c").alias("key"), F.col("word").alias("data"))
-    )
-    return blocks.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(judge, _SCORED)
+    by_context = blocks.select("block", "held", "data").mapInArrow(block_contexts, _KEYED_SCHEMA)
+    answers = by_context.repartition("key").sortWithinPartitions("key").mapInArrow(summed_contexts, _KEYED_SCHEMA)
+    known_words = words.join(counts, "word").select("block", F.lit(1).alias("kind"), F.col("c").alias("key"), F.col("word").alias("data"))
+    sent = answers.select("block", F.lit(0).alias("kind"), "key", "data").unionByName(known_words)
+    return blocks.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(judge, _SCORED)
