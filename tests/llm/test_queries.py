@@ -139,3 +139,48 @@ def test_pipeline_stages(spark, folder):
     assert set(rows[3]) < set(rows[2]) and set(rows[4]) <= set(rows[3])
     packed = results[-1].where("piece = 0").groupBy("doc_id").count().collect()
     assert {r.doc_id: r["count"] for r in packed} == Counter(i for i, _ in rows[4])
+
+
+def odd_tables(spark, folder, rows):
+    """A folder of tables with odd documents, with further columns named like those that stages make."""
+    names = ["score", "copy", "shuffle_key", "id", "digest", "_gone", "path", "row", "label", "held_out"]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    docs = spark.createDataFrame(rows, schema).withColumns({name: F.lit("x") for name in names})
+    docs.coalesce(2).write.parquet(f"{folder('odd')}/documents.parquet")
+    labels = [(i, int(i % 2 == 0), int(i % 3 == 0)) for i, *_ in rows if i is not None]
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").coalesce(1).write.parquet(f"{folder('odd')}/labels.parquet")
+    return folder("odd")
+
+
+def test_pipeline_on_odd_rows(spark, folder):
+    words = [f"word{i}" for i in range(400)]
+    good = lambda k: " ".join(words[k : k + 40])
+    rows = [(i, good(8 * i) if i % 2 == 0 else "## %% && 00 !!", "en", "a", 1) for i in range(1, 30)]
+    rows += [(None, good(1), None, None, None), (None, None, "en", "b", 0), (40, None, "en", "b", 0), (41, "", None, "b", 0), (42, "  ", "en", None, 0)]
+    rows += [(50, good(2), "en", "a", 1)] * 2 + [(51, good(2), "en", "b", 1), (52, good(300) + " tail", "en", "b", 1), (53, good(300), "en", "b", 1)]
+    rows += [(60, " ".join(words * 300), "en", "c", 1)]
+    at = odd_tables(spark, folder, rows)
+    docs = spark.read.parquet(f"{at}/documents.parquet")
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, at).write.parquet(folder(f"stage{k}"))
+        before, docs = docs, spark.read.parquet(folder(f"stage{k}"))
+        if k < 4:
+            assert docs.columns == corpus_pipeline.COLUMNS
+            found = Counter(tuple(r) for r in docs.select("doc_id", "text").collect())
+            given = Counter(tuple(r) for r in before.select("doc_id", "text").collect())
+            assert set(found) <= set(given)
+        if k == 0:
+            assert all(found[key] == given[key] for key in given if not (key[1] or "").split())
+        if k == 1:
+            assert Counter((t or "") for _, t in found) == Counter({t or "" for _, t in given})
+        if k == 2:
+            assert (60, rows[-1][1]) in found and sum(i in (52, 53) for i, _ in found) <= 1
+    want = Counter(r.doc_id for r in before.collect())
+    packed = docs.where("piece = 0").groupBy("doc_id").count().collect()
+    assert {r.doc_id: r["count"] for r in packed} == want
+    assert docs.agg(F.max("length")).first()[0] <= 4096
+
+
+def test_pipeline_on_an_empty_table(spark, folder):
+    at = odd_tables(spark, folder, [])
+    assert corpus_pipeline.run(spark, at).count() == 0

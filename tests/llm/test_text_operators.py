@@ -9,6 +9,8 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,6 +99,28 @@ def test_encoder_equals_the_library(encoder):
         assert encoder(text or "") + b"\1\0\0\0" == plain(encoder, text)
 
 
+def test_encoder_equals_the_library_on_random_strings(encoder):
+    """Latin and other letters, the capital I with a dot among them, marks, white space and signs."""
+    pick = random.Random(5)
+    letters = [chr(i) for i in range(0x41, 0x250) if chr(i).isalpha()]
+    others = [chr(i) for i in range(0x20, 0x250)] + list("İıſßΣςά́̇中文😀ﬁ\x1c\t\n'")
+    for _ in range(20_000):
+        text = "".join(pick.choice(letters if pick.random() < 0.8 else others) for _ in range(pick.randrange(1, 12)))
+        text += pick.choice(["", ".", ",", "!!", "'s", "İ.", " BİLGİ."])
+        assert encoder(text) + b"\1\0\0\0" == plain(encoder, text)
+
+
+def test_encoder_remembers_a_bounded_number_of_bytes():
+    small = Encoder(default_tokenizer(), 20_000)
+    pick = random.Random(6)
+    words = ["".join(pick.choices("abcdefghijklmnopqrstuvwxyzé", k=pick.randrange(1, 9))) for _ in range(3000)]
+    for at in range(0, 3000, 30):
+        text = " ".join([*words[at : at + 30], "often", "Often."])
+        assert small(text) + b"\1\0\0\0" == plain(small, text)
+        assert small._known.bytes < 20_000 and len(small._known.old) < 200
+    assert "often" in small._known
+
+
 def test_packing_places_every_token_once(odd, encoder):
     packed = packing.pack(odd, size=64)
     rows = packed.collect()
@@ -271,6 +295,18 @@ def test_signatures_rule_out_no_link(percent):
     assert not jaccard.near_forest(np.full(200, 500), [jaccard.signature(s) for s in apart], np.ones(200, bool), percent)
 
 
+def test_mix_is_in_the_order_of_its_key_over_all_partitions(spark, folder):
+    rows = [(i, "t", f"s{i % 3}") for i in range(3000)] + [(None, None, None), (None, None, None), (7, "x" * 100_000, "s1"), (7, "", "s1")]
+    mixed = mixing.mix(table(spark, rows))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = mixed.select("shuffle_key", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    keys = [r.shuffle_key for r in sorted(parts, key=lambda r: r.place)]
+    assert len({r.part for r in parts}) > 3 and keys == sorted(keys)
+
+
 # --- models ---------------------------------------------------------------------------------
 
 
@@ -381,11 +417,13 @@ def test_lm_counts_of_contexts_grow_with_the_corpus(spark, monkeypatch):
     texts = ["".join(pick.choices("abcdefghijklmnop ", k=40)) for _ in range(3000)]
     rows = spark.createDataFrame([(i, t, i % 5 == 0) for i, t in enumerate(texts)], "id bigint, text string, held_out boolean")
     blocks = rows.repartition(3).mapInArrow(lambda batches: batched(lm.to_blocks(batches), lm._ARROW_BLOCK, most=1), lm._BLOCK).cache()
-    counted = blocks.mapInArrow(lm.block_contexts, lm._KEYED_SCHEMA)
-    answers = counted.repartition(2, "key").sortWithinPartitions("key").mapInArrow(lm.summed_contexts, lm._KEYED_SCHEMA)
-    answered = {}
-    for r in answers.collect():
-        answered.setdefault(r.block, []).append((r.key, np.frombuffer(r.data, lm._NEXT)))
+    stored = [(r.block, lm._texts(bytes(r.data)), r.held) for r in blocks.collect()]
+    asked = [row for block, found, held in stored for row in lm.asked_contexts(block, lm.own_contexts(found, held), 4)]
+    answered = []
+    for part in range(4):
+        rows = [row for row in asked if row[0] == part]
+        answered.append(lm.answered_contexts(pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), lm._ARROW_ASKED)], schema=lm._ARROW_ASKED)))
+    answers = pa.concat_tables(answered[::-1])
     want = {}
     for i, text in enumerate(texts):
         for at in range(len(text) + 1):
@@ -394,12 +432,9 @@ def test_lm_counts_of_contexts_grow_with_the_corpus(spark, monkeypatch):
             if i % 5:
                 follow[text.encode()[at] if at < len(text) else lm.END] += 1
     seen = 0
-    for block in blocks.collect():
-        found = lm._texts(bytes(block.data))
-        own = lm.own_contexts(found, block.held)
-        keys = np.array([key for key, _ in answered[block.block]]).view(np.uint64)
-        entries = [e for _, e in answered[block.block]]
-        known = lm.overlaid(own, keys, np.array([len(e) for e in entries]), np.concatenate(entries))
+    assert len(stored) == 3
+    for block, found, held in stored:
+        known = lm.overlaid(lm.own_contexts(found, held), answers.filter(pc.equal(answers["block"], block)))
         for text in found[:200]:
             data = np.frombuffer(text + bytes([lm.END]), np.uint8)
             for at, key in enumerate(lm.contexts(data)[1]):

@@ -77,4 +77,5 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, total: int | None = N
     # A row with 0 copies explodes to nothing.
     copies = joined.withColumn("copy", F.explode(F.slice(F.sequence(F.lit(0), number), 2, number)))
     keyed = copies.withColumn("shuffle_key", F.sha2(F.concat_ws("-", F.lit(seed), F.lit("order"), F.coalesce(F.col("id").cast("string"), F.lit("null")), "copy"), 256))
-    return keyed.repartition("shuffle_key").sortWithinPartitions("shuffle_key").select("doc.*", "copy", "shuffle_key")
+    # Dealt by ranges of the key, so the order goes on from one partition to the next.
+    return keyed.repartitionByRange("shuffle_key").sortWithinPartitions("shuffle_key").select("doc.*", "copy", "shuffle_key")
