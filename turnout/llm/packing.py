@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from turnout.llm.tokens import batched, default_tokenizer, encoded, texts_of
+from turnout.llm.tokens import batched, default_tokenizer, encoded, rows_per_batch, texts_of
 from turnout.sinks import shared_dir
 
 #: Classes that lengths are rounded up to, and the most pieces in a pattern.
@@ -226,7 +226,8 @@ def pack(docs: DataFrame, size: int = 4096, id_col: str = "doc_id", text_col: st
         rows = _pieces(encoded(batches, tokenizer), size, with_ids)
         yield from batched(rows, _ARROW_PIECE, size=lambda r: len(r[5] or b""))
 
-    texts_of(docs, id_col, text_col).mapInArrow(cut, _PIECE).write.parquet(f"{root}/pieces")
+    with rows_per_batch(spark):
+        texts_of(docs, id_col, text_col).mapInArrow(cut, _PIECE).write.parquet(f"{root}/pieces")
     pieces = spark.read.parquet(f"{root}/pieces")
     # Numbers among the pieces of a length: those in earlier parts, then those earlier in the part.
     pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n")).write.parquet(f"{root}/counts")

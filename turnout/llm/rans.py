@@ -18,24 +18,26 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from turnout.llm.tokens import batched, default_tokenizer, encoded, texts_of
+from turnout.llm.tokens import batched, default_tokenizer, encoded, rows_per_batch, texts_of
 
 #: Frequencies sum to 2**SCALE. States lie between 2**31 and 2**63 and give off 32 bits at a time.
 SCALE, LOW = 20, np.uint64(1 << 31)
 LANES, STEPS = 32, 256
-#: A section is closed by the document that brings it to so many ids.
-SECTION_IDS = 1 << 20
+#: A section is closed by the document that brings it to so many ids; blocks coded side by side.
+SECTION_IDS, TOGETHER = 1 << 20, 64
+#: Bytes of stretches whose ids a worker remembers.
+REMEMBERED = 128 << 20
 
 _HEAD = (
     "part int, section int, first_in_part bigint, doc_ids array<bigint>, lengths array<bigint>, n_ids bigint"
 )
-_STAGED = f"{_HEAD}, planes binary"
+_STAGED = f"{_HEAD}, tokens binary, counts binary, planes binary"
 _SECTION = f"{_HEAD}, steps int, states binary, offsets binary, words binary, crcs binary"
 _ARROW_HEAD = [
     ("part", pa.int32()), ("section", pa.int32()), ("first_in_part", pa.int64()),
     ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("n_ids", pa.int64()),
 ]
-_ARROW_STAGED = pa.schema([*_ARROW_HEAD, ("planes", pa.binary())])
+_ARROW_STAGED = pa.schema([*_ARROW_HEAD, ("tokens", pa.binary()), ("counts", pa.binary()), ("planes", pa.binary())])
 _ARROW_SECTION = pa.schema([
     *_ARROW_HEAD, ("steps", pa.int32()), ("states", pa.binary()), ("offsets", pa.binary()),
     ("words", pa.binary()), ("crcs", pa.binary()),
@@ -85,17 +87,32 @@ class Table:
 
 
 def encode_ids(ids: np.ndarray, table: Table) -> dict[str, object]:
-    """Blocks of ``ids``, coded side by side, last id first."""
+    """Blocks of ``ids``, each coded by itself, some side by side."""
     steps = min(STEPS, -(-len(ids) // LANES))
+    group = TOGETHER * steps * LANES
+    parts = [_encode_group(ids[a : a + group], steps, table) for a in range(0, len(ids), group)]
+    sizes = np.concatenate([part[1] for part in parts])
+    return {
+        "steps": steps,
+        "states": b"".join(part[0] for part in parts),
+        "offsets": np.concatenate([[0], np.cumsum(sizes)]).astype("<i8").tobytes(),
+        "words": b"".join(part[2] for part in parts),
+        "crcs": b"".join(part[3] for part in parts),
+    }
+
+
+def _encode_group(ids: np.ndarray, steps: int, table: Table) -> tuple[bytes, np.ndarray, bytes, bytes]:
+    """States, numbers of words, words and checksums of a few blocks, last id first."""
     blocks = -(-len(ids) // (LANES * steps))
     padded = np.full(blocks * steps * LANES, table.filler, np.int64)
     padded[: len(ids)] = ids
     symbols = padded.reshape(blocks, steps, LANES).transpose(1, 0, 2).reshape(steps, -1)
+    freqs, starts = table.freq[symbols], table.start[symbols]
     state = np.full(blocks * LANES, LOW, np.uint64)
     words = np.empty(symbols.shape, np.uint32)
     given = np.empty(symbols.shape, bool)
     for t in range(steps - 1, -1, -1):
-        freq, start = table.freq[symbols[t]], table.start[symbols[t]]
+        freq, start = freqs[t], starts[t]
         full = state >= freq << np.uint64(63 - SCALE)
         words[t] = state & np.uint64(0xFFFFFFFF)
         given[t] = full
@@ -107,22 +124,28 @@ def encode_ids(ids: np.ndarray, table: Table) -> dict[str, object]:
     sizes = by_block.sum(axis=(1, 2))
     crcs = [zlib.crc32(padded[i : i + steps * LANES].astype("<u4").tobytes())
             for i in range(0, len(padded), steps * LANES)]
-    return {
-        "steps": steps,
-        "states": state.astype("<u8").tobytes(),
-        "offsets": np.concatenate([[0], np.cumsum(sizes)]).astype("<i8").tobytes(),
-        "words": out.astype("<u4").tobytes(),
-        "crcs": np.array(crcs, "<u4").tobytes(),
-    }
+    return state.astype("<u8").tobytes(), sizes, out.astype("<u4").tobytes(), np.array(crcs, "<u4").tobytes()
 
 
 def decode_ids(coded: dict[str, object], n_ids: int, slots: np.ndarray) -> np.ndarray:
     """The ids of a section; raises if a block does not match its checksum."""
     steps = coded["steps"]
-    state = np.frombuffer(coded["states"], "<u8").astype(np.uint64)
-    words = np.append(np.frombuffer(coded["words"], "<u4"), np.uint32(0)).astype(np.uint64)
-    at = np.frombuffer(coded["offsets"], "<i8")[:-1].copy()
-    blocks = len(at)
+    states = np.frombuffer(coded["states"], "<u8").reshape(-1, LANES)
+    words = np.append(np.frombuffer(coded["words"], "<u4"), np.uint32(0))
+    offsets, crcs = np.frombuffer(coded["offsets"], "<i8")[:-1], np.frombuffer(coded["crcs"], "<u4")
+    out = np.empty((len(states), steps * LANES), "<u4")
+    for a in range(0, len(states), TOGETHER):
+        part = slice(a, a + TOGETHER)
+        out[part] = _decode_group(states[part], words, offsets[part], steps, slots)
+        for block, crc in zip(out[part], crcs[part]):
+            if zlib.crc32(block.tobytes()) != crc:
+                raise ValueError("a block of token ids does not match its checksum")
+    return out.reshape(-1)[:n_ids]
+
+
+def _decode_group(states: np.ndarray, words: np.ndarray, offsets: np.ndarray, steps: int, slots: np.ndarray) -> np.ndarray:
+    blocks, at = len(states), offsets.copy()
+    state = states.reshape(-1).astype(np.uint64)
     out = np.empty((steps, blocks * LANES), np.uint32)
     mask, width = np.uint64((1 << SCALE) - 1), np.uint64(SCALE)
     for t in range(steps):
@@ -135,11 +158,7 @@ def decode_ids(coded: dict[str, object], n_ids: int, slots: np.ndarray) -> np.nd
         refilled = np.flatnonzero(need)
         state[refilled] = state[refilled] << np.uint64(32) | words[place[refilled]]
         at += taken[:, -1]
-    ids = out.reshape(steps, blocks, LANES).transpose(1, 0, 2).reshape(blocks, -1).astype("<u4")
-    for block, crc in zip(ids, np.frombuffer(coded["crcs"], "<u4")):
-        if zlib.crc32(block.tobytes()) != crc:
-            raise ValueError("a block of token ids does not match its checksum")
-    return ids.reshape(-1)[:n_ids]
+    return out.reshape(steps, blocks, LANES).transpose(1, 0, 2).reshape(blocks, -1)
 
 
 # --- files ----------------------------------------------------------------------------------
@@ -164,11 +183,18 @@ def _sections(documents: Iterator[tuple]) -> Iterator[tuple]:
         held.append(ids)
         n += lengths[-1]
         if n >= SECTION_IDS:
-            yield part, section, first, docs, lengths, n, _planes(b"".join(held))
+            yield part, section, first, docs, lengths, n, *_counted(b"".join(held))
             section, first = section + 1, first + n
             docs, lengths, held, n = [], [], [], 0
     if docs:
-        yield part, section, first, docs, lengths, n, _planes(b"".join(held))
+        yield part, section, first, docs, lengths, n, *_counted(b"".join(held))
+
+
+def _counted(ids: bytes) -> tuple[bytes, bytes, bytes]:
+    """Which ids there are, how often each, and all of them."""
+    counts = np.bincount(np.frombuffer(ids, "<u4"))
+    seen = np.flatnonzero(counts)
+    return seen.astype("<u4").tobytes(), counts[seen].astype("<u4").tobytes(), _planes(ids)
 
 
 def _id_counts(staged: DataFrame) -> np.ndarray:
@@ -177,14 +203,15 @@ def _id_counts(staged: DataFrame) -> np.ndarray:
     def count(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for planes in batch.column(0):
-                found = np.bincount(_unplaned(planes.as_py()), minlength=len(total))
-                found[: len(total)] += total
-                total = found
+            for tokens, counts in zip(batch.column(0), batch.column(1)):
+                tokens, counts = (np.frombuffer(column.as_py(), "<u4") for column in (tokens, counts))
+                if len(tokens) and tokens[-1] >= len(total):
+                    total = np.append(total, np.zeros(int(tokens[-1]) + 1 - len(total), np.int64))
+                total[tokens] += counts
         seen = np.flatnonzero(total)
         yield pa.record_batch([pa.array(seen), pa.array(total[seen])], names=["token", "n"])
 
-    counted = staged.select("planes").mapInArrow(count, "token bigint, n bigint")
+    counted = staged.select("tokens", "counts").mapInArrow(count, "token bigint, n bigint")
     rows = counted.groupBy("token").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max((r.token for r in rows), default=-1) + 1, np.int64)
     for token, n in rows:
@@ -208,11 +235,12 @@ def write_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     tokenizer = tokenizer or default_tokenizer()
 
     def stage(batches):
-        yield from batched(_sections(encoded(batches, tokenizer)), _ARROW_STAGED, most=1)
+        yield from batched(_sections(encoded(batches, tokenizer, REMEMBERED)), _ARROW_STAGED, most=1)
 
     staged_at = f"{path}-staged"
     ordered = texts_of(docs, id_col, text_col).repartitionByRange("id").sortWithinPartitions("id", "text")
-    ordered.mapInArrow(stage, _STAGED).write.option("compression", "zstd").parquet(staged_at)
+    with rows_per_batch(spark):
+        ordered.mapInArrow(stage, _STAGED).write.option("compression", "zstd").parquet(staged_at)
     staged = spark.read.parquet(staged_at)
     counts = _id_counts(staged)
     freq = scaled(counts) if counts.any() else np.zeros(0, np.uint64)
@@ -224,10 +252,10 @@ def write_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         for batch in batches:
             for i in range(batch.num_rows):
                 coded = encode_ids(_unplaned(batch.column("planes")[i].as_py()), table)
-                head = [batch.column(name)[i].as_py() for name in _ARROW_STAGED.names[:-1]]
+                head = [batch.column(name)[i].as_py() for name, _ in _ARROW_HEAD]
                 yield from batched(iter([(*head, *coded.values())]), _ARROW_SECTION)
 
-    coded = staged.mapInArrow(encode, _SECTION)
+    coded = staged.drop("tokens", "counts").mapInArrow(encode, _SECTION)
     coded.write.option("compression", "none").parquet(f"{path}/sections")
     sizes = spark.read.parquet(f"{path}/sections").groupBy("part").agg(F.sum("n_ids").alias("n"))
     # One row per file.
