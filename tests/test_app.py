@@ -22,7 +22,7 @@ def test_every_option_reaches_the_config():
         " --checkpoint cp --window 120 --slide 30 --burst-window 10 --batch 5"
         " --time-column ingest_time --alert-format kafka --alert-option topic=alerts --minutes 2"
         " --available-now --decode-mode FAILFAST --decode-with-jar --burst-slide 5 --threshold 3"
-        " --max-alerts 7 --top-members 2 --top-topics 4".split()
+        " --max-alerts 7 --top-members 2 --top-topics 4 --horizon-days 0 --redelivered-within 90".split()
     )
     assert cfg == JobConfig(
         **PATHS, input_format="kafka", input_options={"subscribe": "rsvps"}, payload="protobuf",
@@ -30,7 +30,7 @@ def test_every_option_reaches_the_config():
         time_col="ingest_time", alert_format="kafka",
         alert_options={"topic": "alerts"}, run_minutes=2, available_now=True,
         decode_mode="FAILFAST", decode_with_jar=True, burst_slide="5 seconds", burst_threshold=3,
-        max_alerts=7, top_members=2, top_topics=4,
+        max_alerts=7, top_members=2, top_topics=4, horizon="0 days", redelivered_within="90 seconds",
     )
     assert cfg.trigger() == {"availableNow": True}
 
@@ -45,7 +45,7 @@ def test_paths_are_required():
     [
         {"payload": "avro"}, {"time_col": "mtime"}, {"length": "soon"}, {"top_members": 0},
         {"max_alerts": 0}, {"run_minutes": -1}, {"burst_slide": "1 month"},
-        {"input_format": "kafka"},
+        {"input_format": "kafka"}, {"horizon": "soon"}, {"redelivered_within": "1 month"},
     ],
 )
 def test_wrong_parameters_are_rejected(wrong):
