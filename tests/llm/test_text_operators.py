@@ -223,6 +223,25 @@ def test_jaccard_equals_all_pairs(spark, width, percent):
             assert (r.n_shingles, r.component_id) == want[r.doc_id]
 
 
+def test_jaccard_over_several_blocks_equals_all_pairs(spark, monkeypatch):
+    """A large cluster of near copies that no block holds whole, and a passage in very many texts."""
+    monkeypatch.setattr(jaccard, "BLOCK", 1500)
+    monkeypatch.setattr(jaccard, "SIGNED_BLOCK", 2500)
+    pick = random.Random(11)
+    passage = [f"p{i}" for i in range(30)]
+    base = [f"w{pick.randrange(5000)}" for _ in range(150)]
+    rows = []
+    for k in range(90):
+        words = list(base) if k < 40 else [f"x{k}.{i}" for i in range(150)]
+        for _ in range(pick.randrange(0, 5)):
+            words[pick.randrange(150)] = f"n{pick.randrange(10**6)}"
+        at = pick.randrange(150)
+        rows.append((200 - k, " ".join([*words[:at], *passage, *words[at:]] if k % 2 else words), "s"))
+    want = grouped(rows, 5, 80)
+    for r in jaccard.jaccard_groups(table(spark, rows), 5, 80).collect():
+        assert (r.n_shingles, r.component_id) == want[r.doc_id]
+
+
 def test_tolerant_and_exact_allocations_share_a_key():
     rng = np.random.default_rng(4)
     for percent in (80, 85):

@@ -44,6 +44,8 @@ def update_state(spark: SparkSession, staged: str, checkpoint: str) -> DataFrame
     text that makes up a third of all rows reaches its state as one row per task.
     """
     session = stream_session(spark)
+    # One batch and the run is over: executors give a store's memory back when it is done.
+    session.conf.set("spark.sql.streaming.stateStore.unloadOnCommit", "true")
     seen = (
         session.readStream.schema(_STAGED)
         .parquet(staged)

@@ -10,9 +10,13 @@ band's allocation takes the cheaper of two ways to spend the H + 1:
 - segments that tolerate one difference: a set has, beside the key of the segment, the key with
   each one element deleted. For small sets, whose segments would be almost empty otherwise.
 
-Sets that share a key are candidates. They are gathered in blocks of bounded size by the least
-document they share a key with, and pairs of blocks that share a key are compared by counting
-their common elements exactly. A pair of blocks gives a spanning forest of its links, not all.
+Sets that share a key are candidates, most of them by chance. They are placed in blocks of bounded
+size by the least document they share a key with, and blocks that share a key are compared, twice:
+first by signatures, the numbers of elements in equal parts of the universe. Two sets differ in at
+least as many elements as their signatures do, so most pairs are out at a thirtieth of the cost
+and none that is linked is lost. What is left falls into small groups, and only for those are the
+sets themselves moved and their common elements counted exactly. A pair of blocks gives a spanning
+forest of its links, not all.
 
 An element is a 64-bit hash of its words.
 """
@@ -27,19 +31,22 @@ from math import exp, sqrt
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnout.llm.components import components
-from turnout.llm.tokens import batched, texts_of
+from turnout.llm.tokens import batched, rows_per_batch, texts_of
 from turnout.sinks import shared_dir
 
 #: Bands grow by this factor.
 BAND_GROWTH = 1.4
 #: What a segment of no, one or two elements costs, in keys; such keys are shared by chance.
 SMALL_COSTS = (256.0, 32.0, 2.0)
-#: Elements in a block, and distinct words that a worker remembers.
-BLOCK, REMEMBERED = 1 << 19, 1 << 19
+#: Elements in a block; distinct words and sets that a worker remembers; keys that travel together.
+BLOCK, REMEMBERED, SEEN, KEYS = 1 << 19, 1 << 16, 1 << 15, 1 << 18
+#: Sets of fewer elements have no signature; the largest number that a part of one holds; elements
+#: of sets in a block that is compared by signatures.
+LEAST_SIGNED, MOST_COUNTED, SIGNED_BLOCK = 64, 255, 1 << 21
 
 _ODD = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63]
 
@@ -190,6 +197,54 @@ def linked_forest(sets: list[np.ndarray], sides: np.ndarray, percent: int) -> li
     return forest
 
 
+def signature(elements: np.ndarray) -> np.ndarray:
+    """How many elements lie in each of a power of two of equal parts, some four in each."""
+    if len(elements) < LEAST_SIGNED:
+        return np.zeros(0, np.uint8)
+    bits = len(elements).bit_length() - 3
+    counts = np.bincount((elements >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(counts, MOST_COUNTED).astype(np.uint8)
+
+
+def _fold(signs: np.ndarray) -> np.ndarray:
+    """Signatures with half as many parts."""
+    return np.minimum(signs[:, ::2] + signs[:, 1::2], MOST_COUNTED)
+
+
+def near_forest(sizes: np.ndarray, signatures: list[np.ndarray], sides: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Pairs that connect what all pairs connect that may be linked, by sizes and signatures."""
+    two_sided = len(np.unique(sides)) > 1
+    label, forest = np.arange(len(sizes)), []
+    by_parts = {parts: np.flatnonzero([len(s) == parts for s in signatures]) for parts in {len(s) for s in signatures} - {0}}
+    for parts, own in sorted(by_parts.items()):
+        signs = np.stack([signatures[i] for i in own]).astype(np.int16)
+        others = [(own, signs)]
+        if 2 * parts in by_parts:
+            finer = by_parts[2 * parts]
+            others.append((finer, _fold(np.stack([signatures[i] for i in finer]).astype(np.int16))))
+        for right, right_signs in others:
+            order = np.argsort(sizes[right], kind="stable")
+            right, right_signs = right[order], right_signs[order]
+            for row, i in enumerate(own):
+                # Linked sets have at least this share of the other's elements.
+                first, last = np.searchsorted(sizes[right], [-(-sizes[i] * percent // 100), sizes[i] * 100 // percent + 1])
+                some = right[first:last]
+                chosen = (label[some] != label[i]) & (some > i if right is own else True)
+                if two_sided:
+                    chosen &= sides[some] != sides[i]
+                if not chosen.any():
+                    continue
+                apart = np.abs(right_signs[first:last][chosen] - signs[row]).sum(1)
+                some = some[chosen]
+                # Links of sizes a and b have c >= percent (a + b) / (100 + percent) in common.
+                may = (100 + percent) * apart <= (100 - percent) * (sizes[some] + sizes[i])
+                for j in some[may]:
+                    if label[j] != label[i]:
+                        forest.append((int(i), int(j)))
+                        label[label == label[j]] = label[i]
+    return forest
+
+
 def _rows(texts: DataFrame, make, schema: str, arrow: pa.Schema) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from batched(make(batches), arrow, size=lambda r: 8 * len(r[-1] or b""))
@@ -197,6 +252,14 @@ def _rows(texts: DataFrame, make, schema: str, arrow: pa.Schema) -> DataFrame:
     return texts.mapInArrow(run, schema)
 
 
+def _key_batch(held: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
+    """Documents with their sizes and lists of keys, without a Python number for each key."""
+    ids, sizes, keys = zip(*held)
+    ends = np.cumsum([0, *map(len, keys)], dtype=np.int32)
+    lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys).view(np.int64)))
+    return pa.record_batch([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), lists], names=["id", "n", "keys"])
+
+
 def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row: set size, least id reachable by links.
@@ -219,30 +282,45 @@ def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: s
 
     def sizes(batches):
         for doc, found in numbered(batches):
-            yield doc, len(found), hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None
+            digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None
+            yield doc, len(found), digest, signature(found).tobytes()
 
     def keys(batches):
-        seen = set()  # a copy's keys are those of the first copy in this task
+        seen, held, total = set(), [], 0  # a copy's keys are those of the copy before it in this task
         for doc, found in numbered(batches):
             digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
-            if doc is not None and len(found) and digest not in seen:
-                seen.add(digest)
-                yield doc, len(found), keys_of(found, percent).view(np.int64).tolist()
-
-    size_schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary())])
-    _rows(texts, sizes, "id bigint, n bigint, digest binary", size_schema).write.parquet(f"{root}/sizes")
+            if doc is None or not len(found) or digest in seen:
+                continue
+            if len(seen) >= SEEN:
+                seen.clear()
+            seen.add(digest)
+            held.append((doc, len(found), keys_of(found, percent)))
+            total += len(held[-1][2])
+            if total >= KEYS:
+                yield _key_batch(held)
+                held, total = [], 0
+        if held:
+            yield _key_batch(held)
+
+    size_schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("signature", pa.binary())])
+    with rows_per_batch(spark):
+        _rows(texts, sizes, "id bigint, n bigint, digest binary, signature binary", size_schema).write.parquet(f"{root}/sizes")
     measured = spark.read.parquet(f"{root}/sizes")
 
-    key_schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("keys", pa.list_(pa.int64()))])
-    keyed = _rows(texts, keys, "id bigint, n bigint, keys array<bigint>", key_schema)
+    keyed = texts.mapInArrow(keys, "id bigint, n bigint, keys array<bigint>")
     by_key = Window.partitionBy("key").orderBy("id")
     shared = (
         keyed.select(F.explode("keys").alias("key"), "id", "n")
-        .withColumns({"least": F.first("id").over(by_key), "next": F.lead("id").over(by_key)})
-        .where("id <> least OR next <> id").select("key", "id", "n", "least")
+        .withColumns({
+            "least": F.first("id").over(by_key), "next": F.lead("id").over(by_key),
+            "smallest": F.min("n").over(Window.partitionBy("key")),
+        })
+        .where("id <> least OR next <> id").select("key", "id", "n", "least", "smallest")
     )
-    shared.write.parquet(f"{root}/shared")
-    links = _links(texts, spark.read.parquet(f"{root}/shared"), root, numbered, percent)
+    with rows_per_batch(spark):
+        shared.write.parquet(f"{root}/shared")
+    near = _near(measured, spark.read.parquet(f"{root}/shared"), root, percent)
+    links = _links(texts, near, f"{root}/exact", numbered, percent)
 
     # Copies collapse to their least id before links are followed.
     least = measured.where("digest IS NOT NULL AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("least"))
@@ -255,11 +333,54 @@ def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: s
     )
 
 
-def _links(texts: DataFrame, shared: DataFrame, root: str, numbered, percent: int) -> DataFrame:
-    """``a, b``: links that connect all documents that links connect, among those with shared keys."""
-    spark = texts.sparkSession
-    near = shared.groupBy("id").agg(F.min("least").alias("near"), F.max("n").alias("n"))
-    parts = near.groupBy("near").agg(F.ceil(F.sum("n") / BLOCK).alias("parts"))
+def _near(measured: DataFrame, shared: DataFrame, root: str, percent: int) -> DataFrame:
+    """The rows of ``shared`` that are left when documents share keys only within their groups.
+
+    Groups connect all pairs that signatures do not rule out. Documents too small for a signature
+    are grouped with all that they share a key with.
+    """
+    spark = shared.sparkSession
+    seated = _seats(shared, f"{root}/coarse", F.min("least"), SIGNED_BLOCK)
+    signed = measured.where(F.length("signature") > 0).select("id", "n", "signature")
+    placed = signed.join(seated, "id").select(F.explode("cells").alias("cell"), "id", "n", "block", "signature")
+
+    def compare(table: pa.Table) -> pa.Table:
+        ids, names = table["id"].to_pylist(), table["block"].to_pylist()
+        signatures = [np.frombuffer(e, np.uint8) for e in table["signature"].to_pylist()]
+        sides = np.array([name == names[0] for name in names])
+        return _ends(ids, near_forest(table["n"].to_numpy(), signatures, sides, percent))
+
+    pairs = placed.groupBy("cell").applyInArrow(compare, "a bigint, b bigint")
+    small = shared.where((F.col("smallest") < LEAST_SIGNED) & (F.col("id") != F.col("least"))).select(
+        F.col("id").alias("a"), F.col("least").alias("b")
+    )
+    pairs.unionByName(small.distinct()).write.parquet(f"{root}/pairs")
+    groups = components(spark.read.parquet(f"{root}/pairs"))
+    by_key = Window.partitionBy("key", "label").orderBy("id")
+    left = (
+        shared.drop("least", "smallest").join(groups, F.col("id") == F.col("node"))
+        .withColumns({"least": F.first("id").over(by_key), "next": F.lead("id").over(by_key)})
+        .where("id <> least OR next <> id").select("key", "id", "n", "least", "label")
+    )
+    # Keys of different groups are different keys.
+    left.withColumn("key", F.xxhash64("key", "label")).write.parquet(f"{root}/near")
+    return spark.read.parquet(f"{root}/near")
+
+
+def _ends(ids: list[int], forest: list[tuple[int, int]]) -> pa.Table:
+    ends = [[ids[pair[end]] for pair in forest] for end in (0, 1)]
+    return pa.table([pa.array(e, pa.int64()) for e in ends], names=["a", "b"])
+
+
+def _seats(shared: DataFrame, root: str, together: Column, most: int) -> DataFrame:
+    """``id, block, cells`` of documents with shared keys: the block of each, and where to compare it.
+
+    Documents with the same ``together`` are in one block, or in several if they have more than
+    ``most`` elements.
+    """
+    spark = shared.sparkSession
+    near = shared.groupBy("id").agg(together.alias("near"), F.max("n").alias("n"))
+    parts = near.groupBy("near").agg(F.ceil(F.sum("n") / most).alias("parts"))
     placed = near.join(parts, "near").select(
         "id", F.concat_ws(".", "near", F.pmod(F.xxhash64("id"), "parts")).alias("block")
     )
@@ -278,7 +399,13 @@ def _links(texts: DataFrame, shared: DataFrame, root: str, numbered, percent: in
     )
     seats = across.unionByName(within).groupBy("id").agg(F.collect_list("cell").alias("cells"))
     seats.join(blocks, "id").write.parquet(f"{root}/seats")
-    seated = spark.read.parquet(f"{root}/seats")
+    return spark.read.parquet(f"{root}/seats")
+
+
+def _links(texts: DataFrame, shared: DataFrame, root: str, numbered, percent: int) -> DataFrame:
+    """``a, b``: links that connect all documents that links connect, among those with shared keys."""
+    # A group's documents are one block if there is room, so that few keys are in several blocks.
+    spark, seated = texts.sparkSession, _seats(shared, root, F.min("label"), BLOCK)
     wanted = texts.join(seated.hint("shuffle_hash"), "id").select("id", "text", "block", "cells")
     schema = pa.schema([("cell", pa.string()), ("id", pa.int64()), ("block", pa.string()), ("elements", pa.binary())])
 
@@ -298,12 +425,11 @@ def _links(texts: DataFrame, shared: DataFrame, root: str, numbered, percent: in
         ids, names = table["id"].to_pylist(), table["block"].to_pylist()
         found = [np.frombuffer(e, np.uint64) for e in table["elements"].to_pylist()]
         sides = np.array([name == names[0] for name in names])
-        forest = linked_forest(found, sides, percent)
-        ends = [[ids[pair[end]] for pair in forest] for end in (0, 1)]
-        return pa.table([pa.array(e, pa.int64()) for e in ends], names=["a", "b"])
+        return _ends(ids, linked_forest(found, sides, percent))
 
     links = gathered.groupBy("cell").applyInArrow(compare, "a bigint, b bigint")
-    links.write.parquet(f"{root}/links")
+    with rows_per_batch(spark):
+        links.write.parquet(f"{root}/links")
     return spark.read.parquet(f"{root}/links")
 
 
