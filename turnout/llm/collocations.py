@@ -33,7 +33,7 @@ from turnout.sinks import shared_dir
 
 #: Tokens in a task's blocks; bytes of text split at once; phrases that a task holds before it sends
 #: them; tokens looked at together; phrases that are numbered again.
-BLOCK_TOKENS, PART_BYTES, HELD, TOGETHER, RANKED = 1 << 22, 1 << 20, 1 << 22, 1 << 20, 1 << 20
+BLOCK_TOKENS, PART_BYTES, HELD, TOGETHER, RANKED = 1 << 23, 1 << 20, 1 << 22, 1 << 20, 1 << 20
 #: Side of a tile, tiles along a side of the corner, and pairs that make a tile dense.
 SIDE, TILES, DENSE = 1 << 10, 16, 1 << 15
 #: Bits of the bitmap, and in one of its rows.
