@@ -186,14 +186,14 @@ def _halves(ids: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return word[0] << 32 | word[1], word[2] << 32 | word[3]
 
 
-def counted_phrases(ids: np.ndarray, length: int, known: Frequent | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def counted_phrases(ids: np.ndarray, length: int, known: Frequent | None) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
     """Phrases of ``length`` words whose two parts may be frequent: halves and counts, in no order."""
     none = np.zeros(0, np.int64)
     if len(ids) < length:
-        return none, none, none
+        return none, none if length > 2 else None, none
     if length == 2:
         pairs, counts = counted_pairs(*(part[(ids[:-1] > 0) & (ids[1:] > 0)] for part in (ids[:-1], ids[1:])))
-        return pairs, np.zeros(len(pairs), np.int64), counts
+        return pairs, None, counts
     heads, tails = _halves(ids, length - 1)
     whole = np.ones(len(heads), bool)
     for i in range(length - 1):
@@ -225,25 +225,33 @@ def _joined(left_heads, left_tails, right_heads, right_tails, length: int) -> tu
     return left_heads, left_tails | right_tails >> 32
 
 
-def _merged(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted distinct phrases with their summed counts."""
-    heads, tails, counts = (np.concatenate([part[i] for part in held]) for i in range(3))
+def _merged(held: list[tuple[np.ndarray, np.ndarray | None, np.ndarray]]) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
+    """Sorted distinct phrases with their summed counts; those of two words have no second half."""
+    heads, counts = (np.concatenate([part[i] for part in held]) for i in (0, 2))
+    tails = None if held[0][1] is None else np.concatenate([part[1] for part in held])
     if not len(heads):
         return heads, tails, counts
-    order = np.lexsort((tails, heads)) if tails.any() else np.argsort(heads, kind="stable")
-    heads, tails = heads[order], tails[order]
-    begin = np.flatnonzero(np.concatenate([[True], (heads[1:] != heads[:-1]) | (tails[1:] != tails[:-1])]))
-    return heads[begin], tails[begin], np.add.reduceat(counts[order], begin)
+    order = np.argsort(heads, kind="stable") if tails is None else np.lexsort((tails, heads))
+    heads, counts = heads[order], counts[order]
+    fresh = heads[1:] != heads[:-1]
+    if tails is not None:
+        tails = tails[order]
+        fresh |= tails[1:] != tails[:-1]
+    begin = np.flatnonzero(np.concatenate([[True], fresh]))
+    return heads[begin], None if tails is None else tails[begin], np.add.reduceat(counts, begin)
 
 
 def _phrase_rows(batches, length: int, known: Frequent | None) -> Iterator[pa.RecordBatch]:
     """Phrases of a task's blocks with their counts, summed over as many as may be held."""
-    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    held: list[tuple[np.ndarray, np.ndarray | None, np.ndarray]] = []
 
     def sent() -> Iterator[pa.RecordBatch]:
-        columns = _merged(held)
-        for a in range(0, len(columns[0]), ROWS):
-            yield pa.record_batch([pa.array(c[a : a + ROWS], pa.int64()) for c in columns], names=["head", "tail", "n"])
+        heads, tails, counts = _merged(held)
+        held.clear()
+        for a in range(0, len(heads), ROWS):
+            own = heads[a : a + ROWS]
+            tail = np.zeros(len(own), np.int64) if tails is None else tails[a : a + ROWS]
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in (own, tail, counts[a : a + ROWS])], names=["head", "tail", "n"])
 
     for batch in batches:
         for packed in batch.column(0):
@@ -256,7 +264,6 @@ def _phrase_rows(batches, length: int, known: Frequent | None) -> Iterator[pa.Re
                     held[:] = [_merged(held)]
                     if len(held[0][0]) >= HELD // 2:
                         yield from sent()
-                        held.clear()
     if held:
         yield from sent()
 
