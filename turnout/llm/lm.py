@@ -26,6 +26,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,9 +42,7 @@ INPUTS = len(SLOTS) + 1
 END = 0xFF
 #: Bytes scored with one set of weights; decisions between two updates; bytes of text in a block;
 #: decisions of spans mixed side by side, and bytes of text looked at together.
-SPAN, TOGETHER, BLOCK_BYTES, CELLS, HELD_BYTES = 2048, 8, 1 << 24, 1 << 22, 1 << 21
-#: Rows that travel together, and bytes counted at once.
-ROWS, COUNT_BYTES = 1 << 14, 1 << 22
+SPAN, TOGETHER, BLOCK_BYTES, CELLS, HELD_BYTES = 2048, 8, 1 << 23, 1 << 21, 1 << 20
 #: What the mixer starts from: weights of the predictors by how often the word so far was seen, in
 #: steps of ``LEVELS``. Fitted once by logistic regression on 70 documents of a small table.
 LEVELS = (1, 2, 4, 8, 16, 64, 256)
@@ -369,28 +368,6 @@ def count_tables(blocks: DataFrame) -> np.ndarray:
     return counts.reshape(-1, 256)
 
 
-_KEYED_SCHEMA = "block bigint, key bigint, data binary"
-
-
-def _keyed(block: np.ndarray, key: np.ndarray, sizes: np.ndarray, follow: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows of contexts, each with as many entries of ``follow`` as its size."""
-    ends = np.concatenate([[0], np.cumsum(sizes)])
-    for a in range(0, len(key), ROWS):
-        b = min(a + ROWS, len(key))
-        offsets = ((ends[a : b + 1] - ends[a]) * _NEXT.itemsize).astype(np.int32)
-        data = np.ascontiguousarray(follow[ends[a] : ends[b]]).tobytes()
-        binary = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
-        columns = [pa.array(block[a:b], pa.int64()), pa.array(key[a:b].view(np.int64)), binary]
-        yield pa.record_batch(columns, names=["block", "key", "data"])
-
-
-def _binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Entries of each row of a binary column of them, and all entries."""
-    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
-    data = column.buffers()[2] or b""
-    return np.diff(offsets) // _NEXT.itemsize, np.frombuffer(memoryview(data)[offsets[0] : offsets[-1]], _NEXT)
-
-
 def _entries(pair: np.ndarray, weights: np.ndarray | None, owners: int) -> tuple[np.ndarray, np.ndarray]:
     """Entries of each owner and all of them, from ``owner * 256 + byte``, repeated or weighted."""
     found, number = numbered(pair.astype(np.uint64))
@@ -423,66 +400,122 @@ def own_contexts(texts: list[bytes], held: list[bool]) -> Known:
     return Known(distinct, np.concatenate([[0], np.cumsum(sizes)]), follow)
 
 
-def block_contexts(batches) -> Iterator[pa.RecordBatch]:
-    """Rows of each block's own contexts."""
-    for batch in batches:
-        for block, held, data in zip(batch.column("block").to_pylist(), batch.column("held").to_pylist(), batch.column("data")):
-            own = own_contexts(_texts(data.as_py()), held)
-            yield from _keyed(np.full(len(own.keys), block), own.keys, np.diff(own.bounds), own.follow)
-
-
-def summed_contexts(batches) -> Iterator[pa.RecordBatch]:
-    """Rows with what followed their contexts in all blocks; rows come sorted by key.
+# What blocks ask and are answered travels in rows of one part of all hashes each: what is asked is
+# in the order of its hash within a block, and an answer is in the order in which it was asked.
 
-    A context that only one block has needs no answer.
-    """
-
-    def total(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        block, key = (rows[c].to_numpy() for c in ("block", "key"))
-        sizes, follow = _binary(pa.concat_arrays(rows["data"].chunks))
-        group = np.cumsum(np.concatenate([[False], key[1:] != key[:-1]]))
-        pair = np.repeat(group, sizes) * 256 + follow["byte"]
-        n, sums = _entries(pair, follow["n"].astype(float), group[-1] + 1)
-        shared = np.flatnonzero(np.bincount(group)[group] > 1)
-        for a in range(0, len(shared), 1024):
-            some = shared[a : a + 1024]
-            own = group[some]
-            taken = sums[_ranges((np.cumsum(n) - n)[own], n[own])]
-            yield from _keyed(block[some], key[some], n[own], taken)
-
-    held: list[pa.RecordBatch] = []
-    at = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        key = batch.column(1).to_numpy()
-        differs = np.flatnonzero(key != key[-1])
-        cut = int(differs[-1]) + 1 if len(differs) else 0
-        # The last context may go on in the next batch.
-        if cut:
-            held.append(batch.slice(0, cut))
-        if held and (cut or at != key[-1]):
-            yield from total(pa.Table.from_batches(held))
-            held = []
-        held.append(batch.slice(cut))
-        at = key[-1]
-    if held:
-        yield from total(pa.Table.from_batches(held))
-
-
-def overlaid(own: Known, keys: np.ndarray, sizes: np.ndarray, follow: np.ndarray) -> Known:
-    """A block's own contexts, with the answers for those that other blocks have too."""
-    order = np.argsort(keys)
-    follow = follow[_ranges((np.cumsum(sizes) - sizes)[order], sizes[order])]
-    keys, sizes = keys[order], sizes[order]
-    alone = np.flatnonzero(~np.isin(own.keys, keys))
-    own_sizes = np.diff(own.bounds)[alone]
-    both = np.concatenate([own.keys[alone], keys])
-    all_sizes = np.concatenate([own_sizes, sizes])
-    entries = np.concatenate([own.follow[_ranges(own.bounds[:-1][alone], own_sizes)], follow])
-    order = np.argsort(both)
-    begin = np.cumsum(all_sizes) - all_sizes
-    return Known(both[order], np.concatenate([[0], np.cumsum(all_sizes[order])]), entries[_ranges(begin[order], all_sizes[order])])
+_ASKED = "part int, block bigint, keys binary, sizes binary, follow binary, counts binary"
+_ARROW_ASKED = pa.schema([
+    ("part", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("sizes", pa.binary()), ("follow", pa.binary()), ("counts", pa.binary())
+])
+_ANSWER = "block bigint, kind int, part int, sizes binary, follow binary, counts binary"
+_ARROW_ANSWER = pa.schema([
+    ("block", pa.int64()), ("kind", pa.int32()), ("part", pa.int32()), ("sizes", pa.binary()), ("follow", pa.binary()), ("counts", pa.binary())
+])
+#: Kinds of answers: on contexts, on words, and the totals of a part's words, which are for no block.
+CONTEXTS, WORDS, TOTALS = 0, 1, 2
+
+
+def _cuts(keys: np.ndarray, parts: int) -> np.ndarray:
+    """Where each part of ascending 64-bit keys begins, and where the last ends."""
+    edges = np.array([(p << 64) // parts for p in range(1, parts)], np.uint64)
+    return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
+
+
+def asked_contexts(block: int, own: Known, parts: int) -> Iterator[tuple]:
+    """A block's own contexts with what followed them, by parts."""
+    cuts, sizes = _cuts(own.keys, parts), np.diff(own.bounds)
+    for part in np.flatnonzero(np.diff(cuts)):
+        a, b = cuts[part], cuts[part + 1]
+        follow = own.follow[own.bounds[a] : own.bounds[b]]
+        yield (int(part), block, own.keys[a:b].tobytes(), sizes[a:b].astype("<u2").tobytes(),
+               follow["byte"].tobytes(), follow["n"].astype("<i8").tobytes())
+
+
+def _column(table: pa.Table, name: str, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of a binary column, and how many each row has."""
+    rows = [np.frombuffer(value, kind) for value in table[name].to_pylist()]
+    return np.concatenate([np.zeros(0, kind), *rows]), np.array([len(row) for row in rows])
+
+
+def answered_contexts(asked: pa.Table) -> pa.Table:
+    """For each context that several blocks ask for, one more than the number of bytes that followed
+    it in any, and those with their sums; 0 for a context that its own block knows all of."""
+    keys, rows = _column(asked, "keys", "<u8")
+    sizes, follow, n = (_column(asked, name, kind)[0] for name, kind in (("sizes", "<u2"), ("follow", "u1"), ("counts", "<i8")))
+    distinct, number = np.unique(keys, return_inverse=True)
+    pair = np.repeat(number, sizes) * 256 + follow
+    all_sizes, entries = _entries(pair, n.astype(float), len(distinct))
+    begin, shared = np.cumsum(all_sizes) - all_sizes, np.bincount(number, minlength=len(distinct)) > 1
+    out, ends = [], np.cumsum(rows)
+    for block, part, size, end in zip(asked["block"].to_pylist(), asked["part"].to_pylist(), rows, ends):
+        own = number[end - size : end]
+        some = own[shared[own]]
+        taken = entries[_ranges(begin[some], all_sizes[some])]
+        told = np.where(shared[own], all_sizes[own] + 1, 0).astype("<u2")
+        out.append((block, CONTEXTS, part, told.tobytes(), taken["byte"].tobytes(), taken["n"].astype("<i8").tobytes()))
+    return _answers(out)
+
+
+def _answers(rows: list[tuple]) -> pa.Table:
+    columns = zip(*rows) if rows else [[]] * len(_ARROW_ANSWER)
+    return pa.table([pa.array(c, f.type) for c, f in zip(columns, _ARROW_ANSWER)], schema=_ARROW_ANSWER)
+
+
+def overlaid(own: Known, answers: pa.Table) -> Known:
+    """A block's own contexts, with the sums of all blocks for those that others have too."""
+    order = np.argsort(answers["part"].to_numpy())
+    answers = answers.take(pa.array(order))
+    told, follow, n = (_column(answers, name, kind)[0] for name, kind in (("sizes", "<u2"), ("follow", "u1"), ("counts", "<i8")))
+    if len(told) != len(own.keys):
+        raise ValueError("contexts are missing: the stored blocks have changed meanwhile")
+    shared, own_sizes = told > 0, np.diff(own.bounds)
+    sizes = np.where(shared, told.astype(np.int64) - 1, own_sizes)
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    entries = np.empty(bounds[-1], _NEXT)
+    at = _ranges(bounds[:-1][shared], sizes[shared])
+    entries["byte"][at], entries["n"][at] = follow, n
+    alone = ~shared
+    entries[_ranges(bounds[:-1][alone], sizes[alone])] = own.follow[_ranges(own.bounds[:-1][alone], own_sizes[alone])]
+    return Known(own.keys, bounds, entries)
+
+
+def own_words(texts: list[bytes], held: list[bool]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The words of a block in the order of their hashes, those, and the counts in its training texts."""
+    counts: Counter = Counter()
+    others: set[bytes] = set()
+    for text, out in zip(texts, held):
+        (others if out else counts).update(words_of(text))
+    words = [*counts, *others.difference(counts)]
+    hashes = np.array([xxhash.xxh3_64_intdigest(word) for word in words], np.uint64)
+    n = np.array([counts[word] for word in words], np.int64)
+    order = np.lexsort((np.array(words, object), hashes)) if len(set(hashes.tolist())) < len(words) else np.argsort(hashes)
+    return [words[i] for i in order], hashes[order], n[order]
+
+
+def asked_words(block: int, texts: list[bytes], held: list[bool], parts: int) -> Iterator[tuple]:
+    words, hashes, n = own_words(texts, held)
+    cuts = _cuts(hashes, parts)
+    for part in np.flatnonzero(np.diff(cuts)):
+        a, b = cuts[part], cuts[part + 1]
+        # The end mark is the empty word, so words are joined by spaces with one before each.
+        yield int(part), block, b"".join(b" " + word for word in words[a:b]), None, None, n[a:b].astype("<i8").tobytes()
+
+
+def answered_words(asked: pa.Table) -> pa.Table:
+    """What each word was seen in all blocks, and the sums over this part's words."""
+    rows = [value.split(b" ")[1:] for value in asked["keys"].to_pylist()]
+    counts = [np.frombuffer(value, "<i8").tolist() for value in asked["counts"].to_pylist()]
+    total: dict[bytes, int] = {}
+    for words, own in zip(rows, counts):
+        for word, n in zip(words, own):
+            total[word] = total.get(word, 0) + n
+    part = asked["part"][0].as_py()
+    out = [
+        (block, WORDS, part, None, None, np.array([total[word] for word in words], "<i8").tobytes())
+        for block, words in zip(asked["block"].to_pylist(), rows)
+    ]
+    sums = np.array([sum(total.values()), sum(n > 0 for n in total.values())], "<i8")
+    return _answers([*out, (None, TOTALS, part, None, None, sums.tobytes())])
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -523,50 +556,48 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     model = build_model(count_tables(blocks))
     shared = spark.sparkContext.broadcast(model)  # a number per cell of the tables
 
-    def count_words(batches):
-        schema = pa.schema([("block", pa.int64()), ("word", pa.binary()), ("n", pa.int64())])
+    parts = max(1, blocks.count())
 
+    def ask(batches, each, schema=_ARROW_ASKED):
         def rows():
             for batch in batches:
                 for block, held, data in zip(batch.column("block").to_pylist(), batch.column("held").to_pylist(), batch.column("data")):
-                    counts: Counter = Counter()
-                    others: set[bytes] = set()
-                    for text, out in zip(_texts(data.as_py()), held):
-                        (others if out else counts).update(words_of(text))
-                    yield from ((block, word, n) for word, n in counts.items())
-                    yield from ((block, word, 0) for word in others.difference(counts))
-
-        yield from batched(rows(), schema)
-
-    counted = blocks.drop("ids").mapInArrow(count_words, "block bigint, word binary, n bigint")
-    counted.write.option("compression", "zstd").parquet(f"{root}/words")
-    words = spark.read.parquet(f"{root}/words")
-    words.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0").write.parquet(f"{root}/counts")
-    counts = spark.read.parquet(f"{root}/counts")
-    n_train, distinct = (n or 0 for n in counts.agg(F.sum("c"), F.count(F.lit(1))).first())
+                    yield from each(block, _texts(data.as_py()), held)
+
+        yield from batched(rows(), schema, size=lambda r: len(r[2]) + len(r[5]))
+
+    def contexts_asked(batches):
+        yield from ask(batches, lambda block, texts, held: asked_contexts(block, own_contexts(texts, held), parts))
+
+    def words_asked(batches):
+        yield from ask(batches, lambda block, texts, held: asked_words(block, texts, held, parts))
+
+    read = blocks.select("block", "held", "data")
+    words = read.mapInArrow(words_asked, _ASKED).groupBy("part").applyInArrow(answered_words, _ANSWER)
+    words.write.option("compression", "zstd").parquet(f"{root}/words")
+    words = spark.read.schema(_ANSWER).parquet(f"{root}/words")
+    sums = [np.frombuffer(r.counts, "<i8") for r in words.where(F.col("kind") == TOTALS).select("counts").toLocalIterator()]
+    n_train, distinct = (int(n) for n in np.sum([np.zeros(2, np.int64), *sums], axis=0))
 
     def judge(left: pa.Table, right: pa.Table) -> pa.Table:
-        # Words have a kind of their own; a word that is not there was not seen in training.
-        of_words = right.filter(pc.equal(right["kind"], 1))
-        seen = dict(zip(of_words["data"].to_pylist(), of_words["key"].to_pylist()))
-        part = right.filter(pc.equal(right["kind"], 0)).combine_chunks()
-        keys = part["key"].to_numpy().view(np.uint64)
-        sizes, follow = _binary(part["data"].chunk(0)) if len(keys) else (np.zeros(0, int), np.zeros(0, _NEXT))
+        of_words = right.filter(pc.equal(right["kind"], WORDS))
+        of_words = of_words.take(pa.array(np.argsort(of_words["part"].to_numpy())))
+        seen = _column(of_words, "counts", "<i8")[0].tolist()
         rows = []
         for ids, held, data in zip(*(left[name].to_pylist() for name in ("ids", "held", "data"))):
             found = _texts(data)
-            known = overlaid(own_contexts(found, held), keys, sizes, follow)
+            own, _, _ = own_words(found, held)
+            count = dict(zip(own, seen, strict=True))
+            known = overlaid(own_contexts(found, held), right.filter(pc.equal(right["kind"], CONTEXTS)))
             for some in _in_parts(found):
                 for doc, out, text, score in zip(ids[some], held[some], found[some], score_texts(found[some], shared.value, known)):
-                    c = np.array([seen.get(word, 0) for word in words_of(text)], float)
+                    c = np.array([count[word] for word in words_of(text)], float)
                     base = float(np.log10(c + 1).sum() - len(c) * np.log10(n_train + distinct + 1))
                     bits = -float(score) * np.log2(10) / (len(text) + 1)
                     rows.append((doc, out, len(c), int((c > 0).sum()), n_train, base, float(score), len(text) + 1, bits))
         columns = zip(*rows) if rows else [[]] * len(_ARROW_SCORED)
         return pa.table([pa.array(col, f.type) for col, f in zip(columns, _ARROW_SCORED)], schema=_ARROW_SCORED)
 
-    by_context = blocks.select("block", "held", "data").mapInArrow(block_contexts, _KEYED_SCHEMA)
-    answers = by_context.repartition("key").sortWithinPartitions("key").mapInArrow(summed_contexts, _KEYED_SCHEMA)
-    known_words = words.join(counts, "word").select("block", F.lit(1).alias("kind"), F.col("c").alias("key"), F.col("word").alias("data"))
-    sent = answers.select("block", F.lit(0).alias("kind"), "key", "data").unionByName(known_words)
+    answers = read.mapInArrow(contexts_asked, _ASKED).groupBy("part").applyInArrow(answered_contexts, _ANSWER)
+    sent = answers.unionByName(words.where(F.col("kind") == WORDS))
     return blocks.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(judge, _SCORED)
