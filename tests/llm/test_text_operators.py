@@ -212,7 +212,7 @@ def test_jaccard_equals_all_pairs(spark, width, percent):
             for _ in range(pick.randrange(0, 1 + len(words) // 12)):
                 near[pick.randrange(len(near))] = f"n{pick.randrange(10**6)}"
             rows.append((100 + len(rows), " ".join(near), "s"))
-    got = jaccard.jaccard_groups(table(spark, rows), width, percent).collect()
+    got = jaccard.jaccard_groups(table(spark, rows), width, percent, screened=percent < 85).collect()
     assert len(got) == len(rows)
     want = grouped(rows, width, percent)
     assert len({g for _, g in want.values()}) < len(want)
@@ -223,7 +223,8 @@ def test_jaccard_equals_all_pairs(spark, width, percent):
             assert (r.n_shingles, r.component_id) == want[r.doc_id]
 
 
-def test_jaccard_over_several_blocks_equals_all_pairs(spark, monkeypatch):
+@pytest.mark.parametrize("screened", [True, False])
+def test_jaccard_over_several_blocks_equals_all_pairs(spark, monkeypatch, screened):
     """A large cluster of near copies that no block holds whole, and a passage in very many texts."""
     monkeypatch.setattr(jaccard, "BLOCK", 1500)
     monkeypatch.setattr(jaccard, "SIGNED_BLOCK", 2500)
@@ -238,7 +239,7 @@ def test_jaccard_over_several_blocks_equals_all_pairs(spark, monkeypatch):
         at = pick.randrange(150)
         rows.append((200 - k, " ".join([*words[:at], *passage, *words[at:]] if k % 2 else words), "s"))
     want = grouped(rows, 5, 80)
-    for r in jaccard.jaccard_groups(table(spark, rows), 5, 80).collect():
+    for r in jaccard.jaccard_groups(table(spark, rows), 5, 80, screened=screened).collect():
         assert (r.n_shingles, r.component_id) == want[r.doc_id]
 
 

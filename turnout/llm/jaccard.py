@@ -261,14 +261,15 @@ def _key_batch(held: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
 
 
 def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
+                   text_col: str = "text", screened: bool = True) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row: set size, least id reachable by links.
 
     Documents are linked if ``100 * common >= percent * union`` of their sets of ``width``-word
     runs. Empty and null texts have no set and are linked with nothing. Equal sets are linked, so
     copies share a component however many there are. Rows that repeat an id count as one document
     in links and get a result each; rows with a null id get a null component. An empty table gives
-    an empty result.
+    an empty result. ``screened`` rules pairs out by signatures first, which pays at thresholds as
+    low as 80; from 85 on, segments are so large that few sets share a key by chance.
     """
     spark = docs.sparkSession
     root = shared_dir(spark, "jaccard")
@@ -283,7 +284,7 @@ def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: s
     def sizes(batches):
         for doc, found in numbered(batches):
             digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None
-            yield doc, len(found), digest, signature(found).tobytes()
+            yield doc, len(found), digest, signature(found).tobytes() if screened else b""
 
     def keys(batches):
         seen, held, total = set(), [], 0  # a copy's keys are those of the copy before it in this task
@@ -319,8 +320,11 @@ def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: s
     )
     with rows_per_batch(spark):
         shared.write.parquet(f"{root}/shared")
-    near = _near(measured, spark.read.parquet(f"{root}/shared"), root, percent)
-    links = _links(texts, near, f"{root}/exact", numbered, percent)
+    candidates, together = spark.read.parquet(f"{root}/shared"), F.min("least")
+    if screened:
+        # A group's documents are one block if there is room, so that few keys are in several blocks.
+        candidates, together = _near(measured, candidates, root, percent), F.min("label")
+    links = _links(texts, candidates, together, f"{root}/exact", numbered, percent)
 
     # Copies collapse to their least id before links are followed.
     least = measured.where("digest IS NOT NULL AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("least"))
@@ -402,10 +406,9 @@ def _seats(shared: DataFrame, root: str, together: Column, most: int) -> DataFra
     return spark.read.parquet(f"{root}/seats")
 
 
-def _links(texts: DataFrame, shared: DataFrame, root: str, numbered, percent: int) -> DataFrame:
+def _links(texts: DataFrame, shared: DataFrame, together: Column, root: str, numbered, percent: int) -> DataFrame:
     """``a, b``: links that connect all documents that links connect, among those with shared keys."""
-    # A group's documents are one block if there is room, so that few keys are in several blocks.
-    spark, seated = texts.sparkSession, _seats(shared, root, F.min("label"), BLOCK)
+    spark, seated = texts.sparkSession, _seats(shared, root, together, BLOCK)
     wanted = texts.join(seated.hint("shuffle_hash"), "id").select("id", "text", "block", "cells")
     schema = pa.schema([("cell", pa.string()), ("id", pa.int64()), ("block", pa.string()), ("elements", pa.binary())])
 

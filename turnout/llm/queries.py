@@ -59,7 +59,7 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_groups(read_table(spark, sf_dir, "documents"), width=4, percent=85)
+    return jaccard.jaccard_groups(read_table(spark, sf_dir, "documents"), width=4, percent=85, screened=False)
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
