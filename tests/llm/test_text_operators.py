@@ -182,6 +182,19 @@ def test_token_files_round_trip(spark, odd, encoder, folder):
         at += r.n_tokens
 
 
+def test_token_sections_are_encoded_one_at_a_time(spark, odd, folder, monkeypatch):
+    """A staged row holds a whole section; more of them at once grow a task's memory with its split."""
+    seen, write = {}, type(odd.write).parquet
+
+    def parquet(self, path, *args, **kwargs):
+        seen[path.rsplit("/", 1)[-1]] = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+        return write(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(type(odd.write), "parquet", parquet)
+    rans.write_ids(odd, folder("ids"))
+    assert seen["sections"] == "1"
+
+
 # --- similarity -----------------------------------------------------------------------------
 
 

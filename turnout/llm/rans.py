@@ -256,7 +256,9 @@ def write_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                 yield from batched(iter([(*head, *coded.values())]), _ARROW_SECTION)
 
     coded = staged.drop("tokens", "counts").mapInArrow(encode, _SECTION)
-    coded.write.option("compression", "none").parquet(f"{path}/sections")
+    # A staged row is a whole section, so one at a time: otherwise a task's whole split comes at once.
+    with rows_per_batch(spark, 1):
+        coded.write.option("compression", "none").parquet(f"{path}/sections")
     sizes = spark.read.parquet(f"{path}/sections").groupBy("part").agg(F.sum("n_ids").alias("n"))
     # One row per file.
     before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
