@@ -195,6 +195,20 @@ def test_token_sections_are_encoded_one_at_a_time(spark, odd, folder, monkeypatc
     assert seen["sections"] == "1"
 
 
+
+def test_text_blocks_are_read_one_at_a_time(spark, odd, monkeypatch):
+    """A stored row holds a whole block of text; more of them at once grow a task's memory with its split."""
+    seen, write = {}, type(odd.write).parquet
+
+    def parquet(self, path, *args, **kwargs):
+        seen[path.rsplit("/", 1)[-1]] = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+        return write(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(type(odd.write), "parquet", parquet)
+    lm.score_documents(odd, F.lit(False)).count()
+    assert seen["words"] == "1"
+    assert next(v for k, v in seen.items() if k.startswith("lm-counts")) == "1"
+
 # --- similarity -----------------------------------------------------------------------------
 
 

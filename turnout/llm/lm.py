@@ -361,8 +361,13 @@ def count_tables(blocks: DataFrame) -> np.ndarray:
         seen = np.flatnonzero(total)
         yield pa.record_batch([pa.array(seen, pa.int64()), pa.array(total[seen])], names=["cell", "n"])
 
+    spark, at = blocks.sparkSession, shared_dir(blocks.sparkSession, "lm-counts")
     counted = blocks.select("held", "data").mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
-    found = counted.toArrow()  # a row per cell of the tables at most
+    # A stored row is a whole block of text, so one at a time: otherwise a task's whole split comes
+    # at once. Stored first, so that the cells come to the driver in batches of the usual size.
+    with rows_per_batch(spark, 1):
+        counted.write.parquet(at)
+    found = spark.read.schema("cell bigint, n bigint").parquet(at).toArrow()  # a row per cell of the tables at most
     counts = np.zeros(cells, np.float32)
     counts[found["cell"].to_numpy()] = found["n"].to_numpy()
     return counts.reshape(-1, 256)
@@ -574,7 +579,8 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
 
     read = blocks.select("block", "held", "data")
     words = read.mapInArrow(words_asked, _ASKED).groupBy("part").applyInArrow(answered_words, _ANSWER)
-    words.write.option("compression", "zstd").parquet(f"{root}/words")
+    with rows_per_batch(spark, 1):
+        words.write.option("compression", "zstd").parquet(f"{root}/words")
     words = spark.read.schema(_ANSWER).parquet(f"{root}/words")
     sums = [np.frombuffer(r.counts, "<i8") for r in words.where(F.col("kind") == TOTALS).select("counts").toLocalIterator()]
     n_train, distinct = (int(n) for n in np.sum([np.zeros(2, np.int64), *sums], axis=0))
