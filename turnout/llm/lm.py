@@ -320,18 +320,27 @@ def to_blocks(batches) -> Iterator[tuple]:
             parts.append(text.encode())
             size += len(parts[-1]) + 1
             if size >= BLOCK_BYTES:
-                yield block, ids, held, bytes([END]).join([*parts, b""])
+                yield block, ids, held, _packed(bytes([END]).join([*parts, b""]))
                 block, ids, held, parts, size = block + 1, [], [], [], 0
     if ids:
-        yield block, ids, held, bytes([END]).join([*parts, b""])
+        yield block, ids, held, _packed(bytes([END]).join([*parts, b""]))
 
 
 _BLOCK = "block bigint, ids array<bigint>, held array<boolean>, data binary"
 _ARROW_BLOCK = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("data", pa.binary())])
 
 
+def _packed(data: bytes) -> bytes:
+    """``data`` compressed by zstd after its length: what is stored and shuffled is packed."""
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _unpacked(value: bytes) -> bytes:
+    return pa.decompress(value[8:], int.from_bytes(value[:8], "little"), codec="zstd", asbytes=True)
+
+
 def _texts(data: bytes) -> list[bytes]:
-    return data.split(bytes([END]))[:-1]
+    return _unpacked(data).split(bytes([END]))[:-1]
 
 
 def _in_parts(texts: list[bytes]) -> Iterator[slice]:
@@ -432,20 +441,22 @@ def asked_contexts(block: int, own: Known, parts: int) -> Iterator[tuple]:
     for part in np.flatnonzero(np.diff(cuts)):
         a, b = cuts[part], cuts[part + 1]
         follow = own.follow[own.bounds[a] : own.bounds[b]]
-        yield (int(part), block, own.keys[a:b].tobytes(), sizes[a:b].astype("<u2").tobytes(),
-               follow["byte"].tobytes(), follow["n"].astype("<i8").tobytes())
+        keys = np.diff(own.keys[a:b], prepend=np.uint64(0)).astype("<u8")  # ascending: small steps pack well
+        yield (int(part), block, *map(_packed, (keys.tobytes(), sizes[a:b].astype("<u2").tobytes(),
+               follow["byte"].tobytes(), follow["n"].astype("<i8").tobytes())))
 
 
 def _column(table: pa.Table, name: str, kind: str) -> tuple[np.ndarray, np.ndarray]:
-    """All numbers of a binary column, and how many each row has."""
-    rows = [np.frombuffer(value, kind) for value in table[name].to_pylist()]
+    """All numbers of a packed binary column, and how many each row has."""
+    rows = [np.frombuffer(_unpacked(value), kind) for value in table[name].to_pylist()]
     return np.concatenate([np.zeros(0, kind), *rows]), np.array([len(row) for row in rows])
 
 
 def answered_contexts(asked: pa.Table) -> pa.Table:
     """For each context that several blocks ask for, one more than the number of bytes that followed
     it in any, and those with their sums; 0 for a context that its own block knows all of."""
-    keys, rows = _column(asked, "keys", "<u8")
+    steps, rows = _column(asked, "keys", "<u8")
+    keys = np.concatenate([np.zeros(0, np.uint64), *(np.cumsum(s, dtype=np.uint64) for s in np.split(steps, np.cumsum(rows)[:-1]))])
     sizes, follow, n = (_column(asked, name, kind)[0] for name, kind in (("sizes", "<u2"), ("follow", "u1"), ("counts", "<i8")))
     distinct, number = np.unique(keys, return_inverse=True)
     pair = np.repeat(number, sizes) * 256 + follow
@@ -457,7 +468,7 @@ def answered_contexts(asked: pa.Table) -> pa.Table:
         some = own[shared[own]]
         taken = entries[_ranges(begin[some], all_sizes[some])]
         told = np.where(shared[own], all_sizes[own] + 1, 0).astype("<u2")
-        out.append((block, CONTEXTS, part, told.tobytes(), taken["byte"].tobytes(), taken["n"].astype("<i8").tobytes()))
+        out.append((block, CONTEXTS, part, *map(_packed, (told.tobytes(), taken["byte"].tobytes(), taken["n"].astype("<i8").tobytes()))))
     return _answers(out)
 
 
@@ -503,24 +514,24 @@ def asked_words(block: int, texts: list[bytes], held: list[bool], parts: int) ->
     for part in np.flatnonzero(np.diff(cuts)):
         a, b = cuts[part], cuts[part + 1]
         # The end mark is the empty word, so words are joined by spaces with one before each.
-        yield int(part), block, b"".join(b" " + word for word in words[a:b]), None, None, n[a:b].astype("<i8").tobytes()
+        yield int(part), block, _packed(b"".join(b" " + word for word in words[a:b])), None, None, _packed(n[a:b].astype("<i8").tobytes())
 
 
 def answered_words(asked: pa.Table) -> pa.Table:
     """What each word was seen in all blocks, and the sums over this part's words."""
-    rows = [value.split(b" ")[1:] for value in asked["keys"].to_pylist()]
-    counts = [np.frombuffer(value, "<i8").tolist() for value in asked["counts"].to_pylist()]
+    rows = [_unpacked(value).split(b" ")[1:] for value in asked["keys"].to_pylist()]
+    counts = [np.frombuffer(_unpacked(value), "<i8").tolist() for value in asked["counts"].to_pylist()]
     total: dict[bytes, int] = {}
     for words, own in zip(rows, counts):
         for word, n in zip(words, own):
             total[word] = total.get(word, 0) + n
     part = asked["part"][0].as_py()
     out = [
-        (block, WORDS, part, None, None, np.array([total[word] for word in words], "<i8").tobytes())
+        (block, WORDS, part, None, None, _packed(np.array([total[word] for word in words], "<i8").tobytes()))
         for block, words in zip(asked["block"].to_pylist(), rows)
     ]
     sums = np.array([sum(total.values()), sum(n > 0 for n in total.values())], "<i8")
-    return _answers([*out, (None, TOTALS, part, None, None, sums.tobytes())])
+    return _answers([*out, (None, TOTALS, part, None, None, _packed(sums.tobytes()))])
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -582,7 +593,7 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     with rows_per_batch(spark, 1):
         words.write.option("compression", "zstd").parquet(f"{root}/words")
     words = spark.read.schema(_ANSWER).parquet(f"{root}/words")
-    sums = [np.frombuffer(r.counts, "<i8") for r in words.where(F.col("kind") == TOTALS).select("counts").toLocalIterator()]
+    sums = [np.frombuffer(_unpacked(r.counts), "<i8") for r in words.where(F.col("kind") == TOTALS).select("counts").toLocalIterator()]
     n_train, distinct = (int(n) for n in np.sum([np.zeros(2, np.int64), *sums], axis=0))
 
     def judge(left: pa.Table, right: pa.Table) -> pa.Table:
