@@ -18,10 +18,10 @@ hash.
 from __future__ import annotations
 
 import heapq
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +41,11 @@ INPUTS = len(SLOTS) + 1
 #: Never part of UTF-8, so free to mark the end.
 END = 0xFF
 #: Bytes scored with one set of weights; decisions between two updates; bytes of text in a block;
-#: decisions of spans mixed side by side, and bytes of text looked at together.
-SPAN, TOGETHER, BLOCK_BYTES, CELLS, HELD_BYTES = 2048, 8, 1 << 23, 1 << 21, 1 << 20
+#: spans mixed side by side, and bytes of text looked at, scored or hashed together.
+SPAN, TOGETHER, BLOCK_BYTES, LANES = 2048, 8, 1 << 23, 1 << 12
+HELD_BYTES, SCORED_BYTES, HASHED_BYTES = 1 << 20, 3 << 20, 1 << 19
+#: Decisions that are unpacked together, spans that are spelled together, contexts whose counts are held at once.
+AT_ONCE, SPELLED_SPANS, CONTEXTS_HELD = 32, 4, 1 << 11
 #: What the mixer starts from: weights of the predictors by how often the word so far was seen, in
 #: steps of ``LEVELS``. Fitted once by logistic regression on 70 documents of a small table.
 LEVELS = (1, 2, 4, 8, 16, 64, 256)
@@ -59,6 +62,8 @@ _NEXT = np.dtype([("byte", "u1"), ("n", "<i8")])
 _FACTOR = 0x9E3779B97F4A7C15
 _INVERSE = pow(_FACTOR, -1, 1 << 64)
 _BYTES = np.random.default_rng(0).integers(1, 1 << 63, 256, dtype=np.uint64)
+#: White space and the end mark.
+_CLOSES = np.isin(np.arange(256), [*range(9, 14), 32, END])
 
 
 # --- contexts -------------------------------------------------------------------------------
@@ -71,57 +76,130 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
+def table_rows(data: np.ndarray) -> np.ndarray:
+    """Table row for each number of last bytes, before each byte of texts with end marks."""
+    n, most = len(data), max(ORDERS)
+    first = np.concatenate([[0], np.flatnonzero(data[:-1] == END) + 1])
+    # The last four bytes as a number, the last of them lowest; before a text there are end marks.
+    held = bytes([END] * most) + data.tobytes()
+    run = np.ndarray(n, f">u{most}", held, strides=(1,)).astype(np.uint32)
+    for age in range(most):
+        at = first + age
+        run[at[at < n]] |= np.uint32(0xFFFFFFFF << 8 * age & 0xFFFFFFFF)
+    rows = np.empty((len(SLOTS), n), np.int32)
+    for at, order in enumerate(ORDERS):
+        last = run & np.uint32((1 << 8 * order) - 1)
+        rows[at] = last * np.uint32(0x9E3779B1) >> np.uint32(33 - SLOTS[at].bit_length())
+        rows[at] += BEGIN[at]
+    return rows
+
+
+def _summed(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums from which stretches of bytes get their hashes, and what those that begin at each place
+    are multiplied by."""
+    n = len(data)
+    size = 1 << max(14, n.bit_length())
+    out = np.zeros(n + 1, np.uint64)
+    np.cumsum(_BYTES[data] * _powers(_FACTOR, size)[:n], dtype=np.uint64, out=out[1:])
+    return out, _powers(_INVERSE, size)
+
+
+def _pieces(begin: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of stretches, by their ascending beginnings, that are hashed together."""
+    at = 0
+    while at < len(begin):
+        until = int(np.searchsorted(begin, begin[at] + HASHED_BYTES))
+        yield at, until
+        at = until
+
+
+def word_keys(data: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Hash of the bytes before each byte of its stretch; the stretches follow one another."""
+    out = np.empty(len(data), np.uint64)
+    for a, b in _pieces(begin):
+        here = slice(begin[a], begin[b - 1] + sizes[b - 1])
+        summed, inverse = _summed(data[here])
+        first = np.repeat(begin[a:b] - begin[a], sizes[a:b])
+        out[here] = (summed[:-1] - summed[first]) * inverse[first]
+    return out
+
+
 def contexts(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Table row for each number of last bytes, and key of the word so far, before each byte of
     texts with end marks."""
-    n = len(data)
-    first = np.zeros(n, np.int32)
-    after = np.flatnonzero(data[:-1] == END) + 1
-    first[after] = after
-    np.maximum.accumulate(first, out=first)
-    age = np.arange(n, dtype=np.int32) - first
-    rows, run = np.empty((len(SLOTS), n), np.int32), np.zeros(n, np.uint32)
-    for back in range(1, max(ORDERS) + 1):
-        before = np.full(n, END, np.uint8)
-        before[back:] = data[:-back]
-        before[age < back] = END
-        run |= before.astype(np.uint32) << np.uint32(8 * (back - 1))
-        if back in ORDERS:
-            at = ORDERS.index(back)
-            rows[at] = run * np.uint32(0x9E3779B1) >> np.uint32(33 - SLOTS[at].bit_length())
-            rows[at] += BEGIN[at]
-    # Hash of the bytes since the last white space, from sums of powers.
-    size = 1 << max(14, n.bit_length())
-    summed = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTES[data] * _powers(_FACTOR, size)[:n], dtype=np.uint64, out=summed[1:])
-    begin = first
-    after = np.flatnonzero((data[:-1] == 32) | (data[:-1] - np.uint8(9) < 5)) + 1
-    begin[after] = after
-    np.maximum.accumulate(begin, out=begin)
-    return rows, (summed[:n] - summed[begin]) * _powers(_INVERSE, size)[begin]
+    begin = np.concatenate([[0], np.flatnonzero(_CLOSES[data[:-1]]) + 1])
+    return table_rows(data), word_keys(data, begin, np.diff(begin, append=len(data)))
+
 
+def ranked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each distinct key stands, in ascending order of keys, and each key's number among those.
 
-def numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each distinct key stands first or later, and each key's number among those.
+    Numbers alone sort far faster than places by their numbers, so a place is sorted as the last bits
+    of its key. Only if keys differ in nothing else than these are places sorted.
+    """
+    n = len(keys)
+    keys = keys.view(np.uint64)
+    bits = np.uint64(max(1, (n - 1).bit_length()))
+    place = np.arange(n, dtype=np.uint64)
+    whole = n > 0 and int(keys.max()) >> (64 - int(bits)) == 0
+    packed = (keys << bits if whole else keys >> bits << bits) | place
+    packed.sort()
+    at = (packed & np.uint64((1 << int(bits)) - 1)).astype(np.intp)
+    own = keys[at]
+    other = own[1:] != own[:-1]
+    if not whole and (other & (packed[1:] >> bits == packed[:-1] >> bits)).any():
+        at = np.argsort(keys, kind="stable")
+        own = keys[at]
+        other = own[1:] != own[:-1]
+    number = np.empty(n, np.int32)
+    number[at] = np.concatenate([np.zeros(min(n, 1), np.int32), np.cumsum(other, dtype=np.int32)])
+    return at[np.concatenate([np.ones(min(n, 1), bool), other])], number
+
+
+@dataclass
+class Spelled:
+    """Texts as stretches up to and with the white space or end mark that closes each.
 
-    Keys that meet in a slot are told apart and dealt again.
+    Texts repeat their words, and what comes before a byte since the last white space is the same
+    wherever its stretch stands, so it is worked out once for each distinct stretch.
     """
-    chosen, todo, factor = np.empty(len(keys), np.int32), np.arange(len(keys), dtype=np.int32), _FACTOR
-    while len(todo):
-        own = keys[todo]
-        bits = max(4, (2 * len(todo)).bit_length())
-        slot = (own ^ (own >> np.uint64(29))) * np.uint64(factor) >> np.uint64(64 - bits)
-        place = np.empty(1 << bits, np.int32)
-        place[slot] = todo
-        one = place[slot]
-        same = keys[one] == own
-        chosen[todo[same]] = one[same]
-        todo, factor = todo[~same], (factor * 0xD1342543DE82EF95 + 2) % (1 << 64) | 1
-    number = np.zeros(len(keys), np.int32)
-    number[chosen] = 1
-    found = np.flatnonzero(number)
-    number[found] = np.arange(len(found), dtype=np.int32)
-    return found, number[chosen]
+
+    data: np.ndarray
+    #: Where each text begins and the last ends in ``data``, and the same in ``which``.
+    bounds: np.ndarray
+    upto: np.ndarray
+    #: Number of each stretch among the distinct ones; those one after the other, where each begins, its size.
+    which: np.ndarray
+    distinct: np.ndarray
+    begin: np.ndarray
+    sizes: np.ndarray
+    #: The distinct words so far, ascending, and the number of that before each byte of ``distinct``.
+    keys: np.ndarray
+    context: np.ndarray
+
+    def counts(self, held: list[bool]) -> np.ndarray:
+        """How often there is each distinct stretch in texts that are not held out."""
+        trained = np.repeat(~np.array(held, bool), np.diff(self.upto))
+        return np.bincount(self.which[trained], minlength=len(self.begin))
+
+
+def spelled(texts: list[bytes]) -> Spelled:
+    data = np.frombuffer(bytes([END]).join([*texts, b""]), np.uint8)
+    closes = np.flatnonzero(_CLOSES[data])
+    begin = np.concatenate([[0], closes[:-1] + 1])
+    hashes = np.empty(len(closes), np.uint64)
+    for a, b in _pieces(begin):
+        summed, inverse = _summed(data[begin[a] : closes[b - 1] + 1])
+        first = begin[a:b] - begin[a]
+        hashes[a:b] = (summed[closes[a:b] + 1 - begin[a]] - summed[first]) * inverse[first]
+    bounds = np.concatenate([[0], np.cumsum([len(text) + 1 for text in texts], dtype=np.int64)])
+    found, which = ranked(hashes)
+    sizes = closes[found] + 1 - begin[found]
+    distinct = data[_ranges(begin[found], sizes)]
+    first = np.cumsum(sizes) - sizes
+    keys = word_keys(distinct, first, sizes)
+    of, context = ranked(keys)
+    return Spelled(data, bounds, np.searchsorted(closes, bounds), which, distinct, first, sizes, keys[of], context)
 
 
 # --- predictors -----------------------------------------------------------------------------
@@ -136,13 +214,12 @@ class Model:
     bits: np.ndarray
     lengths: np.ndarray
 
-    def paths(self, byte: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Node and bit of each decision of a sequence of bytes."""
-        width = np.int32(self.nodes.shape[1])
-        begin = np.cumsum(lengths, dtype=np.int32) - lengths
+    def paths(self, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """How many decisions each of a sequence of bytes takes, and all their nodes and bits."""
+        lengths = self.lengths[byte]
         # Along each byte's row of the table of paths.
-        place = np.arange(int(lengths.sum()), dtype=np.int32) + np.repeat(byte.astype(np.int32) * width - begin, lengths)
-        return self.nodes.reshape(-1).take(place).astype(np.int32), self.bits.reshape(-1).take(place)
+        place = _ranges(byte.astype(np.int64) * self.nodes.shape[1], lengths)
+        return lengths, self.nodes.reshape(-1).take(place), self.bits.reshape(-1).take(place)
 
 
 def code_tree(counts: np.ndarray) -> tuple[list[tuple[int, int]], list[list[tuple[int, int]]]]:
@@ -200,111 +277,201 @@ def _ranges(begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(begin - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
 
 
-def stretched(keys: np.ndarray, known: Known | None, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Stretched predictions of the distinct contexts among ``keys`` by tree node, how often each was
-    seen as one of the levels, and each key's row."""
-    found, row = numbered(keys)
-    table, level = np.zeros(len(found) * 256, np.int8), np.zeros(len(found), np.int8)
+def predicted(words: Spelled, known: Known | None, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stretched predictions along the path of each distinct byte after each distinct context, where
+    those of each byte of the distinct stretches begin, and how often its context was seen as one of
+    the levels."""
+    pair = words.context.astype(np.int64) * 256 + words.distinct
+    found, number = ranked(pair)
+    of, byte = words.context[found], words.distinct[found]
+    ends = np.cumsum(model.lengths[byte], dtype=np.int64)
+    begin, level = (ends - model.lengths[byte])[number], np.zeros(len(words.keys), np.int8)
+    table = np.zeros(ends[-1], np.int8)
     if known is None:
-        return table, level, row
-    distinct = keys[found]
-    at = np.searchsorted(known.keys, distinct)
-    if not (at < len(known.keys)).all() or (known.keys[at] != distinct).any():
+        return table, begin, level[words.context]
+    at = np.searchsorted(known.keys, words.keys)
+    if not (at < len(known.keys)).all() or (known.keys[at] != words.keys).any():
         raise ValueError("a context is missing: the input changed meanwhile")
     sizes = known.bounds[at + 1] - known.bounds[at]
-    follow = known.follow[_ranges(known.bounds[at], sizes)]
-    lengths = model.lengths[follow["byte"]]
-    path = _ranges(follow["byte"].astype(np.int64) * model.nodes.shape[1], lengths)
-    cell = np.repeat(np.repeat(np.arange(len(found)) * 256, sizes), lengths) + model.nodes.reshape(-1)[path]
-    n = np.repeat(follow["n"], lengths).astype(float)
-    where, number = numbered(cell.astype(np.uint64))
-    n1 = np.bincount(number, weights=n * model.bits.reshape(-1)[path])
-    odds = np.log((n1 + PRIOR) / (np.bincount(number, weights=n) - n1 + PRIOR))
-    table[cell[where]] = np.rint(np.clip(odds * STEP, -127, 127))
-    seen = np.bincount(np.repeat(np.arange(len(found)), sizes), weights=follow["n"], minlength=len(found))
-    level[:] = np.searchsorted(LEVELS, seen, side="right")
-    return table, level, row
+    summed = np.concatenate([[0], np.cumsum(known.follow["n"])])
+    level[:] = np.searchsorted(LEVELS, summed[known.bounds[at + 1]] - summed[known.bounds[at]], side="right")
+    # Counts of some contexts at each node of the tree: all, and those that went on to the right.
+    every, right = np.zeros(CONTEXTS_HELD * 256), np.zeros(CONTEXTS_HELD * 256)
+    for a in range(0, len(at), CONTEXTS_HELD):
+        here = slice(a, a + CONTEXTS_HELD)
+        follow = known.follow[_ranges(known.bounds[at[here]], sizes[here])]
+        lengths, node, bit = model.paths(follow["byte"])
+        cell = np.repeat(np.repeat(np.arange(len(sizes[here])) * 256, sizes[here]), lengths) + node
+        n = np.repeat(follow["n"].astype(float), lengths)
+        np.add.at(every, cell, n)
+        np.add.at(right, cell, n * bit)
+        some = slice(*np.searchsorted(of, [a, a + CONTEXTS_HELD]))
+        lengths, node, _ = model.paths(byte[some])
+        asked = np.repeat((of[some] - a) * np.int64(256), lengths) + node
+        n1 = right[asked]
+        odds = np.log((n1 + PRIOR) / (every[asked] - n1 + PRIOR))
+        last = ends[some.stop - 1]
+        table[last - len(asked) : last] = np.rint(np.clip(odds * STEP, -127, 127))
+        every[cell] = right[cell] = 0
+    return table, begin, level[words.context]
 
 
 # --- mixing ---------------------------------------------------------------------------------
 
 
-def _mix(x: np.ndarray, bits: np.ndarray, levels: np.ndarray, active: np.ndarray) -> np.ndarray:
-    """Probability of each decision: ``x`` (input, span, step), ``bits`` and ``levels`` (span, step).
+def _mix(cells: np.ndarray, levels: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sum of the logarithms of the probabilities of each span's decisions.
 
-    Spans are in descending order of length; ``active`` says how many are left at each step.
+    ``cells`` have a row for each input and one for the bits; ``levels`` are of every update. A span's
+    decisions stand side by side, as many as ``sizes`` says and some more up to a multiple of
+    ``AT_ONCE`` that do not count. Spans are in descending order of size.
     """
-    spans, steps = bits.shape
-    # The weights of a span lie ``spans`` apart, one set for each level.
-    weights = np.repeat(np.asarray(START_WEIGHTS, np.float32), spans, axis=0)
+    spans, several = len(sizes), AT_ONCE // TOGETHER
+    tiles = -(-sizes // AT_ONCE)
+    first, shorter = np.cumsum(tiles) - tiles, -sizes
+    cells, levels = cells.reshape(INPUTS + 1, -1, AT_ONCE), levels.reshape(-1, several)
+    # The weights of an input: one for each level and span. They are for inputs in whole steps, and
+    # negated, which changes no digit of them.
+    start = np.asarray(START_WEIGHTS, np.float32).T * np.float32(-1 / STEP)
+    weights = list(np.repeat(start, spans, axis=1))
     centres = (np.arange(REFINE_BINS) - REFINE_BINS / 2 + 0.5) / 2
     refined = np.repeat((1 / (1 + np.exp(-centres))).astype(np.float32), spans)
-    span = np.arange(spans, dtype=np.int32)
-    out = np.ones((spans, steps), np.float32)
-    scale, rate, refine_rate = np.float32(1 / STEP), np.float32(RATE), np.float32(REFINE_RATE)
-    for t in range(0, steps, TOGETHER):
-        n = active[t]
-        inputs = x[:, :n, t : t + TOGETHER] * scale
-        bit = bits[:n, t : t + TOGETHER]
-        gate = levels[:n, t] * np.int32(spans) + span[:n]
-        own = weights.take(gate, axis=0)
-        z = np.einsum("sc,csk->sk", own, inputs)
-        p = 1 / (1 + np.exp(-z))
-        own += rate * np.einsum("sk,csk->sc", bit - p, inputs)
-        weights[gate] = own
-        at = (z * 2 + REFINE_BINS / 2).astype(np.int32)
-        np.clip(at, 0, REFINE_BINS - 1, out=at)
-        at *= spans
-        at += span[:n, None]
-        q = refined.take(at)
-        refined[at] = q + refine_rate * (bit - q)
-        final = (p + q) * np.float32(0.5)
-        out[:n, t : t + TOGETHER] = np.where(bit, final, 1 - final)
-    return np.clip(out, 1e-5, 1, out=out)
-
-
-def score_texts(texts: list[bytes], model: Model, known: Known | None = None) -> np.ndarray:
+    rate = np.float32(-RATE) * np.float32(1 / STEP**2)
+    rate, refine_rate, half, one, least = (np.array(v, np.float32) for v in (rate, REFINE_RATE, 0.5, 1, 1e-5))
+    middle, double = np.array(REFINE_BINS / 2, np.float32), np.array(-2, np.float32)
+    total, n = np.zeros(spans), -1
+    floats = np.empty((4 + several * (INPUTS + 2) + INPUTS) * TOGETHER * spans, np.float32)
+    places, wholes = np.empty(TOGETHER * spans, np.intp), np.empty(3 * TOGETHER * spans, np.int32)
+    tile, sums = np.empty(AT_ONCE * spans, np.int8), np.empty(AT_ONCE * spans)
+    for t in range(0, int(sizes[0]), AT_ONCE):
+        # Spans that have ended are dropped some at a time; what is mixed for them does not count.
+        active = min(spans, -(-int(np.searchsorted(shorter, -t)) // 32) * 32)
+        if active != n:
+            n = active
+            stacked = floats[: len(floats) // spans * n].reshape(-1, TOGETHER, n)
+            (z, p, q, left), product = stacked[:4], stacked[4 : 4 + INPUTS]
+            held = stacked[4 + INPUTS :].reshape(several, INPUTS + 2, TOGETHER, n)
+            halves, quarters = np.empty((INPUTS, TOGETHER // 2, n), np.float32), np.empty((INPUTS, 2, n), np.float32)
+            at, (bins, lowest, highest) = places[: TOGETHER * n].reshape(TOGETHER, n), wholes[: 3 * TOGETHER * n].reshape(3, TOGETHER, n)
+            lowest[:], highest[:] = 0, REFINE_BINS - 1
+            own, slope, span = np.empty((INPUTS, n), np.float32), np.empty((INPUTS, n), np.float32), np.arange(n, dtype=np.int32)
+            some, summed = tile[: AT_ONCE * n].reshape(n, AT_ONCE), sums[: AT_ONCE * n].reshape(AT_ONCE, n)
+            spread = some.T.reshape(several, TOGETHER, n, copy=False)
+        # Spans that are over stay in their last tile.
+        place = first[:n] + np.minimum(tiles[:n] - 1, t // AT_ONCE)
+        for c in range(INPUTS + 1):
+            cells[c].take(place, axis=0, out=some, mode="clip")
+            held[:, c] = spread
+        np.subtract(one, held[:, INPUTS], out=held[:, INPUTS + 1])
+        gates = levels.take(place, axis=0, mode="clip").T.astype(np.intp)
+        gates *= spans
+        gates += span
+        for k in range(several):
+            x, bit, unset, gate = held[k, :INPUTS], held[k, INPUTS], held[k, INPUTS + 1], gates[k]
+            for weight, here in zip(weights, own):
+                weight.take(gate, out=here, mode="clip")
+            np.einsum("ckn,cn->kn", x, own, out=z)
+            np.exp(z, out=p)
+            np.add(p, one, out=p)
+            np.reciprocal(p, out=p)
+            np.subtract(bit, p, out=left)
+            # Summed in one order, whatever else is mixed side by side.
+            np.multiply(x, left, out=product)
+            np.add(product[:, :4], product[:, 4:], out=halves)
+            np.add(halves[:, ::2], halves[:, 1::2], out=quarters)
+            np.add(quarters[:, 0], quarters[:, 1], out=slope)
+            slope *= rate
+            own += slope
+            for weight, here in zip(weights, own):
+                weight[gate] = here
+            np.multiply(z, double, out=z)
+            np.add(z, middle, out=z)
+            np.copyto(bins, z, casting="unsafe")
+            np.maximum(bins, lowest, out=bins)
+            np.minimum(bins, highest, out=bins)
+            np.multiply(bins, np.int32(spans), out=bins)
+            np.add(bins, span, out=bins)
+            np.copyto(at, bins)
+            refined.take(at, out=q, mode="clip")
+            np.subtract(bit, q, out=left)
+            np.multiply(left, refine_rate, out=left)
+            np.add(left, q, out=left)
+            refined[at.reshape(-1)] = left.reshape(-1)
+            np.add(p, q, out=p)
+            np.multiply(p, half, out=p)
+            # Of a decision for 0 that is the probability less one.
+            np.subtract(p, unset, out=unset)
+            np.abs(unset, out=unset)
+            np.maximum(unset, least, out=unset)
+            np.log(unset, out=summed[k * TOGETHER : (k + 1) * TOGETHER], dtype=np.float32)
+        ended = int(np.searchsorted(shorter[:n], -(t + AT_ONCE), side="right"))
+        if ended < n:
+            summed[:, ended:][np.arange(t, t + AT_ONCE)[:, None] >= sizes[ended:n]] = 0
+        total[:n] += summed.sum(0)
+    return total
+
+
+def score_texts(texts: list[bytes], model: Model, known: Known | None = None, words: Spelled | None = None) -> np.ndarray:
     """Log10 probability of each text, end mark included; without ``known`` by the last bytes alone."""
-    data = np.frombuffer(b"".join(text + bytes([END]) for text in texts), np.uint8)
-    rows, keys = contexts(data)
+    words = spelled(texts) if words is None else words
+    table, begin, level = predicted(words, known, model)
+    total = np.zeros(len(texts))
+    for some in _in_parts(texts, SCORED_BYTES):
+        which = words.which[words.upto[some.start] : words.upto[some.stop]]
+        here = _ranges(words.begin[which], words.sizes[which])
+        data = words.data[words.bounds[some.start] : words.bounds[some.stop]]
+        bounds = words.bounds[some.start : some.stop + 1] - words.bounds[some.start]
+        total[some] = _score_part(data, bounds, model, table, begin[here], level[here])
+    return total / np.log(10)
+
+
+def _score_part(data: np.ndarray, bounds: np.ndarray, model: Model, table: np.ndarray, predictions: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """Natural logarithms of the probabilities of texts; ``predictions`` says where in ``table`` those
+    of the word so far begin for each byte."""
     # Where each span begins and ends, and whose it is.
-    ends = np.cumsum([len(text) + 1 for text in texts])
-    begin = np.concatenate([np.arange(end - len(text) - 1, end, SPAN) for text, end in zip(texts, ends)])
-    owner = np.repeat(np.arange(len(texts)), [-(-(len(text) + 1) // SPAN) for text in texts])
-    end = np.minimum(begin + SPAN, ends[owner])
-    decided = np.concatenate([[0], np.cumsum(model.lengths.astype(np.int64)[data])])
+    spans = -(-np.diff(bounds) // SPAN)
+    owner = np.repeat(np.arange(len(spans)), spans)
+    begin = bounds[:-1][owner] + _ranges(np.zeros(len(spans), np.int64), spans) * SPAN
+    end = np.minimum(begin + SPAN, bounds[1:][owner])
+    lengths = model.lengths[data]
+    decided = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
     steps = decided[end] - decided[begin]
     order = np.argsort(-steps, kind="stable")
-    table, level, row = stretched(keys, known, model)
-    total, at = np.zeros(len(texts)), 0
+    rows = table_rows(data)
+    # Paths lie in rows; nodes are for sums with places in tables.
+    width, nodes, bits = model.nodes.shape[1], model.nodes.reshape(-1).astype(np.int64), model.bits.reshape(-1)
+    total, at = np.zeros(len(spans)), 0
     while at < len(order):
-        longest = -(-int(steps[order[at]]) // TOGETHER) * TOGETHER
-        group = order[at : at + max(1, CELLS // longest)]
+        group = order[at : at + LANES]
         at += len(group)
-        n, sizes = len(group), steps[group]
-        # All bytes of the group, span after span, and all their decisions.
-        here = _ranges(begin[group], end[group] - begin[group])
-        byte = data[here]
-        lengths = model.lengths[byte]
-        node, bit = model.paths(byte, lengths)
-        x, bits = np.zeros((INPUTS, n, longest), np.int8), np.zeros((n, longest), np.int8)
-        levels = np.zeros((n, longest), np.int8)
-        bounds = np.concatenate([[0], np.cumsum(sizes)])
-
-        def placed(into: np.ndarray, values: np.ndarray) -> None:
-            for k in range(n):
-                into[k, : sizes[k]] = values[bounds[k] : bounds[k + 1]]  # noqa: B023
-
-        for c in range(INPUTS):
-            rows_of, values = (rows[c][here], model.stretch) if c < len(SLOTS) else (row[here], table)
-            placed(x[c], values.take(np.repeat(rows_of * np.int32(256), lengths) + node))
-        placed(bits, bit)
-        placed(levels, np.repeat(level[row[here]], lengths))
-        active = np.searchsorted(-sizes, -np.arange(longest), side="left")
-        chosen = np.log(_mix(x, bits, levels, active))
-        for k, g in enumerate(group):
-            total[owner[g]] += chosen[k, : sizes[k]].sum(dtype=float)
-    return total / np.log(10)
+        sizes = steps[group]
+        places = -(-sizes // AT_ONCE) * AT_ONCE
+        until = np.concatenate([[0], np.cumsum(places)])
+        cells, levels = np.empty((INPUTS + 1, until[-1]), np.int8), np.empty(until[-1] // TOGETHER, np.int8)
+        for a in range(0, len(group), SPELLED_SPANS):
+            some, into = group[a : a + SPELLED_SPANS], slice(until[a], until[min(a + SPELLED_SPANS, len(group))])
+            bytes_of = end[some] - begin[some]
+            here = _ranges(begin[some], bytes_of)
+            many = lengths[here]
+            # The last byte of a span also takes the places that do not count.
+            many[np.cumsum(bytes_of) - 1] += (places - sizes)[a : a + SPELLED_SPANS]
+            first = np.cumsum(many, dtype=np.int64) - many
+            # The byte of each decision of these spans, and the decision's number among all of them.
+            byte = np.repeat(np.arange(len(here)), many)
+            number = np.arange(len(byte))
+            path = (data[here] * np.int64(width) - first).take(byte, mode="clip")
+            path += number
+            node = nodes.take(path, mode="clip")
+            for c in range(len(SLOTS)):
+                cell = (rows[c][here] * np.int64(256)).take(byte, mode="clip")
+                cell += node
+                model.stretch.take(cell, out=cells[c, into], mode="clip")
+            number += (predictions[here] - first).take(byte, mode="clip")
+            table.take(number, out=cells[INPUTS - 1, into], mode="clip")
+            bits.take(path, out=cells[INPUTS, into], mode="clip")
+            levels[into.start // TOGETHER : into.stop // TOGETHER] = level[here][byte[::TOGETHER]]
+        np.add.at(total, owner[group], _mix(cells, levels, sizes))
+    return total
 
 
 # --- on Spark -------------------------------------------------------------------------------
@@ -343,12 +510,12 @@ def _texts(data: bytes) -> list[bytes]:
     return _unpacked(data).split(bytes([END]))[:-1]
 
 
-def _in_parts(texts: list[bytes]) -> Iterator[slice]:
+def _in_parts(texts: list[bytes], most: int = HELD_BYTES) -> Iterator[slice]:
     """Runs of texts that are looked at together."""
     first, size = 0, 0
     for i, text in enumerate(texts):
         size += len(text) + 1
-        if size >= HELD_BYTES or i + 1 == len(texts):
+        if size >= most or i + 1 == len(texts):
             yield slice(first, i + 1)
             first, size = i + 1, 0
 
@@ -363,10 +530,9 @@ def count_tables(blocks: DataFrame) -> np.ndarray:
             for data, held in zip(batch.column("data"), batch.column("held").to_pylist()):
                 texts = [text for text, out in zip(_texts(data.as_py()), held) if not out]
                 for part in _in_parts(texts):
-                    own = np.frombuffer(b"".join(text + bytes([END]) for text in texts[part]), np.uint8)
-                    for rows, slots, begin in zip(contexts(own)[0], SLOTS, BEGIN):
-                        found = np.bincount((rows - np.int32(begin)) * np.int32(256) + own, minlength=slots * 256)
-                        total[begin * 256 : (begin + slots) * 256] += found
+                    own = np.frombuffer(bytes([END]).join([*texts[part], b""]), np.uint8)
+                    for rows in table_rows(own):
+                        np.add.at(total, rows * np.intp(256) + own, 1)
         seen = np.flatnonzero(total)
         yield pa.record_batch([pa.array(seen, pa.int64()), pa.array(total[seen])], names=["cell", "n"])
 
@@ -382,36 +548,23 @@ def count_tables(blocks: DataFrame) -> np.ndarray:
     return counts.reshape(-1, 256)
 
 
-def _entries(pair: np.ndarray, weights: np.ndarray | None, owners: int) -> tuple[np.ndarray, np.ndarray]:
-    """Entries of each owner and all of them, from ``owner * 256 + byte``, repeated or weighted."""
-    found, number = numbered(pair.astype(np.uint64))
-    n = np.bincount(number, weights=weights, minlength=len(found))
-    order = np.argsort(pair[found])
-    distinct = pair[found][order]
+def _entries(pair: np.ndarray, weights: np.ndarray, owners: int) -> tuple[np.ndarray, np.ndarray]:
+    """Entries of each owner and all of them, from weighted ``owner * 256 + byte``."""
+    found, number = ranked(pair)
+    distinct = pair[found]
     follow = np.empty(len(found), _NEXT)
-    follow["byte"], follow["n"] = distinct & 255, np.rint(n[order])
+    follow["byte"], follow["n"] = distinct & 255, np.rint(np.bincount(number, weights=weights, minlength=len(found)))
     return np.bincount(distinct >> 8, minlength=owners), follow
 
 
-def own_contexts(texts: list[bytes], held: list[bool]) -> Known:
+def own_contexts(texts: list[bytes], held: list[bool], words: Spelled | None = None) -> Known:
     """The contexts of a block's texts, with the bytes that followed them in its training texts."""
-    keys, pairs, counts, n = [], [], [], 0
-    for part in _in_parts(texts):
-        data = np.frombuffer(b"".join(text + bytes([END]) for text in texts[part]), np.uint8)
-        trained = np.repeat([not out for out in held[part]], [len(text) + 1 for text in texts[part]])
-        own = contexts(data)[1]
-        found, number = numbered(own)
-        sizes, follow = _entries((number.astype(np.int64) * 256 + data)[trained], None, len(found))
-        keys.append(own[found])
-        pairs.append((np.repeat(np.arange(len(found)) + n, sizes) << 8) | follow["byte"])
-        counts.append(follow["n"])
-        n += len(found)
-    every = np.concatenate([np.zeros(0, np.uint64), *keys])
-    distinct, number = np.unique(every, return_inverse=True)
-    pair = np.concatenate([np.zeros(0, np.int64), *pairs])
-    pair = (number[pair >> 8] << 8) | (pair & 255)
-    sizes, follow = _entries(pair, np.concatenate([np.zeros(0), *counts]), len(distinct))
-    return Known(distinct, np.concatenate([[0], np.cumsum(sizes)]), follow)
+    words = spelled(texts) if words is None else words
+    n = np.repeat(words.counts(held), words.sizes)
+    trained = np.flatnonzero(n)
+    pair = words.context[trained].astype(np.int64) * 256 + words.distinct[trained]
+    sizes, follow = _entries(pair, n[trained].astype(float), len(words.keys))
+    return Known(words.keys, np.concatenate([[0], np.cumsum(sizes)]), follow)
 
 
 # What blocks ask and are answered travels in rows of one part of all hashes each: what is asked is
@@ -458,10 +611,12 @@ def answered_contexts(asked: pa.Table) -> pa.Table:
     steps, rows = _column(asked, "keys", "<u8")
     keys = np.concatenate([np.zeros(0, np.uint64), *(np.cumsum(s, dtype=np.uint64) for s in np.split(steps, np.cumsum(rows)[:-1]))])
     sizes, follow, n = (_column(asked, name, kind)[0] for name, kind in (("sizes", "<u2"), ("follow", "u1"), ("counts", "<i8")))
-    distinct, number = np.unique(keys, return_inverse=True)
-    pair = np.repeat(number, sizes) * 256 + follow
-    all_sizes, entries = _entries(pair, n.astype(float), len(distinct))
-    begin, shared = np.cumsum(all_sizes) - all_sizes, np.bincount(number, minlength=len(distinct)) > 1
+    number = ranked(keys)[1]
+    shared = np.bincount(number) > 1
+    summed = np.repeat(shared[number], sizes)
+    pair = np.repeat(number.astype(np.int64) << 8, sizes)[summed] | follow[summed]
+    all_sizes, entries = _entries(pair, n[summed].astype(float), len(shared))
+    begin = np.cumsum(all_sizes) - all_sizes
     out, ends = [], np.cumsum(rows)
     for block, part, size, end in zip(asked["block"].to_pylist(), asked["part"].to_pylist(), rows, ends):
         own = number[end - size : end]
@@ -495,21 +650,29 @@ def overlaid(own: Known, answers: pa.Table) -> Known:
     return Known(own.keys, bounds, entries)
 
 
-def own_words(texts: list[bytes], held: list[bool]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """The words of a block in the order of their hashes, those, and the counts in its training texts."""
-    counts: Counter = Counter()
-    others: set[bytes] = set()
-    for text, out in zip(texts, held):
-        (others if out else counts).update(words_of(text))
-    words = [*counts, *others.difference(counts)]
-    hashes = np.array([xxhash.xxh3_64_intdigest(word) for word in words], np.uint64)
-    n = np.array([counts[word] for word in words], np.int64)
-    order = np.lexsort((np.array(words, object), hashes)) if len(set(hashes.tolist())) < len(words) else np.argsort(hashes)
-    return [words[i] for i in order], hashes[order], n[order]
+def own_words(words: Spelled, held: list[bool]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """The words of a block in the order of their hashes, those, the counts in its training texts, and
+    the number among them of each distinct stretch's word."""
+    # The end mark is the empty word; white space that follows other white space ends no word.
+    text = words.distinct.copy()
+    text[words.begin + words.sizes - 1] = 32
+    spelling = text.tobytes().lower().split(b" ")[:-1]
+    number = {word: i for i, word in enumerate(dict.fromkeys([*spelling, b""]))}
+    which = np.fromiter(map(number.__getitem__, spelling), np.int64, len(spelling))
+    n = np.bincount(which, weights=words.counts(held), minlength=len(number)).astype(np.int64)
+    n[number[b""]] = len(held) - sum(held)
+    found = list(number)
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
+    order = np.argsort(hashes)
+    if (np.diff(hashes[order]) == 0).any():
+        order = np.lexsort((np.array(found, object), hashes))
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return [found[i] for i in order.tolist()], hashes[order], n[order], rank[which]
 
 
 def asked_words(block: int, texts: list[bytes], held: list[bool], parts: int) -> Iterator[tuple]:
-    words, hashes, n = own_words(texts, held)
+    words, hashes, n, _ = own_words(spelled(texts), held)
     cuts = _cuts(hashes, parts)
     for part in np.flatnonzero(np.diff(cuts)):
         a, b = cuts[part], cuts[part + 1]
@@ -520,17 +683,14 @@ def asked_words(block: int, texts: list[bytes], held: list[bool], parts: int) ->
 def answered_words(asked: pa.Table) -> pa.Table:
     """What each word was seen in all blocks, and the sums over this part's words."""
     rows = [_unpacked(value).split(b" ")[1:] for value in asked["keys"].to_pylist()]
-    counts = [np.frombuffer(_unpacked(value), "<i8").tolist() for value in asked["counts"].to_pylist()]
-    total: dict[bytes, int] = {}
-    for words, own in zip(rows, counts):
-        for word, n in zip(words, own):
-            total[word] = total.get(word, 0) + n
+    number = {word: i for i, word in enumerate(dict.fromkeys(chain.from_iterable(rows)))}
+    own = [np.fromiter(map(number.__getitem__, words), np.int64, len(words)) for words in rows]
+    total = np.zeros(len(number), np.int64)
+    for which, counts in zip(own, asked["counts"].to_pylist()):
+        total[which] += np.frombuffer(_unpacked(counts), "<i8")  # a block's words are distinct
     part = asked["part"][0].as_py()
-    out = [
-        (block, WORDS, part, None, None, _packed(np.array([total[word] for word in words], "<i8").tobytes()))
-        for block, words in zip(asked["block"].to_pylist(), rows)
-    ]
-    sums = np.array([sum(total.values()), sum(n > 0 for n in total.values())], "<i8")
+    out = [(block, WORDS, part, None, None, _packed(total[which].astype("<i8").tobytes())) for block, which in zip(asked["block"].to_pylist(), own)]
+    sums = np.array([total.sum(), (total > 0).sum()], "<i8")
     return _answers([*out, (None, TOTALS, part, None, None, _packed(sums.tobytes()))])
 
 
@@ -599,21 +759,29 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     def judge(left: pa.Table, right: pa.Table) -> pa.Table:
         of_words = right.filter(pc.equal(right["kind"], WORDS))
         of_words = of_words.take(pa.array(np.argsort(of_words["part"].to_numpy())))
-        seen = _column(of_words, "counts", "<i8")[0].tolist()
-        rows = []
+        seen = _column(of_words, "counts", "<i8")[0]
+        of_contexts = right.filter(pc.equal(right["kind"], CONTEXTS))
+        tables = []
         for ids, held, data in zip(*(left[name].to_pylist() for name in ("ids", "held", "data"))):
             found = _texts(data)
-            own, _, _ = own_words(found, held)
-            count = dict(zip(own, seen, strict=True))
-            known = overlaid(own_contexts(found, held), right.filter(pc.equal(right["kind"], CONTEXTS)))
-            for some in _in_parts(found):
-                for doc, out, text, score in zip(ids[some], held[some], found[some], score_texts(found[some], shared.value, known)):
-                    c = np.array([count[word] for word in words_of(text)], float)
-                    base = float(np.log10(c + 1).sum() - len(c) * np.log10(n_train + distinct + 1))
-                    bits = -float(score) * np.log2(10) / (len(text) + 1)
-                    rows.append((doc, out, len(c), int((c > 0).sum()), n_train, base, float(score), len(text) + 1, bits))
-        columns = zip(*rows) if rows else [[]] * len(_ARROW_SCORED)
-        return pa.table([pa.array(col, f.type) for col, f in zip(columns, _ARROW_SCORED)], schema=_ARROW_SCORED)
+            words = spelled(found)
+            own, _, _, which = own_words(words, held)
+            if len(own) != len(seen):
+                raise ValueError("words are missing: the stored blocks have changed meanwhile")
+            # Of each distinct stretch; that of the end mark alone is counted once for each text.
+            word = words.sizes > 1
+            count, end = np.where(word, seen[which], 0), int(seen[own.index(b"")])
+            owner = np.repeat(np.arange(len(found)), np.diff(words.upto))
+            n_tokens, n_known, base = (
+                np.bincount(owner, weights=each[words.which], minlength=len(found)) for each in (word, count > 0, np.log10(count + 1.0))
+            )
+            n_tokens, n_known = (n_tokens + 1).astype(np.int64), (n_known + (end > 0)).astype(np.int64)
+            base += np.log10(end + 1) - n_tokens * np.log10(n_train + distinct + 1)
+            score = score_texts(found, shared.value, overlaid(own_contexts(found, held, words), of_contexts), words)
+            n_bytes = np.diff(words.bounds)
+            columns = (ids, held, n_tokens, n_known, np.full(len(found), n_train), base, score, n_bytes, -score * np.log2(10) / n_bytes)
+            tables.append(pa.table([pa.array(column, f.type) for column, f in zip(columns, _ARROW_SCORED)], schema=_ARROW_SCORED))
+        return pa.concat_tables(tables) if tables else _ARROW_SCORED.empty_table()
 
     answers = read.mapInArrow(contexts_asked, _ASKED).groupBy("part").applyInArrow(answered_contexts, _ANSWER)
     sent = answers.unionByName(words.where(F.col("kind") == WORDS))
