@@ -34,13 +34,21 @@ def test_keys_are_told_apart_in_their_last_bits_too():
         assert np.array_equal(keys[found], distinct) and np.array_equal(number, inverse)
 
 
-def test_words_of_a_block_are_counted_by_stretch():
+@pytest.mark.parametrize("alike", [False, True])
+def test_words_of_a_block_are_counted_by_stretch(monkeypatch, alike):
+    """Words are told apart though their hashes are equal, and asked for by their hashes."""
     texts, held = [b"The  the\tTHE\nof", b"", b"of\x0bThe ", b" unseen of"], [False, False, False, True]
     words = lm.spelled(texts)
-    own, _, n, which = lm.own_words(words, held)
-    assert dict(zip(own, n.tolist())) == {b"the": 4, b"of": 2, b"": 3, b"unseen": 0}
-    spelling = [words.distinct[a : a + size - 1].tobytes().lower() for a, size in zip(words.begin, words.sizes)]
-    assert [own[i] for i in which] == spelling
+    monkeypatch.setattr(lm, "spelled", lambda texts: words)
+    if alike:
+        monkeypatch.setattr(lm, "hashed", lambda data, begin, end, plain=lm.hashed: plain(data, begin, end) % np.uint64(2) << np.uint64(62))
+    own, asked = lm.own_words(words, held), list(lm.asked_words(5, texts, held, 4))
+    spelling = own.text.tobytes().split(b" ")[1:]
+    assert dict(zip(spelling, own.n.tolist())) == {b"the": 4, b"of": 2, b"": 3, b"unseen": 0} and len(spelling) == 4
+    assert (own.hashes[1:] >= own.hashes[:-1]).all() and np.array_equal(np.diff(own.bounds), [len(word) + 1 for word in spelling])
+    stretches = [words.distinct[a : a + size - 1].tobytes().lower() for a, size in zip(words.begin, words.sizes)]
+    assert [spelling[i] for i in own.which] == [*stretches, b""]
+    assert b"".join(lm._unpacked(row[2]) for row in asked) == own.text.tobytes()
 
 
 def test_spans_of_all_sizes_are_mixed_side_by_side(monkeypatch):

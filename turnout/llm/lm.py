@@ -20,13 +20,12 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,8 +43,8 @@ END = 0xFF
 #: spans mixed side by side, and bytes of text looked at, scored or hashed together.
 SPAN, TOGETHER, BLOCK_BYTES, LANES = 2048, 8, 1 << 23, 1 << 12
 HELD_BYTES, SCORED_BYTES, HASHED_BYTES = 1 << 20, 3 << 20, 1 << 19
-#: Decisions that are unpacked together, spans that are spelled together, contexts whose counts are held at once.
-AT_ONCE, SPELLED_SPANS, CONTEXTS_HELD = 32, 4, 1 << 11
+#: Decisions that are unpacked together, bytes that are spelled together, contexts whose counts are held at once.
+AT_ONCE, SPELLED_BYTES, CONTEXTS_HELD = 32, 1 << 13, 1 << 11
 #: What the mixer starts from: weights of the predictors by how often the word so far was seen, in
 #: steps of ``LEVELS``. Fitted once by logistic regression on 70 documents of a small table.
 LEVELS = (1, 2, 4, 8, 16, 64, 256)
@@ -113,6 +112,16 @@ def _pieces(begin: np.ndarray) -> Iterator[tuple[int, int]]:
         at = until
 
 
+def hashed(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the bytes of each of some ascending stretches."""
+    out = np.empty(len(begin), np.uint64)
+    for a, b in _pieces(begin):
+        summed, inverse = _summed(data[begin[a] : end[b - 1]])
+        first = begin[a:b] - begin[a]
+        out[a:b] = (summed[end[a:b] - begin[a]] - summed[first]) * inverse[first]
+    return out
+
+
 def word_keys(data: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Hash of the bytes before each byte of its stretch; the stretches follow one another."""
     out = np.empty(len(data), np.uint64)
@@ -173,9 +182,28 @@ class Spelled:
     distinct: np.ndarray
     begin: np.ndarray
     sizes: np.ndarray
-    #: The distinct words so far, ascending, and the number of that before each byte of ``distinct``.
-    keys: np.ndarray
-    context: np.ndarray
+
+    @cached_property
+    def _contexts(self) -> tuple[np.ndarray, np.ndarray]:
+        keys = word_keys(self.distinct, self.begin, self.sizes)
+        found, number = ranked(keys)
+        return keys[found], number
+
+    @property
+    def keys(self) -> np.ndarray:
+        """The distinct words so far, ascending."""
+        return self._contexts[0]
+
+    @property
+    def context(self) -> np.ndarray:
+        """Number among ``keys`` of the word so far before each byte of ``distinct``."""
+        return self._contexts[1]
+
+    @cached_property
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Where each distinct context with the byte after it stands, in the order of both, and the
+        number among those of each byte of ``distinct``."""
+        return ranked(self.context.astype(np.int64) << 8 | self.distinct)
 
     def counts(self, held: list[bool]) -> np.ndarray:
         """How often there is each distinct stretch in texts that are not held out."""
@@ -187,19 +215,10 @@ def spelled(texts: list[bytes]) -> Spelled:
     data = np.frombuffer(bytes([END]).join([*texts, b""]), np.uint8)
     closes = np.flatnonzero(_CLOSES[data])
     begin = np.concatenate([[0], closes[:-1] + 1])
-    hashes = np.empty(len(closes), np.uint64)
-    for a, b in _pieces(begin):
-        summed, inverse = _summed(data[begin[a] : closes[b - 1] + 1])
-        first = begin[a:b] - begin[a]
-        hashes[a:b] = (summed[closes[a:b] + 1 - begin[a]] - summed[first]) * inverse[first]
     bounds = np.concatenate([[0], np.cumsum([len(text) + 1 for text in texts], dtype=np.int64)])
-    found, which = ranked(hashes)
+    found, which = ranked(hashed(data, begin, closes + 1))
     sizes = closes[found] + 1 - begin[found]
-    distinct = data[_ranges(begin[found], sizes)]
-    first = np.cumsum(sizes) - sizes
-    keys = word_keys(distinct, first, sizes)
-    of, context = ranked(keys)
-    return Spelled(data, bounds, np.searchsorted(closes, bounds), which, distinct, first, sizes, keys[of], context)
+    return Spelled(data, bounds, np.searchsorted(closes, bounds), which, data[_ranges(begin[found], sizes)], np.cumsum(sizes) - sizes, sizes)
 
 
 # --- predictors -----------------------------------------------------------------------------
@@ -281,8 +300,7 @@ def predicted(words: Spelled, known: Known | None, model: Model) -> tuple[np.nda
     """Stretched predictions along the path of each distinct byte after each distinct context, where
     those of each byte of the distinct stretches begin, and how often its context was seen as one of
     the levels."""
-    pair = words.context.astype(np.int64) * 256 + words.distinct
-    found, number = ranked(pair)
+    found, number = words.pairs
     of, byte = words.context[found], words.distinct[found]
     ends = np.cumsum(model.lengths[byte], dtype=np.int64)
     begin, level = (ends - model.lengths[byte])[number], np.zeros(len(words.keys), np.int8)
@@ -293,25 +311,28 @@ def predicted(words: Spelled, known: Known | None, model: Model) -> tuple[np.nda
     if not (at < len(known.keys)).all() or (known.keys[at] != words.keys).any():
         raise ValueError("a context is missing: the input changed meanwhile")
     sizes = known.bounds[at + 1] - known.bounds[at]
+    all_own = len(at) == len(known.keys)
     summed = np.concatenate([[0], np.cumsum(known.follow["n"])])
     level[:] = np.searchsorted(LEVELS, summed[known.bounds[at + 1]] - summed[known.bounds[at]], side="right")
     # Counts of some contexts at each node of the tree: all, and those that went on to the right.
     every, right = np.zeros(CONTEXTS_HELD * 256), np.zeros(CONTEXTS_HELD * 256)
-    for a in range(0, len(at), CONTEXTS_HELD):
+    cuts = np.searchsorted(of, np.arange(0, len(at) + CONTEXTS_HELD, CONTEXTS_HELD, dtype=of.dtype)).tolist()
+    for a, cut, until in zip(range(0, len(at), CONTEXTS_HELD), cuts, cuts[1:]):
         here = slice(a, a + CONTEXTS_HELD)
-        follow = known.follow[_ranges(known.bounds[at[here]], sizes[here])]
+        # A block that asks for all that it knows has them side by side.
+        side = slice(known.bounds[a], known.bounds[min(a + CONTEXTS_HELD, len(at))])
+        follow = known.follow[side if all_own else _ranges(known.bounds[at[here]], sizes[here])]
         lengths, node, bit = model.paths(follow["byte"])
         cell = np.repeat(np.repeat(np.arange(len(sizes[here])) * 256, sizes[here]), lengths) + node
         n = np.repeat(follow["n"].astype(float), lengths)
         np.add.at(every, cell, n)
         np.add.at(right, cell, n * bit)
-        some = slice(*np.searchsorted(of, [a, a + CONTEXTS_HELD]))
+        some = slice(cut, until)
         lengths, node, _ = model.paths(byte[some])
         asked = np.repeat((of[some] - a) * np.int64(256), lengths) + node
         n1 = right[asked]
         odds = np.log((n1 + PRIOR) / (every[asked] - n1 + PRIOR))
-        last = ends[some.stop - 1]
-        table[last - len(asked) : last] = np.rint(np.clip(odds * STEP, -127, 127))
+        table[ends[until - 1] - len(asked) : ends[until - 1]] = np.rint(np.clip(odds * STEP, -127, 127))
         every[cell] = right[cell] = 0
     return table, begin, level[words.context]
 
@@ -319,17 +340,15 @@ def predicted(words: Spelled, known: Known | None, model: Model) -> tuple[np.nda
 # --- mixing ---------------------------------------------------------------------------------
 
 
-def _mix(cells: np.ndarray, levels: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def _mix(cells: np.ndarray, levels: np.ndarray, sizes: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Sum of the logarithms of the probabilities of each span's decisions.
 
-    ``cells`` have a row for each input and one for the bits; ``levels`` are of every update. A span's
-    decisions stand side by side, as many as ``sizes`` says and some more up to a multiple of
-    ``AT_ONCE`` that do not count. Spans are in descending order of size.
+    ``cells`` (tile, input, step) hold ``AT_ONCE`` decisions each and their bits as the last input,
+    ``levels`` (tile, update) go with them. A span's tiles stand side by side, from ``first`` on; what
+    is beyond its ``sizes`` decisions in the last does not count. Spans are in descending order of size.
     """
     spans, several = len(sizes), AT_ONCE // TOGETHER
-    tiles = -(-sizes // AT_ONCE)
-    first, shorter = np.cumsum(tiles) - tiles, -sizes
-    cells, levels = cells.reshape(INPUTS + 1, -1, AT_ONCE), levels.reshape(-1, several)
+    tiles, shorter = -(-sizes // AT_ONCE), -sizes
     # The weights of an input: one for each level and span. They are for inputs in whole steps, and
     # negated, which changes no digit of them.
     start = np.asarray(START_WEIGHTS, np.float32).T * np.float32(-1 / STEP)
@@ -341,8 +360,8 @@ def _mix(cells: np.ndarray, levels: np.ndarray, sizes: np.ndarray) -> np.ndarray
     middle, double = np.array(REFINE_BINS / 2, np.float32), np.array(-2, np.float32)
     total, n = np.zeros(spans), -1
     floats = np.empty((4 + several * (INPUTS + 2) + INPUTS) * TOGETHER * spans, np.float32)
-    places, wholes = np.empty(TOGETHER * spans, np.intp), np.empty(3 * TOGETHER * spans, np.int32)
-    tile, sums = np.empty(AT_ONCE * spans, np.int8), np.empty(AT_ONCE * spans)
+    places, wholes = np.empty(TOGETHER * spans, np.intp), np.empty(TOGETHER * spans, np.int32)
+    tile, sums = np.empty((INPUTS + 1) * AT_ONCE * spans, np.int8), np.empty(AT_ONCE * spans)
     for t in range(0, int(sizes[0]), AT_ONCE):
         # Spans that have ended are dropped some at a time; what is mixed for them does not count.
         active = min(spans, -(-int(np.searchsorted(shorter, -t)) // 32) * 32)
@@ -352,16 +371,15 @@ def _mix(cells: np.ndarray, levels: np.ndarray, sizes: np.ndarray) -> np.ndarray
             (z, p, q, left), product = stacked[:4], stacked[4 : 4 + INPUTS]
             held = stacked[4 + INPUTS :].reshape(several, INPUTS + 2, TOGETHER, n)
             halves, quarters = np.empty((INPUTS, TOGETHER // 2, n), np.float32), np.empty((INPUTS, 2, n), np.float32)
-            at, (bins, lowest, highest) = places[: TOGETHER * n].reshape(TOGETHER, n), wholes[: 3 * TOGETHER * n].reshape(3, TOGETHER, n)
-            lowest[:], highest[:] = 0, REFINE_BINS - 1
+            at, bins = places[: TOGETHER * n].reshape(TOGETHER, n), wholes[: TOGETHER * n].reshape(TOGETHER, n)
+            lowest, highest = np.zeros(n, np.int32), np.full(n, REFINE_BINS - 1, np.int32)
             own, slope, span = np.empty((INPUTS, n), np.float32), np.empty((INPUTS, n), np.float32), np.arange(n, dtype=np.int32)
-            some, summed = tile[: AT_ONCE * n].reshape(n, AT_ONCE), sums[: AT_ONCE * n].reshape(AT_ONCE, n)
-            spread = some.T.reshape(several, TOGETHER, n, copy=False)
+            some, summed = tile[: (INPUTS + 1) * AT_ONCE * n].reshape(n, INPUTS + 1, AT_ONCE), sums[: AT_ONCE * n].reshape(AT_ONCE, n)
+            spread = some.reshape(n, INPUTS + 1, several, TOGETHER).transpose(2, 1, 3, 0)
         # Spans that are over stay in their last tile.
         place = first[:n] + np.minimum(tiles[:n] - 1, t // AT_ONCE)
-        for c in range(INPUTS + 1):
-            cells[c].take(place, axis=0, out=some, mode="clip")
-            held[:, c] = spread
+        cells.take(place, axis=0, out=some, mode="clip")
+        held[:, : INPUTS + 1] = spread
         np.subtract(one, held[:, INPUTS], out=held[:, INPUTS + 1])
         gates = levels.take(place, axis=0, mode="clip").T.astype(np.intp)
         gates *= spans
@@ -434,43 +452,41 @@ def _score_part(data: np.ndarray, bounds: np.ndarray, model: Model, table: np.nd
     begin = bounds[:-1][owner] + _ranges(np.zeros(len(spans), np.int64), spans) * SPAN
     end = np.minimum(begin + SPAN, bounds[1:][owner])
     lengths = model.lengths[data]
-    decided = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
-    steps = decided[end] - decided[begin]
-    order = np.argsort(-steps, kind="stable")
-    rows = table_rows(data)
-    # Paths lie in rows; nodes are for sums with places in tables.
-    width, nodes, bits = model.nodes.shape[1], model.nodes.reshape(-1).astype(np.int64), model.bits.reshape(-1)
-    total, at = np.zeros(len(spans)), 0
-    while at < len(order):
+    steps = np.add.reduceat(lengths, begin, dtype=np.int64)
+    tiles = -(-steps // AT_ONCE)
+    first = np.cumsum(tiles) - tiles
+    # The last byte of a span also takes the places that do not count.
+    lengths[end - 1] += (tiles * AT_ONCE - steps).astype(np.int32)
+    # Two places of each byte in one number: in the tables of last bytes, and in the table of paths
+    # and among ``table``. Those of the latter two move on with every decision.
+    rows = table_rows(data).astype(np.int64)
+    near = rows[0] << 8 | rows[1] << 40
+    far, both = data * np.int64(model.nodes.shape[1]) << 40 | predictions, (1 << 40) + 1
+    low, nodes, bits = (1 << 32) - 1, model.nodes.reshape(-1).astype(np.int64), model.bits.reshape(-1)
+    cells, levels = np.empty((int(tiles.sum()), INPUTS + 1, AT_ONCE), np.int8), np.empty((int(tiles.sum()), AT_ONCE // TOGETHER), np.int8)
+    edges = np.unique(np.searchsorted(begin, np.arange(0, len(data) + SPELLED_BYTES, SPELLED_BYTES)))
+    for a, b in zip(edges, edges[1:]):
+        here, into = slice(begin[a], end[b - 1]), slice(first[a], first[b - 1] + tiles[b - 1])
+        many = lengths[here]
+        byte = np.repeat(np.arange(len(many)), many)
+        table_place = (far[here] - (np.cumsum(many, dtype=np.int64) - many) * both).take(byte, mode="clip")
+        table_place += np.arange(len(byte)) * both
+        path = table_place >> 40
+        table_place &= (1 << 40) - 1
+        node = nodes.take(path, mode="clip")
+        place = near[here].take(byte, mode="clip")
+        other = place >> 32
+        other += node
+        place &= low
+        place += node
+        into_cells = cells[into]
+        for c, (values, at) in enumerate(((model.stretch, place), (model.stretch, other), (table, table_place), (bits, path))):
+            into_cells[:, c] = values.take(at, mode="clip").reshape(-1, AT_ONCE)
+        levels[into] = level[here].take(byte[::TOGETHER]).reshape(-1, AT_ONCE // TOGETHER)
+    order, total = np.argsort(-steps, kind="stable"), np.zeros(len(spans))
+    for at in range(0, len(order), LANES):
         group = order[at : at + LANES]
-        at += len(group)
-        sizes = steps[group]
-        places = -(-sizes // AT_ONCE) * AT_ONCE
-        until = np.concatenate([[0], np.cumsum(places)])
-        cells, levels = np.empty((INPUTS + 1, until[-1]), np.int8), np.empty(until[-1] // TOGETHER, np.int8)
-        for a in range(0, len(group), SPELLED_SPANS):
-            some, into = group[a : a + SPELLED_SPANS], slice(until[a], until[min(a + SPELLED_SPANS, len(group))])
-            bytes_of = end[some] - begin[some]
-            here = _ranges(begin[some], bytes_of)
-            many = lengths[here]
-            # The last byte of a span also takes the places that do not count.
-            many[np.cumsum(bytes_of) - 1] += (places - sizes)[a : a + SPELLED_SPANS]
-            first = np.cumsum(many, dtype=np.int64) - many
-            # The byte of each decision of these spans, and the decision's number among all of them.
-            byte = np.repeat(np.arange(len(here)), many)
-            number = np.arange(len(byte))
-            path = (data[here] * np.int64(width) - first).take(byte, mode="clip")
-            path += number
-            node = nodes.take(path, mode="clip")
-            for c in range(len(SLOTS)):
-                cell = (rows[c][here] * np.int64(256)).take(byte, mode="clip")
-                cell += node
-                model.stretch.take(cell, out=cells[c, into], mode="clip")
-            number += (predictions[here] - first).take(byte, mode="clip")
-            table.take(number, out=cells[INPUTS - 1, into], mode="clip")
-            bits.take(path, out=cells[INPUTS, into], mode="clip")
-            levels[into.start // TOGETHER : into.stop // TOGETHER] = level[here][byte[::TOGETHER]]
-        np.add.at(total, owner[group], _mix(cells, levels, sizes))
+        np.add.at(total, owner[group], _mix(cells, levels, steps[group], first[group]))
     return total
 
 
@@ -481,10 +497,11 @@ def to_blocks(batches) -> Iterator[tuple]:
     """Rows of a task as blocks of bounded text; a text that is longer makes a longer block."""
     block, ids, held, parts, size = TaskContext.get().partitionId() << 24, [], [], [], 0
     for batch in batches:
-        for doc, text, out in zip(*(batch.column(i).to_pylist() for i in range(3))):
+        columns = batch.column(0), batch.column(1).cast(pa.binary()), batch.column(2)
+        for doc, text, out in zip(*(column.to_pylist() for column in columns)):
             ids.append(doc)
             held.append(out)
-            parts.append(text.encode())
+            parts.append(text)
             size += len(parts[-1]) + 1
             if size >= BLOCK_BYTES:
                 yield block, ids, held, _packed(bytes([END]).join([*parts, b""]))
@@ -560,10 +577,12 @@ def _entries(pair: np.ndarray, weights: np.ndarray, owners: int) -> tuple[np.nda
 def own_contexts(texts: list[bytes], held: list[bool], words: Spelled | None = None) -> Known:
     """The contexts of a block's texts, with the bytes that followed them in its training texts."""
     words = spelled(texts) if words is None else words
-    n = np.repeat(words.counts(held), words.sizes)
+    found, number = words.pairs
+    n = np.bincount(number, weights=np.repeat(words.counts(held), words.sizes), minlength=len(found))
     trained = np.flatnonzero(n)
-    pair = words.context[trained].astype(np.int64) * 256 + words.distinct[trained]
-    sizes, follow = _entries(pair, n[trained].astype(float), len(words.keys))
+    follow = np.empty(len(trained), _NEXT)
+    follow["byte"], follow["n"] = words.distinct[found[trained]], np.rint(n[trained])
+    sizes = np.bincount(words.context[found[trained]], minlength=len(words.keys))
     return Known(words.keys, np.concatenate([[0], np.cumsum(sizes)]), follow)
 
 
@@ -650,34 +669,45 @@ def overlaid(own: Known, answers: pa.Table) -> Known:
     return Known(own.keys, bounds, entries)
 
 
-def own_words(words: Spelled, held: list[bool]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-    """The words of a block in the order of their hashes, those, the counts in its training texts, and
-    the number among them of each distinct stretch's word."""
-    # The end mark is the empty word; white space that follows other white space ends no word.
-    text = words.distinct.copy()
-    text[words.begin + words.sizes - 1] = 32
-    spelling = text.tobytes().lower().split(b" ")[:-1]
-    number = {word: i for i, word in enumerate(dict.fromkeys([*spelling, b""]))}
-    which = np.fromiter(map(number.__getitem__, spelling), np.int64, len(spelling))
-    n = np.bincount(which, weights=words.counts(held), minlength=len(number)).astype(np.int64)
-    n[number[b""]] = len(held) - sum(held)
-    found = list(number)
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
-    order = np.argsort(hashes)
-    if (np.diff(hashes[order]) == 0).any():
-        order = np.lexsort((np.array(found, object), hashes))
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    return [found[i] for i in order.tolist()], hashes[order], n[order], rank[which]
+@dataclass
+class Words:
+    """The words of a block in the order of their hashes, a space before each, where each begins and the
+    last ends in ``text``, and how often it is in the block's training texts."""
+
+    text: np.ndarray
+    bounds: np.ndarray
+    hashes: np.ndarray
+    n: np.ndarray
+    #: Number of each distinct stretch's word, and then of the end mark, which is the empty word.
+    which: np.ndarray
+
+
+def own_words(words: Spelled, held: list[bool]) -> Words:
+    # White space that follows other white space ends no word, so the empty word is the end mark's alone.
+    lowered = np.frombuffer(b" " + words.distinct.tobytes().lower(), np.uint8).copy()
+    lowered[words.begin + words.sizes] = 32
+    begin, sizes = np.append(words.begin, len(words.distinct)), np.append(words.sizes, 1)
+    hashes = hashed(lowered, begin + 1, begin + sizes)
+    found, which = ranked(hashes)
+    like = found[which]
+    if (sizes[like] != sizes).any() or (lowered[_ranges(begin[like], sizes)] != lowered).any():
+        # Equal hashes of words that differ: in the order of the words themselves.
+        spelling = lowered.tobytes().split(b" ")[1:]
+        number = {word: i for i, (_, word) in enumerate(sorted({*zip(hashes.tolist(), spelling)}))}
+        which = np.array([number[word] for word in spelling], np.int64)
+        found = np.unique(which, return_index=True)[1]
+    n = np.bincount(which[:-1], weights=words.counts(held), minlength=len(found)).astype(np.int64)
+    n[which[-1]] = len(held) - sum(held)
+    text, bounds = lowered[_ranges(begin[found], sizes[found])], np.concatenate([[0], np.cumsum(sizes[found])])
+    return Words(text, bounds, hashes[found], n, which)
 
 
 def asked_words(block: int, texts: list[bytes], held: list[bool], parts: int) -> Iterator[tuple]:
-    words, hashes, n, _ = own_words(spelled(texts), held)
-    cuts = _cuts(hashes, parts)
+    own = own_words(spelled(texts), held)
+    cuts = _cuts(own.hashes, parts)
     for part in np.flatnonzero(np.diff(cuts)):
         a, b = cuts[part], cuts[part + 1]
-        # The end mark is the empty word, so words are joined by spaces with one before each.
-        yield int(part), block, _packed(b"".join(b" " + word for word in words[a:b])), None, None, _packed(n[a:b].astype("<i8").tobytes())
+        yield int(part), block, _packed(own.text[own.bounds[a] : own.bounds[b]].tobytes()), None, None, _packed(own.n[a:b].astype("<i8").tobytes())
 
 
 def answered_words(asked: pa.Table) -> pa.Table:
@@ -765,12 +795,12 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
         for ids, held, data in zip(*(left[name].to_pylist() for name in ("ids", "held", "data"))):
             found = _texts(data)
             words = spelled(found)
-            own, _, _, which = own_words(words, held)
-            if len(own) != len(seen):
+            which = own_words(words, held).which
+            if len(seen) <= which.max():
                 raise ValueError("words are missing: the stored blocks have changed meanwhile")
             # Of each distinct stretch; that of the end mark alone is counted once for each text.
             word = words.sizes > 1
-            count, end = np.where(word, seen[which], 0), int(seen[own.index(b"")])
+            count, end = np.where(word, seen[which[:-1]], 0), int(seen[which[-1]])
             owner = np.repeat(np.arange(len(found)), np.diff(words.upto))
             n_tokens, n_known, base = (
                 np.bincount(owner, weights=each[words.which], minlength=len(found)) for each in (word, count > 0, np.log10(count + 1.0))
