@@ -43,8 +43,9 @@ END = 0xFF
 #: spans mixed side by side, and bytes of text looked at, scored or hashed together.
 SPAN, TOGETHER, BLOCK_BYTES, LANES = 2048, 8, 1 << 23, 1 << 12
 HELD_BYTES, SCORED_BYTES, HASHED_BYTES = 1 << 20, 3 << 20, 1 << 19
-#: Decisions that are unpacked together, bytes that are spelled together, contexts whose counts are held at once.
-AT_ONCE, SPELLED_BYTES, CONTEXTS_HELD = 32, 1 << 13, 1 << 11
+#: Decisions that are unpacked together, bytes that are spelled together, contexts whose counts and
+#: stretches whose places are held at once.
+AT_ONCE, SPELLED_BYTES, CONTEXTS_HELD, STRETCHES_HELD = 32, 1 << 13, 1 << 11, 1 << 14
 #: What the mixer starts from: weights of the predictors by how often the word so far was seen, in
 #: steps of ``LEVELS``. Fitted once by logistic regression on 70 documents of a small table.
 LEVELS = (1, 2, 4, 8, 16, 64, 256)
@@ -303,7 +304,9 @@ def predicted(words: Spelled, known: Known | None, model: Model) -> tuple[np.nda
     found, number = words.pairs
     of, byte = words.context[found], words.distinct[found]
     ends = np.cumsum(model.lengths[byte], dtype=np.int64)
-    begin, level = (ends - model.lengths[byte])[number], np.zeros(len(words.keys), np.int8)
+    # Half as wide where that is enough: these are looked up for every byte of the texts.
+    begin = (ends - model.lengths[byte]).astype(np.int32 if ends[-1] < 1 << 31 else np.int64)[number]
+    level = np.zeros(len(words.keys), np.int8)
     table = np.zeros(ends[-1], np.int8)
     if known is None:
         return table, begin, level[words.context]
@@ -433,17 +436,24 @@ def score_texts(texts: list[bytes], model: Model, known: Known | None = None, wo
     """Log10 probability of each text, end mark included; without ``known`` by the last bytes alone."""
     words = spelled(texts) if words is None else words
     table, begin, level = predicted(words, known, model)
-    total = np.zeros(len(texts))
+    # Arrays of NumPy's own lie in large pages, where look-ups far apart cost half; unpickled ones do not.
+    stretch, total = model.stretch.copy(), np.zeros(len(texts))
     for some in _in_parts(texts, SCORED_BYTES):
-        which = words.which[words.upto[some.start] : words.upto[some.stop]]
-        here = _ranges(words.begin[which], words.sizes[which])
         data = words.data[words.bounds[some.start] : words.bounds[some.stop]]
+        predictions, levels, at = np.empty(len(data), begin.dtype), np.empty(len(data), np.int8), 0
+        for a in range(words.upto[some.start], words.upto[some.stop], STRETCHES_HELD):
+            which = words.which[a : min(a + STRETCHES_HELD, words.upto[some.stop])]
+            here = _ranges(words.begin[which], words.sizes[which])
+            into = slice(at, at + len(here))
+            predictions[into], levels[into], at = begin[here], level[here], into.stop
         bounds = words.bounds[some.start : some.stop + 1] - words.bounds[some.start]
-        total[some] = _score_part(data, bounds, model, table, begin[here], level[here])
+        total[some] = _score_part(data, bounds, model, stretch, table, predictions, levels)
     return total / np.log(10)
 
 
-def _score_part(data: np.ndarray, bounds: np.ndarray, model: Model, table: np.ndarray, predictions: np.ndarray, level: np.ndarray) -> np.ndarray:
+def _score_part(
+    data: np.ndarray, bounds: np.ndarray, model: Model, stretch: np.ndarray, table: np.ndarray, predictions: np.ndarray, level: np.ndarray
+) -> np.ndarray:
     """Natural logarithms of the probabilities of texts; ``predictions`` says where in ``table`` those
     of the word so far begin for each byte."""
     # Where each span begins and ends, and whose it is.
@@ -451,36 +461,36 @@ def _score_part(data: np.ndarray, bounds: np.ndarray, model: Model, table: np.nd
     owner = np.repeat(np.arange(len(spans)), spans)
     begin = bounds[:-1][owner] + _ranges(np.zeros(len(spans), np.int64), spans) * SPAN
     end = np.minimum(begin + SPAN, bounds[1:][owner])
-    lengths = model.lengths[data]
+    lengths = model.lengths.astype(np.int16)[data]
     steps = np.add.reduceat(lengths, begin, dtype=np.int64)
     tiles = -(-steps // AT_ONCE)
     first = np.cumsum(tiles) - tiles
     # The last byte of a span also takes the places that do not count.
-    lengths[end - 1] += (tiles * AT_ONCE - steps).astype(np.int32)
-    # Two places of each byte in one number: in the tables of last bytes, and in the table of paths
-    # and among ``table``. Those of the latter two move on with every decision.
-    rows = table_rows(data).astype(np.int64)
-    near = rows[0] << 8 | rows[1] << 40
-    far, both = data * np.int64(model.nodes.shape[1]) << 40 | predictions, (1 << 40) + 1
-    low, nodes, bits = (1 << 32) - 1, model.nodes.reshape(-1).astype(np.int64), model.bits.reshape(-1)
+    lengths[end - 1] += (tiles * AT_ONCE - steps).astype(np.int16)
+    rows, width = table_rows(data), np.int64(model.nodes.shape[1])
+    both, low, nodes, bits = (1 << 40) + 1, (1 << 32) - 1, model.nodes.reshape(-1).astype(np.int64), model.bits.reshape(-1)
     cells, levels = np.empty((int(tiles.sum()), INPUTS + 1, AT_ONCE), np.int8), np.empty((int(tiles.sum()), AT_ONCE // TOGETHER), np.int8)
     edges = np.unique(np.searchsorted(begin, np.arange(0, len(data) + SPELLED_BYTES, SPELLED_BYTES)))
     for a, b in zip(edges, edges[1:]):
         here, into = slice(begin[a], end[b - 1]), slice(first[a], first[b - 1] + tiles[b - 1])
-        many = lengths[here]
+        # Two places of each byte in one number: in the tables of last bytes, and in the table of paths
+        # and among ``table``. Those of the latter two move on with every decision.
+        many = lengths[here].astype(np.int64)
+        near = rows[0, here].astype(np.int64) << 8 | rows[1, here].astype(np.int64) << 40
+        far = (data[here] * width << 40 | predictions[here]) - (np.cumsum(many) - many) * both
         byte = np.repeat(np.arange(len(many)), many)
-        table_place = (far[here] - (np.cumsum(many, dtype=np.int64) - many) * both).take(byte, mode="clip")
+        table_place = far.take(byte, mode="clip")
         table_place += np.arange(len(byte)) * both
         path = table_place >> 40
         table_place &= (1 << 40) - 1
         node = nodes.take(path, mode="clip")
-        place = near[here].take(byte, mode="clip")
+        place = near.take(byte, mode="clip")
         other = place >> 32
         other += node
         place &= low
         place += node
         into_cells = cells[into]
-        for c, (values, at) in enumerate(((model.stretch, place), (model.stretch, other), (table, table_place), (bits, path))):
+        for c, (values, at) in enumerate(((stretch, place), (stretch, other), (table, table_place), (bits, path))):
             into_cells[:, c] = values.take(at, mode="clip").reshape(-1, AT_ONCE)
         levels[into] = level[here].take(byte[::TOGETHER]).reshape(-1, AT_ONCE // TOGETHER)
     order, total = np.argsort(-steps, kind="stable"), np.zeros(len(spans))
